@@ -29,6 +29,8 @@ def drop_repeats(
         source = drop_repeats_within_batches(df, keys) if thin else df
         return source.withWatermark(event_time, lateness).dropDuplicates(keys)
     payload = [name for name in df.columns if name not in keys]
+    if not payload:
+        return df.distinct()
     kept = df.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("kept"))
     fields = [name if name in keys else F.col("kept")[name].alias(name) for name in df.columns]
     return kept.select(*fields)

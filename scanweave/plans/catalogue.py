@@ -23,7 +23,7 @@ from scanweave.schemas import (
 )
 from scanweave.session import prepare, scratch_folder, session_conf
 from scanweave.sources import tables
-from scanweave.sources.messages import decode_events
+from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
 from scanweave.streaming.sinks import ONCE, start_partitioned_sink, start_shared_split
 from scanweave.streaming.tracking import TrackingSettings, ingest, start_tracking
@@ -362,15 +362,14 @@ def incremental_bronze(spark, folder):
 
 @registered
 def declared_table(spark, folder):
-    """A described table declared over the loaded files, read by name."""
+    """A described table, declared before the files it holds are loaded, and read by name."""
     lake = batch_run.Lake(scratch_folder(spark, "declared"))
-    tables.write_partitioned(_bronze(spark, folder), lake.landed)
-    batch_run.load_bronze(spark, lake)
     described = tables.describe_schema(BRONZE, COLUMN_COMMENTS)
     name = "bronze_" + lake.base.rsplit("-", 1)[-1]
-    return tables.create_table_if_absent(
-        spark, name, described, lake.bronze, comment=BRONZE_COMMENT
-    )
+    tables.create_table_if_absent(spark, name, described, lake.bronze, comment=BRONZE_COMMENT)
+    tables.write_partitioned(_bronze(spark, folder), lake.landed)
+    batch_run.load_bronze(spark, lake)
+    return spark.table(name)
 
 
 @registered
@@ -401,9 +400,8 @@ def _stream_messages(spark, folder, kind):
     return derived.messages(derived.stream_events(spark, folder), kind)
 
 
-def _drained(spark, stream, time_column, purpose, schema):
+def _drained(spark, stream, time_column, base, schema):
     """Run a stream over everything there is now and return what its sink holds."""
-    base = scratch_folder(spark, purpose)
     with session_conf(spark, spark__sql__shuffle__partitions=str(_state_partitions(spark))):
         query = start_partitioned_sink(
             with_date_parts(stream, time_column), f"{base}/out", f"{base}/checkpoint", trigger=ONCE
@@ -419,7 +417,8 @@ def _dated(schema):
 @registered
 def stream_dedupe(spark, folder):
     valid = ingest(_stream_messages(spark, folder, BAGGAGE), BAGGAGE).valid
-    kept = _drained(spark, drop_repeats(valid), EVENT_TIME, "stream-dedupe", _dated(BAGGAGE_EVENT))
+    base = scratch_folder(spark, "stream-dedupe")
+    kept = _drained(spark, drop_repeats(valid), EVENT_TIME, base, _dated(BAGGAGE_EVENT))
     return kept.drop(*DATE_PARTS)
 
 
@@ -428,13 +427,50 @@ def stream_interval_join(spark, folder):
     valid = [
         ingest(_stream_messages(spark, folder, kind), kind).valid for kind in (BAGGAGE, PASSENGER)
     ]
-    matched = _drained(spark, match_scans(*valid), "baggage_time", "stream-join", BRONZE)
+    base = scratch_folder(spark, "stream-join")
+    matched = _drained(spark, match_scans(*valid), "baggage_time", base, BRONZE)
+    return matched.drop(*DATE_PARTS)
+
+
+def _arrive(rows, base, kind):
+    """Add rows, as message text, to the files a text stream of this kind reads."""
+    derived.messages(rows, kind).write.mode("append").text(f"{base}/{kind.lower()}")
+
+
+@registered
+def stream_late_rows(spark, folder):
+    """Two runs on one checkpoint. Some early events arrive with the second run only: they are
+    behind the watermark of the first and are dropped."""
+    base = scratch_folder(spark, "stream-late")
+    events = derived.events(spark, folder)
+    early = F.dayofmonth("ts") <= 15
+    delayed = (F.dayofmonth("ts") <= 10) & (F.pmod("user_id", F.lit(20)) == 7)
+    for arrival in (events.filter(early & ~delayed), events.filter(~early | delayed)):
+        _arrive(arrival, base, BAGGAGE)
+        valid = ingest(text_messages(spark, f"{base}/baggage"), BAGGAGE).valid
+        kept = _drained(spark, drop_repeats(valid), EVENT_TIME, base, _dated(BAGGAGE_EVENT))
+    return kept.drop(*DATE_PARTS)
+
+
+@registered
+def stream_interval_join_resumed(spark, folder):
+    """The join over two arrivals: the second run matches against state the first one kept."""
+    base = scratch_folder(spark, "stream-resumed")
+    events = derived.events(spark, folder)
+    early = F.dayofmonth("ts") <= 15
+    for arrival in (events.filter(early), events.filter(~early)):
+        valid = []
+        for kind in (BAGGAGE, PASSENGER):
+            _arrive(arrival, base, kind)
+            valid.append(ingest(text_messages(spark, f"{base}/{kind.lower()}"), kind).valid)
+        matched = _drained(spark, match_scans(*valid), "baggage_time", base, BRONZE)
     return matched.drop(*DATE_PARTS)
 
 
 def _stream_dead(spark, folder, kind):
     dead = ingest(_stream_messages(spark, folder, kind), kind).dead
-    return _drained(spark, dead, EVENT_TIME, "stream-dead", dead_letter_schema(kind))
+    base = scratch_folder(spark, "stream-dead")
+    return _drained(spark, dead, EVENT_TIME, base, dead_letter_schema(kind))
 
 
 @registered

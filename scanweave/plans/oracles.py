@@ -8,7 +8,7 @@ delivered AS (
   FROM events e
 ),
 decoded AS (
-  SELECT event_type IN ('view', 'click', 'error') AS is_bag,
+  SELECT event_type IN ('view', 'click', 'error') AS is_bag, user_id,
     CAST(event_id AS VARCHAR) AS event_id,
     'AC' AS airline_code,
     '0014' || lpad(CAST(user_id * 3 + event_id % 3 AS VARCHAR), 6, '0') AS bag_tag_number,
@@ -193,6 +193,9 @@ def all_oracles() -> dict[str, str]:
         "published_tables": gold,
         "stream_dedupe": f"WITH {_MATCHED} SELECT * FROM bags",
         "stream_interval_join": matched,
+        "stream_interval_join_resumed": matched,
+        "stream_late_rows": f"""WITH {_EVENTS} SELECT DISTINCT {_BAG} FROM judged
+            WHERE is_bag AND ok AND NOT (day(event_timestamp) <= 10 AND user_id % 20 = 7)""",
         "stream_dead_letter_baggage": _dead(True),
         "stream_dead_letter_passenger": _dead(False),
         "stream_shared_split": f"""WITH {_EVENTS}, dated AS (

@@ -38,7 +38,11 @@ def create_table_if_absent(
     partition_by: Sequence[str] = DATE_PARTS,
     comment: str = "",
 ) -> DataFrame:
-    """Declare a Parquet table over `path` unless the name exists; returns the table."""
+    """Declare a Parquet table over `path` unless the name exists; returns the table.
+
+    Declare it before streaming files into `path`: over a folder that already holds a streaming
+    sink's log, the catalog keeps no column list and the descriptions are lost.
+    """
     text = comment.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
@@ -55,15 +59,20 @@ def load_new_files(
     schema: StructType,
     partition_by: Sequence[str] = DATE_PARTS,
     max_file_age: str = "3650d",
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Append every file below `source` that no earlier run has loaded, then stop.
 
     A file is known by its path, so a rewritten file of the same name is skipped. Files older than
     the newest by more than `max_file_age` are skipped as well, hence the long default; the driver
-    remembers one path per file of that span. Rows are rebalanced by partition on the way, which
-    merges the many small files a short trigger leaves.
+    remembers one path per file of that span. `max_files` cuts a large backlog into batches that are
+    committed one by one. Rows are rebalanced by partition on the way, which merges the many small
+    files a short trigger leaves.
     """
-    arrived = spark.readStream.schema(schema).option("maxFileAge", max_file_age).parquet(source)
+    options = {"maxFileAge": max_file_age}
+    if max_files:
+        options["maxFilesPerTrigger"] = str(max_files)
+    arrived = spark.readStream.schema(schema).options(**options).parquet(source)
     together = arrived.hint("rebalance", *(F.col(name) for name in partition_by))
     return (
         together.writeStream.outputMode("append")

@@ -1,0 +1,174 @@
+"""Streaming runs over text files: three arrivals on one checkpoint, with a hand-computed outcome."""
+
+import json
+
+import pytest
+
+from scanweave.constants import BAGGAGE
+from scanweave.operators.interval_join import hot_keys
+from scanweave.schemas import BRONZE, dead_letter_schema
+from scanweave.sources.messages import text_messages
+from scanweave.sources.tables import read_declared
+from scanweave.streaming.monitor import (
+    await_all,
+    await_first_end,
+    current_watermark,
+    rows_dropped_late,
+    rows_in_state,
+)
+from scanweave.streaming.sinks import ONCE, start_shared_split
+from scanweave.streaming.tracking import TrackingSettings, start_tracking
+
+
+def event(event_id, locator, time, **extra):
+    stamp = f"2026-05-20T{time}+00:00" if time else None
+    fields = {"event_id": event_id, "pnr_locator": locator, "flight_number": "AC1", "event_timestamp": stamp}
+    return json.dumps(fields | extra)
+
+
+def bag(event_id, locator, time):
+    return event(event_id, locator, time, bag_tag_number=event_id, location_id="B")
+
+
+def pax(event_id, locator, time):
+    return event(event_id, locator, time, gate_id=event_id)
+
+
+ARRIVALS = [
+    (
+        [bag("b1", "AAAAAA", "12:00:00")] * 2
+        + [bag("b2", "AAAAAA", "09:30:00"), bag("b3", "AAAAAA", "13:30:00"), bag("b4", "AAAAAA", None)]
+        + ["not json", bag("b0", "UNKNOWN", "12:00:00")],
+        [pax("p1", "AAAAAA", "12:30:00")] * 2 + [pax("p2", "BBBBBB", None)],
+    ),
+    (
+        [bag("b5", "CCCCCC", "18:00:00"), bag("b6", "AAAAAA", "13:30:00.000001"), bag("b7", "AAAAAA", "11:31:00")],
+        [pax("p3", "CCCCCC", "21:00:00"), pax("p0", None, "21:00:00")],
+    ),
+    (
+        [bag("b8", "AAAAAA", "12:10:00"), bag("b9", "CCCCCC", "18:05:00"), bag("b1", "AAAAAA", "12:00:00")],
+        [pax("p4", "CCCCCC", "18:06:00")],
+    ),
+]
+MATCHED = [
+    {("b1", "p1"), ("b2", "p1"), ("b3", "p1")},
+    {("b5", "p3"), ("b7", "p1")},
+    {("b9", "p3"), ("b9", "p4"), ("b5", "p4")},
+]
+WATERMARKS = ["10:30", "16:00", "16:05"]
+DROPPED = [0, 0, 2]
+
+
+def arrive(folder, number, arrival):
+    for side, lines in zip(("bag", "pax"), arrival):
+        (folder / side).mkdir(exist_ok=True)
+        (folder / side / f"{number}.txt").write_text("\n".join(lines) + "\n")
+
+
+def start(spark, folder, dealt=False, **options):
+    settings = TrackingSettings(
+        base=str(folder / "lake"),
+        checkpoints=str(folder / "checkpoints"),
+        trigger=ONCE,
+        state_partitions=2,
+        **options,
+    )
+    sources = [text_messages(spark, str(folder / side)) for side in ("bag", "pax")]
+    hot = None
+    if dealt:
+        keys = [("AAAAAA", "AC1")] * 9 + [("CCCCCC", "AC1")]
+        names = ["pnr_locator", "flight_number"]
+        hot = hot_keys(spark.createDataFrame(keys, names), names, 0.5)
+    return settings, start_tracking(*sources, settings, hot=hot)
+
+
+def found(spark, settings):
+    rows = read_declared(spark, settings.valid_path, BRONZE).collect()
+    return sorted((row.bag_tag_number, row.passenger_gate) for row in rows)
+
+
+@pytest.mark.parametrize("dealt", [False, True], ids=["plain", "hot key dealt"])
+def test_three_arrivals(spark, tmp_path, dealt):
+    expected = []
+    for number, arrival in enumerate(ARRIVALS):
+        arrive(tmp_path, number, arrival)
+        settings, queries = start(spark, tmp_path, dealt)
+        await_all(queries.values())
+        expected += MATCHED[number]
+        assert found(spark, settings) == sorted(expected)
+        assert rows_dropped_late(queries["valid"]) == DROPPED[number]
+        if arrival[0]:
+            assert WATERMARKS[number] in current_watermark(queries["valid"])
+    # the NULL-time keys of b4 and p2 are never evicted
+    dedupe_rows = [n for step, n in rows_in_state(queries["valid"]).items() if "dedupe" in step.lower()]
+    assert len(dedupe_rows) == 2 and min(dedupe_rows) >= 1
+    dead = read_declared(spark, settings.baggage_dead_path, dead_letter_schema(BAGGAGE))
+    assert sorted(str(row.event_id) for row in dead.collect()) == ["None", "b0"]
+    assert {row.error_reason for row in dead.collect()} == {"FAILED_PNR_CONTRACT"}
+    assert spark.read.parquet(settings.passenger_dead_path).count() == 1
+
+
+def test_state_is_evicted_and_a_rerun_adds_nothing(spark, tmp_path):
+    arrive(tmp_path, 0, ([bag("b1", "AAAAAA", "01:00:00")], [pax("p1", "AAAAAA", "01:30:00")]))
+    settings, queries = start(spark, tmp_path)
+    await_all(queries.values())
+    assert found(spark, settings) == [("b1", "p1")]
+    settings, queries = start(spark, tmp_path)
+    await_all(queries.values())
+    assert found(spark, settings) == [("b1", "p1")]
+    arrive(tmp_path, 1, ([bag("b2", "BBBBBB", "23:00:00")], [pax("p2", "CCCCCC", "23:00:00")]))
+    settings, queries = start(spark, tmp_path)
+    await_all(queries.values())
+    in_state = rows_in_state(queries["valid"])
+    joined = [n for step, n in in_state.items() if "join" in step.lower()]
+    # only b2 and the two cells of p2 are left
+    assert joined == [3]
+
+
+def test_join_plan_cleans_up_state(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+    _, queries = start(spark, tmp_path)
+    await_all(queries.values())
+    plan = queries["valid"]._jsq.explainInternal(False)
+    assert "StreamingSymmetricHashJoin" in plan
+    assert plan.count("valueWatermarkPredicate") + plan.count("state cleanup") >= 1
+
+
+def test_shared_split_replaces_a_repeated_batch(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+
+    def run(checkpoint):
+        query = start_shared_split(
+            text_messages(spark, str(tmp_path / "bag")),
+            BAGGAGE,
+            str(tmp_path / "valid"),
+            str(tmp_path / "dead"),
+            str(tmp_path / checkpoint),
+            trigger=ONCE,
+            keep_raw=True,
+        )
+        await_all([query])
+        return [spark.read.parquet(str(tmp_path / side)).count() for side in ("valid", "dead")]
+
+    assert run("first") == [5, 2]
+    # a fresh checkpoint repeats batch 0: its folders are replaced, not added to
+    assert run("second") == [5, 2]
+    dead = spark.read.parquet(str(tmp_path / "dead"))
+    assert "not json" in {row.raw_value for row in dead.collect()}
+
+
+def test_outputs_fail_together(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+    _, queries = start(spark, tmp_path)
+    await_first_end(spark, queries.values())
+    assert not any(query.isActive for query in queries.values())
+    spark.streams.resetTerminated()
+
+
+def test_kafka_source_is_declared(spark):
+    from pyspark.errors import AnalysisException
+
+    from scanweave.sources.messages import topic_messages
+
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topic_messages(spark, "localhost:9092", "scans")
