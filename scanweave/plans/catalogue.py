@@ -16,8 +16,6 @@ from scanweave.plans import batch_run, derived
 from scanweave.schemas import (
     BAGGAGE_EVENT,
     BRONZE,
-    BRONZE_COMMENT,
-    COLUMN_COMMENTS,
     DATE_PART_FIELDS,
     dead_letter_schema,
 )
@@ -364,12 +362,8 @@ def incremental_bronze(spark, folder):
 def declared_table(spark, folder):
     """A described table, declared before the files it holds are loaded, and read by name."""
     lake = batch_run.Lake(scratch_folder(spark, "declared"))
-    described = tables.describe_schema(BRONZE, COLUMN_COMMENTS)
-    name = "bronze_" + lake.base.rsplit("-", 1)[-1]
-    tables.create_table_if_absent(spark, name, described, lake.bronze, comment=BRONZE_COMMENT)
     tables.write_partitioned(_bronze(spark, folder), lake.landed)
-    batch_run.load_bronze(spark, lake)
-    return spark.table(name)
+    return batch_run.load_bronze(spark, lake, name="bronze_" + lake.base.rsplit("-", 1)[-1])
 
 
 @registered

@@ -37,18 +37,17 @@ def create_table_if_absent(
     path: str,
     partition_by: Sequence[str] = DATE_PARTS,
     comment: str = "",
-) -> DataFrame:
-    """Declare a Parquet table over `path` unless the name exists; returns the table.
+) -> None:
+    """Declare a Parquet table over `path` unless the name exists.
 
-    Declare it before streaming files into `path`: over a folder that already holds a streaming
-    sink's log, the catalog keeps no column list and the descriptions are lost.
+    Declare it before streaming files into `path` (over a folder that already holds a streaming
+    sink's log, the catalog keeps no column list), and refresh the name after each load.
     """
     text = comment.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
         f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}' COMMENT '{text}'"
     )
-    return spark.table(name)
 
 
 def load_new_files(

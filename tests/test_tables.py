@@ -5,8 +5,6 @@ from scanweave.operators.quality import NotNull, QualityGateError
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.schemas import BRONZE, COLUMN_COMMENTS
 from scanweave.sources.tables import (
-    create_table_if_absent,
-    describe_schema,
     load_new_files,
     publish,
     read_declared,
@@ -75,14 +73,9 @@ def test_day_filter_prunes_partitions(spark, tmp_path):
 
 def test_declared_table_is_created_once_and_reads_streamed_files(spark, tmp_path):
     lake = Lake(str(tmp_path))
-    described = describe_schema(BRONZE, COLUMN_COMMENTS)
     for day in (1, 2):
         write_partitioned(landed(spark, ["ABC123"], day=day), lake.landed)
-        create_table_if_absent(
-            spark, "bronze_declared", described, lake.bronze, comment="The stream's landing table"
-        )
-        load_bronze(spark, lake)
-        assert spark.table("bronze_declared").count() == day
+        assert load_bronze(spark, lake, name="bronze_declared").count() == day
     assert spark.table("bronze_declared").filter("day = 2").first().pnr_locator == "ABC123"
     comments = {c.name: c.description for c in spark.catalog.listColumns("bronze_declared")}
     assert comments["pnr_locator"] == COLUMN_COMMENTS["pnr_locator"] and comments["day"] is None
