@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 from datetime import timedelta
+from math import ceil
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Row, functions as F
 
 from scanweave.constants import (
     EVENT_TIME,
@@ -15,6 +16,8 @@ from scanweave.constants import (
 from scanweave.functions import time_cell
 from scanweave.operators.dedupe import drop_repeats
 
+MAX_HOT_KEYS = 10_000
+
 
 def interval_join(
     left: DataFrame,
@@ -25,7 +28,7 @@ def interval_join(
     before: timedelta,
     after: timedelta,
     cell: timedelta | None = None,
-    hot: DataFrame | None = None,
+    hot: Sequence[Row] = (),
     spread: int = 32,
 ) -> DataFrame:
     """Pairs with equal keys and `right_time - before <= left_time <= right_time + after`.
@@ -37,7 +40,7 @@ def interval_join(
 
     Skew left inside a cell: static joins are split at run time by AQE. A streaming join has no
     such step; pass `hot` (see `hot_keys`) to deal the left rows of those keys over `spread` lanes,
-    with their right rows repeated in each lane.
+    with their right rows repeated in each lane. A pair still meets once.
 
     Other columns must not share names. On streams, both times need watermarks; Spark derives the
     state clean-up from the time condition.
@@ -45,7 +48,7 @@ def interval_join(
     keys = list(keys)
     cell = cell or (before + after)
     meet = [*keys, "_cell"]
-    if hot is not None:
+    if hot:
         left, right = _deal_hot_keys(left, right, keys, hot, spread)
         meet.append("_lane")
 
@@ -60,8 +63,11 @@ def interval_join(
 
 
 def _deal_hot_keys(left, right, keys, hot, spread):
-    # `hot` is bounded by construction (see hot_keys), so it may be broadcast.
-    marked = F.broadcast(hot.select(*keys).distinct().withColumn("_hot", F.lit(True)))
+    if len(hot) > MAX_HOT_KEYS:
+        raise ValueError(f"{len(hot)} hot keys; at most {MAX_HOT_KEYS} may be dealt")
+    schema = left.select(*keys).schema
+    listed = left.sparkSession.createDataFrame(list(hot), schema).distinct()
+    marked = F.broadcast(listed.withColumn("_hot", F.lit(True)))
     is_hot = F.coalesce("_hot", F.lit(False))
     own_lane = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
     all_lanes = F.sequence(F.lit(0), F.lit(spread - 1))
@@ -74,21 +80,27 @@ def _deal_hot_keys(left, right, keys, hot, spread):
     return left.drop("_hot"), right.drop("_hot")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys holding more than `share` of all rows: at most `1 / share` of them, whatever the data.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[Row]:
+    """Keys holding more than `share` of all rows.
 
-    Runs one counting job over the key columns; only the total comes back to the driver.
+    There are fewer than `1 / share` of them, whatever the data, so the list fits the driver and a
+    broadcast. One counting job over the key columns; only the largest `1 / share` counts return.
     """
+    if not 1 / MAX_HOT_KEYS <= share < 1:
+        raise ValueError(f"share must be at least {1 / MAX_HOT_KEYS} and below 1")
+    all_rows = Observation()
     counted = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("rows"))
-    total = counted.agg(F.sum("rows")).first()[0] or 0
-    return counted.filter(F.col("rows") > F.lit(total * share)).select(*keys)
+    counted = counted.observe(all_rows, F.sum("rows").alias("total"))
+    largest = counted.orderBy(F.desc("rows")).limit(ceil(1 / share)).collect()
+    total = all_rows.get["total"] or 0
+    return [Row(**{key: row[key] for key in keys}) for row in largest if row["rows"] > total * share]
 
 
 def match_scans(
     baggage: DataFrame,
     passengers: DataFrame,
     lateness: str = LATENESS,
-    hot: DataFrame | None = None,
+    hot: Sequence[Row] = (),
     thin: bool = True,
 ) -> DataFrame:
     """Dedupe both event streams and match every bag scan with the boardings of its passenger."""

@@ -1,8 +1,9 @@
 """The tracking job: two event streams to matched rows and two dead-letter folders."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scanweave.constants import (
@@ -63,14 +64,23 @@ def start_tracking(
     baggage_messages: DataFrame,
     passenger_messages: DataFrame,
     settings: TrackingSettings,
-    hot: DataFrame | None = None,
+    hot: Sequence[Row] = (),
 ) -> dict[str, StreamingQuery]:
-    """Start the three queries: matched rows, baggage dead letters, passenger dead letters."""
+    """Start the three queries: matched rows, baggage dead letters, passenger dead letters.
+
+    The first one reports its valid messages in and matched rows out with each batch (see
+    `monitor.observed_rows`), which shows how far repeated boardings multiply scans.
+    """
     baggage = ingest(baggage_messages, BAGGAGE, settings.contract, settings.keep_raw)
     passengers = ingest(passenger_messages, PASSENGER, settings.contract, settings.keep_raw)
+    rows = F.count(F.lit(1)).alias("rows")
     matched = match_scans(
-        baggage.valid, passengers.valid, settings.lateness, hot=hot, thin=settings.thin
-    )
+        baggage.valid.observe("valid_baggage", rows),
+        passengers.valid.observe("valid_passengers", rows),
+        settings.lateness,
+        hot=hot,
+        thin=settings.thin,
+    ).observe("matched", rows)
     outputs = {
         "valid": (matched, "baggage_time", settings.valid_path),
         "dead_baggage": (baggage.dead, EVENT_TIME, settings.baggage_dead_path),
@@ -81,10 +91,10 @@ def start_tracking(
     with session_conf(spark, spark__sql__shuffle__partitions=str(partitions)):
         return {
             name: start_partitioned_sink(
-                with_date_parts(rows, time_column),
+                with_date_parts(output, time_column),
                 path,
                 f"{settings.checkpoints}/{name}",
                 trigger=settings.trigger,
             )
-            for name, (rows, time_column, path) in outputs.items()
+            for name, (output, time_column, path) in outputs.items()
         }

@@ -99,11 +99,23 @@ def test_rows_without_time_or_key_do_not_match(spark):
     assert joined(spark, (left, [("k", 1, START), (None, 2, START), ("k", 3, None)])).count() == 0
 
 
-def test_hot_keys_are_bounded_by_their_share(spark, sides):
+def test_hot_keys_hold_more_than_their_share(spark, sides):
     left = spark.createDataFrame(sides[0], "key string, left_id long, left_time timestamp")
-    assert [row.key for row in hot_keys(left, ["key"], 0.1).collect()] == ["hot"]
-    assert hot_keys(left, ["key"], 0.0).count() == len({key for key, _, _ in sides[0]})
-    assert hot_keys(left.limit(0), ["key"]).count() == 0
+    assert [row.key for row in hot_keys(left, ["key"], 0.1)] == ["hot"]
+    counts = Counter(key for key, _, _ in sides[0])
+    expected = {key for key, count in counts.items() if count > 0.02 * len(sides[0])}
+    assert {row.key for row in hot_keys(left, ["key"], 0.02)} == expected
+    assert hot_keys(left.limit(0), ["key"]) == []
+
+
+def test_hot_keys_are_bounded(spark, sides):
+    left = spark.createDataFrame(sides[0], "key string, left_id long, left_time timestamp")
+    with pytest.raises(ValueError, match="share"):
+        hot_keys(left, ["key"], 0.0)
+    with pytest.raises(ValueError, match="hot keys"):
+        interval_join(
+            left, left, ["key"], "left_time", "left_time", BEFORE, AFTER, hot=[("k",)] * 10_001
+        )
 
 
 EVENT = "event_id string, event_timestamp timestamp, pnr_locator string"

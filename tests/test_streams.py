@@ -13,6 +13,7 @@ from scanweave.streaming.monitor import (
     await_all,
     await_first_end,
     current_watermark,
+    observed_rows,
     rows_dropped_late,
     rows_in_state,
 )
@@ -57,6 +58,7 @@ MATCHED = [
 ]
 WATERMARKS = ["10:30", "16:00", "16:05"]
 DROPPED = [0, 0, 2]
+OBSERVED = [(5, 3, 3), (3, 1, 2), (3, 1, 3)]
 
 
 def arrive(folder, number, arrival):
@@ -74,7 +76,7 @@ def start(spark, folder, dealt=False, **options):
         **options,
     )
     sources = [text_messages(spark, str(folder / side)) for side in ("bag", "pax")]
-    hot = None
+    hot = ()
     if dealt:
         keys = [("AAAAAA", "AC1")] * 9 + [("CCCCCC", "AC1")]
         names = ["pnr_locator", "flight_number"]
@@ -97,6 +99,9 @@ def test_three_arrivals(spark, tmp_path, dealt):
         expected += MATCHED[number]
         assert found(spark, settings) == sorted(expected)
         assert rows_dropped_late(queries["valid"]) == DROPPED[number]
+        assert observed_rows(queries["valid"]) == dict(
+            zip(("valid_baggage", "valid_passengers", "matched"), OBSERVED[number])
+        )
         if arrival[0]:
             assert WATERMARKS[number] in current_watermark(queries["valid"])
     # the NULL-time keys of b4 and p2 are never evicted

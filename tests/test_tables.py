@@ -120,3 +120,20 @@ def test_publication_keeps_the_old_tables_when_a_check_fails(spark, tmp_path):
     assert [row.pnr_locator for row in spark.table("silver_gate").collect()] == ["ABC123"]
     run_batch_published(landed(spark, ["abc124"]), lake, *names, checks=[NotNull("gold", "flight_number")])
     assert [row.pnr_locator for row in spark.table("silver_gate").collect()] == ["ABC124"]
+
+
+def test_batch_command(spark, tmp_path):
+    from scanweave.__main__ import main
+
+    lake = Lake(str(tmp_path))
+    write_partitioned(landed(spark, ["ABC123", "ABC124"]), lake.landed)
+    main(["batch", "--base", lake.base, "--publish", "silver_cli", "gold_cli"])
+    assert spark.table("gold_cli").first().total_bags_tracked == 2
+    main(["batch", "--base", lake.base])
+    assert spark.read.parquet(lake.silver).count() == 2
+
+
+def test_partition_columns_are_discovered_as_integers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitioned(landed(spark, ["A"]), path)
+    assert dict(spark.read.parquet(path).dtypes)["month"] == "int"
