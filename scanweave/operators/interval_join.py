@@ -101,6 +101,7 @@ def match_scans(
     passengers: DataFrame,
     lateness: str = LATENESS,
     hot: Sequence[Row] = (),
+    spread: int = 32,
     thin: bool = True,
 ) -> DataFrame:
     """Dedupe both event streams and match every bag scan with the boardings of its passenger."""
@@ -129,6 +130,7 @@ def match_scans(
         before=MATCH_BEFORE,
         after=MATCH_AFTER,
         hot=hot,
+        spread=spread,
     )
     return matched.select(
         *MATCH_KEYS,

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+_LANES = 32
+
+
 @dataclass(frozen=True)
 class NotNull:
     table: str
@@ -58,14 +61,22 @@ class Relationship:
         value = F.expr(self.conform) if self.conform else F.col(self.parent_column)
         return tables[self.parent].select(value.alias(self.column)).distinct()
 
+    def _children(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return tables[self.table].filter(F.col(self.column).isNotNull())
+
     def failing(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        child = tables[self.table].filter(F.col(self.column).isNotNull())
-        return child.join(self._parents(tables), self.column, "left_anti")
+        """The failing rows: those of the failing values, dealt over lanes so that a value many
+        rows share is not left to one task."""
+        child = self._children(tables)
+        lanes = F.explode(F.sequence(F.lit(0), F.lit(_LANES - 1)))
+        values = self.failing_values(tables).select(self.column, lanes.alias("_lane"))
+        lane = F.pmod(F.xxhash64(*child.columns), F.lit(_LANES)).cast("int")
+        dealt = child.withColumn("_lane", lane)
+        return dealt.join(values, [self.column, "_lane"], "left_semi").drop("_lane")
 
     def failing_values(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """The failing values with their row counts: values are counted before they are joined."""
-        child = tables[self.table].filter(F.col(self.column).isNotNull())
-        counted = child.groupBy(self.column).agg(F.count("*").alias("rows"))
+        counted = self._children(tables).groupBy(self.column).agg(F.count("*").alias("rows"))
         return counted.join(self._parents(tables), self.column, "left_anti")
 
 

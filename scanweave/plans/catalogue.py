@@ -6,9 +6,9 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType, StringType, TimestampType
 
-from scanweave.constants import BAGGAGE, DATE_PARTS, EVENT_TIME, PASSENGER
+from scanweave.constants import BAGGAGE, DATE_PARTS, EVENT_TIME, MATCH_KEYS, PASSENGER
 from scanweave.operators import quality
-from scanweave.operators.contract import split_by_contract, summarise_dead_letters
+from scanweave.operators.contract import STRICT_CONTRACT, summarise_dead_letters
 from scanweave.operators.dedupe import drop_repeats
 from scanweave.operators.interval_join import hot_keys, interval_join, match_scans
 from scanweave.operators.tables import performance, ranked, tracking, with_date_parts, with_lateness
@@ -141,6 +141,28 @@ def contract_foreign_json(spark, folder):
     return ingest(foreign, BAGGAGE, keep_raw=True).dead
 
 
+@registered
+def contract_malformed_text(spark, folder):
+    """Whole documents as messages: none is JSON, each is quarantined with its text."""
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("text").alias("value"))
+    return ingest(texts, PASSENGER, keep_raw=True).dead
+
+
+@registered
+def contract_missing_time(spark, folder):
+    """Order messages under the strict contract; pending orders have no event time."""
+    locator = F.concat(F.lit("C"), F.lpad(F.col("o_custkey").cast("string"), 5, "0"))
+    time = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", derived.ISO_MICROS))
+    body = F.struct(
+        F.col("o_orderkey").cast("string").alias("event_id"),
+        locator.alias("pnr_locator"),
+        F.coalesce(time, F.lit("pending")).alias("event_timestamp"),
+        F.col("o_orderpriority").alias("gate_id"),
+    )
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    return ingest(orders.select(F.to_json(body).alias("value")), PASSENGER, STRICT_CONTRACT).dead
+
+
 @registered
 def dead_letter_summary(spark, folder):
     both = _dead(spark, folder, BAGGAGE).select("error_reason", *DATE_PARTS).unionByName(
@@ -182,7 +204,7 @@ def interval_join_scans(spark, folder):
 def interval_join_hot_keys(spark, folder):
     """The same join with the heaviest passengers dealt over several lanes."""
     scans = _split(spark, folder, BAGGAGE).valid
-    return _matched(spark, folder, hot=hot_keys(scans, ["pnr_locator", "flight_number"], 0.007))
+    return _matched(spark, folder, hot=hot_keys(scans, MATCH_KEYS, 0.0008), spread=4)
 
 
 @registered

@@ -18,7 +18,7 @@ GATES = ("GATE_E73", "GATE_D22", "GATE_F14")
 AIRLINE = "AC"
 COPIES = 3
 
-_ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +62,7 @@ def messages(source: DataFrame, kind: str) -> DataFrame:
         "airline_code": F.lit(AIRLINE),
         "pnr_locator": _locator(),
         "flight_number": _pick(user, FLIGHTS),
-        "event_timestamp": F.date_format(F.col("ts").cast("timestamp"), _ISO_MICROS),
+        "event_timestamp": F.date_format(F.col("ts").cast("timestamp"), ISO_MICROS),
         "event_type": F.col("event_type"),
     }
     if kind == BAGGAGE:

@@ -128,6 +128,17 @@ def all_oracles() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS pnr_locator, CAST(NULL AS VARCHAR) AS flight_number,
             CAST(NULL AS TIMESTAMP) AS event_timestamp, CAST(NULL AS VARCHAR) AS location_id,
             'FAILED_PNR_CONTRACT' AS error_reason FROM events""",
+        "contract_malformed_text": """SELECT text AS raw_value, CAST(NULL AS VARCHAR) AS event_id,
+            CAST(NULL AS VARCHAR) AS airline_code, CAST(NULL AS VARCHAR) AS pnr_locator,
+            CAST(NULL AS VARCHAR) AS flight_number, CAST(NULL AS TIMESTAMP) AS event_timestamp,
+            CAST(NULL AS VARCHAR) AS gate_id, 'FAILED_PNR_CONTRACT' AS error_reason
+            FROM documents""",
+        "contract_missing_time": """SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
+            CAST(NULL AS VARCHAR) AS airline_code,
+            'C' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS pnr_locator,
+            CAST(NULL AS VARCHAR) AS flight_number, CAST(NULL AS TIMESTAMP) AS event_timestamp,
+            o_orderpriority AS gate_id, 'MISSING_EVENT_TIME' AS error_reason
+            FROM orders WHERE o_orderstatus = 'P'""",
         "dead_letter_summary": f"""WITH {_EVENTS},
             dead AS (SELECT 'FAILED_PNR_CONTRACT' AS error_reason, {_DAY_OF_EVENT}
               FROM judged WHERE NOT ok)

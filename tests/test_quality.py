@@ -78,3 +78,13 @@ def test_null_checks_of_one_table_share_a_scan(relations):
     checks = [NotNull("silver", "pnr_locator"), NotNull("silver", "bag_tag_number")]
     plan = report(relations, checks)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 1
+
+
+def test_failing_rows_of_a_shared_value_are_whole(spark, relations):
+    many = relations | {
+        "bronze": spark.createDataFrame([("z", i) for i in range(500)] + [("ABC123", 0)], "pnr_locator string, i int")
+    }
+    check = Relationship("bronze", "pnr_locator", "silver", "pnr_locator")
+    failing = check.failing(many)
+    assert failing.columns == ["pnr_locator", "i"]
+    assert sorted(row.i for row in failing.collect()) == list(range(500))

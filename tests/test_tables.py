@@ -4,6 +4,7 @@ from scanweave.constants import DATE_PARTS
 from scanweave.operators.quality import NotNull, QualityGateError
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.schemas import BRONZE, COLUMN_COMMENTS
+from scanweave.session import session_conf
 from scanweave.sources.tables import (
     load_new_files,
     publish,
@@ -122,6 +123,17 @@ def test_publication_keeps_the_old_tables_when_a_check_fails(spark, tmp_path):
     assert [row.pnr_locator for row in spark.table("silver_gate").collect()] == ["ABC124"]
 
 
+def test_a_hot_day_is_split_over_files(spark, tmp_path):
+    path = tmp_path / "t"
+    hot = spark.range(40000).selectExpr("uuid() AS pnr_locator", "2026 AS year", "5 AS month", "1 AS day")
+    cold = spark.range(10).selectExpr("uuid() AS pnr_locator", "2026 AS year", "5 AS month", "2 AS day")
+    with session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB"):
+        write_partitioned(hot.unionByName(cold.repartition(8)), str(path))
+    files = {day: len(list((path / f"year=2026/month=5/day={day}").glob("*.parquet"))) for day in (1, 2)}
+    assert files[1] > 1 and files[2] == 1
+    assert spark.read.parquet(str(path)).count() == 40010
+
+
 def test_batch_command(spark, tmp_path):
     from scanweave.__main__ import main
 
