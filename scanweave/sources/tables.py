@@ -93,11 +93,11 @@ def rebuild(
     """
     source = df.hint("rebalance") if merge_files else df
     source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return read_declared(df.sparkSession, path, df.schema)
 
 
 def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Point `name` at the table in `path`, in one catalog step."""
+    """Point `name` at the table in `path`, in one catalog step. The table must hold files."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 

@@ -103,6 +103,16 @@ def test_performance_without_times(spark):
     assert row.total_late_bags == 0 and row.baggage_mishandle_rate_percentage == 0
 
 
+def test_rate_is_zero_without_bags(spark):
+    silver = silver_rows(
+        spark, [("P00001", "AC1", "T1", "B", "G", "2026-01-01 10:05:00", "2026-01-01 10:00:00")]
+    )
+    untagged = silver.withColumn("bag_tag_number", F.lit(None).cast("string"))
+    row = performance(untagged).first()
+    assert (row.total_bags_tracked, row.total_late_bags) == (0, 1)
+    assert row.baggage_mishandle_rate_percentage == 0
+
+
 def test_ranking_breaks_ties_by_key(spark):
     rows = [("P00001", f, "T1", "B", g, "2026-01-01 10:00:00", "2026-01-01 10:00:00") for f, g in
             (("AC2", "G1"), ("AC1", "G2"), ("AC1", "G1"))]

@@ -6,6 +6,7 @@ import pytest
 
 from scanweave.constants import BAGGAGE
 from scanweave.operators.interval_join import hot_keys
+from scanweave.plans.batch_run import Lake, load_bronze, run_batch
 from scanweave.schemas import BRONZE, dead_letter_schema
 from scanweave.sources.messages import text_messages
 from scanweave.sources.tables import read_declared
@@ -130,6 +131,16 @@ def test_state_is_evicted_and_a_rerun_adds_nothing(spark, tmp_path):
     assert joined == [3]
 
 
+def test_nothing_matched_gives_empty_tables(spark, tmp_path):
+    arrive(tmp_path, 0, ([bag("b1", "AAAAAA", "01:00:00")], [pax("p1", "BBBBBB", "01:30:00")]))
+    settings, queries = start(spark, tmp_path)
+    await_all(queries.values())
+    lake = Lake(settings.base)
+    bronze = load_bronze(spark, lake)
+    built = run_batch(bronze, lake)
+    assert (bronze.count(), built.silver.count(), built.gold.count()) == (0, 0, 0)
+
+
 def test_join_plan_cleans_up_state(spark, tmp_path):
     arrive(tmp_path, 0, ARRIVALS[0])
     _, queries = start(spark, tmp_path)
