@@ -11,7 +11,12 @@ from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_pu
 from scanweave.session import build_session
 from scanweave.sources.messages import topic_messages
 from scanweave.streaming.monitor import await_first_end
-from scanweave.streaming.tracking import TrackingSettings, start_tracking
+from scanweave.streaming.tracking import (
+    TrackingSettings,
+    start_landed_match,
+    start_shared_ingest,
+    start_tracking,
+)
 
 
 def _arguments(given: list[str] | None) -> argparse.Namespace:
@@ -27,6 +32,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--starting", default="latest", help="offsets of the first run")
     stream.add_argument("--state-partitions", type=int, help="fixed by the first run")
     stream.add_argument("--require-event-time", action="store_true")
+    stream.add_argument("--read-once", action="store_true", help="parse each topic once, land valid rows")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
     batch = jobs.add_parser("batch", help="load landed files, rebuild silver and gold, check them")
@@ -58,7 +64,12 @@ def main(given: list[str] | None = None) -> None:
         topic_messages(spark, arguments.servers, topic, arguments.starting)
         for topic in (arguments.baggage_topic, arguments.passenger_topic)
     )
-    await_first_end(spark, start_tracking(baggage, passengers, settings).values())
+    if arguments.read_once:
+        queries = [*start_shared_ingest(baggage, passengers, settings).values()]
+        queries.append(start_landed_match(spark, settings, clean_up=True))
+    else:
+        queries = [*start_tracking(baggage, passengers, settings).values()]
+    await_first_end(spark, queries)
 
 
 if __name__ == "__main__":

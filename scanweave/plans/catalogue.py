@@ -24,7 +24,13 @@ from scanweave.sources import tables
 from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
 from scanweave.streaming.sinks import ONCE, start_partitioned_sink, start_shared_split
-from scanweave.streaming.tracking import TrackingSettings, ingest, start_tracking
+from scanweave.streaming.tracking import (
+    TrackingSettings,
+    ingest,
+    start_landed_match,
+    start_shared_ingest,
+    start_tracking,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Query] = {}
@@ -519,21 +525,40 @@ def stream_shared_split(spark, folder):
     return counted[0].unionByName(counted[1]).withColumnRenamed("count", "messages")
 
 
-@registered
-def end_to_end(spark, folder):
-    """Streams to landed files and dead letters, files to bronze, bronze to silver and gold."""
-    lake = batch_run.Lake(scratch_folder(spark, "end-to-end"))
-    settings = TrackingSettings(
+def _tracking_settings(spark, lake):
+    return TrackingSettings(
         base=lake.base,
         checkpoints=f"{lake.base}/checkpoints",
         trigger=ONCE,
         state_partitions=_state_partitions(spark),
     )
+
+
+@registered
+def end_to_end(spark, folder):
+    """Streams to landed files and dead letters, files to bronze, bronze to silver and gold."""
+    lake = batch_run.Lake(scratch_folder(spark, "end-to-end"))
     started = start_tracking(
         _stream_messages(spark, folder, BAGGAGE),
         _stream_messages(spark, folder, PASSENGER),
-        settings,
+        _tracking_settings(spark, lake),
     )
     await_all(started.values())
     bronze = batch_run.load_bronze(spark, lake)
     return batch_run.build_tables(bronze, lake.silver, lake.gold).gold
+
+
+@registered
+def end_to_end_read_once(spark, folder):
+    """The same flow with each stream read and parsed once for valid rows and dead letters."""
+    lake = batch_run.Lake(scratch_folder(spark, "read-once"))
+    settings = _tracking_settings(spark, lake)
+    split = start_shared_ingest(
+        _stream_messages(spark, folder, BAGGAGE),
+        _stream_messages(spark, folder, PASSENGER),
+        settings,
+    )
+    await_all(split.values())
+    await_all([start_landed_match(spark, settings)])
+    bronze = batch_run.load_bronze(spark, lake)
+    return batch_run.build_tables(bronze, lake.silver, lake.gold).gold

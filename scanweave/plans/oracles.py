@@ -214,4 +214,5 @@ def all_oracles() -> dict[str, str]:
               FROM judged WHERE NOT is_bag)
             SELECT output, year, month, day, count(*) AS messages FROM dated GROUP BY ALL""",
         "end_to_end": gold,
+        "end_to_end_read_once": gold,
     }

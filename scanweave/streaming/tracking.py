@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scanweave.constants import (
@@ -18,9 +18,10 @@ from scanweave.constants import (
 from scanweave.operators.contract import LOCATOR_CONTRACT, Contract, Split, split_by_contract
 from scanweave.operators.interval_join import match_scans
 from scanweave.operators.tables import with_date_parts
+from scanweave.schemas import event_schema
 from scanweave.session import session_conf
 from scanweave.sources.messages import decode_events
-from scanweave.streaming.sinks import EVERY_MINUTE, start_partitioned_sink
+from scanweave.streaming.sinks import EVERY_MINUTE, start_partitioned_sink, start_shared_split
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,10 @@ class TrackingSettings:
     def valid_path(self) -> str:
         return f"{self.base}/{VALID_FOLDER}"
 
+    def accepted_path(self, kind: str) -> str:
+        """Transit folder between a shared split and the match that follows it."""
+        return f"{self.base}/accepted/{kind.lower()}"
+
     @property
     def baggage_dead_path(self) -> str:
         return f"{self.base}/{BAGGAGE_DEAD_FOLDER}"
@@ -86,9 +91,7 @@ def start_tracking(
         "dead_baggage": (baggage.dead, EVENT_TIME, settings.baggage_dead_path),
         "dead_passenger": (passengers.dead, EVENT_TIME, settings.passenger_dead_path),
     }
-    spark = baggage_messages.sparkSession
-    partitions = settings.state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with session_conf(spark, spark__sql__shuffle__partitions=str(partitions)):
+    with _state_partitions(baggage_messages.sparkSession, settings):
         return {
             name: start_partitioned_sink(
                 with_date_parts(output, time_column),
@@ -98,3 +101,61 @@ def start_tracking(
             )
             for name, (output, time_column, path) in outputs.items()
         }
+
+
+def start_shared_ingest(
+    baggage_messages: DataFrame, passenger_messages: DataFrame, settings: TrackingSettings
+) -> dict[str, StreamingQuery]:
+    """The first half of a tracking job that reads and parses each topic once instead of twice.
+
+    Per topic, one query writes dead letters and lands the valid rows for `start_landed_match`.
+    """
+    inputs = {
+        BAGGAGE: (baggage_messages, settings.baggage_dead_path),
+        PASSENGER: (passenger_messages, settings.passenger_dead_path),
+    }
+    return {
+        f"split_{kind.lower()}": start_shared_split(
+            messages,
+            kind,
+            settings.accepted_path(kind),
+            dead_path,
+            f"{settings.checkpoints}/split_{kind.lower()}",
+            contract=settings.contract,
+            trigger=settings.trigger,
+            keep_raw=settings.keep_raw,
+        )
+        for kind, (messages, dead_path) in inputs.items()
+    }
+
+
+def start_landed_match(
+    spark: SparkSession,
+    settings: TrackingSettings,
+    hot: Sequence[Row] = (),
+    clean_up: bool = False,
+) -> StreamingQuery:
+    """The second half: match the landed valid rows.
+
+    A batch the split had to repeat lands under new file names; its rows are then copies of events
+    seen before, which the dedupe removes. `clean_up` deletes landed files once they are matched.
+    """
+    landed = []
+    for kind in (BAGGAGE, PASSENGER):
+        path, schema = settings.accepted_path(kind), event_schema(kind)
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
+        options = {"cleanSource": "delete"} if clean_up else {}
+        landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
+    matched = match_scans(*landed, settings.lateness, hot=hot, thin=settings.thin)
+    with _state_partitions(spark, settings):
+        return start_partitioned_sink(
+            with_date_parts(matched, "baggage_time"),
+            settings.valid_path,
+            f"{settings.checkpoints}/valid",
+            trigger=settings.trigger,
+        )
+
+
+def _state_partitions(spark: SparkSession, settings: TrackingSettings):
+    count = settings.state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return session_conf(spark, spark__sql__shuffle__partitions=str(count))

@@ -19,7 +19,12 @@ from scanweave.streaming.monitor import (
     rows_in_state,
 )
 from scanweave.streaming.sinks import ONCE, start_shared_split
-from scanweave.streaming.tracking import TrackingSettings, start_tracking
+from scanweave.streaming.tracking import (
+    TrackingSettings,
+    start_landed_match,
+    start_shared_ingest,
+    start_tracking,
+)
 
 
 def event(event_id, locator, time, **extra):
@@ -167,12 +172,36 @@ def test_shared_split_replaces_a_repeated_batch(spark, tmp_path):
         return [spark.read.parquet(str(tmp_path / side)).count() for side in ("valid", "dead")]
 
     assert run("first") == [5, 2]
-    # a fresh checkpoint repeats batch 0: its folders are replaced, not added to
-    assert run("second") == [5, 2]
+    # without its commit, batch 0 is repeated: its folders are replaced, not added to
+    for entry in (tmp_path / "first/commits").glob("*0*"):
+        entry.unlink()
+    assert run("first") == [5, 2]
+    # another checkpoint is another query: it does not touch the first one's batch 0
+    assert run("second") == [10, 4]
     dead = spark.read.parquet(str(tmp_path / "dead"))
     assert "not json" in {row.raw_value for row in dead.collect()}
 
 
+def test_three_arrivals_read_once(spark, tmp_path):
+    settings = TrackingSettings(
+        base=str(tmp_path / "lake"),
+        checkpoints=str(tmp_path / "checkpoints"),
+        trigger=ONCE,
+        state_partitions=2,
+    )
+    expected = []
+    for number, arrival in enumerate(ARRIVALS):
+        arrive(tmp_path, number, arrival)
+        sources = [text_messages(spark, str(tmp_path / side)) for side in ("bag", "pax")]
+        await_all(start_shared_ingest(*sources, settings).values())
+        query = start_landed_match(spark, settings, clean_up=number > 0)
+        await_all([query])
+        expected += MATCHED[number]
+        assert found(spark, settings) == sorted(expected)
+        assert rows_dropped_late(query) == DROPPED[number]
+    assert spark.read.parquet(settings.baggage_dead_path).count() == 2
+
+
 def test_outputs_fail_together(spark, tmp_path):
     arrive(tmp_path, 0, ARRIVALS[0])
     _, queries = start(spark, tmp_path)
