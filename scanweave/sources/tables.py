@@ -43,10 +43,9 @@ def create_table_if_absent(
     Declare it before streaming files into `path` (over a folder that already holds a streaming
     sink's log, the catalog keeps no column list), and refresh the name after each load.
     """
-    text = comment.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}' COMMENT '{text}'"
+        f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}' COMMENT {_quoted(comment)}"
     )
 
 
@@ -96,9 +95,15 @@ def rebuild(
     return read_declared(df.sparkSession, path, df.schema)
 
 
-def publish(spark: SparkSession, name: str, path: str) -> None:
+def publish(spark: SparkSession, name: str, path: str, comment: str = "") -> None:
     """Point `name` at the table in `path`, in one catalog step. The table must hold files."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)} AS SELECT * FROM parquet.`{path}`"
+    )
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
 def with_descriptions(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:

@@ -3,14 +3,17 @@
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from scanweave.constants import (
     BAGGAGE,
     BAGGAGE_DEAD_FOLDER,
     EVENT_TIME,
     LATENESS,
+    MATCH_KEYS,
     PASSENGER,
     PASSENGER_DEAD_FOLDER,
     VALID_FOLDER,
@@ -18,7 +21,7 @@ from scanweave.constants import (
 from scanweave.operators.contract import LOCATOR_CONTRACT, Contract, Split, split_by_contract
 from scanweave.operators.interval_join import match_scans
 from scanweave.operators.tables import with_date_parts
-from scanweave.schemas import event_schema
+from scanweave.schemas import JOINED, event_schema
 from scanweave.session import session_conf
 from scanweave.sources.messages import decode_events
 from scanweave.streaming.sinks import EVERY_MINUTE, start_partitioned_sink, start_shared_split
@@ -75,7 +78,10 @@ def start_tracking(
 
     The first one reports its valid messages in and matched rows out with each batch (see
     `monitor.observed_rows`), which shows how far repeated boardings multiply scans.
+
+    `hot` (see `hot_keys`) counts on the first start of a checkpoint only.
     """
+    spark = baggage_messages.sparkSession
     baggage = ingest(baggage_messages, BAGGAGE, settings.contract, settings.keep_raw)
     passengers = ingest(passenger_messages, PASSENGER, settings.contract, settings.keep_raw)
     rows = F.count(F.lit(1)).alias("rows")
@@ -83,7 +89,7 @@ def start_tracking(
         baggage.valid.observe("valid_baggage", rows),
         passengers.valid.observe("valid_passengers", rows),
         settings.lateness,
-        hot=hot,
+        hot=_fixed_hot_keys(spark, settings, hot),
         thin=settings.thin,
     ).observe("matched", rows)
     outputs = {
@@ -91,7 +97,7 @@ def start_tracking(
         "dead_baggage": (baggage.dead, EVENT_TIME, settings.baggage_dead_path),
         "dead_passenger": (passengers.dead, EVENT_TIME, settings.passenger_dead_path),
     }
-    with _state_partitions(baggage_messages.sparkSession, settings):
+    with _state_partitions(spark, settings):
         return {
             name: start_partitioned_sink(
                 with_date_parts(output, time_column),
@@ -146,7 +152,8 @@ def start_landed_match(
         spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
         options = {"cleanSource": "delete"} if clean_up else {}
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
-    matched = match_scans(*landed, settings.lateness, hot=hot, thin=settings.thin)
+    fixed = _fixed_hot_keys(spark, settings, hot)
+    matched = match_scans(*landed, settings.lateness, hot=fixed, thin=settings.thin)
     with _state_partitions(spark, settings):
         return start_partitioned_sink(
             with_date_parts(matched, "baggage_time"),
@@ -159,3 +166,20 @@ def start_landed_match(
 def _state_partitions(spark: SparkSession, settings: TrackingSettings):
     count = settings.state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return session_conf(spark, spark__sql__shuffle__partitions=str(count))
+
+
+def _fixed_hot_keys(
+    spark: SparkSession, settings: TrackingSettings, hot: Sequence[Row]
+) -> Sequence[Row]:
+    """The hot keys of the first start, kept beside its checkpoint.
+
+    Rows in state sit in the lanes they were dealt to. A key that turned hot or cold between runs
+    would look for its partners in other lanes.
+    """
+    path = f"{settings.checkpoints}/hot_keys"
+    schema = StructType([JOINED[name] for name in MATCH_KEYS])
+    try:
+        return spark.read.schema(schema).parquet(path).collect()
+    except AnalysisException:
+        spark.createDataFrame(list(hot), schema).coalesce(1).write.parquet(path)
+        return hot

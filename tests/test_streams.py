@@ -73,7 +73,7 @@ def arrive(folder, number, arrival):
         (folder / side / f"{number}.txt").write_text("\n".join(lines) + "\n")
 
 
-def start(spark, folder, dealt=False, **options):
+def start(spark, folder, dealt=(), **options):
     settings = TrackingSettings(
         base=str(folder / "lake"),
         checkpoints=str(folder / "checkpoints"),
@@ -84,9 +84,9 @@ def start(spark, folder, dealt=False, **options):
     sources = [text_messages(spark, str(folder / side)) for side in ("bag", "pax")]
     hot = ()
     if dealt:
-        keys = [("AAAAAA", "AC1")] * 9 + [("CCCCCC", "AC1")]
         names = ["pnr_locator", "flight_number"]
-        hot = hot_keys(spark.createDataFrame(keys, names), names, 0.5)
+        keys = [(locator, "AC1") for locator in dealt]
+        hot = hot_keys(spark.createDataFrame(keys, names), names, 0.1)
     return settings, start_tracking(*sources, settings, hot=hot)
 
 
@@ -95,12 +95,16 @@ def found(spark, settings):
     return sorted((row.bag_tag_number, row.passenger_gate) for row in rows)
 
 
-@pytest.mark.parametrize("dealt", [False, True], ids=["plain", "hot key dealt"])
+@pytest.mark.parametrize(
+    "dealt",
+    [[(), (), ()], [("AAAAAA", "CCCCCC")] * 3, [("AAAAAA",), (), ("CCCCCC",)], [(), ("CCCCCC",), ()]],
+    ids=["plain", "hot keys dealt", "hot keys change", "hot keys later"],
+)
 def test_three_arrivals(spark, tmp_path, dealt):
     expected = []
     for number, arrival in enumerate(ARRIVALS):
         arrive(tmp_path, number, arrival)
-        settings, queries = start(spark, tmp_path, dealt)
+        settings, queries = start(spark, tmp_path, dealt[number])
         await_all(queries.values())
         expected += MATCHED[number]
         assert found(spark, settings) == sorted(expected)

@@ -97,10 +97,17 @@ def test_publish_moves_a_name(spark, tmp_path):
     for version, locators in enumerate((["A"], ["B", "C"])):
         path = str(tmp_path / f"v{version}")
         rebuild(landed(spark, locators), path)
-        publish(spark, "published_name", path)
+        publish(spark, "published_name", path, "it's current")
         assert spark.table("published_name").count() == len(locators)
 
 
+def test_published_names_are_described(spark, tmp_path):
+    rebuild(landed(spark, ["A"]), str(tmp_path / "t"))
+    publish(spark, "described_name", str(tmp_path / "t"), "it's current")
+    details = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED described_name").collect()}
+    assert details["Comment"] == "it's current"
+
+
 def test_batch_run_and_gate(spark, tmp_path):
     lake = Lake(str(tmp_path))
     built = run_batch(landed(spark, ["ABC123", "ABC124"]), lake)
