@@ -121,8 +121,9 @@ def match_scans(
         lateness=lateness,
         thin=thin,
     ).withColumnRenamed(EVENT_TIME, "passenger_time")
+    # Lanes are dealt by row content; the id keeps otherwise equal scans apart.
     matched = interval_join(
-        scans.drop("event_id"),
+        scans if hot else scans.drop("event_id"),
         boardings.drop("event_id"),
         keys=MATCH_KEYS,
         left_time="baggage_time",

@@ -158,7 +158,7 @@ def start_landed_match(
         return start_partitioned_sink(
             with_date_parts(matched, "baggage_time"),
             settings.valid_path,
-            f"{settings.checkpoints}/valid",
+            f"{settings.checkpoints}/landed_match",
             trigger=settings.trigger,
         )
 
