@@ -46,7 +46,7 @@ def interval_join(
     state clean-up from the time condition.
     """
     keys = list(keys)
-    cell = cell or (before + after)
+    cell = cell or (before + after) or timedelta(hours=1)
     meet = [*keys, "_cell"]
     if hot:
         left, right = _deal_hot_keys(left, right, keys, hot, spread)

@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from scanweave.operators.dedupe import drop_repeats, drop_repeats_within_batches
@@ -86,6 +87,45 @@ def test_join_equals_brute_force_when_aqe_splits_a_hot_cell(spark):
     assert "skewed" in plan
 
 
+minutes = st.integers(-300, 300).map(lambda n: timedelta(minutes=n))
+side = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), minutes)), max_size=25)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(side, side, st.integers(-60, 120), st.integers(60, 180), st.sampled_from([None, 7, 60, 5000]))
+def test_join_equals_brute_force_on_any_input(spark, left, right, before, after, cell):
+    epoch = datetime(1970, 1, 1)
+    before, after = timedelta(minutes=before), timedelta(minutes=after)
+    left, right = (
+        [(key, number, shift if shift is None else epoch + shift) for number, (key, shift) in enumerate(rows)]
+        for rows in (left, right)
+    )
+    expected = Counter(
+        (key, i, j)
+        for key, i, at in left
+        for other, j, then in right
+        if key is not None and key == other and None not in (at, then) and then - before <= at <= then + after
+    )
+    result = interval_join(
+        spark.createDataFrame(left, "key string, left_id long, left_time timestamp_ntz"),
+        spark.createDataFrame(right, "key string, right_id long, right_time timestamp_ntz"),
+        ["key"],
+        "left_time",
+        "right_time",
+        before,
+        after,
+        cell=cell and timedelta(minutes=cell),
+    )
+    assert pairs(result) == expected
+
+
+def test_zero_interval_matches_equal_times(spark):
+    left = spark.createDataFrame([("k", 1, START), ("k", 2, START + AFTER)], "key string, left_id long, left_time timestamp")
+    right = spark.createDataFrame([("k", 1, START)], "key string, right_id long, right_time timestamp")
+    none = timedelta(0)
+    assert pairs(interval_join(left, right, ["key"], "left_time", "right_time", none, none)) == {("k", 1, 1): 1}
+
+
 def test_both_ends_are_inclusive(spark):
     boarding = datetime(2026, 5, 20, 12, 30)
     micro = timedelta(microseconds=1)
