@@ -6,6 +6,7 @@
 
 import argparse
 
+from scanweave.constants import TRIGGER
 from scanweave.operators.contract import LOCATOR_CONTRACT, STRICT_CONTRACT
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.session import build_session
@@ -32,6 +33,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--starting", default="latest", help="offsets of the first run")
     stream.add_argument("--state-partitions", type=int, help="fixed by the first run")
     stream.add_argument("--require-event-time", action="store_true")
+    stream.add_argument("--trigger", default=TRIGGER, help="time between batches")
     stream.add_argument("--read-once", action="store_true", help="parse each topic once, land valid rows")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
@@ -56,6 +58,7 @@ def main(given: list[str] | None = None) -> None:
     settings = TrackingSettings(
         base=arguments.base,
         checkpoints=arguments.checkpoints or f"{arguments.base}/checkpoints",
+        trigger={"processingTime": arguments.trigger},
         contract=STRICT_CONTRACT if arguments.require_event_time else LOCATOR_CONTRACT,
         state_partitions=arguments.state_partitions,
         keep_raw=arguments.keep_raw,

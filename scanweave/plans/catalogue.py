@@ -70,9 +70,9 @@ def _split(spark, folder, kind):
 
 
 def _matched(spark, folder, **options):
-    return match_scans(
-        _split(spark, folder, BAGGAGE).valid, _split(spark, folder, PASSENGER).valid, **options
-    )
+    events = derived.events(spark, folder)
+    valid = [ingest(derived.messages(events, kind), kind).valid for kind in (BAGGAGE, PASSENGER)]
+    return match_scans(*valid, **options)
 
 
 def _bronze(spark, folder):

@@ -150,7 +150,10 @@ def start_landed_match(
     for kind in (BAGGAGE, PASSENGER):
         path, schema = settings.accepted_path(kind), event_schema(kind)
         spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
-        options = {"cleanSource": "delete"} if clean_up else {}
+        # Folders appear while the query runs; without partition columns its schema stays fixed.
+        options = {"recursiveFileLookup": "true"}
+        if clean_up:
+            options["cleanSource"] = "delete"
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
     fixed = _fixed_hot_keys(spark, settings, hot)
     matched = match_scans(*landed, settings.lateness, hot=fixed, thin=settings.thin)

@@ -221,3 +221,63 @@ def test_kafka_source_is_declared(spark):
 
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         topic_messages(spark, "localhost:9092", "scans")
+
+
+class FakeReader:
+    """Records what a source asks of `spark.readStream`."""
+
+    def __init__(self):
+        self.readStream = self
+        self.asked = {}
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked |= options
+        return self
+
+    def load(self):
+        return self
+
+
+def test_topic_source_settings():
+    from scanweave.sources.messages import topic_messages
+
+    asked = topic_messages(FakeReader(), "broker:9092", "scans", maxOffsetsPerTrigger="1000").asked
+    assert asked == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "scans",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "1000",
+    }
+
+
+@pytest.mark.parametrize("read_once", [False, True])
+def test_stream_command(spark, tmp_path, monkeypatch, read_once):
+    from scanweave import __main__ as command
+
+    def process_all(_, queries):
+        for query in queries:
+            query.processAllAvailable()
+        for query in queries:
+            query.stop()
+
+    monkeypatch.setattr(command, "topic_messages", lambda s, servers, topic, starting: text_messages(s, topic))
+    monkeypatch.setattr(command, "await_first_end", process_all)
+    arrive(tmp_path, 0, ARRIVALS[0])
+    base = str(tmp_path / "lake")
+    given = ["stream", "--servers", "none", "--base", base, "--require-event-time", "--keep-raw"]
+    given += ["--baggage-topic", str(tmp_path / "bag"), "--passenger-topic", str(tmp_path / "pax")]
+    given += ["--state-partitions", "2", "--trigger", "1 second"]
+    command.main(given + ["--read-once"] * read_once)
+    settings = TrackingSettings(base=base, checkpoints="")
+    assert found(spark, settings) == sorted(MATCHED[0])
+    dead = spark.read.parquet(settings.baggage_dead_path)
+    assert sorted(row.error_reason for row in dead.collect()) == [
+        "FAILED_PNR_CONTRACT", "FAILED_PNR_CONTRACT", "MISSING_EVENT_TIME"
+    ]
+    assert "not json" in {row.raw_value for row in dead.collect()}
