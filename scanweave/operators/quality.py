@@ -40,7 +40,7 @@ class AcceptedValues:
 
     def failing(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         rejected = tables[self.table].filter(self.outside())
-        return rejected.groupBy(self.column).agg(F.count("*").alias("rows"))
+        return rejected.groupBy(self.column).agg(F.count("*").alias("failing_rows"))
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ class Relationship:
 
     def failing_values(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """The failing values with their row counts: values are counted before they are joined."""
-        counted = self._children(tables).groupBy(self.column).agg(F.count("*").alias("rows"))
+        counted = self._children(tables).groupBy(self.column).agg(F.count("*").alias("failing_rows"))
         return counted.join(self._parents(tables), self.column, "left_anti")
 
 
@@ -99,7 +99,7 @@ def report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFram
             if isinstance(check, AcceptedValues):
                 parts.append(_single(check, check.failing(tables).agg(F.count("*").alias("failures"))))
             elif isinstance(check, Relationship):
-                total = F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")
+                total = F.coalesce(F.sum("failing_rows"), F.lit(0)).alias("failures")
                 parts.append(_single(check, check.failing_values(tables).agg(total)))
     return reduce(DataFrame.unionByName, parts)
 

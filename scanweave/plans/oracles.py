@@ -178,13 +178,13 @@ def all_oracles() -> dict[str, str]:
         "check_relationship_conformed": f"""WITH {_SILVER} SELECT {unmatched} FROM silver s
             WHERE NOT EXISTS (SELECT 1 FROM bronze b
               WHERE upper(trim(b.pnr_locator, ' ')) = s.pnr_locator)""",
-        "check_relationship_documents": """SELECT doc_id, count(*) AS "rows"
+        "check_relationship_documents": """SELECT doc_id, count(*) AS failing_rows
             FROM documents ANTI JOIN labels USING (doc_id)
             WHERE doc_id IS NOT NULL GROUP BY doc_id""",
         "check_accepted_values_late_flag": f"""WITH {_SILVER}
-            SELECT is_late_baggage_scan, count(*) AS "rows" FROM silver
+            SELECT is_late_baggage_scan, count(*) AS failing_rows FROM silver
             WHERE is_late_baggage_scan NOT IN (true, false) GROUP BY 1""",
-        "check_accepted_values_orders": """SELECT o_orderstatus, count(*) AS "rows" FROM orders
+        "check_accepted_values_orders": """SELECT o_orderstatus, count(*) AS failing_rows FROM orders
             WHERE o_orderstatus NOT IN ('F', 'P') GROUP BY 1""",
         "check_not_null_gold": f"""WITH {_GOLD}
             SELECT flight_number, passenger_gate, total_bags_tracked FROM gold

@@ -9,7 +9,12 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from scanweave.operators.dedupe import drop_repeats, drop_repeats_within_batches
-from scanweave.operators.interval_join import hot_keys, interval_join, match_scans
+from scanweave.operators.interval_join import (
+    _deal_hot_keys,
+    hot_keys,
+    interval_join,
+    match_scans,
+)
 from scanweave.session import session_conf
 
 START = datetime(2026, 5, 20)
@@ -148,6 +153,15 @@ def test_hot_keys_hold_more_than_their_share(spark, sides):
     assert hot_keys(left.limit(0), ["key"]) == []
 
 
+def test_equal_scans_of_a_hot_key_are_dealt_over_lanes(spark):
+    scans = spark.createDataFrame([("k", number, START) for number in range(200)], "key string, id long, t timestamp")
+    right = spark.createDataFrame([("k", START)], "key string, right_time timestamp")
+    dealt, repeated = _deal_hot_keys(scans, right, ["key"], [("k",)], 8)
+    lanes = Counter(row._lane for row in dealt.collect())
+    assert sorted(lanes) == list(range(8)) and max(lanes.values()) < 60
+    assert sorted(row._lane for row in repeated.collect()) == list(range(8))
+
+
 def test_hot_keys_are_bounded(spark, sides):
     left = spark.createDataFrame(sides[0], "key string, left_id long, left_time timestamp")
     with pytest.raises(ValueError, match="share"):
