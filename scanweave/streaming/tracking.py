@@ -3,7 +3,6 @@
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -181,8 +180,6 @@ def _fixed_hot_keys(
     """
     path = f"{settings.checkpoints}/hot_keys"
     schema = StructType([JOINED[name] for name in MATCH_KEYS])
-    try:
-        return spark.read.schema(schema).parquet(path).collect()
-    except AnalysisException:
-        spark.createDataFrame(list(hot), schema).coalesce(1).write.parquet(path)
-        return hot
+    first = spark.createDataFrame(list(hot), schema).coalesce(1)
+    first.write.mode("ignore").parquet(path)  # later starts leave it as it is
+    return spark.read.schema(schema).parquet(path).collect()
