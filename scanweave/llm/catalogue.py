@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanweave.llm import packing, token_counts
+from scanweave.llm import packing, simhash_dedup, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -14,6 +14,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, _tokenizer("byte_bpe_50k.json"))
 
@@ -28,6 +32,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_simhash_dedup": op5_simhash_dedup,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
     }
