@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanweave.llm import packing, simhash_dedup, token_counts
+from scanweave.llm import packing, quality_rules, simhash_dedup, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -14,6 +14,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents")).drop("host", "frequent")
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
@@ -39,4 +44,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": quality_rules.ORACLE}
