@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanweave.llm import packing, quality_rules, simhash_dedup, token_counts
+from scanweave.llm import packing, quality_rules, secret_scan, simhash_dedup, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents")).drop("host", "frequent")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op4_secret_scan": op4_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
