@@ -2,12 +2,16 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import packing, quality_rules, secret_scan, simhash_dedup, token_counts
+from scanweave.llm import packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
+# Stands in for a key that a deployment keeps secret and passes itself.
+SURROGATE_KEY = "scanweave-registered-query"
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -38,6 +42,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def without_personal_data(docs: DataFrame) -> DataFrame:
+    """The documents, in their own columns, with replaced entities."""
+    return surrogates.replace_personal_data(docs, SURROGATE_KEY).select("row.*")
+
+
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = surrogates.replace_personal_data(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    kinds = [
+        F.size(F.filter("mentions", _of(kind))).cast("long").alias(f"n_{kind}") for kind in surrogates.TYPES
+    ]
+    return done.select("row.doc_id", "row.text", *kinds)
+
+
+def _of(kind: str):
+    return lambda mention: mention["kind"] == kind
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -45,6 +66,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash_dedup": op5_simhash_dedup,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
+        "op10_surrogates": op10_surrogates,
     }
 
 
