@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
+from scanweave.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -30,6 +30,17 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs.select("doc_id", "text"), benchmark).select(
+        "row.doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("long").alias("n_items"),
+        F.array_join(F.col("leaks")["item_id"].cast("array<string>"), ",").alias("items"),
+        F.round(F.array_max(F.col("leaks")["similarity"]), 6).alias("best_similarity"),
+    )
+
+
 def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, _tokenizer("byte_bpe_50k.json"))
 
@@ -64,6 +75,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op4_secret_scan": op4_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op7_decontamination": op7_decontamination,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
         "op10_surrogates": op10_surrogates,
