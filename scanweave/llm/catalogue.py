@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
+from scanweave.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -22,6 +22,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents")).drop("host", "frequent")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.get("licenses", F.lit(0))
+    return found.select(
+        "row.doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        best["license"].alias("license"),
+        F.round(best["score"], 6).alias("score"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -73,6 +84,7 @@ def _of(kind: str):
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_license_scan": op3_license_scan,
         "op4_secret_scan": op4_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_decontamination": op7_decontamination,
@@ -83,4 +95,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules.ORACLE}
+    return {
+        "op1_quality_rules": quality_rules.ORACLE,
+        "op3_license_scan": license_scan.ORACLE,
+    }
