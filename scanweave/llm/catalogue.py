@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
+from scanweave.llm import decontaminate, license_scan, line_crf, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -41,6 +41,14 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.fit(docs, read_table(spark, sf_dir, "labels"))
+    return line_crf.score_quality(docs, model).select(
+        "row.doc_id", line_crf.held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs.select("doc_id", "text"), benchmark).select(
@@ -87,6 +95,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_license_scan": op3_license_scan,
         "op4_secret_scan": op4_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_decontamination": op7_decontamination,
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
