@@ -37,18 +37,21 @@ def simhash(text: bytes, words: int = 4, at_once: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
-    """`doc_id` and `fingerprint` (64 bits as a long) of every row; a null text has no words."""
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("string").cast("binary").alias("body"))
+    """`doc_id`, `text_key` (MD5) and `fingerprint` (64 bits as a long) of every row; a null text has no words."""
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col(f"`{id_column}`").alias("doc_id"), F.md5(body).alias("text_key"), body.cast("binary").alias("body")
+    )
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def compute(batches):
         for batch in batches:
-            values = np.fromiter((simhash(body or b"", words) for body in batch.column(1).to_pylist()), np.uint64)
+            values = np.fromiter((simhash(body, words) for body in batch.column(2).to_pylist()), np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"]
+                [batch.column(0), batch.column(1), pa.array(values.view(np.int64))], ["doc_id", "text_key", "fingerprint"]
             )
 
-    return rows.mapInArrow(compute, f"doc_id {id_type}, fingerprint long")
+    return rows.mapInArrow(compute, f"doc_id {id_type}, text_key string, fingerprint long")
 
 
 class _Links:
@@ -256,13 +259,52 @@ def near_duplicates(
     of null ids alone has a null component. Repeated rows stay; no rows give none; other columns are not read.
     """
     prints = landed(fingerprints(docs, id_column, text, words), "simhash-prints")
+    return prints.join(classes(prints, most), "fingerprint").select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def classes(prints: DataFrame, most: int = 4) -> DataFrame:
+    """`fingerprint`, `component` (its smallest fingerprint), `component_id` (its smallest document id)."""
     distinct = landed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    classes = components(landed(near_links(distinct.select("fingerprint"), most), "simhash-links"))
-    labelled = distinct.join(classes.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+    linked = components(landed(near_links(distinct.select("fingerprint"), most), "simhash-links"))
+    labelled = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(smallest, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(
-        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    return labelled.join(smallest, "component").select("fingerprint", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, most: int = 4, words: int = 4, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, with one row left of every class of near-duplicates.
+
+    The smallest id stays, of equal ids the text with the smallest MD5, of equal rows one; null ids come
+    last. Rows that go are found by id and text, so only they are sent around unless they are many.
+    """
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+        F.col(f"`{id_column}`").alias("doc_id"),
+        F.md5(body).alias("text_key"),
+    )
+    prints = landed(fingerprints(docs, id_column, text, words), "simhash-prints")
+    members = prints.join(classes(prints, most), "fingerprint").select("component", "doc_id", "text_key")
+    members = members.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    entry = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = members.groupBy("component").agg(F.min(entry).alias("first"))
+    members = landed(
+        members.join(first, "component").withColumn("stays", entry == F.col("first")).drop("component", "first"),
+        "simhash-members",
     )
+    going, repeated = members.where("not stays"), members.where("stays and times > 1")
+
+    def same(keys):
+        return rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_key"] == keys["text_key"])
+
+    gone = landed(going.select("doc_id", "text_key"), "simhash-gone")
+    if repeated.isEmpty():
+        return rows.join(gone, same(gone), "left_anti").select("row.*")
+    several = landed(repeated.select("doc_id", "text_key"), "simhash-repeated")
+    single = rows.join(gone.union(several), same(gone.union(several)), "left_anti").select("row")
+    once = rows.join(several, same(several), "left_semi").groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
+    return single.union(once.select("row")).select("row.*")
