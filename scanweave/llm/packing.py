@@ -172,7 +172,9 @@ def pack(
     tokens = token_table(docs, tokenizer_path, id_column, text, source)
     total = tokens.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     placed = tokens.select("row_key", "doc_id", "ids", "n_tokens").join(
-        stream_places(tokens, window_tokens, proportions), "row_key"
+        # Both sides grow with the corpus: never a copy of one in every task.
+        stream_places(tokens, window_tokens, proportions).hint("merge"),
+        "row_key",
     )
     rows = placed.select("doc_id", "ids", "n_tokens", "at")
     id_type = rows.schema["doc_id"].dataType.simpleString()
