@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from scanweave.llm.tables import landed
-from scanweave.llm.tokens import by_bytes, piece_ids
+from scanweave.llm.tokens import id_encoder
 
 PIECES = (
     "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
@@ -30,7 +30,6 @@ def token_table(
     id_column: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    batch_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Written table of `row_key`, `doc_id`, `queue`, `ids` (little-endian, 2 or 4 bytes each), `n_tokens`.
 
@@ -45,25 +44,17 @@ def token_table(
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        encoder, row = piece_ids(tokenizer_path), TaskContext.get().partitionId() << 33
-        last = np.zeros(1, encoder.kind).tobytes()
+        encoder, row = id_encoder(tokenizer_path), TaskContext.get().partitionId() << 33
+        width, last = encoder.kind.itemsize, bytes(encoder.kind.itemsize)
         for batch in batches:
-            bodies = batch.column(2)
-            for start, end in by_bytes(pa.compute.binary_length(bodies).to_pylist(), batch_bytes):
-                ids = [found + last for found in encoder.encode(bodies.slice(start, end - start).to_pylist())]
-                sizes = [len(found) // len(last) for found in ids]
-                keys = pa.array(range(row, row + len(ids)), pa.int64())
-                row += len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys,
-                        batch.column(0).slice(start, end - start),
-                        batch.column(1).slice(start, end - start),
-                        pa.array(ids, pa.binary()),
-                        pa.array(sizes, pa.int64()),
-                    ],
-                    ["row_key", "doc_id", "queue", "ids", "n_tokens"],
-                )
+            ids = [encoder.encode(body) + last for body in batch.column(2).to_pylist()]
+            keys = pa.array(range(row, row + len(ids)), pa.int64())
+            row += len(ids)
+            sizes = pa.array([len(found) // width for found in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [keys, batch.column(0), batch.column(1), pa.array(ids, pa.binary()), sizes],
+                ["row_key", "doc_id", "queue", "ids", "n_tokens"],
+            )
 
     shape = f"row_key long, doc_id {id_type}, queue string, ids binary, n_tokens long"
     return landed(rows.mapInArrow(encode, shape), "packing-ids")
