@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import decontaminate, license_scan, line_crf, packing, quality_rules, secret_scan, simhash_dedup, surrogates, token_counts
+from scanweave.llm import decontaminate, license_scan, line_crf, packing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -22,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents")).drop("host", "frequent")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     best = F.get("licenses", F.lit(0))
@@ -92,6 +96,7 @@ def _of(kind: str):
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_license_scan": op3_license_scan,
         "op4_secret_scan": op4_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
