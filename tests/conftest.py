@@ -17,9 +17,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

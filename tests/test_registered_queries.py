@@ -1,13 +1,19 @@
-"""Every registered query against its SQL twin on the smallest data set."""
+"""Every query of the core catalogue against its SQL twin on the smallest data set."""
 
 import pytest
 
 import __spark_entry__ as driver
 import compare
+from scanweave.plans.catalogue import all_queries
+from scanweave.plans.oracles import all_oracles
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
+
+
+def test_driver_registers_the_catalogue():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_every_query_has_an_oracle():
