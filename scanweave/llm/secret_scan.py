@@ -82,7 +82,8 @@ def hot_windows(value: Column) -> Column:
     One pass over the characters: the one that enters the window and the one that leaves it change two
     counts and the sum of their weights.
     """
-    weights = F.array(*(F.lit(_weight(c)).cast("long") for c in range(WINDOW + 1)))
+    # One more than a window holds: a character enters before another leaves.
+    weights = F.array(*(F.lit(_weight(c)).cast("long") for c in range(WINDOW + 2)))
     codes = F.transform(F.split(value, ""), lambda letter: F.instr(F.lit(ALPHABET), letter) - 1)
     limits = most_weights()
     most = (
