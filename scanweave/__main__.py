@@ -1,13 +1,16 @@
 """Command line: the streaming job, the load of landed files, and the batch run.
 
     spark-submit ... -m scanweave stream --servers HOST:PORT --baggage-topic B --passenger-topic P --base PATH
-    spark-submit ... -m scanweave batch  --base PATH [--publish SILVER_NAME GOLD_NAME]
+    spark-submit ... -m scanweave batch  --base PATH [--publish SILVER_NAME GOLD_NAME] [--conform-parents]
 """
 
 import argparse
 
-from scanweave.constants import TRIGGER
+from pyspark.sql import Row
+
+from scanweave.constants import MATCH_KEYS, TRIGGER
 from scanweave.operators.contract import LOCATOR_CONTRACT, STRICT_CONTRACT
+from scanweave.operators.quality import CONFORMED_LOCATOR, published_checks
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.session import build_session
 from scanweave.sources.messages import topic_messages
@@ -34,12 +37,15 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--state-partitions", type=int, help="fixed by the first run")
     stream.add_argument("--require-event-time", action="store_true")
     stream.add_argument("--trigger", default=TRIGGER, help="time between batches")
-    stream.add_argument("--read-once", action="store_true", help="parse each topic once, land valid rows")
+    stream.add_argument("--read-twice", action="store_true", help="no landing of valid rows: read each topic twice")
+    stream.add_argument("--max-offsets", help="most messages per topic and batch")
+    stream.add_argument("--hot-keys", nargs="*", default=[], metavar="LOCATOR:FLIGHT", help="fixed by the first run")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
     batch = jobs.add_parser("batch", help="load landed files, rebuild silver and gold, check them")
     batch.add_argument("--base", required=True, help="folder the streaming job writes to")
     batch.add_argument("--publish", nargs=2, metavar=("SILVER", "GOLD"), help="publish after checks")
+    batch.add_argument("--conform-parents", action="store_true", help="cleanse bronze locators in the relationship check")
     return parser.parse_args(given)
 
 
@@ -49,10 +55,11 @@ def main(given: list[str] | None = None) -> None:
     if arguments.job == "batch":
         lake = Lake(arguments.base)
         bronze = load_bronze(spark, lake)
+        checks = published_checks(CONFORMED_LOCATOR if arguments.conform_parents else None)
         if arguments.publish:
-            run_batch_published(bronze, lake, *arguments.publish)
+            run_batch_published(bronze, lake, *arguments.publish, checks)
         else:
-            run_batch(bronze, lake)
+            run_batch(bronze, lake, checks)
         return
 
     settings = TrackingSettings(
@@ -63,16 +70,18 @@ def main(given: list[str] | None = None) -> None:
         state_partitions=arguments.state_partitions,
         keep_raw=arguments.keep_raw,
     )
+    limit = {"maxOffsetsPerTrigger": arguments.max_offsets} if arguments.max_offsets else {}
+    hot = [Row(**dict(zip(MATCH_KEYS, key.split(":", 1)))) for key in arguments.hot_keys]
     baggage, passengers = (
-        topic_messages(spark, arguments.servers, topic, arguments.starting)
+        topic_messages(spark, arguments.servers, topic, arguments.starting, **limit)
         for topic in (arguments.baggage_topic, arguments.passenger_topic)
     )
-    if arguments.read_once:
-        queries = [*start_shared_ingest(baggage, passengers, settings).values()]
-        queries.append(start_landed_match(spark, settings, clean_up=True))
+    if arguments.read_twice:
+        queries = [*start_tracking(baggage, passengers, settings, hot).values()]
     else:
-        queries = [*start_tracking(baggage, passengers, settings).values()]
-    await_first_end(spark, queries)
+        queries = [*start_shared_ingest(baggage, passengers, settings).values()]
+        queries.append(start_landed_match(spark, settings, hot, clean_up=True))
+    await_first_end(queries)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Column expressions."""
 
-from scanweave.functions.text import conform_text, is_one_of_ignoring_case
+from scanweave.functions.text import conform_text, is_one_of_ignoring_case, padded
 from scanweave.functions.times import (
     date_parts,
     minutes_from_seconds,
@@ -13,6 +13,7 @@ __all__ = [
     "date_parts",
     "is_one_of_ignoring_case",
     "minutes_from_seconds",
+    "padded",
     "seconds_between",
     "time_cell",
 ]

@@ -17,10 +17,15 @@ from scanweave.constants import (
 from scanweave.functions import is_one_of_ignoring_case
 
 
+def _is_one_of(column: str, words: tuple[str, ...]) -> Column:
+    return F.col(column).isin(*words)
+
+
 @dataclass(frozen=True)
 class Contract:
     """A text column must be present, have an exact length and be no placeholder.
 
+    Placeholders compare by case unless `ignore_case` is set.
     With `event_time` set, rows lacking that time are rejected too. Without it they pass here and
     vanish in the interval join, which needs a time.
     """
@@ -29,13 +34,15 @@ class Contract:
     length: int = LOCATOR_LENGTH
     placeholders: tuple[str, ...] = LOCATOR_PLACEHOLDERS
     reason: str = REASON_LOCATOR
+    ignore_case: bool = False
     event_time: str | None = None
     event_time_reason: str = REASON_EVENT_TIME
 
     def holds(self) -> Column:
         """True or false, never NULL, so that negating it selects every other row."""
         exact = F.length(self.column) == self.length
-        placeholder = is_one_of_ignoring_case(self.column, self.placeholders)
+        same = is_one_of_ignoring_case if self.ignore_case else _is_one_of
+        placeholder = same(self.column, self.placeholders)
         return F.coalesce(exact & ~placeholder, F.lit(False))
 
     def failure(self) -> Column:

@@ -30,6 +30,7 @@ def interval_join(
     cell: timedelta | None = None,
     hot: Sequence[Row] = (),
     spread: int = 32,
+    spread_right: int = 1,
 ) -> DataFrame:
     """Pairs with equal keys and `right_time - before <= left_time <= right_time + after`.
 
@@ -40,7 +41,9 @@ def interval_join(
 
     Skew left inside a cell: static joins are split at run time by AQE. A streaming join has no
     such step; pass `hot` (see `hot_keys`) to deal the left rows of those keys over `spread` lanes,
-    with their right rows repeated in each lane. A pair still meets once.
+    with their right rows repeated in each lane. With `spread_right`, right rows are dealt over so many
+    lanes as well and left rows repeated in them: a grid, for keys heavy on both sides. A pair still
+    meets once.
 
     Other columns must not share names. On streams, both times need watermarks; Spark derives the
     state clean-up from the time condition.
@@ -49,7 +52,7 @@ def interval_join(
     cell = cell or (before + after) or timedelta(hours=1)
     meet = [*keys, "_cell"]
     if hot:
-        left, right = _deal_hot_keys(left, right, keys, hot, spread)
+        left, right = _deal_hot_keys(left, right, keys, hot, spread, spread_right)
         meet.append("_lane")
 
     low = F.col(right_time) - F.lit(before)
@@ -62,21 +65,24 @@ def interval_join(
     return matched.drop("_cell", "_lane")
 
 
-def _deal_hot_keys(left, right, keys, hot, spread):
+def check_hot_keys(hot: Sequence[Row]) -> None:
     if len(hot) > MAX_HOT_KEYS:
         raise ValueError(f"{len(hot)} hot keys; at most {MAX_HOT_KEYS} may be dealt")
+
+
+def _deal_hot_keys(left, right, keys, hot, spread, spread_right=1):
+    check_hot_keys(hot)
     schema = left.select(*keys).schema
     listed = left.sparkSession.createDataFrame(list(hot), schema).distinct()
     marked = F.broadcast(listed.withColumn("_hot", F.lit(True)))
     is_hot = F.coalesce("_hot", F.lit(False))
-    own_lane = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
-    all_lanes = F.sequence(F.lit(0), F.lit(spread - 1))
-    left = left.join(marked, keys, "left").withColumn(
-        "_lane", F.when(is_hot, own_lane).otherwise(F.lit(0))
-    )
-    right = right.join(marked, keys, "left").withColumn(
-        "_lane", F.explode(F.when(is_hot, all_lanes).otherwise(F.array(F.lit(0))))
-    )
+    row_of = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
+    column_of = F.pmod(F.xxhash64(*right.columns), F.lit(spread_right)).cast("int")
+    across = F.transform(F.sequence(F.lit(0), F.lit(spread_right - 1)), lambda c: row_of * spread_right + c)
+    down = F.transform(F.sequence(F.lit(0), F.lit(spread - 1)), lambda r: r * spread_right + column_of)
+    one = F.array(F.lit(0))
+    left = left.join(marked, keys, "left").withColumn("_lane", F.explode(F.when(is_hot, across).otherwise(one)))
+    right = right.join(marked, keys, "left").withColumn("_lane", F.explode(F.when(is_hot, down).otherwise(one)))
     return left.drop("_hot"), right.drop("_hot")
 
 
@@ -103,6 +109,7 @@ def match_scans(
     hot: Sequence[Row] = (),
     spread: int = 32,
     thin: bool = True,
+    spread_right: int = 1,
 ) -> DataFrame:
     """Dedupe both event streams and match every bag scan with the boardings of its passenger."""
     scans = drop_repeats(
@@ -124,7 +131,7 @@ def match_scans(
     # Lanes are dealt by row content; the id keeps otherwise equal scans apart.
     matched = interval_join(
         scans if hot else scans.drop("event_id"),
-        boardings.drop("event_id"),
+        boardings.withColumnRenamed("event_id", "_boarding") if hot else boardings.drop("event_id"),
         keys=MATCH_KEYS,
         left_time="baggage_time",
         right_time="passenger_time",
@@ -132,6 +139,7 @@ def match_scans(
         after=MATCH_AFTER,
         hot=hot,
         spread=spread,
+        spread_right=spread_right,
     )
     return matched.select(
         *MATCH_KEYS,

@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-_LANES = 32
-
-
 @dataclass(frozen=True)
 class NotNull:
     table: str
@@ -65,14 +62,9 @@ class Relationship:
         return tables[self.table].filter(F.col(self.column).isNotNull())
 
     def failing(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        """The failing rows: those of the failing values, dealt over lanes so that a value many
-        rows share is not left to one task."""
-        child = self._children(tables)
-        lanes = F.explode(F.sequence(F.lit(0), F.lit(_LANES - 1)))
-        values = self.failing_values(tables).select(self.column, lanes.alias("_lane"))
-        lane = F.pmod(F.xxhash64(*child.columns), F.lit(_LANES)).cast("int")
-        dealt = child.withColumn("_lane", lane)
-        return dealt.join(values, [self.column, "_lane"], "left_semi").drop("_lane")
+        """The failing rows, by one anti join against the different parent values; a value very many
+        children share is split at run time."""
+        return self._children(tables).join(self._parents(tables), self.column, "left_anti")
 
     def failing_values(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """The failing values with their row counts: values are counted before they are joined."""
@@ -134,11 +126,20 @@ def enforce(checked: DataFrame) -> None:
         raise QualityGateError(failures)
 
 
-PUBLISHED_CHECKS: tuple[Check, ...] = (
-    NotNull("silver", "pnr_locator"),
-    Relationship("silver", "pnr_locator", "bronze", "pnr_locator"),
-    NotNull("silver", "bag_tag_number"),
-    AcceptedValues("silver", "is_late_baggage_scan", (True, False)),
-    NotNull("gold", "flight_number"),
-    NotNull("gold", "total_bags_tracked"),
-)
+# How silver cleanses a locator; parents conformed alike have every child's value.
+CONFORMED_LOCATOR = "upper(trim(pnr_locator))"
+
+
+def published_checks(conform: str | None = None) -> tuple[Check, ...]:
+    """The checks before publication; `conform` cleanses parent locators before they are compared."""
+    return (
+        NotNull("silver", "pnr_locator"),
+        Relationship("silver", "pnr_locator", "bronze", "pnr_locator", conform),
+        NotNull("silver", "bag_tag_number"),
+        AcceptedValues("silver", "is_late_baggage_scan", (True, False)),
+        NotNull("gold", "flight_number"),
+        NotNull("gold", "total_bags_tracked"),
+    )
+
+
+PUBLISHED_CHECKS = published_checks()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType, StringType, TimestampType
 
 from scanweave.constants import BAGGAGE, DATE_PARTS, EVENT_TIME, MATCH_KEYS, PASSENGER
+from scanweave.functions import padded
 from scanweave.operators import quality
 from scanweave.operators.contract import STRICT_CONTRACT, summarise_dead_letters
 from scanweave.operators.dedupe import drop_repeats
@@ -20,7 +21,7 @@ from scanweave.schemas import (
     dead_letter_schema,
 )
 from scanweave.session import prepare, scratch_folder, session_conf
-from scanweave.sources import tables
+from scanweave.sources import files, tables
 from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
 from scanweave.streaming.sinks import ONCE, start_partitioned_sink, start_shared_split
@@ -157,7 +158,7 @@ def contract_malformed_text(spark, folder):
 @registered
 def contract_missing_time(spark, folder):
     """Order messages under the strict contract; pending orders have no event time."""
-    locator = F.concat(F.lit("C"), F.lpad(F.col("o_custkey").cast("string"), 5, "0"))
+    locator = F.concat(F.lit("C"), padded("o_custkey", 5))
     time = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", derived.ISO_MICROS))
     body = F.struct(
         F.col("o_orderkey").cast("string").alias("event_id"),
@@ -206,11 +207,23 @@ def interval_join_scans(spark, folder):
     return _matched(spark, folder)
 
 
+def _crowded(valid):
+    """A third of the events under one locator and flight, at every size of the table."""
+    crowd = F.pmod(F.col("event_id").cast("long"), F.lit(3)) == 0
+    return valid.withColumns(
+        {
+            name: F.when(crowd, F.lit(value)).otherwise(F.col(name))
+            for name, value in zip(MATCH_KEYS, ("CROWD1", "AC800"))
+        }
+    )
+
+
 @registered
 def interval_join_hot_keys(spark, folder):
-    """The same join with the heaviest passengers dealt over several lanes."""
-    scans = _split(spark, folder, BAGGAGE).valid
-    return _matched(spark, folder, hot=hot_keys(scans, MATCH_KEYS, 0.0008), spread=4)
+    """A join with a passenger who holds a third of both sides, dealt over a grid of lanes."""
+    scans, boardings = (_crowded(_split(spark, folder, kind).valid) for kind in (BAGGAGE, PASSENGER))
+    hot = hot_keys(scans, MATCH_KEYS, 0.1)
+    return match_scans(scans, boardings, hot=hot, spread=4, spread_right=3)
 
 
 @registered
@@ -267,9 +280,19 @@ def gold_ranked(spark, folder):
 # --- checks -------------------------------------------------------------------------------------
 
 
+def _damaged(silver):
+    """Silver as a faulty run could leave it: some locators and gates lost."""
+    return silver.withColumns(
+        {
+            "pnr_locator": F.when(~F.col("bag_tag_number").endswith("0"), F.col("pnr_locator")),
+            "flight_number": F.when(F.col("flight_number") != "AC109", F.col("flight_number")),
+        }
+    )
+
+
 @registered
 def check_not_null_silver(spark, folder):
-    silver = {"silver": _silver(spark, folder)}
+    silver = {"silver": _damaged(_silver(spark, folder))}
     missing = quality.NotNull("silver", "pnr_locator").failing(silver)
     return missing.select("pnr_locator", "bag_tag_number", "baggage_time")
 
@@ -284,7 +307,7 @@ def check_not_null_messages(spark, folder):
 
 @registered
 def check_relationship_silver(spark, folder):
-    bronze = _bronze(spark, folder)
+    bronze = _stored_bronze(spark, scratch_folder(spark, "relationship"), folder)
     check = quality.Relationship("silver", "pnr_locator", "bronze", "pnr_locator")
     failing = check.failing({"silver": tracking(bronze), "bronze": bronze})
     return failing.select("pnr_locator", "bag_tag_number", "baggage_time", "passenger_time")
@@ -292,12 +315,12 @@ def check_relationship_silver(spark, folder):
 
 @registered
 def check_relationship_conformed(spark, folder):
-    """Against parent values conformed like the child: nothing is missing."""
-    bronze = _bronze(spark, folder)
+    """Against parent values conformed like the child; the parents lack the month's second half."""
+    bronze = _stored_bronze(spark, scratch_folder(spark, "relationship"), folder)
     check = quality.Relationship(
-        "silver", "pnr_locator", "bronze", "pnr_locator", conform="upper(trim(pnr_locator))"
+        "silver", "pnr_locator", "bronze", "pnr_locator", conform=quality.CONFORMED_LOCATOR
     )
-    failing = check.failing({"silver": tracking(bronze), "bronze": bronze})
+    failing = check.failing({"silver": tracking(bronze), "bronze": bronze.filter("day <= 15")})
     return failing.select("pnr_locator", "bag_tag_number", "baggage_time", "passenger_time")
 
 
@@ -313,8 +336,9 @@ def check_relationship_documents(spark, folder):
 
 @registered
 def check_accepted_values_late_flag(spark, folder):
+    """Late flags where only punctual scans are accepted."""
     silver = {"silver": _silver(spark, folder)}
-    return quality.AcceptedValues("silver", "is_late_baggage_scan", (True, False)).failing(silver)
+    return quality.AcceptedValues("silver", "is_late_baggage_scan", (False,)).failing(silver)
 
 
 @registered
@@ -326,7 +350,8 @@ def check_accepted_values_orders(spark, folder):
 
 @registered
 def check_not_null_gold(spark, folder):
-    gold = {"gold": performance(_silver(spark, folder))}
+    """Indicators of a silver table that has lost some flights."""
+    gold = {"gold": performance(_damaged(_silver(spark, folder)))}
     flights = quality.NotNull("gold", "flight_number").failing(gold)
     bags = quality.NotNull("gold", "total_bags_tracked").failing(gold)
     wanted = ["flight_number", "passenger_gate", "total_bags_tracked"]
@@ -406,15 +431,44 @@ def full_rebuild(spark, folder):
 
 @registered
 def published_tables(spark, folder):
-    """Checked before publication; gold is read through its published name."""
+    """All six checks before publication; gold is read through its name as a later session finds it."""
     lake = batch_run.Lake(scratch_folder(spark, "published"))
     bronze = _stored_bronze(spark, lake.base, folder)
     token = lake.base.rsplit("-", 1)[-1]
-    checks = [c for c in quality.PUBLISHED_CHECKS if not isinstance(c, quality.Relationship)]
+    checks = quality.published_checks(quality.CONFORMED_LOCATOR)
     batch_run.run_batch_published(bronze, lake, f"silver_{token}", f"gold_{token}", checks)
+    spark.sql(f"DROP VIEW gold_{token}")
+    tables.attach(spark, lake.names)
     return spark.table(f"gold_{token}")
 
 
+@registered
+def failed_rebuild(spark, folder):
+    """A run whose checks fail, after one that passed: readers keep the first run's silver."""
+    lake = batch_run.Lake(scratch_folder(spark, "failed-rebuild"))
+    bronze = _stored_bronze(spark, lake.base, folder)
+    batch_run.run_batch(bronze, lake, quality.published_checks(quality.CONFORMED_LOCATOR))
+    try:
+        batch_run.run_batch(bronze.filter("day > 15"), lake, [quality.AcceptedValues("gold", "flight_number", ())])
+    except quality.QualityGateError:
+        return tables.read_current(spark, lake.silver)
+    raise AssertionError("the second run should have failed its check")
+
+
+@registered
+def backdated_arrival(spark, folder):
+    """Files that arrive with times long before those already loaded are loaded all the same."""
+    lake = batch_run.Lake(scratch_folder(spark, "backdated"))
+    matched = tables.rebuild(_bronze(spark, folder), f"{lake.base}/matched")
+    early = F.col("day") <= 15
+    tables.write_partitioned(matched.filter(early), lake.landed)
+    batch_run.load_bronze(spark, lake)
+    tables.write_partitioned(matched.filter(~early), f"{lake.base}/delayed")
+    files.move_backdated(spark, f"{lake.base}/delayed", lake.landed, timedelta(days=4015))
+    batch_run.load_bronze(spark, lake)
+    return tables.read_declared(spark, lake.bronze, BRONZE)
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -454,6 +508,20 @@ def stream_interval_join(spark, folder):
     return matched.drop(*DATE_PARTS)
 
 
+@registered
+def stream_interval_join_hot_keys(spark, folder):
+    """The stream join with a passenger who holds a third of both sides, dealt over a grid of lanes."""
+    scans = _crowded(_split(spark, folder, BAGGAGE).valid)
+    hot = hot_keys(scans, MATCH_KEYS, 0.1)
+    valid = [
+        _crowded(ingest(_stream_messages(spark, folder, kind), kind).valid)
+        for kind in (BAGGAGE, PASSENGER)
+    ]
+    base = scratch_folder(spark, "stream-hot")
+    joined = match_scans(*valid, hot=hot, spread=2, spread_right=2)
+    return _drained(spark, joined, "baggage_time", base, BRONZE).drop(*DATE_PARTS)
+
+
 def _arrive(rows, base, kind):
     """Add rows, as message text, to the files a text stream of this kind reads."""
     derived.messages(rows, kind).write.mode("append").text(f"{base}/{kind.lower()}")

@@ -8,7 +8,9 @@ and deterministic, and the same on a static and a streaming read.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scanweave.constants import BAGGAGE, PASSENGER
+from scanweave.functions import padded
 from scanweave.schemas import event_schema
+from scanweave.sources.messages import NO_AGE_LIMIT
 
 # Event types of each stream and the identifiers events are mapped to.
 EVENT_TYPES = {BAGGAGE: ("view", "click", "error"), PASSENGER: ("signup", "purchase")}
@@ -28,7 +30,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     """The same table as a file stream. The pattern accepts a single file as well as a folder."""
     schema = events(spark, folder).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
+    return spark.readStream.schema(schema).option("maxFileAge", NO_AGE_LIMIT).parquet(f"{folder}/events.parque[t]")
 
 
 def _pick(number: Column, choices: tuple[str, ...]) -> Column:
@@ -36,10 +38,6 @@ def _pick(number: Column, choices: tuple[str, ...]) -> Column:
     return F.get(options, F.pmod(number, F.lit(len(choices))).cast("int"))
 
 
-def _digits(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
-
-
 def _locator() -> Column:
     user = F.col("user_id")
     kind = F.pmod(user, F.lit(20))
@@ -48,8 +46,8 @@ def _locator() -> Column:
         .when(kind == 1, F.lit(""))
         .when(kind == 2, F.lit("UNKNOWN"))
         .when(kind == 3, F.lit("unknown"))
-        .when(kind == 4, F.concat(F.lit(" p"), _digits(user, 5), F.lit(" ")))
-        .otherwise(F.concat(F.lit("P"), _digits(user, 5)))
+        .when(kind == 4, F.concat(F.lit(" p"), padded(user, 5), F.lit(" ")))
+        .otherwise(F.concat(F.lit("P"), padded(user, 5)))
     )
 
 
@@ -67,7 +65,7 @@ def messages(source: DataFrame, kind: str) -> DataFrame:
     }
     if kind == BAGGAGE:
         fields["bag_tag_number"] = F.concat(
-            F.lit("0014"), _digits(user * 3 + F.pmod(event, F.lit(3)), 6)
+            F.lit("0014"), padded(user * 3 + F.pmod(event, F.lit(3)), 6)
         )
         fields["location_id"] = _pick(event, BELTS)
     else:

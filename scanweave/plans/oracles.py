@@ -2,7 +2,14 @@
 
 # Fixed values below (identifiers, placeholders, limits) equal those in `constants` and `derived`.
 
-_EVENTS = """
+
+def _padded(number: str, width: int) -> str:
+    """Leading zeros up to the width; longer numbers stay whole."""
+    digits = f"CAST({number} AS VARCHAR)"
+    return f"(repeat('0', greatest(0, {width} - length({digits}))) || {digits})"
+
+
+_EVENTS = f"""
 delivered AS (
   SELECT e.*, unnest(range(CASE WHEN event_id % 10 = 0 THEN 3 ELSE 1 END)) AS delivery
   FROM events e
@@ -11,11 +18,11 @@ decoded AS (
   SELECT event_type IN ('view', 'click', 'error') AS is_bag, user_id,
     CAST(event_id AS VARCHAR) AS event_id,
     'AC' AS airline_code,
-    '0014' || lpad(CAST(user_id * 3 + event_id % 3 AS VARCHAR), 6, '0') AS bag_tag_number,
+    '0014' || {_padded('user_id * 3 + event_id % 3', 6)} AS bag_tag_number,
     trim(CASE user_id % 20
       WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'UNKNOWN' WHEN 3 THEN 'unknown'
-      WHEN 4 THEN ' p' || lpad(CAST(user_id AS VARCHAR), 5, '0') || ' '
-      ELSE 'P' || lpad(CAST(user_id AS VARCHAR), 5, '0') END, ' ') AS pnr_locator,
+      WHEN 4 THEN ' p' || {_padded('user_id', 5)} || ' '
+      ELSE 'P' || {_padded('user_id', 5)} END, ' ') AS pnr_locator,
     CASE user_id % 4 WHEN 0 THEN 'AC800' WHEN 1 THEN 'AC412' WHEN 2 THEN 'AC109'
       ELSE 'ac992 ' END AS flight_number,
     ts AS event_timestamp,
@@ -36,20 +43,29 @@ _DAY = """CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS mon
   CAST(day({0}) AS INTEGER) AS day"""
 _DAY_OF_EVENT = _DAY.format("event_timestamp")
 
-_MATCHED = f"""{_EVENTS},
-bags AS (SELECT DISTINCT {_BAG} FROM judged WHERE is_bag AND ok),
-pax AS (SELECT DISTINCT {_PAX} FROM judged WHERE NOT is_bag AND ok),
-matched AS (
+_MATCH = """
   SELECT p.pnr_locator, p.flight_number, b.bag_tag_number, b.location_id AS baggage_location,
     p.gate_id AS passenger_gate, b.event_timestamp AS baggage_time,
     p.event_timestamp AS passenger_time
-  FROM bags b JOIN pax p
+  FROM {bags} b JOIN {pax} p
     ON b.pnr_locator = p.pnr_locator AND b.flight_number = p.flight_number
    AND b.event_timestamp BETWEEN p.event_timestamp - INTERVAL 3 HOUR
-                             AND p.event_timestamp + INTERVAL 1 HOUR
+                             AND p.event_timestamp + INTERVAL 1 HOUR"""
+
+_MATCHED = f"""{_EVENTS},
+bags AS (SELECT DISTINCT {_BAG} FROM judged WHERE is_bag AND ok),
+pax AS (SELECT DISTINCT {_PAX} FROM judged WHERE NOT is_bag AND ok),
+matched AS ({_MATCH.format(bags="bags", pax="pax")}
 ),
 bronze AS (SELECT *, {_DAY.format("baggage_time")} FROM matched)"""
 
+_CROWD = """SELECT * REPLACE (
+    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'CROWD1' ELSE pnr_locator END AS pnr_locator,
+    CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN 'AC800' ELSE flight_number END AS flight_number) FROM """
+
+_CROWDED = f"""WITH {_MATCHED}, crowd_bags AS ({_CROWD} bags), crowd_pax AS ({_CROWD} pax)
+{_MATCH.format(bags="crowd_bags", pax="crowd_pax")}"""
+
 _SILVER = f"""{_MATCHED},
 conformed AS (
   SELECT upper(trim(pnr_locator, ' ')) AS pnr_locator, upper(trim(flight_number, ' ')) AS flight_number,
@@ -107,6 +123,10 @@ def _report() -> str:
     return f"WITH {_GOLD}\n" + "\nUNION ALL\n".join(checks)
 
 
+_DAMAGED = """SELECT * REPLACE (CASE WHEN right(bag_tag_number, 1) <> '0' THEN pnr_locator END AS pnr_locator,
+    CASE WHEN flight_number <> 'AC109' THEN flight_number END AS flight_number) FROM """
+
+
 def all_oracles() -> dict[str, str]:
     gold = f"WITH {_GOLD} SELECT * FROM gold"
     matched = f"WITH {_MATCHED} SELECT * FROM matched"
@@ -133,9 +153,9 @@ def all_oracles() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS flight_number, CAST(NULL AS TIMESTAMP) AS event_timestamp,
             CAST(NULL AS VARCHAR) AS gate_id, 'FAILED_PNR_CONTRACT' AS error_reason
             FROM documents""",
-        "contract_missing_time": """SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
+        "contract_missing_time": f"""SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
             CAST(NULL AS VARCHAR) AS airline_code,
-            'C' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS pnr_locator,
+            'C' || {_padded('o_custkey', 5)} AS pnr_locator,
             CAST(NULL AS VARCHAR) AS flight_number, CAST(NULL AS TIMESTAMP) AS event_timestamp,
             o_orderpriority AS gate_id, 'MISSING_EVENT_TIME' AS error_reason
             FROM orders WHERE o_orderstatus = 'P'""",
@@ -150,7 +170,8 @@ def all_oracles() -> dict[str, str]:
         "dedupe_baggage": f"WITH {_MATCHED} SELECT * FROM bags",
         "dedupe_passenger": f"WITH {_MATCHED} SELECT * FROM pax",
         "interval_join_scans": matched,
-        "interval_join_hot_keys": matched,
+        "interval_join_hot_keys": _CROWDED,
+        "stream_interval_join_hot_keys": _CROWDED,
         "interval_join_shipments": """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
             l_shipdate, o_orderdate, o_orderpriority
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -170,27 +191,25 @@ def all_oracles() -> dict[str, str]:
         "gold_ranked": f"""{gold} ORDER BY baggage_mishandle_rate_percentage DESC,
             flight_number, passenger_gate""",
         "check_not_null_silver": f"""WITH {_SILVER} SELECT pnr_locator, bag_tag_number, baggage_time
-            FROM silver WHERE pnr_locator IS NULL""",
+            FROM ({_DAMAGED} silver) WHERE pnr_locator IS NULL""",
         "check_not_null_messages": f"""WITH {_EVENTS} SELECT event_id, pnr_locator, flight_number
             FROM decoded WHERE is_bag AND pnr_locator IS NULL""",
         "check_relationship_silver": f"""WITH {_SILVER} SELECT {unmatched}
             FROM silver ANTI JOIN bronze USING (pnr_locator)""",
         "check_relationship_conformed": f"""WITH {_SILVER} SELECT {unmatched} FROM silver s
             WHERE NOT EXISTS (SELECT 1 FROM bronze b
-              WHERE upper(trim(b.pnr_locator, ' ')) = s.pnr_locator)""",
+              WHERE b.day <= 15 AND upper(trim(b.pnr_locator, ' ')) = s.pnr_locator)""",
         "check_relationship_documents": """SELECT doc_id, count(*) AS failing_rows
             FROM documents ANTI JOIN labels USING (doc_id)
             WHERE doc_id IS NOT NULL GROUP BY doc_id""",
         "check_accepted_values_late_flag": f"""WITH {_SILVER}
             SELECT is_late_baggage_scan, count(*) AS failing_rows FROM silver
-            WHERE is_late_baggage_scan NOT IN (true, false) GROUP BY 1""",
+            WHERE is_late_baggage_scan NOT IN (false) GROUP BY 1""",
         "check_accepted_values_orders": """SELECT o_orderstatus, count(*) AS failing_rows FROM orders
             WHERE o_orderstatus NOT IN ('F', 'P') GROUP BY 1""",
-        "check_not_null_gold": f"""WITH {_GOLD}
-            SELECT flight_number, passenger_gate, total_bags_tracked FROM gold
-            WHERE flight_number IS NULL
-            UNION ALL SELECT flight_number, passenger_gate, total_bags_tracked FROM gold
-            WHERE total_bags_tracked IS NULL""",
+        "check_not_null_gold": f"""WITH {_SILVER}, lost AS ({_DAMAGED} silver)
+            SELECT flight_number, passenger_gate, count(DISTINCT bag_tag_number) AS total_bags_tracked
+            FROM lost WHERE flight_number IS NULL GROUP BY ALL""",
         "check_report": _report(),
         "file_round_trip": _dead(True),
         "partition_pruned_read": f"""SELECT error_reason, year, month, day,
@@ -201,6 +220,8 @@ def all_oracles() -> dict[str, str]:
         "incremental_bronze": bronze,
         "declared_table": bronze,
         "full_rebuild": silver,
+        "failed_rebuild": silver,
+        "backdated_arrival": bronze,
         "published_tables": gold,
         "stream_dedupe": f"WITH {_MATCHED} SELECT * FROM bags",
         "stream_interval_join": matched,

@@ -6,6 +6,10 @@ from scanweave.constants import LOCATOR_COLUMN
 from scanweave.schemas import event_schema
 
 
+# Longer than any file can be old: files are never skipped because newer ones exist.
+NO_AGE_LIMIT = "36500d"
+
+
 def topic_messages(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options: str
 ) -> DataFrame:
@@ -24,8 +28,9 @@ def topic_messages(
 
 
 def text_messages(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
-    """One message per line, as a stream of new files or as a static read."""
-    return (spark.readStream if streaming else spark.read).text(path)
+    """One message per line, as a stream of new files, however old, or as a static read."""
+    reader = spark.readStream.option("maxFileAge", NO_AGE_LIMIT) if streaming else spark.read
+    return reader.text(path)
 
 
 def decode_events(messages: DataFrame, kind: str, keep_raw: bool = False) -> DataFrame:

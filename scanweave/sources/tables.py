@@ -1,12 +1,19 @@
 """Parquet tables: partitioned writes, declared reads, rebuilds, names and descriptions."""
 
+import uuid
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from scanweave.constants import DATE_PARTS
+from scanweave.sources import files
+from scanweave.sources.messages import NO_AGE_LIMIT
+
+_POINTER = "_current"
+_VERSION = "v-"
 
 
 def write_partitioned(
@@ -56,18 +63,16 @@ def load_new_files(
     checkpoint: str,
     schema: StructType,
     partition_by: Sequence[str] = DATE_PARTS,
-    max_file_age: str = "3650d",
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Append every file below `source` that no earlier run has loaded, then stop.
 
-    A file is known by its path, so a rewritten file of the same name is skipped. Files older than
-    the newest by more than `max_file_age` are skipped as well, hence the long default; the driver
-    remembers one path per file of that span. `max_files` cuts a large backlog into batches that are
+    A file is known by its path, so a rewritten file of the same name is skipped. No file is skipped
+    for its age; the driver remembers one path per file below `source`. `max_files` cuts a large backlog into batches that are
     committed one by one. Rows are rebalanced by partition on the way, which merges the many small
     files a short trigger leaves.
     """
-    options = {"maxFileAge": max_file_age}
+    options = {"maxFileAge": NO_AGE_LIMIT}
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
     arrived = spark.readStream.schema(schema).options(**options).parquet(source)
@@ -83,23 +88,69 @@ def load_new_files(
     )
 
 
-def rebuild(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), merge_files: bool = False
-) -> DataFrame:
-    """Replace the table at `path` and return it as written.
+class Staged(NamedTuple):
+    """A complete new version of the table at `path` that no reader sees yet."""
+
+    path: str
+    version: str
+    table: DataFrame
+
+
+def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Staged:
+    """Write a new version beside the current one.
 
-    No shuffle by default: a table derived row by row keeps the layout of its input.
+    No shuffle: a table derived row by row keeps the layout of its input. If the write fails, readers
+    keep the version they have; what it left behind is never read.
     """
-    source = df.hint("rebalance") if merge_files else df
-    source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return read_declared(df.sparkSession, path, df.schema)
+    version = f"{_VERSION}{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+    return Staged(path, version, read_declared(df.sparkSession, f"{path}/{version}", df.schema))
+
+
+def make_current(spark: SparkSession, *staged: Staged) -> None:
+    """Let readers of each path see the staged version, by replacing one small pointer file."""
+    for one in staged:
+        files.write_text(spark, f"{one.path}/{_POINTER}", one.version)
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of the current version of a rebuilt table."""
+    return f"{path}/{files.read_text(spark, f'{path}/{_POINTER}')}"
 
 
-def publish(spark: SparkSession, name: str, path: str, comment: str = "") -> None:
-    """Point `name` at the table in `path`, in one catalog step. The table must hold files."""
+def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The current version of a rebuilt table; a failed rebuild or check leaves it as it was."""
+    folder = current_path(spark, path)
+    return read_declared(spark, folder, schema) if schema else spark.read.parquet(folder)
+
+
+def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the table at `path` and return it as written; superseded versions stay until removed."""
+    staged = stage(df, path, partition_by)
+    make_current(df.sparkSession, staged)
+    return staged.table
+
+
+def publish(spark: SparkSession, name: str, path: str, comment: str = "", register: str = "") -> None:
+    """Point `name` at the table in `path`, in one catalog step. The table must hold files.
+
+    The session's catalog may end with the session. With `register`, a folder all sessions reach, the
+    name is also written there, and `attach` gives it to any later session.
+    """
     spark.sql(
         f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)} AS SELECT * FROM parquet.`{path}`"
     )
+    if register:
+        files.write_text(spark, f"{register}/{name}", f"{path}\n{comment}")
+
+
+def attach(spark: SparkSession, register: str) -> list[str]:
+    """Give this session all names written to `register`; returns them."""
+    names = files.names(spark, register)
+    for name in names:
+        path, _, comment = files.read_text(spark, f"{register}/{name}").partition("\n")
+        publish(spark, name, path, comment)
+    return names
 
 
 def _quoted(text: str) -> str:

@@ -5,7 +5,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from scanweave.constants import (
     BAGGAGE,
@@ -18,11 +18,11 @@ from scanweave.constants import (
     VALID_FOLDER,
 )
 from scanweave.operators.contract import LOCATOR_CONTRACT, Contract, Split, split_by_contract
-from scanweave.operators.interval_join import match_scans
+from scanweave.operators.interval_join import check_hot_keys, match_scans
 from scanweave.operators.tables import with_date_parts
 from scanweave.schemas import JOINED, event_schema
 from scanweave.session import session_conf
-from scanweave.sources.messages import decode_events
+from scanweave.sources.messages import NO_AGE_LIMIT, decode_events
 from scanweave.streaming.sinks import EVERY_MINUTE, start_partitioned_sink, start_shared_split
 
 
@@ -42,6 +42,8 @@ class TrackingSettings:
     state_partitions: int | None = None
     keep_raw: bool = False
     thin: bool = True
+    files_per_day: int | None = 4
+    spread: int = 32
 
     @property
     def valid_path(self) -> str:
@@ -84,11 +86,13 @@ def start_tracking(
     baggage = ingest(baggage_messages, BAGGAGE, settings.contract, settings.keep_raw)
     passengers = ingest(passenger_messages, PASSENGER, settings.contract, settings.keep_raw)
     rows = F.count(F.lit(1)).alias("rows")
+    fixed, spread = _fixed_hot_keys(spark, settings, hot)
     matched = match_scans(
         baggage.valid.observe("valid_baggage", rows),
         passengers.valid.observe("valid_passengers", rows),
         settings.lateness,
-        hot=_fixed_hot_keys(spark, settings, hot),
+        hot=fixed,
+        spread=spread,
         thin=settings.thin,
     ).observe("matched", rows)
     outputs = {
@@ -103,6 +107,7 @@ def start_tracking(
                 path,
                 f"{settings.checkpoints}/{name}",
                 trigger=settings.trigger,
+                files_per_folder=settings.files_per_day,
             )
             for name, (output, time_column, path) in outputs.items()
         }
@@ -150,18 +155,19 @@ def start_landed_match(
         path, schema = settings.accepted_path(kind), event_schema(kind)
         spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
         # Folders appear while the query runs; without partition columns its schema stays fixed.
-        options = {"recursiveFileLookup": "true"}
+        options = {"recursiveFileLookup": "true", "maxFileAge": NO_AGE_LIMIT}
         if clean_up:
             options["cleanSource"] = "delete"
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
-    fixed = _fixed_hot_keys(spark, settings, hot)
-    matched = match_scans(*landed, settings.lateness, hot=fixed, thin=settings.thin)
+    fixed, spread = _fixed_hot_keys(spark, settings, hot)
+    matched = match_scans(*landed, settings.lateness, hot=fixed, spread=spread, thin=settings.thin)
     with _state_partitions(spark, settings):
         return start_partitioned_sink(
             with_date_parts(matched, "baggage_time"),
             settings.valid_path,
             f"{settings.checkpoints}/landed_match",
             trigger=settings.trigger,
+            files_per_folder=settings.files_per_day,
         )
 
 
@@ -172,14 +178,18 @@ def _state_partitions(spark: SparkSession, settings: TrackingSettings):
 
 def _fixed_hot_keys(
     spark: SparkSession, settings: TrackingSettings, hot: Sequence[Row]
-) -> Sequence[Row]:
-    """The hot keys of the first start, kept beside its checkpoint.
+) -> tuple[Sequence[Row], int]:
+    """The hot keys and the lanes of the first start, kept beside its checkpoint.
 
     Rows in state sit in the lanes they were dealt to. A key that turned hot or cold between runs
     would look for its partners in other lanes.
     """
+    check_hot_keys(hot)
     path = f"{settings.checkpoints}/hot_keys"
-    schema = StructType([JOINED[name] for name in MATCH_KEYS])
-    first = spark.createDataFrame(list(hot), schema).coalesce(1)
+    schema = StructType([JOINED[name] for name in MATCH_KEYS] + [StructField("spread", IntegerType())])
+    listed = [(*(key[name] for name in MATCH_KEYS), settings.spread) for key in hot]
+    first = spark.createDataFrame(listed, schema).coalesce(1)
     first.write.mode("ignore").parquet(path)  # later starts leave it as it is
-    return spark.read.schema(schema).parquet(path).collect()
+    kept = spark.read.schema(schema).parquet(path).collect()
+    keys = [Row(**{name: row[name] for name in MATCH_KEYS}) for row in kept]
+    return keys, kept[0].spread if kept else settings.spread

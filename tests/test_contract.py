@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,7 +89,9 @@ def test_strict_contract_quarantines_missing_times(messages):
 
 def test_contract_on_another_column(spark):
     df = spark.createDataFrame([("A1",), ("n/a",), ("N/A",), (None,)], "code string")
-    split = split_by_contract(df, Contract(column="code", length=3, placeholders=("n/a",), reason="CODE"))
+    contract = Contract(column="code", length=3, placeholders=("n/a",), reason="CODE")
+    assert [row.code for row in split_by_contract(df, contract).valid.collect()] == ["N/A"]
+    split = split_by_contract(df, replace(contract, ignore_case=True))
     assert split.valid.count() == 0 and split.dead.count() == 4
 
 

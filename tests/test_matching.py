@@ -162,6 +162,18 @@ def test_equal_scans_of_a_hot_key_are_dealt_over_lanes(spark):
     assert sorted(row._lane for row in repeated.collect()) == list(range(8))
 
 
+def test_a_key_heavy_on_both_sides_is_dealt_over_a_grid(spark):
+    scans = spark.createDataFrame([("k", number, START) for number in range(200)], "key string, id long, t timestamp")
+    right = spark.createDataFrame([("k", number, START) for number in range(90)], "key string, other long, u timestamp")
+    options = {"hot": [("k",)], "spread": 4, "spread_right": 3}
+    dealt, repeated = _deal_hot_keys(scans, right, ["key"], options["hot"], 4, 3)
+    lanes = Counter(row._lane for row in dealt.collect()), Counter(row._lane for row in repeated.collect())
+    assert all(sorted(side) == list(range(12)) for side in lanes)
+    assert max(lanes[0].values()) < 80 and max(lanes[1].values()) < 50
+    joined = interval_join(scans, right, ["key"], "t", "u", BEFORE, AFTER, **options)
+    assert joined.count() == joined.select("id", "other").distinct().count() == 200 * 90
+
+
 def test_hot_keys_are_bounded(spark, sides):
     left = spark.createDataFrame(sides[0], "key string, left_id long, left_time timestamp")
     with pytest.raises(ValueError, match="share"):

@@ -88,3 +88,9 @@ def test_failing_rows_of_a_shared_value_are_whole(spark, relations):
     failing = check.failing(many)
     assert failing.columns == ["pnr_locator", "i"]
     assert sorted(row.i for row in failing.collect()) == list(range(500))
+
+
+def test_relationship_is_one_anti_join(relations):
+    check = Relationship("silver", "pnr_locator", "bronze", "pnr_locator")
+    plan = check.failing(relations)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and "Generate" not in plan and "explode" not in plan.lower()

@@ -1,8 +1,11 @@
 """Streaming runs over text files: three arrivals on one checkpoint, with a hand-computed outcome."""
 
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row, functions as F
 
 from scanweave.constants import BAGGAGE
 from scanweave.operators.interval_join import hot_keys
@@ -10,7 +13,9 @@ from scanweave.plans.batch_run import Lake, load_bronze, run_batch
 from scanweave.schemas import BRONZE, dead_letter_schema
 from scanweave.sources.messages import text_messages
 from scanweave.sources.tables import read_declared
+from scanweave.session import session_conf
 from scanweave.streaming.monitor import (
+    RunTotals,
     await_all,
     await_first_end,
     current_watermark,
@@ -155,8 +160,10 @@ def test_join_plan_cleans_up_state(spark, tmp_path):
     _, queries = start(spark, tmp_path)
     await_all(queries.values())
     plan = queries["valid"]._jsq.explainInternal(False)
-    assert "StreamingSymmetricHashJoin" in plan
-    assert plan.count("valueWatermarkPredicate") + plan.count("state cleanup") >= 1
+    join = next(line for line in plan.splitlines() if "StreamingSymmetricHashJoin" in line)
+    cleaned = join[join.index("state cleanup") :]
+    assert "left value predicate" in cleaned and "right value predicate" in cleaned
+    assert "left = null" not in cleaned and "right = null" not in cleaned
 
 
 def test_shared_split_replaces_a_repeated_batch(spark, tmp_path):
@@ -206,14 +213,68 @@ def test_three_arrivals_read_once(spark, tmp_path):
     assert spark.read.parquet(settings.baggage_dead_path).count() == 2
 
 
+def rows_in(spark, seen, fail_at=None, **options):
+    """A stream that runs on, over the text files of a folder."""
+
+    def take(batch, number):
+        if number == fail_at:
+            raise ValueError("broken batch")
+        batch.collect()
+
+    lines = spark.readStream.options(**options).text(str(seen)).observe("lines", F.count(F.lit(1)).alias("rows"))
+    return lines.writeStream.foreachBatch(take)
+
+
 def test_outputs_fail_together(spark, tmp_path):
     arrive(tmp_path, 0, ARRIVALS[0])
-    _, queries = start(spark, tmp_path)
-    await_first_end(spark, queries.values())
-    assert not any(query.isActive for query in queries.values())
+    # A query of the session that ended earlier does not count.
+    await_all([rows_in(spark, tmp_path / "bag").trigger(availableNow=True).start()])
+    healthy = rows_in(spark, tmp_path / "bag").start()
+    bystander = rows_in(spark, tmp_path / "pax").start()
+    failing = rows_in(spark, tmp_path / "pax", fail_at=1).start()
+    healthy.processAllAvailable()
+    failing.processAllAvailable()
+    assert healthy.isActive and failing.isActive
+    arrive(tmp_path, 1, ARRIVALS[1])
+    with pytest.raises(StreamingQueryException, match="broken batch"):
+        await_first_end([healthy, failing])
+    assert not healthy.isActive and not failing.isActive and bystander.isActive
+    bystander.stop()
     spark.streams.resetTerminated()
 
 
+def test_totals_outlive_kept_progress(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for number in range(12):
+        (tmp_path / "in" / f"{number}.txt").write_text("a\nb\n")
+    with session_conf(spark, spark__sql__streaming__numRecentProgressUpdates="3"):
+        query = rows_in(spark, tmp_path / "in", maxFilesPerTrigger="1").trigger(availableNow=True).start()
+        totals = RunTotals(query)
+        await_all([query], [totals], poll=0.02)
+    assert len(query.recentProgress) <= 3
+    assert totals.observed == {"lines": 24} and totals.late == 0
+
+
+def test_a_rejected_hot_list_is_not_stored(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+    settings = TrackingSettings(base=str(tmp_path / "lake"), checkpoints=str(tmp_path / "checkpoints"), trigger=ONCE)
+    sources = [text_messages(spark, str(tmp_path / side)) for side in ("bag", "pax")]
+    many = [Row(pnr_locator=str(n), flight_number="AC1") for n in range(10_001)]
+    with pytest.raises(ValueError, match="hot keys"):
+        start_tracking(*sources, settings, hot=many)
+    assert not (tmp_path / "checkpoints" / "hot_keys").exists()
+
+
+def test_a_batch_leaves_few_files(spark, tmp_path):
+    bags = [bag(f"b{n}", f"L{n:05d}", f"{n % 24:02d}:00:00") for n in range(200)]
+    boardings = [pax(f"p{n}", f"L{n:05d}", f"{n % 24:02d}:10:00") for n in range(200)]
+    arrive(tmp_path, 0, (bags, boardings))
+    settings, queries = start(spark, tmp_path, files_per_day=1)
+    await_all(queries.values())
+    assert len(found(spark, settings)) == 200
+    assert len(list(Path(settings.valid_path).rglob("*.parquet"))) == 1
+
+
 def test_kafka_source_is_declared(spark):
     from pyspark.errors import AnalysisException
 
@@ -260,7 +321,7 @@ def test_topic_source_settings():
 def test_stream_command(spark, tmp_path, monkeypatch, read_once):
     from scanweave import __main__ as command
 
-    def process_all(_, queries):
+    def process_all(queries):
         for query in queries:
             query.processAllAvailable()
         for query in queries:
@@ -273,7 +334,7 @@ def test_stream_command(spark, tmp_path, monkeypatch, read_once):
     given = ["stream", "--servers", "none", "--base", base, "--require-event-time", "--keep-raw"]
     given += ["--baggage-topic", str(tmp_path / "bag"), "--passenger-topic", str(tmp_path / "pax")]
     given += ["--state-partitions", "2", "--trigger", "1 second"]
-    command.main(given + ["--read-once"] * read_once)
+    command.main(given + ["--hot-keys", "AAAAAA:AC1"] + ["--read-twice"] * (not read_once))
     settings = TrackingSettings(base=base, checkpoints="")
     assert found(spark, settings) == sorted(MATCHED[0])
     dead = spark.read.parquet(settings.baggage_dead_path)

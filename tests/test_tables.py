@@ -1,13 +1,25 @@
+import os
+import subprocess
+import sys
+from datetime import timedelta
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from scanweave.constants import DATE_PARTS
-from scanweave.operators.quality import NotNull, QualityGateError
+from scanweave.operators.quality import CONFORMED_LOCATOR, NotNull, QualityGateError, published_checks
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.schemas import BRONZE, COLUMN_COMMENTS
 from scanweave.session import session_conf
+from scanweave.sources import files
+from scanweave.sources.messages import text_messages
 from scanweave.sources.tables import (
+    attach,
+    current_path,
     load_new_files,
     publish,
+    read_current,
     read_declared,
     rebuild,
     with_descriptions,
@@ -15,6 +27,9 @@ from scanweave.sources.tables import (
 )
 
 
+ROOT = Path(__file__).resolve().parents[1]
+
+
 def landed(spark, locators, day=1):
     rows = ", ".join(
         f"('{p}', 'AC1', 'T{i}', 'B', 'G', timestamp '2026-05-0{day} 10:00:00', "
@@ -90,20 +105,54 @@ def test_descriptions_survive_a_rebuild(spark, tmp_path):
 def test_rebuild_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     rebuild(landed(spark, ["A", "B"]), path)
-    assert rebuild(landed(spark, ["C"]), path, merge_files=True).count() == 1
+    assert rebuild(landed(spark, ["C"]), path).count() == 1
+    assert read_current(spark, path, BRONZE).first().pnr_locator == "C"
+
+
+def test_a_failed_rebuild_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rebuild(landed(spark, ["A", "B"]), path)
+    broken = landed(spark, ["C", "D"]).withColumn("pnr_locator", F.raise_error(F.col("pnr_locator")).cast("string"))
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION|raise_error"):
+        rebuild(broken, path)
+    assert sorted(row.pnr_locator for row in read_current(spark, path).collect()) == ["A", "B"]
+
+
+@pytest.mark.parametrize("days", [8, 11 * 365])
+def test_files_are_not_skipped_for_their_age(spark, tmp_path, days):
+    lake = Lake(str(tmp_path / "lake"))
+    write_partitioned(landed(spark, ["ABC123"]), lake.landed)
+    assert load_bronze(spark, lake).count() == 1
+    write_partitioned(landed(spark, ["ABC124"], day=2), str(tmp_path / "late"))
+    files.move_backdated(spark, str(tmp_path / "late"), lake.landed, timedelta(days=days))
+    assert load_bronze(spark, lake).count() == 2
+
+
+@pytest.mark.parametrize("days", [8, 11 * 365])
+def test_old_messages_are_read(spark, tmp_path, days):
+    for name, age in (("new", timedelta()), ("old", timedelta(days=days))):
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(str(tmp_path / name))
+        files.move_backdated(spark, str(tmp_path / name), str(tmp_path / "in"), age)
+        query = (
+            text_messages(spark, str(tmp_path / "in")).writeStream.format("parquet")
+            .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert {row.value for row in spark.read.parquet(str(tmp_path / "out")).collect()} == {"new", "old"}
 
 
 def test_publish_moves_a_name(spark, tmp_path):
     for version, locators in enumerate((["A"], ["B", "C"])):
         path = str(tmp_path / f"v{version}")
         rebuild(landed(spark, locators), path)
-        publish(spark, "published_name", path, "it's current")
+        publish(spark, "published_name", current_path(spark, path), "it's current")
         assert spark.table("published_name").count() == len(locators)
 
 
 def test_published_names_are_described(spark, tmp_path):
     rebuild(landed(spark, ["A"]), str(tmp_path / "t"))
-    publish(spark, "described_name", str(tmp_path / "t"), "it's current")
+    publish(spark, "described_name", current_path(spark, str(tmp_path / "t")), "it's current")
     details = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED described_name").collect()}
     assert details["Comment"] == "it's current"
 
@@ -115,8 +164,10 @@ def test_batch_run_and_gate(spark, tmp_path):
     # a lower-case locator is legal but is upper-cased in silver, so the literal relationship fails
     with pytest.raises(QualityGateError, match="relationship_silver"):
         run_batch(landed(spark, ["abc123"]), lake)
-    assert spark.read.parquet(lake.silver).first().pnr_locator == "ABC123"
-    assert spark.read.parquet(lake.silver).count() == 1
+    assert read_current(spark, lake.silver).count() == 2
+    # with conformed parents it holds
+    run_batch(landed(spark, ["abc123"]), lake, published_checks(CONFORMED_LOCATOR))
+    assert [row.pnr_locator for row in read_current(spark, lake.silver).collect()] == ["ABC123"]
 
 
 def test_publication_keeps_the_old_tables_when_a_check_fails(spark, tmp_path):
@@ -130,6 +181,25 @@ def test_publication_keeps_the_old_tables_when_a_check_fails(spark, tmp_path):
     assert [row.pnr_locator for row in spark.table("silver_gate").collect()] == ["ABC124"]
 
 
+def test_published_names_outlive_the_session(spark, tmp_path):
+    """A session of its own process, with a catalog of its own, finds the names."""
+    lake = Lake(str(tmp_path))
+    run_batch_published(landed(spark, ["ABC123"]), lake, "silver_kept", "gold_kept")
+    code = (
+        "import sys; from scanweave.session import build_session; from scanweave.sources.tables import attach\n"
+        "spark = build_session('later', 'local[1]')\n"
+        "assert not spark.catalog.tableExists('gold_kept')\n"
+        "assert attach(spark, sys.argv[1]) == ['gold_kept', 'silver_kept']\n"
+        "print('found', spark.table('silver_kept').first().pnr_locator, spark.table('gold_kept').count())"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code, lake.names], capture_output=True, text=True, timeout=300, cwd=ROOT,
+        env={**os.environ, "PYTHONPATH": str(ROOT)},
+    )
+    assert "found ABC123 1" in done.stdout, done.stderr[-2000:]
+    assert attach(spark, str(tmp_path / "nowhere")) == []
+
+
 def test_a_hot_day_is_split_over_files(spark, tmp_path):
     path = tmp_path / "t"
     hot = spark.range(40000).selectExpr("uuid() AS pnr_locator", "2026 AS year", "5 AS month", "1 AS day")
@@ -148,8 +218,12 @@ def test_batch_command(spark, tmp_path):
     write_partitioned(landed(spark, ["ABC123", "ABC124"]), lake.landed)
     main(["batch", "--base", lake.base, "--publish", "silver_cli", "gold_cli"])
     assert spark.table("gold_cli").first().total_bags_tracked == 2
-    main(["batch", "--base", lake.base])
-    assert spark.read.parquet(lake.silver).count() == 2
+    write_partitioned(landed(spark, ["abc125"], day=2), lake.landed)
+    with pytest.raises(QualityGateError):
+        main(["batch", "--base", lake.base])
+    assert read_current(spark, lake.silver).count() == 2
+    main(["batch", "--base", lake.base, "--conform-parents"])
+    assert read_current(spark, lake.silver).count() == 3
 
 
 def test_partition_columns_are_discovered_as_integers(spark, tmp_path):
