@@ -24,6 +24,23 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
 
 
+def _exploded_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """`text_key`, `at`, `hash` of all shingles of all texts, as one pipeline of generated code.
+
+    The same places and hashes as `shingle_hashes` of `plain_words`: a split text can only be empty at its
+    two ends, so shingles with an empty word are dropped and places count from the first word.
+    """
+    split = texts.select("text_key", F.split(F.lower("body"), r"[^\p{L}\p{N}]+").alias("words"))
+    places = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))
+    placed = split.select("text_key", "words", F.explode(places).alias("place"))
+    parts = [F.get("words", F.col("place") + k) for k in range(size)]
+    return placed.where((parts[0] != "") & (parts[-1] != "")).select(
+        "text_key",
+        (F.col("place") - (F.get("words", F.lit(0)) == "").cast("int")).alias("at"),
+        F.xxhash64(*parts).alias("hash"),
+    )
+
+
 def simhash(hashes: Column) -> Column:
     """64 bits, each set if it is set in more than half of the hashes, repeats counted."""
     ones = F.transform(
@@ -105,9 +122,7 @@ def leaks(
 
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     texts = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
-    hashed = texts.withColumn("words", plain_words(F.col("body"))).select(
-        "text_key", F.posexplode(shingle_hashes(F.col("words"), words)).alias("at", "hash")
-    )
+    hashed = _exploded_shingles(texts, words)
     hits = hashed.join(known, "hash", "left_semi").groupBy("text_key").agg(F.collect_set("at").alias("places"))
     hits = hits.where(F.size("places") >= min(least.values())).select("text_key", F.sort_array("places").alias("places"))
 
