@@ -1,7 +1,5 @@
 """Benchmark decontamination: SimHash over item-sized windows, block index, exact check."""
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scanweave.llm.tables import landed
@@ -103,8 +101,8 @@ def leaks(
     """`text_key` (MD5 of a text), `item_id`, `start`, `n_words`, `similarity`: windows of texts that repeat an item.
 
     A window has as many words as the item (lower-case runs of letters and digits). A similarity s over the
-    multisets of `words`-word shingles needs 2s / (1 + s) of the window's shingles to be shingles of the
-    benchmark, so windows with fewer are dropped unseen and nothing is lost. The others get a
+    multisets of `words`-word shingles needs 2s / (1 + s) of the window's shingles to be shingles of items
+    of that size, so windows with fewer are dropped unseen and nothing is lost. The others get a
     SimHash fingerprint and meet the fingerprints of all items of their size through an index of
     eight 8-bit blocks, which finds every pair within `radius` bits; the exact weighted
     similarity of the shingles decides. Of each text and item the best window is kept, the first if several tie.
@@ -113,38 +111,27 @@ def leaks(
     too, match nothing.
     """
     items = item_shingles(benchmark, words)
-    sizes = sorted(row[0] for row in items.select("n").distinct().collect())  # different item lengths
-    if not sizes:
-        return _no_leaks(items)
-    share = 2 * similarity / (1 + similarity)
-    least = {n: math.ceil(share * n - 1e-9) for n in sizes}
-    known = landed(items.select(F.explode("hashes").alias("hash")).distinct(), "leak-shingles")
+    known = landed(items.select("n", F.explode("hashes").alias("hash")).distinct(), "leak-shingles")
 
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     texts = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
-    hashed = _exploded_shingles(texts, words)
-    hits = hashed.join(known, "hash", "left_semi").groupBy("text_key").agg(F.collect_set("at").alias("places"))
-    hits = hits.where(F.size("places") >= min(least.values())).select("text_key", F.sort_array("places").alias("places"))
-
-    # All starts of windows that hold enough known shingles: between the last one that still begins early
-    # enough and the first one.
-    spans = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(c).alias("least")) for n, c in least.items()))
-
-    def starts(span):
-        runs = F.transform(
-            F.sequence(F.lit(0), F.size("places") - span["least"]),
-            lambda i: F.struct(
-                F.greatest(F.lit(0), F.get("places", i + span["least"] - 1) - span["n"] + 1).alias("low"),
-                F.get("places", i).alias("high"),
-            ),
-        )
-        runs = F.filter(runs, lambda r: r["low"] <= r["high"])
-        found = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["low"], r["high"]))))
-        return F.when(F.size("places") >= span["least"], found).otherwise(F.array().cast("array<int>"))
-
-    windows = hits.select("text_key", "places", F.explode(spans).alias("span")).select(
-        "text_key", F.col("span.n").alias("n"), F.explode(starts(F.col("span"))).alias("start")
+    share = 2 * similarity / (1 + similarity)
+    hits = _exploded_shingles(texts, words).join(known, "hash").groupBy("text_key", "n")
+    hits = hits.agg(F.sort_array(F.collect_set("at")).alias("places"))
+    hits = hits.withColumn("least", F.ceil(share * F.col("n") - 1e-9).cast("int")).where(F.size("places") >= F.col("least"))
+
+    # All starts of windows that hold enough known shingles: from the last one that still reaches the
+    # `least`-th known shingle up to the first known one, for every run of that many.
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size("places") - F.col("least")),
+        lambda i: F.struct(
+            F.greatest(F.lit(0), F.get("places", i + F.col("least") - 1) - F.col("n") + 1).alias("low"),
+            F.get("places", i).alias("high"),
+        ),
     )
+    runs = F.filter(runs, lambda r: r["low"] <= r["high"])
+    starts = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["low"], r["high"]))))
+    windows = hits.select("text_key", "n", F.explode(starts).alias("start"))
     windows = landed(windows, "leak-windows")
     keys = landed(windows.select("text_key").distinct(), "leak-keys")
     again = texts.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("body").alias("body"))
@@ -192,16 +179,6 @@ def leaks(
     )
 
 
-def _no_leaks(items: DataFrame) -> DataFrame:
-    return items.where("false").select(
-        F.lit("").alias("text_key"),
-        "item_id",
-        F.lit(0).alias("start"),
-        F.lit(0).alias("n_words"),
-        F.lit(0.0).alias("similarity"),
-    )
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """One row per row of `docs`: `row`, a struct of all its columns, and `leaks`, an array of
     (item_id, start, n_words, similarity), empty for clean documents.
