@@ -7,7 +7,7 @@ tasks of one stage only.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scanweave.llm import catalogue, decontaminate, line_crf, simhash_dedup
-from scanweave.llm.tables import landed, read_table
+from scanweave.llm.tables import landed_alone, read_table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +56,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = landed(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = landed_alone(spark, lambda: stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

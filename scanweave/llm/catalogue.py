@@ -111,5 +111,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def all_oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.ORACLE,
+        "op2_suffix_dedup": suffix_dedup.ORACLE,
         "op3_license_scan": license_scan.ORACLE,
+        "op4_secret_scan": secret_scan.ORACLE,
+        "op7_decontamination": decontaminate.ORACLE,
     }

@@ -195,3 +195,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
     rows = rows.withColumn("text_key", F.md5(F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))))
     none = F.array().cast(lists.schema["leaks"].dataType)
     return rows.join(lists, "text_key", "left").select("row", F.coalesce("leaks", none).alias("leaks"))
+
+
+#: DuckDB twin of the registered query: all windows of texts that hold enough shingles of an item.
+ORACLE = r"""
+WITH items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+ig AS (SELECT item_id, len(w) - 4 AS n, unnest(range(1, len(w) - 3)) AS i, w FROM items WHERE len(w) >= 5),
+iw AS (SELECT item_id, n, list_slice(w, i, i + 4) AS g, count(*) AS times FROM ig GROUP BY ALL),
+t AS (SELECT DISTINCT coalesce(text, '') AS body FROM documents),
+tw AS (SELECT body, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') AS w FROM t),
+tg AS (SELECT body, unnest(range(1, len(w) - 3)) AS p, w FROM tw WHERE len(w) >= 5),
+ts AS (SELECT body, p, list_slice(w, p, p + 4) AS g FROM tg),
+hit AS (SELECT body, p, item_id, n FROM ts JOIN iw USING (g)),
+near AS (SELECT body, item_id, n, min(p) AS low, max(p) AS high FROM hit GROUP BY ALL HAVING count(*) >= 8.0 / 9 * n - 1e-9),
+len_of AS (SELECT body, max(p) AS last FROM ts GROUP BY body),
+win AS (SELECT body, item_id, n, unnest(range(greatest(1, low - n + 1), least(high, last - n + 1) + 1)) AS a
+        FROM near JOIN len_of USING (body)),
+cnt AS (SELECT win.body, win.item_id, win.n, a, ts.g, count(*) AS seen
+        FROM win JOIN ts ON ts.body = win.body AND ts.p BETWEEN a AND a + win.n - 1 GROUP BY ALL),
+sim AS (SELECT body, cnt.item_id, cnt.n, a, sum(least(seen, times)) AS shared
+        FROM cnt JOIN iw ON iw.item_id = cnt.item_id AND iw.g = cnt.g GROUP BY ALL),
+best AS (SELECT body, item_id, max(shared / (2.0 * n - shared)) AS similarity FROM sim GROUP BY ALL
+         HAVING max(shared / (2.0 * n - shared)) >= 0.8 - 1e-9),
+l AS (SELECT body, count(*) AS k, string_agg(item_id, ',' ORDER BY item_id) AS items, max(similarity) AS top FROM best GROUP BY body)
+SELECT doc_id, k IS NOT NULL AS contaminated, coalesce(k, 0)::BIGINT AS n_items, coalesce(items, '') AS items,
+  round(top, 6) AS best_similarity
+FROM documents LEFT JOIN l ON l.body = coalesce(text, '')
+"""

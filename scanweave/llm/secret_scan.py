@@ -249,3 +249,59 @@ def masked(text: Column, secrets: Column, mark: str = "*") -> Column:
             F.substring(out, s["stop"] + 1, F.length(out)),
         ),
     )
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sql_found(kind: str, rank: int, pattern: str, keep: str) -> str:
+    p = _sql(pattern.replace(r"\x20"," "))
+    return f"""
+x{rank} AS (SELECT doc_id, string_split_regex(body, {p}) AS gaps, regexp_extract_all(body, {p}) AS found,
+    regexp_extract_all(body, {p}, {2 if kind == 'assign' else 0}) AS part FROM d WHERE regexp_matches(body, {p})),
+y{rank} AS (SELECT doc_id, unnest(range(1, len(found) + 1)) AS k, gaps, found, part FROM x{rank}),
+z{rank} AS (SELECT doc_id, list_sum(list_transform(gaps[1:k], lambda g: length(g)))::BIGINT
+      + coalesce(list_sum(list_transform(found[1:k-1], lambda g: length(g))), 0)::BIGINT AS start, found[k] AS value, part[k] AS part FROM y{rank}),
+s{rank} AS (SELECT doc_id, start, {rank} AS rank, start + length(value) AS stop, '{kind}' AS kind, value FROM z{rank} WHERE {keep})"""
+
+
+def _oracle() -> str:
+    open_ = " AND ".join(f"NOT regexp_full_match(value, {_sql(rule)})" for rule in ALLOWED)
+    parts = [
+        _sql_found("assign", 0, ASSIGN, f"length(part) >= {LEAST_VALUE}"),
+        _sql_found("access", 1, ACCESS, f"length(value) >= {LEAST_ACCESS}"),
+        _sql_found("hex", 2, HEX, "true"),
+        _sql_found(
+            "entropy",
+            3,
+            "[A-Za-z0-9+/_=-]{20,}",
+            f"regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND {open_}",
+        ),
+    ]
+    lim = most_weights()
+    return "WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)," + ",".join(parts) + f""",
+c AS (SELECT s3.doc_id, start, value, CASE WHEN regexp_full_match(value, '[0-9a-fA-F]+') THEN {lim['hex']}
+      WHEN regexp_full_match(value, '[0-9A-Za-z]+') THEN {lim['alphanumeric']} ELSE {lim['encoded']} END AS most
+    FROM s3 JOIN d USING (doc_id) WHERE NOT regexp_matches(substr(body, greatest(1, start - 9), least(10, start)), {_sql(ALLOWED_BEFORE)})),
+w AS (SELECT doc_id, start, most, value, unnest(range(0, length(value) - {WINDOW - 1})) AS i FROM c),
+l AS (SELECT doc_id, start, most, i, unnest(string_split(substr(value, i + 1, {WINDOW}), '')) AS ch FROM w),
+n AS (SELECT doc_id, start, most, i, ch, count(*) AS k FROM l GROUP BY ALL),
+h AS (SELECT doc_id, start, i FROM n GROUP BY doc_id, start, most, i HAVING sum(round({_SCALE} * k * log2(k))) <= most),
+e AS (SELECT doc_id, start, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id, start ORDER BY i) + {WINDOW} THEN 0 ELSE 1 END AS fresh FROM h),
+r AS (SELECT doc_id, start, i, sum(fresh) OVER (PARTITION BY doc_id, start ORDER BY i) AS run FROM e),
+base AS (SELECT doc_id, start, rank, stop, kind FROM s0 UNION ALL SELECT doc_id, start, rank, stop, kind FROM s1
+    UNION ALL SELECT doc_id, start, rank, stop, kind FROM s2),
+dense AS (SELECT doc_id, start + min(i) AS start, 3 AS rank, start + max(i) + {WINDOW} AS stop, 'entropy' AS kind FROM r GROUP BY doc_id, r.start, run),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM dense x WHERE NOT EXISTS
+    (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.start <= x.start AND b.stop >= x.stop)),
+f AS (SELECT doc_id, count(*) FILTER (rank = 0) AS a, count(*) FILTER (rank = 1) AS b, count(*) FILTER (rank = 2) AS c,
+    count(*) FILTER (rank = 3) AS e, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+  coalesce(e, 0)::BIGINT AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN f USING (doc_id)"""
+
+
+#: DuckDB twin of the registered query.
+ORACLE = _oracle()

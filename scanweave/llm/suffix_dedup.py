@@ -541,3 +541,23 @@ def remove_repeats(
     spans = spans.groupBy("shard").agg(F.collect_list("spans").alias("spans"))
     shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return texts.join(spans.hint("shuffle_hash"), "shard", "left").mapInArrow(_finish, shape)
+
+
+#: DuckDB twin of the registered query, string by string; for small tables.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS i FROM d),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM p),
+m AS (SELECT s, min(doc_id) AS first_id FROM g GROUP BY s),
+c AS (SELECT doc_id, i FROM g JOIN m USING (s) WHERE first_id < doc_id),
+e AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM c),
+n AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM e),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, run),
+o AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT doc_id, count(*) AS spans, sum(b - a) AS removed, max(b) AS upto,
+        string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM o JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+  coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

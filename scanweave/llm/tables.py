@@ -9,6 +9,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_created: list[str] = []
+
+
 def landed(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of `df` as a written table below the shared checkpoint folder.
 
@@ -17,11 +20,17 @@ def landed(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = scratch_folder(spark, purpose)
+    _created.append(folder)
     df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def land_and_drop(spark: SparkSession, folder: str) -> None:
-    """Remove a scratch folder none of the returned plans reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def landed_alone(spark: SparkSession, make, purpose: str) -> DataFrame:
+    """What `make` returns as a written table, without the tables that were written on the way to it."""
+    before = len(_created)
+    done = landed(make(), purpose)
+    for folder in _created[before:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    del _created[before:-1]
+    return done

@@ -6,9 +6,10 @@ import re
 from collections import Counter, defaultdict
 
 import cases
+import compare
 import pytest
 from pyspark.sql import functions as F
-from scanweave.llm import license_scan, secret_scan
+from scanweave.llm import catalogue, license_scan, secret_scan
 from scanweave.llm.quality_rules import normal_line, quality_rules, without_lines
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -178,11 +179,8 @@ def test_masking(spark):
     assert found.select(secret_scan.masked(F.col("text"), F.col("secrets")).alias("m")).first().m == "*" * 16 + "!"
 
 
-@pytest.mark.parametrize("name", ["op1_quality_rules", "op3_license_scan"])
+@pytest.mark.parametrize("name", sorted(catalogue.all_oracles()))
 def test_registered_query_as_its_sql(spark, name):
-    import compare
-    from scanweave.llm import catalogue
-
     folder = "/root/testdata/sf0.001"
     assert compare.spark_rows(catalogue.all_queries()[name](spark, folder)) == compare.duckdb_rows(
         catalogue.all_oracles()[name], folder
