@@ -15,6 +15,7 @@ def _times(*names: str) -> list[StructField]:
 
 DATE_PART_FIELDS = [StructField(name, IntegerType()) for name in DATE_PARTS]
 
+# Names and types of event and landing columns.
 BAGGAGE_EVENT = StructType(
     _texts("event_id", "airline_code", "bag_tag_number", "pnr_locator", "flight_number")
     + _times("event_timestamp")
@@ -45,13 +46,13 @@ def dead_letter_schema(kind: str) -> StructType:
     return StructType(event_schema(kind).fields + _texts("error_reason") + DATE_PART_FIELDS)
 
 
-# Table and column descriptions.
-BRONZE_COMMENT = "Joined baggage scans and passenger boarding events, as landed by the stream."
-SILVER_COMMENT = "Cleansed tracking rows with conformed times and scan-to-board intervals."
-GOLD_COMMENT = "Baggage performance indicators per flight and gate."
+# Table and column descriptions.
+BRONZE_COMMENT = "Bag scans matched with boardings of the same booking and flight, one row per pair."
+SILVER_COMMENT = "Matched pairs in clean spelling, with the minutes between scan and boarding."
+GOLD_COMMENT = "Bags, passengers and delays per flight and gate."
 COLUMN_COMMENTS = {
-    "pnr_locator": "Six-character booking identifier.",
-    "bag_tag_number": "Barcode text on one piece of luggage.",
-    "baggage_time": "When the scanner saw the bag.",
-    "passenger_time": "When the passenger passed the gate.",
+    "pnr_locator": "Booking code, six characters.",
+    "bag_tag_number": "Number printed on the bag's tag.",
+    "baggage_time": "Time of the bag scan.",
+    "passenger_time": "Time of the boarding.",
 }
