@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from scanweave.llm.suffix_arrays import common_prefixes, suffix_array
+from scanweave.llm.tables import landed
 
 GRAM, ANCHOR = 50, 16
 SPREAD = GRAM - ANCHOR + 1
@@ -150,7 +151,7 @@ def _groups(*columns: np.ndarray) -> np.ndarray:
 
 
 def shards(docs: DataFrame, id_column: str, text: str, shard_bytes: int) -> DataFrame:
-    """Rows of about `shard_bytes` of whole texts: `shard`, `ids`, `sizes`, `body`."""
+    """Written table of about `shard_bytes` of whole texts a row: `shard`, `ids`, `sizes`, `body` (compressed)."""
     rows = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("body"),
@@ -162,7 +163,7 @@ def shards(docs: DataFrame, id_column: str, text: str, shard_bytes: int) -> Data
         def shard():
             values = [pa.array([number], pa.int64())]
             values += [pa.array([part], pa.list_(pa.int64())) for part in (ids, [len(body) for body in bodies])]
-            values.append(pa.array([b"".join(bodies)], pa.binary()))
+            values.append(pa.array([_squeezed(b"".join(bodies))], pa.binary()))
             return pa.RecordBatch.from_arrays(values, ["shard", "ids", "sizes", "body"])
 
         for batch in batches:
@@ -176,7 +177,17 @@ def shards(docs: DataFrame, id_column: str, text: str, shard_bytes: int) -> Data
         if bodies:
             yield shard()
 
-    return rows.mapInArrow(gather, "shard long, ids array<bigint>, sizes array<bigint>, body binary")
+    return landed(
+        rows.mapInArrow(gather, "shard long, ids array<bigint>, sizes array<bigint>, body binary"), "repeats-shards"
+    )
+
+
+def _squeezed(body: bytes) -> bytes:
+    return pa.compress(body, "zstd", asbytes=True)
+
+
+def _text(body: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(body, size, "zstd", asbytes=True) if size else b"", np.uint8)
 
 
 def _shard_rows(batches, *more: str):
@@ -187,7 +198,7 @@ def _shard_rows(batches, *more: str):
             at = {name: row.column(name)[0] for name in ("shard", "ids", "sizes", "body", *more)}
             ids = np.array([_NO_ID if x is None else x for x in at["ids"].as_py()], np.int64)
             ends = np.cumsum(np.array(at["sizes"].as_py(), np.int64))
-            text = np.frombuffer(at["body"].as_buffer() or b"", np.uint8)
+            text = _text(at["body"].as_py(), int(ends[-1]))
             yield at["shard"].as_py(), ids, ends, text, *(at[name].as_py() for name in more)
 
 
@@ -255,18 +266,34 @@ def _shared_anchors(most_contexts: int):
 _SENT = "bucket int, shard long, keys binary, ids binary, firsts binary, counts binary, body binary, spans binary"
 
 
-def _sent(bucket: int, shard: int, keys, ids, firsts, counts, body: bytes, spans: bytes) -> pa.RecordBatch:
-    blobs = [part.astype("<i8").tobytes() for part in (keys, ids, firsts, counts)]
+def _sent(bucket: int, shard: int, keys, ids, firsts, counts, body: np.ndarray, spans: bytes) -> pa.RecordBatch:
+    """Contexts in the order of the shard, so that ids and places are small steps; every part compressed."""
+    steps = [_squeezed(np.diff(part, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()) for part in (ids, firsts)]
+    blobs = [_pack(keys), *steps, counts.astype(np.uint8).tobytes(), _squeezed(body.tobytes())]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([int(bucket)], pa.int32()),
             pa.array([shard], pa.int64()),
-            *(pa.array([blob], pa.binary()) for blob in (*blobs, body, spans)),
+            *(pa.array([blob], pa.binary()) for blob in (*blobs, spans)),
         ],
         ["bucket", "shard", "keys", "ids", "firsts", "counts", "body", "spans"],
     )
 
 
+def _received(table) -> tuple[np.ndarray, ...]:
+    """Shard, key, id, place, count of all contexts of the rows, and their bytes."""
+    counts = [np.frombuffer(raw, np.uint8).astype(np.int64) for raw in table.column("counts").to_pylist()]
+    n = [len(part) for part in counts]
+    columns = [np.repeat(table.column("shard").to_numpy(), n)]
+    columns.append(_unpack(b"".join(table.column("keys").to_pylist())))
+    for name in ("ids", "firsts"):
+        raw = [_text(part, 8 * size).reshape(8, -1).T for part, size in zip(table.column(name).to_pylist(), n)]
+        columns.append(np.concatenate([np.cumsum(np.ascontiguousarray(part).view("<i8").ravel()) for part in raw]))
+    sizes = [int(part.sum()) + (GRAM - 1) * len(part) for part in counts]
+    body = np.concatenate([_text(raw, size) for raw, size in zip(table.column("body").to_pylist(), sizes)])
+    return (*columns, np.concatenate(counts), body)
+
+
 def _taken(text: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The bytes of the stretches, one after the other."""
     ends = np.cumsum(sizes)
@@ -305,15 +332,19 @@ def _send_contexts(buckets: int):
             starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(starts)):
                 part = order[starts[b] : starts[b + 1]]
-                body = _taken(text, mine.first[part], mine.count[part] + GRAM - 1).tobytes()
+                part = part[np.argsort(mine.first[part], kind="stable")]
+                body = _taken(text, mine.first[part], mine.count[part] + GRAM - 1)
                 yield _sent(b, shard, mine.key[part], doc[part], mine.first[part], mine.count[part], body, spans)
                 spans = b""
             if spans:
-                yield _sent(shard % buckets, shard, *(np.zeros(0, np.int64),) * 4, b"", spans)
+                yield _sent(shard % buckets, shard, *_NOTHING, spans)
 
     return run, _SENT
 
 
+_NOTHING = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint8))
+
+
 def _cut(text: np.ndarray, found: Contexts, which: np.ndarray) -> Contexts:
     """The marked contexts as single strings with their own keys."""
     kept, cut = found[~which], found[which]
@@ -366,12 +397,7 @@ def _resolve(last: bool, at_once: int = 1 << 23):
     """
 
     def run(table):
-        n = [len(raw) // 8 for raw in table.column("keys").to_pylist()]
-        shard = np.repeat(table.column("shard").to_numpy(), n)
-        key, doc, first, count = (
-            np.frombuffer(b"".join(table.column(name).to_pylist()), "<i8") for name in ("keys", "ids", "firsts", "counts")
-        )
-        text = np.frombuffer(b"".join(table.column("body").to_pylist()), np.uint8)
+        shard, key, doc, first, count, text = _received(table)
         sizes = count + GRAM - 1
         begins = np.cumsum(sizes) - sizes
         content = np.zeros(len(key), np.uint64)
@@ -408,13 +434,11 @@ def _resolve(last: bool, at_once: int = 1 << 23):
         kept = ~later
         order = np.argsort(shard[kept], kind="stable")
         kept = np.flatnonzero(kept)[order]
-        out = [
-            _sent(bucket, int(s), key[p], doc[p], first[p], count[p], _taken(text, begins[p], sizes[p]).tobytes(), b"")
-            for s, a, b in _runs(shard[kept])
-            for p in [kept[a:b]]
-        ]
-        none = np.zeros(0, np.int64)
-        out += [_sent(bucket, s, none, none, none, none, b"", raw) for s, parts in found.items() for raw in parts]
+        out = []
+        for s, a, b in _runs(shard[kept]):
+            p = kept[a:b][np.argsort(first[kept[a:b]], kind="stable")]
+            out.append(_sent(bucket, int(s), key[p], doc[p], first[p], count[p], _taken(text, begins[p], sizes[p]), b""))
+        out += [_sent(bucket, s, *_NOTHING, raw) for s, parts in found.items() for raw in parts]
         return pa.Table.from_batches(out)
 
     return run, "shard long, spans binary" if last else _SENT
@@ -513,7 +537,7 @@ def remove_repeats(
     the same id take nothing from each other. A null text is empty; texts under 50 bytes stay whole; no
     rows give none; other columns are not read.
 
-    The texts are shuffled once, by shard, and that shuffle is read three times. Anchors with more than
+    The texts are written once, compressed, and shuffled once, by shard; both joins read that shuffle. Anchors with more than
     `most_contexts` different contexts are cut into single strings, so that no bucket holds a hot one, and more than
     `fan_in` shards are merged in rounds.
     """
@@ -521,16 +545,17 @@ def remove_repeats(
     total = docs.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     tasks = max(1, -(-total // (16 << 20)))
     buckets = max(1, min(1 << 20, total // bucket_bytes))
-    texts = shards(docs, id_column, text, shard_bytes).repartition(int(tasks), "shard")
+    texts = shards(docs, id_column, text, shard_bytes)
 
     run, shape = _anchor_lists(int(buckets))
     lists = texts.mapInArrow(run, shape)
+    texts = texts.repartition(int(tasks), "shard")
     run, shape = _shared_anchors(most_contexts)
     shared = lists.groupBy("bucket").applyInArrow(run, shape)
     shared = shared.groupBy("shard").agg(F.collect_list("anchors").alias("lists"))
 
     run, shape = _send_contexts(int(buckets))
-    sent = texts.join(shared.hint("shuffle_hash"), "shard").mapInArrow(run, shape)
+    sent = texts.join(shared.hint("shuffle_hash"), "shard", "left").mapInArrow(run, shape)
     n_shards = total // shard_bytes
     while n_shards > fan_in:
         run, shape = _resolve(last=False)
