@@ -279,7 +279,7 @@ def keep_one(docs: DataFrame, most: int = 4, words: int = 4, id_column: str = "d
     """The rows of `docs`, all columns, with one row left of every class of near-duplicates.
 
     The smallest id stays, of equal ids the text with the smallest MD5, of equal rows one; null ids come
-    last. Rows that go are found by id and text, so only they are sent around unless they are many.
+    last. Rows that go are found by id and text.
     """
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(
@@ -292,8 +292,13 @@ def keep_one(docs: DataFrame, most: int = 4, words: int = 4, id_column: str = "d
     members = members.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("times"))
     entry = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     first = members.groupBy("component").agg(F.min(entry).alias("first"))
+    # Ids and texts, not classes, are the keys from here on: no class is large then.
+    first = first.select("first.doc_id", "first.text_key", F.lit(True).alias("first"))
+    same_text = members["doc_id"].eqNullSafe(first["doc_id"]) & (members["text_key"] == first["text_key"])
     members = landed(
-        members.join(first, "component").withColumn("stays", entry == F.col("first")).drop("component", "first"),
+        members.join(first, same_text, "left").select(
+            members["doc_id"], members["text_key"], "times", F.coalesce("first", F.lit(False)).alias("stays")
+        ),
         "simhash-members",
     )
     going, repeated = members.where("not stays"), members.where("stays and times > 1")
@@ -303,7 +308,8 @@ def keep_one(docs: DataFrame, most: int = 4, words: int = 4, id_column: str = "d
 
     gone = landed(going.select("doc_id", "text_key"), "simhash-gone")
     if repeated.isEmpty():
-        return rows.join(gone, same(gone), "left_anti").select("row.*")
+        # Both sides grow with the corpus: never a copy of one in every task.
+        return rows.join(gone.hint("merge"), same(gone), "left_anti").select("row.*")
     several = landed(repeated.select("doc_id", "text_key"), "simhash-repeated")
     single = rows.join(gone.union(several), same(gone.union(several)), "left_anti").select("row")
     once = rows.join(several, same(several), "left_semi").groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
