@@ -95,7 +95,7 @@ def leaks(
     benchmark: DataFrame,
     similarity: float = 0.8,
     words: int = 5,
-    radius: int = 15,
+    radius: int = 23,
     text: str = "text",
 ) -> DataFrame:
     """`text_key` (MD5 of a text), `item_id`, `start`, `n_words`, `similarity`: windows of texts that repeat an item.
