@@ -45,6 +45,22 @@ GROUPS = (
     "αεηιουω",
     "βγδζθκλμνξπρστφχψ",
 )
+# Other letters, digits and marks are replaced by one of their kind; what is of no script listed here, by a Latin letter.
+SCRIPTS = (
+    (r"\p{IsHan}", "安北成大東方高光國海和華江金京林明南山新"),
+    (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてと"),
+    (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテト"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보"),
+    (r"\p{IsArabic}", "بتثجحخدرزسشصطعفقكلمنه"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקר"),
+    (r"\p{IsDevanagari}", "कखगघचछजझटठडढतथदधनपफब"),
+    (r"\p{IsThai}", "กขคงจฉชซญดตถทธนบปผพม"),
+    (r"\p{N}", "0123456789"),
+    (r"\p{Lu}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    (r"[\p{L}\p{M}]", "abcdefghijklmnopqrstuvwxyz"),
+)
+# After this many tries in its own form, an entity gets a longer or freer one with every further try.
+SAME_FORM = 3
 # Registrations under these names belong to nobody.
 RESERVED = r"example\.(?:com|org|net)$"
 
@@ -77,13 +93,16 @@ def _given(value: Column, body) -> Column:
 
 
 def _respelled(value: Column, digest: Column) -> Column:
-    """Every letter and digit replaced by one of its group; other characters stay."""
+    """Every letter and digit replaced by one of its group or script; other characters stay."""
 
     def spell(stream):
         def one(letter, at):
             out = F.when(F.lit(False), letter)
             for group in GROUPS:
                 out = out.when(F.instr(F.lit(group), letter) > 0, _letter(group, _pick(stream, at)))
+            out = out.when(~letter.rlike(r"[\p{L}\p{N}\p{M}]"), letter)
+            for script, letters in SCRIPTS:
+                out = out.when(letter.rlike(script), _letter(letters, _pick(stream, at)))
             return out.otherwise(letter)
 
         return F.array_join(F.transform(F.split(value, ""), one), "")
@@ -91,6 +110,18 @@ def _respelled(value: Column, digest: Column) -> Column:
     return F.when(value == "", value).otherwise(_given(_stream(digest, F.length(value)), spell))
 
 
+def _longer(new: Column, attempt: Column, digest: Column, letters: str) -> Column:
+    """One more keyed letter behind `new` for every try after those in the same form."""
+    more = F.greatest(attempt.cast("int") - (SAME_FORM - 1), F.lit(0))
+
+    def grow(stream):
+        tail = F.transform(F.sequence(F.lit(1), more), lambda i: _letter(letters, _pick(stream, i - 1)))
+        return F.concat(new, F.array_join(tail, ""))
+
+    widened = _given(_stream(F.sha2(F.concat(digest, F.lit("+")), 256), more), grow)
+    return F.when(more > 0, widened).otherwise(new)
+
+
 def canonical(kind: Column, match: Column, gender: Column) -> Column:
     """What counts as the same entity: case and, in numbers, everything but digits left out."""
     return (
@@ -114,8 +145,9 @@ def _email(value: Column, attempt: Column, key: str) -> Column:
         F.regexp_extract(domain, r"([^.]+)$", 1)
     )
     rest = F.substring(domain, F.lit(1), F.length(domain) - F.length(kept))
+    digest = _keyed(key, F.lit("email"), value, attempt)
     return F.concat(
-        _respelled(local, _keyed(key, F.lit("email"), value, attempt)),
+        _longer(_respelled(local, digest), attempt, digest, "abcdefghijkmnpqrstuvwxyz23456789"),
         F.lit("@"),
         _respelled(rest, _keyed(key, F.lit("domain"), domain, F.lit("0"))),
         kept,
@@ -123,7 +155,11 @@ def _email(value: Column, attempt: Column, key: str) -> Column:
 
 
 def _ip(value: Column, attempt: Column, key: str) -> Column:
-    """Same number of digits in each part; private and loopback networks stay what they are."""
+    """Same number of digits in each part; private and loopback networks stay what they are.
+
+    Further tries take any number in a part, then any address of 10.0.0.0/8 for a private one and any other
+    for the rest, then the reserved 240.0.0.0/4, and at last a local IPv6 address.
+    """
     kept = (
         F.when(value.rlike(r"^(?:10|127)\."), F.lit(1))
         .when(value.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\."), F.lit(2))
@@ -141,7 +177,23 @@ def _ip(value: Column, attempt: Column, key: str) -> Column:
             )
             return F.when(at < kept, old).otherwise(new.cast("string"))
 
-        return F.array_join(F.transform(F.split(value, r"\."), part), ".")
+        def any_number(old, at):
+            return F.when(at < kept, old).otherwise(_pick(digest, at).cast("string"))
+
+        def local(groups):
+            return F.transform(groups, lambda i: F.substring(digest, 4 * i + 1, F.lit(4)))
+
+        parts, tried = F.split(value, r"\."), attempt.cast("int")
+        numbers = [_pick(digest, F.lit(at)) for at in range(4)]
+        private = F.concat_ws(".", F.lit("10"), *numbers[1:])
+        public = F.concat_ws(".", 11 + F.pmod(numbers[0], F.lit(89)), *numbers[1:])
+        return (
+            F.when(tried < SAME_FORM, F.array_join(F.transform(parts, part), "."))
+            .when((tried < 2 * SAME_FORM) & (kept > 0), F.array_join(F.transform(parts, any_number), "."))
+            .when(tried < 4 * SAME_FORM, F.when(kept > 0, private).otherwise(public))
+            .when(tried < 6 * SAME_FORM, F.concat_ws(".", 240 + F.pmod(numbers[0], F.lit(15)), *numbers[1:]))
+            .otherwise(F.concat(F.lit("fd00:"), F.array_join(local(F.sequence(F.lit(0), F.lit(6))), ":")))
+        )
 
     return _given(_keyed(key, F.lit("ip"), value, attempt), build)
 
@@ -170,7 +222,8 @@ def _phone(value: Column, attempt: Column, key: str) -> Column:
     fixed = F.when(fictitious, F.transform(F.array(*map(F.lit, range(3))), lambda i: exchange - 1 + i)).otherwise(
         F.array().cast("array<int>")
     )
-    return _digits(value, _keyed(key, F.lit("phone"), value, attempt), kept, fixed)
+    digest = _keyed(key, F.lit("phone"), value, attempt)
+    return _longer(_digits(value, digest, kept, fixed), attempt, digest, GROUPS[0])
 
 
 def _luhn_rest(digits: Column) -> Column:
@@ -208,13 +261,9 @@ def _card(value: Column, attempt: Column, key: str) -> Column:
 
 def _ssn(value: Column, attempt: Column, key: str) -> Column:
     """Numbers from 900 on are never given out."""
-    tail = _digits(
-        F.substring(value, F.lit(2), F.lit(8)),
-        _keyed(key, F.lit("ssn"), value, attempt),
-        F.lit(0),
-        F.array().cast("array<int>"),
-    )
-    return F.concat(F.lit("9"), tail)
+    digest = _keyed(key, F.lit("ssn"), value, attempt)
+    tail = _digits(F.substring(value, F.lit(2), F.lit(8)), digest, F.lit(0), F.array().cast("array<int>"))
+    return _longer(F.concat(F.lit("9"), tail), attempt, digest, GROUPS[0])
 
 
 def _name(value: Column, attempt: Column, key: str) -> Column:
@@ -228,12 +277,16 @@ def _name(value: Column, attempt: Column, key: str) -> Column:
     for (of, letters), names in GIVEN.items():
         chosen = F.get(F.array(*map(F.lit, names)), F.pmod(number, F.lit(len(names))))
         given = given.when((gender == of) & (script == letters), chosen)
-    new = _respelled(family, _keyed(key, F.lit("family"), family, attempt))
+    digest = _keyed(key, F.lit("family"), family, attempt)
+    new = _longer(_respelled(family, digest), attempt, digest, "aeiounrslt")
     return F.concat(gender, F.lit("|"), F.when(F.size(parts) > 1, F.concat(F.lower(given), F.lit(" "), new)).otherwise(new))
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """Replacement of a canonical value, canonical as well."""
+    """Replacement of a canonical value, canonical as well.
+
+    The first tries keep the form of the value; each later one has more to choose from than the one before.
+    """
     tried = attempt.cast("string")
     return (
         F.when(kind == "email", _email(value, tried, key))
@@ -248,6 +301,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 def poured(kind: Column, match: Column, new: Column) -> Column:
     """A replacement in the written form of the match: its separators, its capitals."""
     places = F.transform(F.split(match, ""), lambda c: c.rlike("[0-9]").cast("int"))
+    digits = F.aggregate(places, F.lit(0), lambda a, b: a + b)
     number = F.array_join(
         F.transform(
             F.split(match, ""),
@@ -260,6 +314,8 @@ def poured(kind: Column, match: Column, new: Column) -> Column:
         ),
         "",
     )
+    # A longer replacement has its further digits at the end.
+    number = F.concat(number, F.substring(new, digits + 1, F.greatest(F.length(new) - digits, F.lit(0))))
     name = F.split(new, r"\|")[1]
     cased = F.array_join(
         F.transform(
@@ -285,7 +341,8 @@ def assign_surrogates(entities: DataFrame, key: str, most_rounds: int = 30) -> D
     """`kind`, `value`, `surrogate` for all distinct entities, without two entities sharing a surrogate.
 
     Everybody starts with its keyed replacement. Where two meet, or one is an entity of the corpus
-    itself, all but the first in keyed order try again, until nobody meets anybody. The tables
+    itself, all but the first in keyed order try again, until nobody meets anybody. Where the form of an
+    entity has no free replacement, later tries leave it, so everybody settles. The tables
     hold distinct entities only, never their mentions.
     """
     named = landed(

@@ -164,3 +164,28 @@ def test_nothing_to_replace(spark):
     assert replaced(spark, []).count() == 0
     rows = [(1, None, "a"), (2, "", "a"), (3, "no data", None)]
     assert {(r.row.doc_id, r.row.text) for r in replaced(spark, rows).collect()} == {(d, t) for d, t, _ in rows}
+
+
+def test_entities_without_free_replacements_settle(spark):
+    """Other scripts, no letter at all, and forms with fewer replacements than entities."""
+    emails = ["用户@例子.中国", "用户@example.com", "-@example.com", "a@example.com", "e@example.com", "i@example.com"]
+    emails += [f"{c}@example.org" for c in "aeiou"]
+    hosts = [f"192.168.{c}.{d}" for c in range(10) for d in range(10)]
+    rows = [(i, f"from {x} on", "p") for i, x in enumerate(emails + hosts)]
+    out = replaced(spark, rows).collect()
+    new = {m.match: m.replacement for r in out for m in r.mentions}
+    assert new.keys() == {*emails, *hosts}
+    assert len(set(new.values())) == len(new) and not new.keys() & set(new.values())
+    assert all(new[e].count("@") == 1 for e in emails)
+    assert all(new[h].startswith("192.168.") for h in hosts)
+
+
+def test_every_kind_widens(spark):
+    values = {"email": "-@example.com", "ip": "192.168.1.1", "phone": "12345", "card": "4111111111111", "ssn": "123456789", "name": "m|li"}
+    rows = [(kind, value, n) for kind, value in values.items() for n in (0, 19)]
+    table = spark.createDataFrame(rows, "kind string, value string, n int")
+    out = table.select("kind", "n", surrogates.surrogate(F.col("kind"), F.col("value"), F.col("n"), "k").alias("s")).collect()
+    size = {(r.kind, r.n): len(r.s) for r in out}
+    for kind in ("email", "ip", "phone", "ssn", "name"):
+        assert size[kind, 19] > size[kind, 0]
+    assert size["card", 19] == size["card", 0] == 13
