@@ -57,6 +57,64 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright to this work."),
 )
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(work: str, name: str, version: str) -> str:
+    return (
+        f"{work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+        f"later version. {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more "
+        f"details. You should have received a copy of the GNU {name} along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>."
+    )
+
+
+# Texts of several paragraphs, looked for by windows only.
+BODIES = (
+    ("BSD-3-Clause", _BSD + _BSD_THIRD + _BSD_END),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("GPL-3.0", _gnu("This program", "General Public License", "3")),
+    ("GPL-2.0", _gnu("This program", "General Public License", "2")),
+    ("LGPL-3.0", _gnu("This library", "Lesser General Public License", "3")),
+    ("AGPL-3.0", _gnu("This program", "Affero General Public License", "3")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+)
+
 
 def normal_words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
@@ -133,15 +191,116 @@ def license_hits(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text:
     )
 
 
+def _exploded_bigrams(texts: DataFrame) -> DataFrame:
+    """`text_key`, `at`, `bigram` of the whole texts, in generated code; places and hashes as of `bigrams`.
+
+    A split text can only be empty at its two ends, so pairs with an empty word are dropped.
+    """
+    split = texts.select("text_key", F.split(F.lower("body"), r"[^\p{L}\p{N}]+").alias("words"))
+    places = F.when(F.size("words") >= 2, F.sequence(F.lit(0), F.size("words") - 2))
+    placed = split.select("text_key", "words", F.explode(places).alias("place"))
+    here, after = F.get("words", F.col("place")), F.get("words", F.col("place") + 1)
+    return placed.where((here != "") & (after != "")).select(
+        "text_key",
+        (F.col("place") - (F.get("words", F.lit(0)) == "").cast("int")).alias("at"),
+        F.xxhash64(here, after).alias("bigram"),
+    )
+
+
+def window_hits(
+    docs: DataFrame, hits: DataFrame, templates=TEMPLATES + BODIES, least: float = 0.8, text: str = "text"
+) -> DataFrame:
+    """`text_key`, `license`, `segment`, `score`: runs of words anywhere in texts that are close to a template.
+
+    The best run of a template starts and ends with one of its bigrams, and holds at least n d / (2 - d) of them
+    in at most n (2 - d) / d. Only places where bigrams are that dense are walked: from each, the shared
+    bigrams (multisets, as in `license_hits`) are counted to every possible end, and the best end is kept.
+
+    A run that is part of one of `hits` (segments that match as a whole) counts only if it is of another
+    licence and closer to it than the segment is to its own.
+    """
+    table = landed(template_bigrams(docs.sparkSession, templates, least), "license-window-templates")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    texts = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
+    of = ["text_key", "template", "license", "n", "low", "high"]
+    found = _exploded_bigrams(texts).join(F.broadcast(table), "bigram").groupBy(*of, "bigram", "times")
+    found = found.agg(F.sort_array(F.collect_set("at")).alias("places"))
+    # `back`: a bigram is shared by a run from there on only if the run starts behind that place.
+    found = found.withColumn(
+        "places",
+        F.transform(
+            "places",
+            lambda at, i: F.struct(
+                at.alias("at"), F.coalesce(F.get("places", i - F.col("times").cast("int")), F.lit(-1)).alias("back")
+            ),
+        ),
+    )
+    found = found.groupBy(*of).agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
+    low, high = F.col("low").cast("int"), F.col("high").cast("int")
+    found = found.where(F.size("places") >= low)
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("places") - low),
+        lambda i: F.get("places", i + low - 1)["at"] - F.get("places", i)["at"] < high,
+    )
+    dense = found.withColumn("starts", starts).where(F.size("starts") > 0)
+    dense = dense.select(*of, "places", F.explode("starts").alias("i"))
+    dense = dense.select(
+        "text_key", "license", "n", F.get("places", F.col("i"))["at"].alias("first"), "high",
+        F.slice("places", F.col("i") + 1, high).alias("places"),
+    )
+
+    def walk(state, place):
+        size = place["at"] - F.col("first") + 1
+        shared = state["shared"] + (place["back"] < F.col("first")).cast("int")
+        score = F.when(size <= F.col("high"), 2 * shared / (size + F.col("n"))).otherwise(F.lit(0.0))
+        better = score > state["score"]
+        return F.struct(
+            shared.alias("shared"),
+            F.when(better, score).otherwise(state["score"]).alias("score"),
+            F.when(better, size).otherwise(state["size"]).alias("size"),
+        )
+
+    none = F.struct(F.lit(0).alias("shared"), F.lit(0.0).alias("score"), F.lit(0).alias("size"))
+    runs = dense.withColumn("best", F.aggregate("places", none, walk)).where(F.col("best.score") >= least - 1e-9)
+    runs = runs.select("text_key", "license", "first", "best.size", "best.score").distinct()
+    runs = landed(runs, "license-windows")
+
+    again = texts.join(runs.select("text_key").distinct(), "text_key", "left_semi")
+    again = again.groupBy("text_key").agg(F.first("body").alias("body"))
+    again = again.select("text_key", normal_words(F.col("body")).alias("words"))
+    # A run of m bigrams has m + 1 words.
+    runs = runs.join(again, "text_key").select(
+        "text_key", "license", F.array_join(F.slice("words", F.col("first") + 1, F.col("size") + 1), " ").alias("segment"), "score"
+    )
+    runs = runs.distinct()
+    whole = hits.select(
+        "text_key", F.col("license").alias("whole_license"), F.col("segment").alias("whole"), F.col("score").alias("whole_score")
+    )
+    inside = F.concat(F.lit(" "), "whole", F.lit(" ")).contains(F.concat(F.lit(" "), "segment", F.lit(" ")))
+    beaten = (F.col("license") == F.col("whole_license")) | (F.col("score") <= F.col("whole_score") + 1e-9)
+    runs = runs.alias("run").join(
+        whole.alias("hit"), (F.col("run.text_key") == F.col("hit.text_key")) & inside & beaten, "left_anti"
+    )
+    return runs.select("text_key", "license", "segment", "score")
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text: str = "text") -> DataFrame:
     """One row per row of `docs`: `row`, a struct of all its columns, and `licenses`, an array of
     (license, score, segment), best score first, then by name; one entry per licence.
 
+    Lines, paragraphs and whole texts are compared first, then runs of words anywhere in a text, so that a notice
+    inside a sentence and a licence of several paragraphs in a longer document are found too.
+
     Null and empty texts have none; repeated rows stay and get the same licences; no rows give none;
     columns may have any names. Several templates of one licence, and several segments that match it, count
     as one licence with the best score (of segments that tie, the first in order of text).
     """
-    hits = license_hits(docs, templates, least, text).groupBy("text_key", "license").agg(
+    segments = landed(license_hits(docs, templates, least, text), "license-segments")
+    more = BODIES if templates is TEMPLATES else ()
+    hits = segments.union(
+        window_hits(docs, segments, (*templates, *more), least, text).select(*segments.columns)
+    )
+    hits = hits.groupBy("text_key", "license").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "segment")).alias("best")
     )
     lists = landed(
@@ -163,7 +322,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-#: DuckDB twin of the registered query.
+#: DuckDB twin of the registered query for texts whose licences are whole lines, paragraphs or texts.
 ORACLE = rf"""
 WITH tpl AS (SELECT * FROM (VALUES {", ".join(f"({i}, {_quoted(a)}, {_quoted(b)})" for i, (a, b) in enumerate(TEMPLATES))})
   t(template, license, body)),

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -113,6 +114,51 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(cases.table(spark, [])).count() == 0
 
 
+def test_licenses_inside_longer_texts(spark):
+    mit, apache = license_scan.TEMPLATES[3][1], license_scan.TEMPLATES[5][1]
+    bsd = dict(license_scan.BODIES)["BSD-3-Clause"]
+    several = lambda text: text.replace(": The above", ":\n\nThe above").replace(". ", ".\n\n")
+    before, after = cases.prose(1, 400), cases.prose(2, 700)
+    texts = [
+        f"{before}\n\n{several(mit)}\n\n{after}",
+        f"{before} {several(apache)} {after}\n{several(bsd)}\n{before}",
+        "All of our own code here is licensed under the Apache License, Version 2.0 and so on.",
+        f"{before}\n\n{' '.join(mit.split()[:60])}\n\n{after}",
+        f"it is provided under the MIT license.\n{before} see also: licensed under CC BY 4.0 {after}",
+    ]
+    out = license_scan.scan_licenses(cases.table(spark, [(i, text, "a") for i, text in enumerate(texts)])).collect()
+    got = {r.row.doc_id: {x.license: x.score for x in r.licenses} for r in out}
+    assert got[0] == {"MIT": 1.0}
+    assert got[1]["Apache-2.0"] == got[1]["BSD-3-Clause"] == 1.0
+    assert got[2] == {"Apache-2.0": 1.0}
+    assert got[3] == {}
+    assert got[4].keys() == {"MIT", "CC-BY-4.0"} and got[4]["CC-BY-4.0"] == 1.0
+
+
+def test_window_scores(spark):
+    """The best run of words of every text and licence, against trying all of them."""
+    templates = (("X", "a b a b c d"), ("Y", "a b c b c b c"))
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("aabbccde") for _ in range(30)) for _ in range(40)]
+    docs = cases.table(spark, [(i, text, "a") for i, text in enumerate(texts)])
+    none = spark.createDataFrame([], "text_key string, license string, segment string, score double")
+    best = license_scan.window_hits(docs, none, templates).groupBy("text_key", "license").agg(F.max("score").alias("score"))
+    grams = lambda words: Counter(zip(words, words[1:]))
+    want = {}
+    for text in texts:
+        words = text.split()
+        for name, body in templates:
+            theirs = grams(body.split())
+            n = sum(theirs.values())
+            top = max(
+                2 * sum((grams(words[i:j]) & theirs).values()) / (j - i - 1 + n)
+                for i in range(len(words)) for j in range(i + 2, len(words) + 1)
+            )
+            if top >= 0.8 - 1e-9:
+                want[hashlib.md5(text.encode()).hexdigest(), name] = round(top, 9)
+    assert want and {(r.text_key, r.license): round(r.score, 9) for r in best.collect()} == want
+
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
 )
