@@ -23,7 +23,7 @@ def plain_words(text: Column) -> Column:
 
 
 def _exploded_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """`text_key`, `at`, `hash` of all shingles of all texts, as one pipeline of generated code.
+    """`text_key`, `size` (number of its shingles), `at`, `hash` of all shingles of all texts, as one pipeline of generated code.
 
     The same places and hashes as `shingle_hashes` of `plain_words`: a split text can only be empty at its
     two ends, so shingles with an empty word are dropped and places count from the first word.
@@ -32,8 +32,10 @@ def _exploded_shingles(texts: DataFrame, size: int) -> DataFrame:
     places = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))
     placed = split.select("text_key", "words", F.explode(places).alias("place"))
     parts = [F.get("words", F.col("place") + k) for k in range(size)]
+    empty = (F.get("words", F.lit(0)) == "").cast("int") + (F.element_at("words", -1) == "").cast("int")
     return placed.where((parts[0] != "") & (parts[-1] != "")).select(
         "text_key",
+        (F.size("words") - empty - (size - 1)).alias("size"),
         (F.col("place") - (F.get("words", F.lit(0)) == "").cast("int")).alias("at"),
         F.xxhash64(*parts).alias("hash"),
     )
@@ -90,6 +92,23 @@ def item_shingles(benchmark: DataFrame, words: int = 5, id_column: str = "item_i
     )
 
 
+def _short_leaks(texts: DataFrame, benchmark: DataFrame, words: int) -> DataFrame:
+    """Items of fewer than `words` words, found as their whole word sequence: the first place in every text."""
+    body = plain_words(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    items = benchmark.select(F.col("item_id"), body.alias("words"))
+    items = landed(items.where(F.size("words").between(1, words - 1)), "leak-short-items")
+    found = None
+    # At most `words` - 1 lengths.
+    for row in items.select(F.size("words").alias("k")).distinct().collect():
+        known = items.where(F.size("words") == row.k).select("item_id", shingle_hashes(F.col("words"), row.k)[0].alias("hash"))
+        places = _exploded_shingles(texts, row.k).join(known, "hash").groupBy("text_key", "item_id")
+        places = places.agg(F.min("at").alias("start")).select(
+            "text_key", "item_id", "start", F.lit(row.k).alias("n_words"), F.lit(1.0).alias("similarity")
+        )
+        found = places if found is None else found.union(places)
+    return found
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -100,15 +119,16 @@ def leaks(
 ) -> DataFrame:
     """`text_key` (MD5 of a text), `item_id`, `start`, `n_words`, `similarity`: windows of texts that repeat an item.
 
-    A window has as many words as the item (lower-case runs of letters and digits). A similarity s over the
+    A window has as many words as the item (lower-case runs of letters and digits); a text with fewer words than
+    the item is one window of its whole length. A similarity s over the
     multisets of `words`-word shingles needs 2s / (1 + s) of the window's shingles to be shingles of items
-    of that size, so windows with fewer are dropped unseen and nothing is lost. The others get a
+    of that size (of a shorter text, s / (1 + s) of both lengths), so windows with fewer are dropped unseen. The others get a
     SimHash fingerprint and meet the fingerprints of all items of their size through an index of
     eight 8-bit blocks, which finds every pair within `radius` bits; the exact weighted
     similarity of the shingles decides. Of each text and item the best window is kept, the first if several tie.
 
-    Copies of a text are one text here. Texts and items with fewer than `words` words, null and empty ones
-    too, match nothing.
+    Items with fewer than `words` words are found as their whole word sequence. Copies of a text are one text
+    here. Null and empty texts and items match nothing.
     """
     items = item_shingles(benchmark, words)
     known = landed(items.select("n", F.explode("hashes").alias("hash")).distinct(), "leak-shingles")
@@ -117,8 +137,11 @@ def leaks(
     texts = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
     share = 2 * similarity / (1 + similarity)
     hits = _exploded_shingles(texts, words).join(known, "hash").groupBy("text_key", "n")
-    hits = hits.agg(F.sort_array(F.collect_set("at")).alias("places"))
-    hits = hits.withColumn("least", F.ceil(share * F.col("n") - 1e-9).cast("int")).where(F.size("places") >= F.col("least"))
+    hits = hits.agg(F.sort_array(F.collect_set("at")).alias("places"), F.max("size").alias("size"))
+    short = F.col("size") < F.col("n")
+    of_both = similarity / (1 + similarity) * (F.col("n") + F.col("size"))
+    least = F.ceil(F.when(short, of_both).otherwise(share * F.col("n")) - 1e-9).cast("int")
+    hits = hits.withColumn("least", least).where(F.size("places") >= F.col("least"))
 
     # All starts of windows that hold enough known shingles: from the last one that still reaches the
     # `least`-th known shingle up to the first known one, for every run of that many.
@@ -131,6 +154,7 @@ def leaks(
     )
     runs = F.filter(runs, lambda r: r["low"] <= r["high"])
     starts = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["low"], r["high"]))))
+    starts = F.when(short, F.array(F.lit(0))).otherwise(starts)
     windows = hits.select("text_key", "n", F.explode(starts).alias("start"))
     windows = landed(windows, "leak-windows")
     keys = landed(windows.select("text_key").distinct(), "leak-keys")
@@ -138,7 +162,9 @@ def leaks(
     again = again.withColumn("words", plain_words(F.col("body"))).select(
         "text_key", shingle_hashes(F.col("words"), words).alias("all")
     )
-    windows = windows.join(again, "text_key").where(F.col("start") + F.col("n") <= F.size("all"))
+    windows = windows.join(again, "text_key").where(
+        (F.col("start") + F.col("n") <= F.size("all")) | ((F.size("all") < F.col("n")) & (F.col("start") == 0))
+    )
     windows = windows.select("text_key", "n", "start", F.slice("all", F.col("start") + 1, F.col("n")).alias("hashes"))
     windows = landed(windows.withColumn("fingerprint", simhash(F.col("hashes"))), "leak-prints")
 
@@ -155,8 +181,8 @@ def leaks(
     )
     counted = (
         near.join(windows.select("text_key", "n", "start", "hashes"), ["text_key", "n", "start"])
-        .select("text_key", "n", "start", "item_id", F.explode("hashes").alias("hash"))
-        .groupBy("text_key", "n", "start", "item_id", "hash")
+        .select("text_key", "n", "start", "item_id", F.size("hashes").alias("size"), F.explode("hashes").alias("hash"))
+        .groupBy("text_key", "n", "start", "item_id", "size", "hash")
         .agg(F.count("*").alias("times"))
     )
     weights = items.select("item_id", F.explode("hashes").alias("hash")).groupBy("item_id", "hash").agg(
@@ -164,19 +190,21 @@ def leaks(
     )
     shared = (
         counted.join(weights, ["item_id", "hash"])
-        .groupBy("text_key", "n", "start", "item_id")
+        .groupBy("text_key", "n", "start", "item_id", "size")
         .agg(F.sum(F.least("times", "item_times")).alias("shared"))
-        .withColumn("similarity", F.col("shared") / (2 * F.col("n") - F.col("shared")))
+        .withColumn("similarity", F.col("shared") / (F.col("n") + F.col("size") - F.col("shared")))
         .where(F.col("similarity") >= similarity - 1e-9)
     )
-    best = F.max_by(F.struct("start", "n", "similarity"), F.struct("similarity", -F.col("start")))
-    return shared.groupBy("text_key", "item_id").agg(best.alias("best")).select(
+    best = F.max_by(F.struct("start", "size", "similarity"), F.struct("similarity", -F.col("start")))
+    found = shared.groupBy("text_key", "item_id").agg(best.alias("best")).select(
         "text_key",
         "item_id",
         "best.start",
-        (F.col("best.n") + (words - 1)).alias("n_words"),
+        (F.col("best.size") + (words - 1)).alias("n_words"),
         "best.similarity",
     )
+    short_items = _short_leaks(texts, benchmark, words)
+    return found if short_items is None else found.union(short_items)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -197,7 +225,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
     return rows.join(lists, "text_key", "left").select("row", F.coalesce("leaks", none).alias("leaks"))
 
 
-#: DuckDB twin of the registered query: all windows of texts that hold enough shingles of an item.
+#: DuckDB twin of the registered query: all windows of texts that hold enough shingles of an item, for texts
+#: as long as the item and items of five words and more.
 ORACLE = r"""
 WITH items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
 ig AS (SELECT item_id, len(w) - 4 AS n, unnest(range(1, len(w) - 3)) AS i, w FROM items WHERE len(w) >= 5),

@@ -61,6 +61,23 @@ def test_leaks(spark):
     assert out[0].row.asDict().keys() == set(docs.columns)
 
 
+def test_leaks_of_texts_shorter_than_the_item_and_of_short_items(spark):
+    words = re.findall(r"\w+", ITEMS[7][1])
+    n = len(words) - 4
+    texts = [words[:-1], words[1:-2], words[: len(words) // 2], ["so"] * 60 + "Yes, it was".split(), ["it", "was", "yes"]]
+    rows = [(i, " ".join(text), "a") for i, text in enumerate(texts)]
+    benchmark = spark.createDataFrame([(7, " ".join(words)), (60, "yes it was")], "item_id long, text string")
+    out = contaminated(cases.table(spark, rows), benchmark).collect()
+    got = {r.row.doc_id: [(x.item_id, x.start, x.n_words, round(x.similarity, 9)) for x in r.leaks] for r in out}
+    assert got == {
+        0: [(7, 0, len(words) - 1, round((n - 1) / n, 9))],
+        1: [(7, 0, len(words) - 3, round((n - 3) / n, 9))],
+        2: [],
+        3: [(60, 60, 3, 1.0)],
+        4: [],
+    }
+
+
 def test_no_leaks_without_items_or_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = cases.table(spark, cases.odd_rows())
