@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scanweave.llm import decontaminate, license_scan, line_crf, packing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, surrogates, token_counts
+from scanweave.llm import bpe_tree, decontaminate, filter_audit, license_scan, line_crf, packing, quality_rules, secret_scan, simhash_dedup, spelling, suffix_dedup, surrogates, token_counts
 from scanweave.llm.tables import read_table
 
 
@@ -93,6 +93,26 @@ def _of(kind: str):
     return lambda mention: mention["kind"] == kind
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.failures(docs, labels))
+
+
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _tokenizer("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_tree.encode(read_table(spark, sf_dir, "documents"), path)
+    return bpe_tree.decode(encoded, path, keep=("doc_id", "ids")).select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("body", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(read_table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -105,6 +125,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture_packing": op8_mixture_packing,
         "op9_token_counts": op9_token_counts,
         "op10_surrogates": op10_surrogates,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_bpe_tree": op12_bpe_tree,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -115,4 +138,5 @@ def all_oracles() -> dict[str, str]:
         "op3_license_scan": license_scan.ORACLE,
         "op4_secret_scan": secret_scan.ORACLE,
         "op7_decontamination": decontaminate.ORACLE,
+        "op11_filter_audit": filter_audit.ORACLE,
     }

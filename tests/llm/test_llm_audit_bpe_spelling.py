@@ -1,0 +1,305 @@
+"""Filter interactions, byte-level BPE by trees and spelling variants against plain versions."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import cases
+import numpy as np
+import pytest
+from scanweave.llm import bpe_tree, filter_audit, spelling
+
+tiktoken = pytest.importorskip("tiktoken")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+# Filter interactions
+
+
+def plain_masks(rows):
+    """(part, failed letters, doc_id) by the definition; `rows` are (doc_id, text, part)."""
+    out = []
+    for doc_id, text, part in rows:
+        body = text or ""
+        words = [w for w in re.split("[\x20\x09-\x0d]+", body) if w]
+        failed = {
+            "A": len(words) < 100,
+            "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * sum("A" <= c <= "Z" for c in body) > 10 * len(body),
+            "D": any(c in "#$%&*|" for c in body),
+            "E": any(
+                (t or "") == body and other is not None and (doc_id is None or other < doc_id) for other, t, _ in rows
+            ),
+        }
+        out.append((part or "", {x for x in failed if failed[x]}, doc_id))
+    return out
+
+
+def plain_audit(rows, labels):
+    good = {d for d, q, *_ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t, *_ in labels if t == 1 and d is not None}
+    masks, out = plain_masks(rows), []
+    for part in {p for p, _, _ in masks}:
+        mine = [(fails, d) for p, fails, d in masks if p == part]
+        found, shapley = [], Counter()
+        for order in map("".join, permutations("ABCDE")):
+            left = mine
+            for step, x in enumerate(order, 1):
+                gone = [(f, d) for f, d in left if x in f]
+                left = [(f, d) for f, d in left if x not in f]
+                shapley[x] += len(gone)
+                failing = sum(x in f for f, _ in mine)
+                lost = [sum(d in marked for _, d in gone) for marked in (good, toxic)]
+                only = sum(f == {x} for f, _ in mine)
+                found.append((part, order, step, len(left), len(gone), failing - len(gone), only, *lost))
+        out += [(*row, shapley[row[1][row[2] - 1]]) for row in found]
+    return Counter(out)
+
+
+def test_wide_outcomes():
+    for mask in range(32):
+        fields = filter_audit._fields(filter_audit.wide_outcomes(mask))
+        assert fields[-1] == 1 and fields[:-1].sum() == (120 if mask else 0)
+    # The largest counts fit: the sum of all masks, each more than a thousand million times, unpacks unharmed.
+    many = (1 << 40) + 7
+    total = sum(many * filter_audit.wide_outcomes(mask) for mask in range(32))
+    one = sum(filter_audit._fields(filter_audit.wide_outcomes(mask)) for mask in range(32))
+    assert (filter_audit._fields(total) == many * one).all()
+
+
+def audit(spark, rows, labels, **more):
+    docs = cases.table(spark, rows).withColumnRenamed("source", "lang")
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, mask string")
+    return filter_audit.audit(filter_audit.failures(docs, marked), **more)
+
+
+def test_audit_of_odd_rows(spark):
+    rng = random.Random(3)
+    extra = [(i, cases.prose(i % 40, rng.choice([40, 99, 100, 101, 200])), rng.choice(["a", "b", "c", None])) for i in range(300)]
+    extra += [(1000 + i, "A B C " * 60, "a") for i in range(50)] + [(None, "A B C " * 60, "b"), (2000, "x #", "z")]
+    rows = cases.odd_rows(extra)
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None]), "own") for i in range(0, 1100, 3)]
+    labels += [(None, 1, 1, "own"), (3, 0, 0, "own"), (3, 1, None, "own"), (99999, 1, 1, "own")]
+    want = plain_audit(rows, labels)
+    assert Counter(map(tuple, audit(spark, rows, labels).collect())) == want
+    assert Counter(map(tuple, audit(spark, rows, labels, lanes=1).collect())) == want
+
+
+def test_audit_of_ids_that_are_all_null(spark):
+    rows = [(None, "same text", "a"), (None, "same text", "b"), (None, None, None), (None, "", None)]
+    assert Counter(map(tuple, audit(spark, rows, []).collect())) == plain_audit(rows, [])
+
+
+def test_audit_of_nothing(spark):
+    assert audit(spark, [], [(1, 1, 1, "own")]).count() == 0
+
+
+def test_many_parts_are_flushed_and_merged(spark):
+    rows = [(f"part {i % 50}", i % 32, False, i % 3 == 0, 1) for i in range(2000)]
+    counted = spark.createDataFrame(rows, "part string, mask int, good boolean, toxic boolean, n long").repartition(7)
+    out = filter_audit.audit(counted, lanes=2).where("step = 1 AND filter_order = 'ABCDE'").collect()
+    assert len(out) == 50 and sum(r.kept + r.removed for r in out) == 2000
+    small = list(filter_audit._summed_masks(iter([batch(rows)]), most_parts=10))
+    assert len(small) == 2
+
+
+def batch(rows):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], ["part", "mask", "good", "toxic", "n"])
+
+
+# Byte-level BPE
+
+
+def library():
+    with open(RANKS, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def ids_of(encoding, text):
+    return np.asarray(encoding.encode_ordinary(text), "<u4").tobytes()
+
+
+PIECES = [
+    "a", "b", " ", "  ", "\n", "\r\n", "'", "'s", "'re", "'l", "l", "1", "é", "日", "́", "😀", "-", "T", "the", " t", "\t", "\xa0",
+    " ", "\x1c", "\x85", "ſ", "\x00",
+    # Letters and numbers of newer versions of Unicode, which libraries know or not.
+    "՘", "౜", "₝", "꟎", "\U00011de0", "\U0001246f",
+]
+
+
+@pytest.mark.parametrize("leaf", [1, 2, 3, 7, 64])
+def test_any_cut_gives_the_library_s_ids(leaf):
+    rng, encoding, coder = random.Random(leaf), library(), bpe_tree.TreeCoder(RANKS, leaf=leaf)
+    assert bpe_tree.PATTERN == public_tokenizers.PATTERN
+    for i in range(1500):
+        some = PIECES if i % 2 else rng.sample(PIECES, 4)
+        text = "".join(rng.choice(some) for _ in range(rng.randint(0, 80)))
+        ids = coder.encode(text)
+        assert ids == ids_of(encoding, text), text
+        assert coder.decode(ids) == coder.decode(ids, leaf=1) == text.encode()
+
+
+@pytest.mark.parametrize("run", ["a", " ", "ab", "日本", "\n", "'", "1", "é1", "'re", "x y", "ԗ՘"])
+def test_long_runs(run):
+    encoding, coder = library(), bpe_tree.TreeCoder(RANKS)
+    for text in (run * 20_000, "q" + run * 5001 + "z", run * 3000 + " " + run * 3000):
+        ids = coder.encode(text)
+        assert ids == ids_of(encoding, text) and coder.decode(ids) == text.encode()
+
+
+def test_small_memory_gives_the_same_ids():
+    coder, encoding = bpe_tree.TreeCoder(RANKS, leaf=16, most=10), library()
+    for i in range(5):
+        text = cases.prose(i, 400)
+        assert coder.encode(text) == ids_of(encoding, text)
+
+
+def test_encode_and_decode_tables(spark):
+    rows = cases.odd_rows([(i, "".join(PIECES[i:]) * 3, "c") for i in range(len(PIECES))])
+    encoding = library()
+    df = cases.table(spark, rows).withColumn("body", cases_lit("own body")).withColumn("keep_0", cases_lit(1))
+    encoded = bpe_tree.encode(df, RANKS, keep=("doc_id", "body"), leaf=32, batch_bytes=2000)
+    want = Counter((d, "own body", ids_of(encoding, t or "")) for d, t, _ in rows)
+    assert Counter((r.doc_id, r.body, bytes(r.ids)) for r in encoded.collect()) == want
+    decoded = bpe_tree.decode(encoded, RANKS, keep=("doc_id",))
+    assert Counter((r.doc_id, bytes(r.body)) for r in decoded.collect()) == Counter((d, (t or "").encode()) for d, t, _ in rows)
+    nothing = bpe_tree.encode(cases.table(spark, []), RANKS)
+    assert nothing.columns == ["doc_id", "ids"] and nothing.count() == 0
+    assert bpe_tree.decode(nothing, RANKS).count() == 0
+    null = spark.createDataFrame([(1, None)], "doc_id int, ids binary")
+    assert [tuple(r) for r in bpe_tree.decode(null, RANKS).collect()] == [(1, b"")]
+
+
+def cases_lit(value):
+    from pyspark.sql import functions as F
+
+    return F.lit(value)
+
+
+def test_registered_query_against_the_library(spark):
+    from scanweave.llm import catalogue
+
+    folder, encoding = "/root/testdata/sf0.001", library()
+    out = {r.doc_id: tuple(r)[1:] for r in catalogue.op12_bpe_tree(spark, folder).collect()}
+    for row in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        ids = ids_of(encoding, row.text or "")
+        hashes = hashlib.sha256(ids).hexdigest(), hashlib.sha256((row.text or "").encode()).hexdigest()
+        assert out.pop(row.doc_id) == (len(ids) // 4, *hashes)
+    assert not out
+
+
+# Spelling variants
+
+
+def plain_counts(rows):
+    found = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 5:
+                found[run] += 1
+    return {word: n for word, n in found.items() if n >= 3}
+
+
+def near(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(counts):
+    by_size = defaultdict(list)
+    for word in counts:
+        by_size[len(word)].append(word)
+    rows, forms = {}, {}
+    for word, n in counts.items():
+        around = [w for size in range(len(word) - 1, len(word) + 2) for w in by_size[size] if near(word, w)]
+        best = min(around, key=lambda w: (-counts[w], w), default=None)
+        form = best if best and counts[best] >= 2 * n else None
+        forms[word] = form
+        rows[word] = [form, n, len(around), counts[form] if form else None]
+    out = set()
+    for word, (form, n, n_near, form_n) in rows.items():
+        root = word
+        while forms[root]:
+            root = forms[root]
+        out.add((word, form, root, n, n_near, form_n))
+    return out
+
+
+def test_word_counts(spark):
+    rows = cases.odd_rows([(i, cases.prose(i, 300) + " Zürich ZÜRICH zürich straße×÷ÿ ĀbcdeĀ aBcDe_fghij", "a") for i in range(200)])
+    want = plain_counts(rows)
+    out = spelling.word_counts(cases.table(spark, rows)).collect()
+    assert {r.word: r.n for r in out} == want and len(out) == len(want) > 20
+    assert spelling.word_counts(cases.table(spark, [])).count() == 0
+    held = [r for b in spelling._counted(iter([pair_batch(rows)]), most=5) for r in zip(*b.to_pydict().values())]
+    total = Counter()
+    for word, n in held:
+        total[word] += n
+    assert {w: n for w, n in total.items() if n >= 3} == want
+
+
+def pair_batch(rows):
+    import pyarrow as pa
+
+    ids = pa.array(["" if d is None else str(d) for d, _, _ in rows], pa.string())
+    return pa.RecordBatch.from_arrays([ids, pa.array([(t or "").encode() for _, t, _ in rows], pa.binary())], ["id", "body"])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_variants_by_brute_force(spark, seed):
+    rng = random.Random(seed)
+    letters = ["ab", "abé", "abcdé÷", "aß"][seed]
+    counts = {}
+    for _ in range(700):
+        counts["".join(rng.choice(letters) for _ in range(rng.randint(5, 9)))] = rng.choice([3, 3, 4, 6, 7, 12, 30, 100, 1000])
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(3)
+    out = [tuple(r) for r in spelling.variants(frame).collect()]
+    assert len(out) == len(counts) and set(out) == plain_variants(counts)
+
+
+def test_pairs_come_once(spark):
+    words = ["aaaaa", "aaaaaa", "aaaaaaa", "abaaa", "baaaa", "aaaab", "aabaaa", "ababa", "babab"]
+    frame = spark.createDataFrame([(w, 3) for w in words], "word string, n long")
+    out = [frozenset((r.one, r.other)) for r in spelling.near_pairs(frame).collect()]
+    assert len(out) == len(set(out))
+    assert set(out) == {frozenset((a, b)) for a in words for b in words if a != b and near(a, b)}
+
+
+def test_long_paths_of_forms(spark):
+    """A chain of forms of any length ends at its root; ties go to the smaller word."""
+    counts = {"a" * i: 3 * 2 ** (i - 5) for i in range(5, 40)} | {"zzzzzy": 7, "zzzzzx": 7, "zzzzz": 3}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    out = {r.word: r for r in spelling.variants(frame).collect()}
+    assert set(map(tuple, out.values())) == plain_variants(counts)
+    assert out["aaaaa"].root == "a" * 39 and out["zzzzz"].form == "zzzzzx"
+
+
+def test_variants_of_nothing(spark):
+    assert spelling.variants(spark.createDataFrame([], "word string, n long")).count() == 0
+    alone = spark.createDataFrame([("lonely", 5)], "word string, n long")
+    assert [tuple(r) for r in spelling.variants(alone).collect()] == [("lonely", None, "lonely", 5, 0, None)]
+
+
+def test_registered_spelling_query(spark):
+    from scanweave.llm import catalogue
+
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    out = [tuple(r) for r in catalogue.op13_spelling_variants(spark, folder).collect()]
+    want = plain_variants(plain_counts(rows))
+    assert len(out) == len(want) and set(out) == want
