@@ -13,7 +13,8 @@ from scanweave.operators.contract import LOCATOR_CONTRACT, STRICT_CONTRACT
 from scanweave.operators.quality import CONFORMED_LOCATOR, published_checks
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch, run_batch_published
 from scanweave.session import build_session
-from scanweave.sources.messages import topic_messages
+from scanweave.sources.messages import MOST_OFFSETS, topic_messages
+from scanweave.sources.snapshots import KEPT_SNAPSHOTS
 from scanweave.streaming.monitor import await_first_end
 from scanweave.streaming.tracking import (
     TrackingSettings,
@@ -38,13 +39,14 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--require-event-time", action="store_true")
     stream.add_argument("--trigger", default=TRIGGER, help="time between batches")
     stream.add_argument("--read-twice", action="store_true", help="no landing of valid rows: read each topic twice")
-    stream.add_argument("--max-offsets", help="most messages per topic and batch")
+    stream.add_argument("--max-offsets", help=f"most messages per topic and batch, default {MOST_OFFSETS}")
     stream.add_argument("--hot-keys", nargs="*", default=[], metavar="LOCATOR:FLIGHT", help="fixed by the first run")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
     batch = jobs.add_parser("batch", help="load landed files, rebuild silver and gold, check them")
     batch.add_argument("--base", required=True, help="folder the streaming job writes to")
     batch.add_argument("--publish", nargs=2, metavar=("SILVER", "GOLD"), help="publish after checks")
+    batch.add_argument("--keep", type=int, default=KEPT_SNAPSHOTS, help="snapshots of silver and gold that stay readable")
     batch.add_argument("--conform-parents", action="store_true", help="cleanse bronze locators in the relationship check")
     return parser.parse_args(given)
 
@@ -57,9 +59,9 @@ def main(given: list[str] | None = None) -> None:
         bronze = load_bronze(spark, lake)
         checks = published_checks(CONFORMED_LOCATOR if arguments.conform_parents else None)
         if arguments.publish:
-            run_batch_published(bronze, lake, *arguments.publish, checks)
+            run_batch_published(bronze, lake, *arguments.publish, checks, arguments.keep)
         else:
-            run_batch(bronze, lake, checks)
+            run_batch(bronze, lake, checks, arguments.keep)
         return
 
     settings = TrackingSettings(

@@ -2,7 +2,9 @@
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType, StringType, TimestampType
 
@@ -21,10 +23,10 @@ from scanweave.schemas import (
     dead_letter_schema,
 )
 from scanweave.session import prepare, scratch_folder, session_conf
-from scanweave.sources import files, tables
+from scanweave.sources import files, snapshots, tables
 from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
-from scanweave.streaming.sinks import ONCE, start_partitioned_sink, start_shared_split
+from scanweave.streaming.sinks import ONCE, read_committed, start_partitioned_sink, start_shared_split, write_dated
 from scanweave.streaming.tracking import (
     TrackingSettings,
     ingest,
@@ -455,6 +457,50 @@ def failed_rebuild(spark, folder):
     raise AssertionError("the second run should have failed its check")
 
 
+def _side_by_side(spark, lake, state):
+    """Late rows and bags per gate by silver itself and by gold, both as one snapshot names them."""
+    at = snapshots.snapshot(spark, lake.base)
+    keys = ["flight_number", "passenger_gate"]
+    silver = tables.read_current(spark, lake.silver, at=at).groupBy(*keys).agg(
+        F.count_distinct("bag_tag_number").alias("silver_bags"), F.count_if("is_late_baggage_scan").alias("silver_late")
+    )
+    gold = tables.read_current(spark, lake.gold, at=at).select(
+        *keys, F.col("total_bags_tracked").alias("gold_bags"), F.col("total_late_bags").alias("gold_late")
+    )
+    return silver.join(gold, keys, "full").withColumn("state", F.lit(state))
+
+
+@registered
+def killed_rebuild(spark, folder):
+    """Silver and gold as readers find them after a run that ends between its tables and their commit, and after
+    the next run: both times both tables are of one run."""
+    lake = batch_run.Lake(scratch_folder(spark, "killed-rebuild"))
+    bronze = _stored_bronze(spark, lake.base, folder)
+    checks = quality.published_checks(quality.CONFORMED_LOCATOR)
+    batch_run.run_batch(bronze.filter("day <= 15"), lake, checks)
+    batch_run.build_tables(bronze, lake.silver, lake.gold, checks)  # both are written, neither is current
+    killed = _side_by_side(spark, lake, "after the kill")
+    batch_run.run_batch(bronze, lake, checks)
+    return killed.unionByName(_side_by_side(spark, lake, "after the next run"))
+
+
+@registered
+def retained_snapshots(spark, folder):
+    """Rows of silver per snapshot after four runs that keep two: the versions of the first two are gone."""
+    lake = batch_run.Lake(scratch_folder(spark, "retained"))
+    bronze = _stored_bronze(spark, lake.base, folder)
+    checks = quality.published_checks(quality.CONFORMED_LOCATOR)
+    for day in (7, 14, 21, 31):
+        batch_run.run_batch(bronze.filter(F.col("day") <= day), lake, checks, keep=2)
+    found = []
+    for number in snapshots.numbers(spark, lake.base):
+        at = snapshots.snapshot(spark, lake.base, number)
+        rows = tables.read_current(spark, lake.silver, at=at).agg(F.count("*").alias("silver_rows"))
+        versions = len(files.names(spark, lake.silver))
+        found.append(rows.select(F.lit(number).alias("snapshot"), "silver_rows", F.lit(versions).alias("versions")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @registered
 def backdated_arrival(spark, folder):
     """Files that arrive with times long before those already loaded are loaded all the same."""
@@ -593,6 +639,48 @@ def stream_shared_split(spark, folder):
     return counted[0].unionByName(counted[1]).withColumnRenamed("count", "messages")
 
 
+class _Killed(RuntimeError):
+    pass
+
+
+@registered
+def killed_split(spark, folder):
+    """Messages per output as readers find them after a batch that ends between its two writes, and after the next run:
+    first the batch is in neither output, then it is complete in both."""
+    base = scratch_folder(spark, "killed-split")
+    commits, early = f"{base}/commits", F.dayofmonth("ts") <= 15
+    events = derived.events(spark, folder)
+
+    def run(write=write_dated):
+        messages = text_messages(spark, f"{base}/passenger")
+        outputs = (f"{base}/valid", f"{base}/dead", f"{base}/checkpoint")
+        await_all([start_shared_split(messages, PASSENGER, *outputs, trigger=ONCE, commits=commits, write=write)])
+
+    def killed(rows, path):
+        if "/valid/" in path:
+            raise _Killed("between the writes")
+        write_dated(rows, path)
+
+    def found(state):
+        for output in ("valid", "dead"):
+            rows = read_committed(spark, f"{base}/{output}", commits, dead_letter_schema(PASSENGER))
+            counted = rows.groupBy(*DATE_PARTS).agg(F.count("*").alias("messages"))
+            yield counted.withColumns({"output": F.lit(output), "state": F.lit(state)})
+
+    _arrive(events.where(early), base, PASSENGER)
+    run()
+    _arrive(events.where(~early), base, PASSENGER)
+    try:
+        run(killed)
+    except StreamingQueryException:
+        # Written down now: what is read later would be what the next run leaves.
+        before = tables.rebuild(reduce(DataFrame.unionByName, found("after the kill")), f"{base}/found")
+    else:
+        raise AssertionError("the batch should have ended between its writes")
+    run()
+    return reduce(DataFrame.unionByName, [before, *found("after the next run")])
+
+
 def _tracking_settings(spark, lake):
     return TrackingSettings(
         base=lake.base,

@@ -127,6 +127,14 @@ _DAMAGED = """SELECT * REPLACE (CASE WHEN right(bag_tag_number, 1) <> '0' THEN p
     CASE WHEN flight_number <> 'AC109' THEN flight_number END AS flight_number) FROM """
 
 
+def _side_by_side(state: str, rows: str) -> str:
+    """Silver and gold agree: the same counts from the rows of one run."""
+    return f"""SELECT '{state}' AS state, flight_number, passenger_gate,
+      count(DISTINCT bag_tag_number) AS silver_bags, count(*) FILTER (WHERE is_late_baggage_scan) AS silver_late,
+      count(DISTINCT bag_tag_number) AS gold_bags, count(*) FILTER (WHERE is_late_baggage_scan) AS gold_late
+      FROM silver WHERE {rows} GROUP BY flight_number, passenger_gate"""
+
+
 def all_oracles() -> dict[str, str]:
     gold = f"WITH {_GOLD} SELECT * FROM gold"
     matched = f"WITH {_MATCHED} SELECT * FROM matched"
@@ -221,6 +229,11 @@ def all_oracles() -> dict[str, str]:
         "declared_table": bronze,
         "full_rebuild": silver,
         "failed_rebuild": silver,
+        "killed_rebuild": f"WITH {_SILVER} {_side_by_side('after the kill', 'day <= 15')}"
+        f" UNION ALL {_side_by_side('after the next run', 'true')}",
+        "retained_snapshots": f"""WITH {_SILVER} SELECT CAST(snapshot AS INTEGER) AS snapshot, count(*) AS silver_rows,
+            CAST(2 AS INTEGER) AS versions
+            FROM silver JOIN (VALUES (3, 21), (4, 31)) AS kept(snapshot, last_day) ON day <= last_day GROUP BY snapshot""",
         "backdated_arrival": bronze,
         "published_tables": gold,
         "stream_dedupe": f"WITH {_MATCHED} SELECT * FROM bags",
@@ -234,6 +247,12 @@ def all_oracles() -> dict[str, str]:
               SELECT CASE WHEN ok THEN 'valid' ELSE 'dead' END AS output, {_DAY_OF_EVENT}
               FROM judged WHERE NOT is_bag)
             SELECT output, year, month, day, count(*) AS messages FROM dated GROUP BY ALL""",
+        "killed_split": f"""WITH {_EVENTS}, dated AS (
+              SELECT CASE WHEN ok THEN 'valid' ELSE 'dead' END AS output, {_DAY_OF_EVENT}
+              FROM judged WHERE NOT is_bag)
+            SELECT state, output, year, month, day, count(*) AS messages
+            FROM dated JOIN (VALUES ('after the kill', 15), ('after the next run', 31)) AS kept(state, last_day)
+              ON day <= last_day GROUP BY ALL""",
         "end_to_end": gold,
         "end_to_end_read_once": gold,
     }

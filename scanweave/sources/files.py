@@ -1,8 +1,10 @@
 """Small text files on any file system Spark reaches, replaced as a whole."""
 
+import time
 import uuid
 from datetime import timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -12,21 +14,65 @@ def _located(spark: SparkSession, path: str):
     return system, system.makeQualified(target)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace the file: readers find the old text or the new one."""
-    jvm = spark._jvm
-    system, target = _located(spark, path)
-    beside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_new-{uuid.uuid4().hex}")
+def _write_beside(spark: SparkSession, system, target, text: str):
+    """The text in a hidden file of the target's folder."""
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_new-{uuid.uuid4().hex}")
     stream = system.create(beside)
     stream.write(bytearray(text.encode()))
     stream.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    return beside
+
+
+def _rename(spark: SparkSession, system, source, target, overwrite: bool) -> None:
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         system.getUri(), spark._jsc.hadoopConfiguration()
     )
-    context.rename(beside, target, options)
+    context.rename(source, target, options)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace the file: readers find the old text or the new one."""
+    system, target = _located(spark, path)
+    _rename(spark, system, _write_beside(spark, system, target, text), target, overwrite=True)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create the file with all its text, unless it exists; whether this call created it.
+
+    Of several callers one succeeds, on file systems whose rename refuses an existing target. A local
+    folder has no such rename; there a link takes its place.
+    """
+    system, target = _located(spark, path)
+    beside = _write_beside(spark, system, target, text)
+    try:
+        if target.toUri().getScheme() == "file":
+            paths = spark._jvm.java.nio.file.Path
+            own, goal = (paths.of(place.toUri()) for place in (beside, target))
+            spark._jvm.java.nio.file.Files.createLink(goal, own)
+        else:
+            _rename(spark, system, beside, target, overwrite=False)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        system.delete(beside, False)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all it holds; nothing if it is not there."""
+    system, target = _located(spark, path)
+    system.delete(target, True)
+
+
+def age(spark: SparkSession, path: str) -> timedelta:
+    """Time since the file or folder last changed."""
+    system, target = _located(spark, path)
+    return timedelta(milliseconds=time.time() * 1000 - system.getFileStatus(target).getModificationTime())
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -10,19 +10,25 @@ from scanweave.schemas import event_schema
 NO_AGE_LIMIT = "36500d"
 
 
+# Most messages of a topic in one batch, unless the caller says otherwise: the first batch of a long backlog is bounded too.
+MOST_OFFSETS = "5000000"
+
+
 def topic_messages(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options: str
 ) -> DataFrame:
     """Stream of one topic. Needs the Kafka connector package on the session.
 
     `starting` counts on the first run only; later runs resume from the checkpoint. Offsets that
-    have expired are skipped instead of failing the query.
+    have expired are skipped instead of failing the query. A batch takes at most `MOST_OFFSETS` messages
+    (`maxOffsetsPerTrigger`).
     """
     settings = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": MOST_OFFSETS,
     }
     return spark.readStream.format("kafka").options(**(settings | options)).load()
 

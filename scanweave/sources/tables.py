@@ -9,11 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from scanweave.constants import DATE_PARTS
-from scanweave.sources import files
 from scanweave.sources.messages import NO_AGE_LIMIT
-
-_POINTER = "_current"
-_VERSION = "v-"
+from scanweave.sources.snapshots import VERSION_PREFIX, Snapshot, commit, folder_and_name, snapshot
 
 
 def write_partitioned(
@@ -102,55 +99,78 @@ def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Staged:
     No shuffle: a table derived row by row keeps the layout of its input. If the write fails, readers
     keep the version they have; what it left behind is never read.
     """
-    version = f"{_VERSION}{uuid.uuid4().hex}"
+    version = f"{VERSION_PREFIX}{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
     return Staged(path, version, read_declared(df.sparkSession, f"{path}/{version}", df.schema))
 
 
-def make_current(spark: SparkSession, *staged: Staged) -> None:
-    """Let readers of each path see the staged version, by replacing one small pointer file."""
-    for one in staged:
-        files.write_text(spark, f"{one.path}/{_POINTER}", one.version)
-
-
-def current_path(spark: SparkSession, path: str) -> str:
-    """Folder of the current version of a rebuilt table."""
-    return f"{path}/{files.read_text(spark, f'{path}/{_POINTER}')}"
-
-
-def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The current version of a rebuilt table; a failed rebuild or check leaves it as it was."""
-    folder = current_path(spark, path)
+def make_current(
+    spark: SparkSession,
+    *staged: Staged,
+    names: Mapping[str, Mapping[str, str]] | None = None,
+    since: Snapshot | None = None,
+) -> Snapshot:
+    """Let readers see the staged versions of the tables of one folder, all at once (see `commit`)."""
+    bases = {folder_and_name(one.path)[0] for one in staged}
+    if len(bases) != 1:
+        raise ValueError(f"tables of one folder become current together, not of {sorted(bases)}")
+    versions = {folder_and_name(one.path)[1]: one.version for one in staged}
+    return commit(spark, *bases, versions, names, since)
+
+
+def current_path(spark: SparkSession, path: str, at: Snapshot | None = None) -> str:
+    """Folder of a rebuilt table's version in a snapshot of its folder, by default the latest."""
+    base, name = folder_and_name(path)
+    found = (at or snapshot(spark, base)).tables.get(name)
+    if not found:
+        raise FileNotFoundError(f"no version of {path} is current")
+    return f"{path}/{found}"
+
+
+def read_current(
+    spark: SparkSession, path: str, schema: StructType | None = None, at: Snapshot | None = None
+) -> DataFrame:
+    """The current version of a rebuilt table; a failed rebuild or check leaves it as it was.
+
+    Tables read at the same snapshot belong together, whatever becomes current meanwhile.
+    """
+    folder = current_path(spark, path, at)
     return read_declared(spark, folder, schema) if schema else spark.read.parquet(folder)
 
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the table at `path` and return it as written; superseded versions stay until removed."""
+    """Replace the table at `path` and return it as written; superseded versions stay until `expire`."""
     staged = stage(df, path, partition_by)
     make_current(df.sparkSession, staged)
     return staged.table
 
 
-def publish(spark: SparkSession, name: str, path: str, comment: str = "", register: str = "") -> None:
+def publish(spark: SparkSession, name: str, path: str, comment: str = "") -> None:
     """Point `name` at the table in `path`, in one catalog step. The table must hold files.
 
-    The session's catalog may end with the session. With `register`, a folder all sessions reach, the
-    name is also written there, and `attach` gives it to any later session.
+    The session's catalog may end with the session; names that became current with their tables
+    (`make_current`) are given to any later session by `attach`.
     """
     spark.sql(
         f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)} AS SELECT * FROM parquet.`{path}`"
     )
-    if register:
-        files.write_text(spark, f"{register}/{name}", f"{path}\n{comment}")
+
+
+def named(register: str, name: str, path: str, comment: str = "") -> dict[str, dict[str, str]]:
+    """The entry of a published name for `make_current`; `register` is a folder beside the table's."""
+    return {f"{folder_and_name(register)[1]}/{name}": {"table": folder_and_name(path)[1], "comment": comment}}
 
 
 def attach(spark: SparkSession, register: str) -> list[str]:
-    """Give this session all names written to `register`; returns them."""
-    names = files.names(spark, register)
-    for name in names:
-        path, _, comment = files.read_text(spark, f"{register}/{name}").partition("\n")
-        publish(spark, name, path, comment)
-    return names
+    """Give this session all names of `register`, over the tables of one snapshot; returns them."""
+    base, folder = folder_and_name(register)
+    at, attached = snapshot(spark, base), []
+    for entry, kept in sorted(at.names.items()):
+        where, _, name = entry.partition("/")
+        if where == folder:
+            publish(spark, name, current_path(spark, f"{base}/{kept['table']}", at), kept["comment"])
+            attached.append(name)
+    return attached
 
 
 def _quoted(text: str) -> str:
