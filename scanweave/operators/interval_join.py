@@ -111,7 +111,11 @@ def match_scans(
     thin: bool = True,
     spread_right: int = 1,
 ) -> DataFrame:
-    """Dedupe both event streams and match every bag scan with the boardings of its passenger."""
+    """Dedupe both event streams and match every bag scan with the boardings of its passenger.
+
+    Events without a time match nothing. They go before the dedupe, where no watermark would ever remove their keys.
+    """
+    baggage, passengers = (events.where(F.col(EVENT_TIME).isNotNull()) for events in (baggage, passengers))
     scans = drop_repeats(
         baggage.select(
             *("event_id", EVENT_TIME, *MATCH_KEYS),

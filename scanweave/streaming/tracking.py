@@ -53,6 +53,10 @@ class TrackingSettings:
         """Transit folder between a shared split and the match that follows it."""
         return f"{self.base}/accepted/{kind.lower()}"
 
+    def commits_path(self, kind: str) -> str:
+        """Record of the batches complete in both outputs of a shared split (see `read_committed`)."""
+        return f"{self.base}/committed/{kind.lower()}"
+
     @property
     def baggage_dead_path(self) -> str:
         return f"{self.base}/{BAGGAGE_DEAD_FOLDER}"
@@ -134,6 +138,7 @@ def start_shared_ingest(
             contract=settings.contract,
             trigger=settings.trigger,
             keep_raw=settings.keep_raw,
+            commits=settings.commits_path(kind),
         )
         for kind, (messages, dead_path) in inputs.items()
     }
@@ -147,15 +152,16 @@ def start_landed_match(
 ) -> StreamingQuery:
     """The second half: match the landed valid rows.
 
-    A batch the split had to repeat lands under new file names; its rows are then copies of events
-    seen before, which the dedupe removes. `clean_up` deletes landed files once they are matched.
+    A batch lands only after its dead letters are complete. One the split had to repeat lands under new file names,
+    its first files may vanish; its rows are then copies of events seen before, which the dedupe removes.
+    `clean_up` deletes landed files once they are matched.
     """
     landed = []
     for kind in (BAGGAGE, PASSENGER):
         path, schema = settings.accepted_path(kind), event_schema(kind)
         spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
         # Folders appear while the query runs; without partition columns its schema stays fixed.
-        options = {"recursiveFileLookup": "true", "maxFileAge": NO_AGE_LIMIT}
+        options = {"recursiveFileLookup": "true", "maxFileAge": NO_AGE_LIMIT, "ignoreMissingFiles": "true"}
         if clean_up:
             options["cleanSource"] = "delete"
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))

@@ -11,7 +11,7 @@ from scanweave.constants import BAGGAGE
 from scanweave.operators.interval_join import hot_keys
 from scanweave.plans.batch_run import Lake, load_bronze, run_batch
 from scanweave.schemas import BRONZE, dead_letter_schema
-from scanweave.sources.messages import text_messages
+from scanweave.sources.messages import decode_events, text_messages
 from scanweave.sources.tables import read_declared
 from scanweave.session import session_conf
 from scanweave.streaming.monitor import (
@@ -23,7 +23,8 @@ from scanweave.streaming.monitor import (
     rows_dropped_late,
     rows_in_state,
 )
-from scanweave.streaming.sinks import ONCE, start_shared_split
+from scanweave.streaming import sinks
+from scanweave.streaming.sinks import ONCE, read_committed, start_shared_split
 from scanweave.streaming.tracking import (
     TrackingSettings,
     start_landed_match,
@@ -119,7 +120,7 @@ def test_three_arrivals(spark, tmp_path, dealt):
         )
         if arrival[0]:
             assert WATERMARKS[number] in current_watermark(queries["valid"])
-    # the NULL-time keys of b4 and p2 are never evicted
+    # b4 and p2 have no time and are in no state
     dedupe_rows = [n for step, n in rows_in_state(queries["valid"]).items() if "dedupe" in step.lower()]
     assert len(dedupe_rows) == 2 and min(dedupe_rows) >= 1
     dead = read_declared(spark, settings.baggage_dead_path, dead_letter_schema(BAGGAGE))
@@ -193,6 +194,83 @@ def test_shared_split_replaces_a_repeated_batch(spark, tmp_path):
     assert "not json" in {row.raw_value for row in dead.collect()}
 
 
+def test_keys_without_a_time_stay_out_of_state(spark, tmp_path):
+    """Valid messages without an event time, which no watermark could ever remove."""
+    for number in range(3):
+        bags, boardings = [bag(f"b{number}{n}", "AAAAAA", None) for n in range(50)], [pax(f"p{number}", "AAAAAA", None)]
+        arrive(tmp_path, number, (bags, boardings))
+        settings, queries = start(spark, tmp_path)
+        await_all(queries.values())
+        assert set(rows_in_state(queries["valid"]).values()) == {0}
+        assert observed_rows(queries["valid"])["valid_baggage"] == 50
+    assert found(spark, settings) == []
+
+
+class Killed(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("at", ["dead", "valid", "record"])
+def test_a_batch_killed_between_its_writes_is_in_neither_output(spark, tmp_path, monkeypatch, at):
+    base = str(tmp_path)
+
+    def run(write=sinks.write_dated):
+        outputs = (f"{base}/valid", f"{base}/dead", f"{base}/checkpoint")
+        source = text_messages(spark, f"{base}/bag")
+        await_all([start_shared_split(source, BAGGAGE, *outputs, trigger=ONCE, commits=f"{base}/commits", write=write)])
+
+    def seen():
+        return [
+            read_committed(spark, f"{base}/{side}", f"{base}/commits", dead_letter_schema(BAGGAGE)).count()
+            for side in ("valid", "dead")
+        ]
+
+    def killed(rows, path):
+        if f"/{at}/" in path:
+            raise Killed
+        sinks.write_dated(rows, path)
+
+    arrive(tmp_path, 0, ARRIVALS[0])
+    run()
+    assert seen() == [5, 2]
+    arrive(tmp_path, 1, ([bag("b10", "AAAAAA", "12:00:00"), bag("b11", None, "12:00:00")], []))
+    with monkeypatch.context() as patch:
+        if at == "record":
+            patch.setattr(sinks, "write_text", lambda *_: killed(None, "/record/"))
+        with pytest.raises(StreamingQueryException):
+            run(killed)
+    spark.streams.resetTerminated()
+    assert seen() == [5, 2]
+    run()
+    assert seen() == [6, 3]
+
+
+def test_a_batch_on_record_is_not_written_again(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+    outputs = [str(tmp_path / name) for name in ("valid", "dead", "checkpoint")]
+
+    def run():
+        await_all([start_shared_split(text_messages(spark, str(tmp_path / "bag")), BAGGAGE, *outputs, trigger=ONCE)])
+        return sorted(path.name for path in (tmp_path / "valid").rglob("*.parquet"))
+
+    files = run()
+    for entry in (tmp_path / "checkpoint/commits").glob("*0*"):
+        entry.unlink()
+    assert run() == files
+
+
+def test_nothing_is_committed_before_the_first_batch(spark, tmp_path):
+    arrive(tmp_path, 0, ARRIVALS[0])
+    sinks.write_dated(ingest_rows(spark, tmp_path), str(tmp_path / "valid/query=q/batch_id=0"))
+    schema = dead_letter_schema(BAGGAGE)
+    assert read_committed(spark, str(tmp_path / "valid"), str(tmp_path / "commits"), schema).count() == 0
+
+
+def ingest_rows(spark, folder):
+    lines = spark.read.text(str(folder / "bag"))
+    return decode_events(lines, BAGGAGE)
+
+
 def test_three_arrivals_read_once(spark, tmp_path):
     settings = TrackingSettings(
         base=str(tmp_path / "lake"),
