@@ -15,8 +15,9 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "entropy")
 
 # Candidate strings: runs of 20 or more of these characters with a digit among them.
-ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 CANDIDATE = r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+# The runs alone: looking ahead for a digit from every place of a long run would cost its square.
+_RUN = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # Least bits per character of a window, by the narrowest class that holds the whole string.
 LEAST_BITS = {"hex": 2.9, "alphanumeric": 3.6, "encoded": 3.6}
@@ -31,6 +32,8 @@ ALLOWED = (
 ALLOWED_BEFORE = r"(?:sha1|sha256|sha384|sha512|md5|crc32|integrity)[-:=]$"
 
 _SCALE = 1_000_000
+# Elements of an array that are summed up one by one; longer arrays are summed block by block.
+_BLOCK = 128
 
 
 def _weight(count: int) -> int:
@@ -45,31 +48,88 @@ def most_weights() -> dict[str, int]:
     }
 
 
-_SPAN = "array<struct<start:int,stop:int,value:string,extra:string>>"
+_SPAN = "array<struct<start:int,stop:int,value:string,extra:string,before:string>>"
+
+
+def _given(value: Column, body) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, combine) -> Column:
+    """`combine` of each element with all before it, in linear time.
+
+    Appending to an array copies it, so only blocks grow element by element, and then the results of whole blocks.
+    """
+
+    def one_by_one(array):
+        start = F.array().cast("array<bigint>")
+        return F.aggregate(
+            array,
+            start,
+            lambda out, x: F.concat(
+                out, F.array(F.when(F.size(out) == 0, x).otherwise(combine(F.try_element_at(out, F.lit(-1)), x)))
+            ),
+        )
+
+    def whole(array):
+        last = F.floor((F.size(array) - 1) / _BLOCK).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), last), lambda b: one_by_one(F.slice(array, b * _BLOCK + 1, F.lit(_BLOCK)))
+        )
+        return F.when(F.size(array) > 0, _given(blocks, joined)).otherwise(array)
+
+    def joined(blocks):
+        ends = one_by_one(F.transform(blocks, lambda block: F.element_at(block, -1)))
+
+        def continued(ends):
+            def after(block, b):
+                return F.when(b == 0, block).otherwise(
+                    F.transform(block, lambda x: combine(F.get(ends, b - 1), x))
+                )
+
+            return F.flatten(F.transform(blocks, after))
+
+        return _given(ends, continued)
+
+    return _given(values.cast("array<bigint>"), whole)
 
 
 def _found(text: Column, pattern: str, group: int) -> Column:
-    """Matches with code-point places; `extra` is a group of the match."""
-    whole, part = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(
-        text, F.lit(pattern), F.lit(group)
-    )
+    """Matches with code-point places; `extra` is a group of the match, `before` the ten characters in front of it."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.split(text, pattern, -1)
     entries = F.zip_with(
         F.slice(gaps, F.lit(1), F.size(gaps) - 1),
         F.arrays_zip(whole.alias("value"), part.alias("extra")),
-        lambda gap, match: F.struct(F.length(gap).alias("gap"), match["value"].alias("value"), match["extra"].alias("extra")),
+        lambda gap, match: F.struct(
+            F.length(gap).alias("gap"),
+            F.right(gap, F.lit(10)).alias("near"),
+            F.length(match["value"]).alias("size"),
+            match["value"].alias("value"),
+            match["extra"].alias("extra"),
+        ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def add(state, entry):
-        begin = state["at"] + entry["gap"]
-        stop = begin + F.length(entry["value"])
-        span = F.struct(
-            begin.alias("start"), stop.alias("stop"), entry["value"].alias("value"), entry["extra"].alias("extra")
-        )
-        return F.struct(stop.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def placed(found):
+        def spans(stops):
+            def one(match, k):
+                earlier = F.when(k > 0, F.right(F.get(found, k - 1)["value"], F.lit(10))).otherwise("")
+                return F.struct(
+                    (F.get(stops, k) - match["size"]).cast("int").alias("start"),
+                    F.get(stops, k).cast("int").alias("stop"),
+                    match["value"].alias("value"),
+                    match["extra"].alias("extra"),
+                    F.right(F.concat(earlier, match["near"]), F.lit(10)).alias("before"),
+                )
+
+            return F.transform(found, one)
 
-    return F.aggregate(entries, start, add, lambda state: state["out"])
+        steps = F.transform(found, lambda match: match["gap"] + match["size"])
+        return _given(_running(steps, lambda a, b: a + b), spans)
+
+    return _given(entries, placed)
 
 
 def _none() -> Column:
@@ -79,12 +139,11 @@ def _none() -> Column:
 def hot_windows(value: Column) -> Column:
     """Starts of the windows of a candidate string whose entropy reaches the least bits of its class.
 
-    One pass over the characters: the one that enters the window and the one that leaves it change two
-    counts and the sum of their weights.
+    The character that enters a window and the one that leaves it change two counts and the sum of their weights; these
+    changes are added up along the string.
     """
     # One more than a window holds: a character enters before another leaves.
     weights = F.array(*(F.lit(_weight(c)).cast("long") for c in range(WINDOW + 2)))
-    codes = F.transform(F.split(value, ""), lambda letter: F.instr(F.lit(ALPHABET), letter) - 1)
     limits = most_weights()
     most = (
         F.when(value.rlike("^[0-9a-fA-F]+$"), F.lit(limits["hex"]))
@@ -93,73 +152,79 @@ def hot_windows(value: Column) -> Column:
         .cast("long")
     )
 
-    def change(state, code, by):
-        count = F.get(state["counts"], code)
-        counts = F.transform(state["counts"], lambda c, i: F.when(i == code, c + by).otherwise(c))
-        weight = state["weight"] + F.get(weights, count + by) - F.get(weights, count)
-        return F.struct(counts.alias("counts"), weight.alias("weight"), state["hot"].alias("hot"))
-
-    def scan(codes):
-        start = F.struct(
-            F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
-            F.lit(0).cast("long").alias("weight"),
-            F.array().cast("array<int>").alias("hot"),
-        )
+    def held(window, letter):
+        return F.length(window) - F.length(F.replace(window, letter, F.lit("")))
 
-        def step(state, i):
-            entered = change(state, F.get(codes, i), F.lit(1))
-            moved = F.when(i >= WINDOW, _given(entered, lambda s: change(s, F.get(codes, i - WINDOW), F.lit(-1)))).otherwise(
-                entered
-            )
-            return _given(
-                moved,
-                lambda s: F.struct(
-                    s["counts"].alias("counts"),
-                    s["weight"].alias("weight"),
-                    F.when(
-                        (i >= WINDOW - 1) & (s["weight"] <= most), F.concat(s["hot"], F.array(i - (WINDOW - 1)))
-                    )
-                    .otherwise(s["hot"])
-                    .alias("hot"),
-                ),
-            )
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda state: state["hot"])
-
-    return _given(codes, scan)
+    def changes(letters):
+        # Places of a byte array are reached at once; candidates are ASCII.
+        def at(i):
+            return F.substring(letters, i + 1, F.lit(1)).cast("string")
 
+        def change(i):
+            window = F.substring(letters, F.greatest(i - WINDOW, F.lit(0)) + 1, F.least(i, F.lit(WINDOW))).cast("string")
+            return _given(F.struct(window.alias("window"), at(i).alias("new")), lambda seen: moved(seen, i))
 
-def _given(value: Column, body) -> Column:
-    """`body` of a value that is worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+        def moved(seen, i):
+            new = held(seen["window"], seen["new"])
+            entered = F.get(weights, new + 1) - F.get(weights, new)
+
+            def left(old):
+                count = held(seen["window"], old) + (old == seen["new"]).cast("int")
+                return F.get(weights, count - 1) - F.get(weights, count)
+
+            return entered + F.when(i >= WINDOW, _given(at(i - WINDOW), left)).otherwise(F.lit(0).cast("long"))
+
+        return F.transform(F.sequence(F.lit(0), F.length(letters) - 1), change)
+
+    def low(found):
+        windows = F.sequence(F.lit(0), F.size(found["weights"]) - WINDOW)
+        return F.filter(windows, lambda i: F.get(found["weights"], i + (WINDOW - 1)) <= found["most"])
+
+    running = _running(_given(value.cast("binary"), changes), lambda a, b: a + b)
+    return _given(F.struct(running.alias("weights"), most.alias("most")), low)
+
+
+def allowed(value: Column) -> Column:
+    """Whether one of the rules of ALLOWED covers the whole string; no rule looks twice at a stretch of it."""
+    numbers = value.rlike("^[0-9]") & ~value.rlike("[^0-9/_=+-]") & ~value.rlike("[/_=+-]{2}")
+    names = value.rlike("^[0-9]*[a-z][a-z0-9/_-]*$") & ~value.rlike("[a-z][0-9]+[a-z]")
+    return value.rlike(f"^(?:{ALLOWED[0]})$") | value.rlike(ALLOWED[1].removeprefix(".*").removesuffix(".*")) | numbers | names
 
 
 def _entropy_spans(text: Column) -> Column:
     """Stretches of hot windows in candidate strings that no allow rule covers."""
-    found = _found(text, CANDIDATE, 0)
 
     def open_to_scan(span):
-        listed = F.lit(False)
-        for rule in ALLOWED:
-            listed = listed | span["value"].rlike(f"^(?:{rule})$")
-        before = F.substring(text, F.greatest(F.lit(1), span["start"] - 9), F.least(F.lit(10), span["start"]))
-        return ~listed & span["value"].rlike("[A-Za-z]") & ~before.rlike(ALLOWED_BEFORE)
+        both = span["value"].rlike("[0-9]") & span["value"].rlike("[A-Za-z]")
+        return both & ~allowed(span["value"]) & ~span["before"].rlike(ALLOWED_BEFORE)
 
     def stretches(span):
-        def grow(out, at):
-            begin, stop = span["start"] + at, span["start"] + at + WINDOW
-            last = F.element_at(out, -1)
-            joined = F.concat(
-                F.slice(out, F.lit(1), F.size(out) - 1),
-                F.array(_span(last["start"], stop)),
-            )
-            return F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["stop"] >= begin), joined).otherwise(
-                F.concat(out, F.array(_span(begin, stop)))
-            )
+        def merged(hot):
+            first = F.filter(hot, lambda at, k: (k == 0) | (at > F.get(hot, k - 1) + WINDOW))
+            last = F.filter(hot, lambda at, k: (k == F.size(hot) - 1) | (F.get(hot, k + 1) > at + WINDOW))
+            return F.zip_with(first, last, lambda a, b: _span(span["start"] + a, span["start"] + b + WINDOW))
+
+        return _given(hot_windows(span["value"]), merged)
+
+    return F.flatten(F.transform(F.filter(_found(text, _RUN, 0), open_to_scan), stretches))
+
 
-        return F.aggregate(hot_windows(span["value"]), _none(), grow)
+def _not_within(spans: Column, base: Column) -> Column:
+    """The spans that no base span covers. Sorted together, a span is covered if one that starts no later ends no earlier."""
+    marked = [
+        F.transform(array, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["stop"].alias("stop")))
+        for rank, array in ((0, base), (1, spans))
+    ]
+
+    def open_ones(both):
+        reach = F.transform(both, lambda s: F.when(s["rank"] == 0, s["stop"]).otherwise(-1))
+
+        def kept(reach):
+            return F.filter(both, lambda s, k: (s["rank"] == 1) & (F.get(reach, k) < s["stop"]))
 
-    return F.flatten(F.transform(F.filter(found, open_to_scan), stretches))
+        return F.transform(_given(_running(reach, F.greatest), kept), lambda s: _span(s["start"], s["stop"]))
+
+    return _given(F.array_sort(F.concat(*marked)), open_ones)
 
 
 def _span(start: Column, stop: Column) -> Column:
@@ -168,6 +233,7 @@ def _span(start: Column, stop: Column) -> Column:
         stop.cast("int").alias("stop"),
         F.lit(None).cast("string").alias("value"),
         F.lit(None).cast("string").alias("extra"),
+        F.lit(None).cast("string").alias("before"),
     )
 
 
@@ -195,7 +261,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     their character class, unless an allow rule covers the string or a base span covers the stretch.
 
     A null text is empty and has none. Repeated rows stay, null ids stay, no rows give none, other columns
-    are not read. All is row-local built-in functions; texts without any hint skip the exact steps.
+    are not read. All is row-local built-in functions; texts without any hint skip the exact steps. Every step is linear
+    in the text but for sorting its spans, whatever the length of a candidate and the number of matches.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column).alias("doc_id"), body.alias("text"))
@@ -207,17 +274,11 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
             "assign": F.when((col.contains("=") | col.contains(":")) & col.rlike(ASSIGN), assign).otherwise(_none()),
             "access": F.when(col.contains("AKIA"), access).otherwise(_none()),
             "hex": F.when(col.rlike(HEX), _found(col, HEX, 0)).otherwise(_none()),
-            "dense": F.when(col.rlike(CANDIDATE), _entropy_spans(col)).otherwise(_none()),
+            "dense": F.when(col.rlike(_RUN), _entropy_spans(col)).otherwise(_none()),
         }
     )
     base = F.concat("assign", "access", "hex")
-    rows = rows.withColumn(
-        "entropy",
-        F.filter(
-            "dense",
-            lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["stop"] >= s["stop"])),
-        ),
-    )
+    rows = rows.withColumn("entropy", F.when(F.size("dense") > 0, _not_within(F.col("dense"), base)).otherwise(_none()))
     return rows.select(
         "doc_id", "text", _named([(kind, F.col(kind)) for kind in KINDS]).alias("secrets")
     )
@@ -239,16 +300,23 @@ def secret_digest(found: DataFrame) -> DataFrame:
 
 
 def masked(text: Column, secrets: Column, mark: str = "*") -> Column:
-    """`text` with every character of a secret replaced by `mark`."""
-    return F.aggregate(
-        secrets,
-        text,
-        lambda out, s: F.concat(
-            F.substring(out, F.lit(1), s["start"]),
-            F.repeat(F.lit(mark), s["stop"] - s["start"]),
-            F.substring(out, s["stop"] + 1, F.length(out)),
-        ),
-    )
+    """`text` with every character of a secret (spans by start, as found) replaced by `mark`."""
+
+    def written(of):
+        # `hidden` reaches as far as the spans up to each one do; a span may lie within an earlier one.
+        def cut(k):
+            return F.when(k > 0, F.get(of["hidden"], k - 1)).otherwise(0).cast("int")
+
+        def piece(s, k):
+            clear = F.greatest(s["start"] - cut(k), F.lit(0))
+            stars = F.greatest(F.get(of["hidden"], k).cast("int") - F.greatest(s["start"], cut(k)), F.lit(0))
+            return F.concat(F.array_join(F.slice(of["letters"], cut(k) + 1, clear), ""), F.repeat(F.lit(mark), stars))
+
+        rest = F.slice(of["letters"], cut(F.size(secrets)) + 1, F.size(of["letters"]))
+        return F.concat(F.array_join(F.transform(secrets, piece), ""), F.array_join(rest, ""))
+
+    hidden = _running(F.transform(secrets, lambda s: s["stop"]), F.greatest)
+    return _given(F.struct(hidden.alias("hidden"), F.split(text, "").alias("letters")), written)
 
 
 def _sql(text: str) -> str:

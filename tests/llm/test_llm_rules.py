@@ -219,6 +219,59 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(cases.table(spark, [])).count() == 0
 
 
+def test_allow_rules_as_listed(spark):
+    """The rules as written and the checks that look at each character a few times only."""
+    rng = random.Random(5)
+    values = ["123e4567-e89b-12d3-a456-426614174000", "1" * 30 + "A", "a" + "-1" * 9 + "X", "2024-01-02", "a1b", "1", "-1", "a--b", "a1/b2_c3"]
+    for _ in range(4000):
+        some = rng.choice(["01-", "a1-", "ab1-_/", "aA1=+", "xX-1", "abcdefgh0123456789"])
+        values.append("".join(rng.choice(some) for _ in range(rng.randint(1, 14))))
+    values += ["q" + word + "9" for word in ("eXample", "0123456789", "abcdefgh", "ABCDEFGH", "xXxXxX", "xXxXx")]
+    out = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.allowed(F.col("v")).alias("ok")).collect()
+    assert {r.v: r.ok for r in out} == {v: any(re.fullmatch(rule, v) for rule in secret_scan.ALLOWED) for v in values}
+
+
+@pytest.mark.parametrize(
+    "text, counts",
+    [
+        ("base64", (0, 0, 0, 1)),
+        ("hex", (0, 0, 100_000, 0)),
+        ("assign", (30_000, 0, 0, 0)),
+        ("a" * (1 << 20) + " " + "ab" * (1 << 19), (0, 0, 2, 0)),
+        ("g" * (1 << 20), (0, 0, 0, 0)),
+        ("1" * 60 + "G" + " a-" + "11-" * 200_000 + "X", (0, 0, 1, 0)),
+        ("é" * (1 << 20) + " token=abcdefgh12", (1, 0, 0, 0)),
+    ],
+    ids=["base64", "hex", "assign", "letters", "one letter", "numbers", "other script"],
+)
+def test_very_long_texts(spark, text, counts):
+    """Long candidates and very many matches in one text take seconds; the old form of a run would take hours."""
+    rng = random.Random(6)
+    if text == "base64":
+        text = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1 << 20))
+    elif text == "hex":
+        text = " ".join(f"{rng.getrandbits(128):032x}" for _ in range(100_000))
+    elif text == "assign":
+        text = " ".join(f"token={rng.getrandbits(64):016x}" for _ in range(30_000))
+    found = secret_scan.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    row = secret_scan.secret_digest(found).first()
+    assert tuple(row)[1:5] == counts
+    base = re.findall("[0-9a-f]{32,}", text)
+    assert counts[2] == len(base) and row.n_hex == len(base)
+
+
+def test_masking_of_many_and_of_nested_spans(spark):
+    text = "é token=password=abcdefghij deadbeef " + " ".join(f"{n:032x}" for n in range(2000)) + " end"
+    found = secret_scan.find_secrets(spark.createDataFrame([(1, text), (2, "clear"), (3, None)], "doc_id long, text string"))
+    rows = found.select("doc_id", "text", "secrets", secret_scan.masked(F.col("text"), F.col("secrets")).alias("m")).collect()
+    for row in rows:
+        want = list(row.text)
+        for span in row.secrets:
+            want[span.start : span.stop] = "*" * (span.stop - span.start)
+        assert row.m == "".join(want)
+    assert sum(len(row.secrets) for row in rows) > 2000
+
+
 def test_masking(spark):
     rows = [(0, "token=abcdefghij!", "s")]
     found = secret_scan.find_secrets(cases.table(spark, rows))
