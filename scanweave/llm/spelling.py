@@ -53,59 +53,60 @@ def word_counts(docs: DataFrame, least: int = 3, id_column: str = "doc_id", text
     return rows.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _chunks(word: Column, size: Column) -> list[Column]:
-    """The two disjoint chunks of a word."""
-    half = F.floor(size / 2).cast("int")
-    return [word.substr(F.lit(1), half), word.substr(half + 1, size - half)]
+def _pieces(length: Column) -> list[tuple[Column, Column]]:
+    """Places (from 0, end exclusive) of the two halves of each of the two chunks of a word."""
+    middle = F.floor(length / 2).cast("int")
+    edges = [
+        F.lit(0),
+        F.floor(middle / 2).cast("int"),
+        middle,
+        middle + F.floor((length - middle) / 2).cast("int"),
+        length,
+    ]
+    return list(zip(edges, edges[1:]))
+
+
+def _grams(word: Column, size: Column, longer: int) -> list[Column]:
+    """For each piece of a word `longer` characters shorter: what this word holds around it (`gram`) and in it (`hole`)."""
+    length = size - longer
+    return [
+        F.struct(
+            length.alias("length"),
+            F.lit(i).alias("piece"),
+            F.concat(word.substr(F.lit(1), start), word.substr(end + (longer + 1), size)).alias("gram"),
+            word.substr(start + 1, end - start + longer).alias("hole"),
+        )
+        for i, (start, end) in enumerate(_pieces(length))
+    ]
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(`one`, `one_n`, `other`, `other_n`): all pairs of words an inserted, deleted or replaced character apart, once each.
 
     `words` holds different words and their `n`. Of a pair the shorter word (of equally long ones the smaller)
-    contributes two disjoint chunks, the other the positional grams of the chunks' lengths. One edit leaves a
-    chunk whole and moves it by the difference of lengths at most, so grams further away than that are not
-    written. Words meet where length, chunk and gram agree; the distance is checked within the join, so only
-    true pairs leave it, each from the first place where it is found.
+    contributes two disjoint chunks, the other the positional grams of their lengths. One edit leaves a chunk
+    whole: the first in place if the edit lies behind it, else the second, moved by the difference of lengths, so grams at
+    other places are not written. As many words share a chunk, the other chunk is halved in the same way: one half is whole
+    as well, and words meet where chunk and half both agree, that is in all but the quarter that holds the edit. What
+    is left, two strings of a few characters, is compared within the join, so only true pairs leave it.
+
+    An inserted character beside the border of two quarters is found in both; the first of them counts.
     """
     size = F.length("word").cast("int")
     sized = words.select("word", "n", size.alias("size"))
-    first, second = _chunks(F.col("word"), F.col("size"))
-    chunk = F.explode(F.array(*(F.struct(F.lit(i).alias("chunk"), part.alias("gram")) for i, part in enumerate((first, second)))))
-    short = sized.select(F.col("word").alias("one"), F.col("n").alias("one_n"), F.col("size").alias("length"), chunk.alias("at"))
-    short = short.select("one", "one_n", "length", "at.chunk", "at.gram")
-
-    grams = []
-    for less in (0, 1):
-        length = F.col("size") - less
-        half = F.floor(length / 2).cast("int")
-        for moved in range(less + 1):
-            for i, (start, width) in enumerate(((F.lit(1), half), (half + 1, length - half))):
-                gram = F.col("word").substr(start + moved, width)
-                grams.append(F.struct(length.alias("length"), F.lit(i).alias("chunk"), F.lit(moved).alias("moved"), gram.alias("gram")))
-    long = sized.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.explode(F.array(*grams)).alias("at"))
-    long = long.select("other", "other_n", "at.length", "at.chunk", "at.moved", "at.gram")
-
-    half = F.floor(F.col("length") / 2).cast("int")
-    seen = F.lit(False)
-    one, other = F.col("one"), F.col("other")
-    pairs = short.join(long, ["length", "chunk", "gram"])
-    longer = F.length("other") > F.col("length")
-
-    def agrees(i: int, moved: int) -> Column:
-        start, width = ((F.lit(1), half), (half + 1, F.col("length") - half))[i]
-        same = one.substr(start, width) == other.substr(start + moved, width)
-        return same & longer if moved else same
-
-    # Found before at an earlier chunk or place: such a pair is left to that one.
-    order = [(0, 0), (0, 1), (1, 0), (1, 1)]
-    for n, (i, moved) in enumerate(order):
-        here = (F.col("chunk") == i) & (F.col("moved") == moved)
-        before = F.lit(False)
-        for earlier in order[:n]:
-            before = before | agrees(*earlier)
-        seen = seen | (here & before)
-    return pairs.where((longer | (one < other)) & (F.levenshtein(one, other, 1) == 1) & ~seen).select("one", "one_n", "other", "other_n")
+    word, size = F.col("word"), F.col("size")
+    at = F.explode(F.array(*_grams(word, size, 0))).alias("at")
+    short = sized.select(word.alias("one"), F.col("n").alias("one_n"), at)
+    short = short.select("one", "one_n", "at.length", "at.piece", "at.gram", F.col("at.hole").alias("own"))
+    at = F.explode(F.array(*_grams(word, size, 0), *_grams(word, size, 1))).alias("at")
+    long = sized.select(word.alias("other"), F.col("n").alias("other_n"), size.alias("other_size"), at)
+    long = long.select("other", "other_n", "other_size", "at.length", "at.piece", "at.gram", "at.hole")
+
+    longer = F.col("other_size") > F.col("length")
+    earlier = longer & (F.col("piece") > 0) & F.col("hole").endswith(F.col("own"))
+    edited = F.levenshtein("own", "hole", 1) == 1
+    pairs = short.join(long, ["length", "piece", "gram"])
+    return pairs.where((longer | (F.col("one") < F.col("other"))) & edited & ~earlier).select("one", "one_n", "other", "other_n")
 
 
 def roots(forms: DataFrame) -> DataFrame:
