@@ -1,8 +1,13 @@
 """Licence notices and texts in documents, by Dice coefficient over word bigrams."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import math
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from functools import lru_cache
+from itertools import islice
 
-from scanweave.llm.tables import landed
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Licence notices and texts by SPDX identifier.
 TEMPLATES = (
@@ -116,172 +121,181 @@ BODIES = (
 )
 
 
-def normal_words(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
+_WORD = r"[\p{L}\p{N}]+"
+_FOUND = "array<struct<license:string,score:double,segment:string>>"
 
 
-def bigrams(words: Column) -> Column:
-    """Hash of every two neighbouring words."""
-    places = F.sequence(F.lit(0), F.size(words) - 2)
-    return F.when(
-        F.size(words) >= 2, F.transform(places, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
-    ).otherwise(F.array().cast("array<bigint>"))
+class LicenseFinder:
+    """Segments of texts whose word bigrams are close to a template, by the Dice coefficient of multisets, 2 * shared / (m + n).
 
-
-def template_bigrams(spark: SparkSession, templates, least: float) -> DataFrame:
-    """`bigram`, `times`, and of its template: `template`, `license`, `n` and the bounds `low`, `high`.
-
-    A segment of m bigrams can reach a Dice coefficient d with a template of n only if 2 min(m, n) >= d (m + n),
-    so m lies between n d / (2 - d) and n (2 - d) / d.
+    A segment of m bigrams can reach a coefficient d with a template of n only if 2 min(m, n) >= d (m + n), so m
+    lies between n d / (2 - d) and n (2 - d) / d: templates of other sizes are never compared with it.
     """
-    rows = spark.createDataFrame(
-        [(i, name, body) for i, (name, body) in enumerate(templates)], "template int, license string, body string"
-    )
-    rows = rows.withColumn("all", bigrams(normal_words(F.col("body")))).withColumn("n", F.size("all"))
-    rows = rows.withColumns(
-        {
-            "low": F.ceil(F.col("n") * least / (2 - least) - 1e-9),
-            "high": F.floor(F.col("n") * (2 - least) / least + 1e-9),
-        }
-    )
-    parts = rows.select("template", "license", "n", "low", "high", F.explode("all").alias("bigram"))
-    return parts.groupBy("template", "license", "n", "low", "high", "bigram").agg(F.count("*").alias("times"))
 
-
-def license_hits(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text: str = "text") -> DataFrame:
-    """`text_key` (MD5 of a text), `license`, `segment`, `score`: segments of texts close to a template.
-
-    Segments are the lines, the paragraphs (parted by an empty line) and the whole text. Those whose
-    number of bigrams suits no template are dropped before anything is compared; for the others the bigrams
-    shared with each template of fitting size are counted. The score is the Dice coefficient over
-    bigram multisets, 2 * shared / (m + n). The template table is a constant of this module and
-    bounded by it, so every task gets a copy.
+    def __init__(self, templates, least: float):
+        import regex
+
+        self.least = least
+        self.words_of = regex.compile(_WORD).findall
+        self.templates, self.holders = [], defaultdict(list)
+        for name, body in templates:
+            words = self.words_of(body.lower())
+            times = Counter(zip(words, words[1:]))
+            n = sum(times.values())
+            low, high = math.ceil(n * least / (2 - least) - 1e-9), math.floor(n * (2 - least) / least + 1e-9)
+            for bigram, count in times.items():
+                self.holders[bigram].append((len(self.templates), count))
+            self.templates.append((name, n, low, high, times))
+        self.lowest = min((low for _, _, low, _, _ in self.templates), default=0)
+
+    def split(self, text: str) -> tuple[list[str], set[tuple[int, int]]]:
+        """Words of a lower-case text, and the ranges of words of its lines, its paragraphs and the whole."""
+        words, ranges, same = [], set(), {}
+        for paragraph in text.split("\n\n"):
+            opened = len(words)
+            for line in paragraph.split("\n"):
+                start = len(words)
+                words += [same.setdefault(word, word) for word in self.words_of(line)]
+                ranges.add((start, len(words)))
+            ranges.add((opened, len(words)))
+        return words, ranges | {(0, len(words))}
+
+    def places(self, words: list[str]) -> dict[int, list[tuple[int, int]]]:
+        """By template: the places of its bigrams, each with the one before which a segment must start to share it.
+
+        A template that holds a bigram k times shares the k last of a segment at most; the place of the one k before
+        is where the earlier segment would have used them up.
+        """
+        found, seen = defaultdict(list), defaultdict(list)
+        holders = self.holders
+        for at, bigram in [(i, pair) for i, pair in enumerate(zip(words, words[1:])) if pair in holders]:
+            for template, times in holders[bigram]:
+                earlier = seen[template, bigram]
+                earlier.append(at)
+                found[template].append((at, earlier[-1 - times] if len(earlier) > times else -1))
+        return found
+
+    def whole(self, words: list[str], ranges: set[tuple[int, int]], places) -> dict[tuple[str, str], float]:
+        """Scores of (license, segment) for lines, paragraphs and the whole text."""
+        scores: dict[tuple[str, str], float] = {}
+        marks = sorted({at for found in places.values() for at, _ in found})
+        for start, end in ranges:
+            m = end - start - 1
+            if m < self.lowest or bisect_left(marks, end - 1) - bisect_left(marks, start) < self.least * m / 2:
+                continue
+            for template, found in places.items():
+                name, n, low, high, times = self.templates[template]
+                if low <= m <= high:
+                    here = found[bisect_left(found, (start,)) : bisect_left(found, (end - 1,))]
+                    if len(here) >= self.least * (m + n) / 2 - 1e-9:
+                        shared = sum((Counter((words[at], words[at + 1]) for at, _ in here) & times).values())
+                        score = 2 * shared / (m + n)
+                        if score >= self.least - 1e-9:
+                            key = name, " ".join(words[start:end])
+                            scores[key] = max(score, scores.get(key, 0.0))
+        return scores
+
+    def runs(self, words: list[str], places, whole=None) -> dict[tuple[str, str], float]:
+        """Scores of (license, segment) for the best run of words anywhere, the first of equals, of every licence.
+
+        A run that is part of a segment of `whole` (what matches as a line, a paragraph or a text) counts only if it
+        is of another licence and closer to it than that segment is to its own.
+
+        The best run of a template starts and ends with one of its bigrams. How many a run from a place can share at
+        most, that of the longest, slides along with the places; only runs that can be better than the best so far are
+        walked, and only until a longer one cannot be better.
+        """
+        outer = [(name, f" {segment} ", score) for (name, segment), score in (whole or {}).items()]
+        best: dict[str, tuple[float, str]] = {}
+        for template, found in places.items():
+            name, n, low, high, _ = self.templates[template]
+            # The place that counts once the one it waits for lies in front of the run.
+            waiting = {back: k for k, (_, back) in enumerate(found) if back >= 0}
+            most, end = 0, 0
+            for i, (first, _) in enumerate(found):
+                while end < len(found) and found[end][0] - first < high:
+                    most += found[end][1] < first
+                    end += 1
+                bound = 2 * most / (max(low, most) + n)
+                if bound >= self.least - 1e-9 and bound > best.get(name, (0.0,))[0]:
+                    score, size = self._walk(found, i, n, high, most)
+                    if score >= self.least - 1e-9 and score > best.get(name, (0.0,))[0]:
+                        segment = " ".join(words[first : first + size + 1])
+                        if not any(
+                            (name == other or score <= its + 1e-9) and f" {segment} " in text for other, text, its in outer
+                        ):
+                            best[name] = score, segment
+                most += (waiting.get(first, end) < end) - 1
+        return {(name, segment): score for name, (score, segment) in best.items()}
+
+    @staticmethod
+    def _walk(found: list[tuple[int, int]], start: int, n: int, high: int, most: int) -> tuple[float, int]:
+        """Best score of a run from a place, and its bigrams; the shortest of equals."""
+        first, shared, best, size = found[start][0], 0, 0.0, 0
+        for at, back in islice(found, start, None):
+            length = at - first + 1
+            if length > high or 2 * most <= best * (length + n):
+                break
+            shared += back < first
+            if 2 * shared / (length + n) > best:
+                best, size = 2 * shared / (length + n), length
+        return best, size
+
+
+@lru_cache(maxsize=4)
+def _finder(templates, least: float) -> LicenseFinder:
+    return LicenseFinder(templates, least)
+
+
+def _by_text(text: Column, templates, least: float, find) -> Column:
+    """`find(finder, words, ranges, places)` of every text as an array of (license, score, segment), best first, then by name.
+
+    The texts are lower-cased before they are handed to Python.
     """
-    spark = docs.sparkSession
-    table = landed(template_bigrams(spark, templates, least), "license-templates")
-    low, high = table.agg(F.min("low"), F.max("high")).first()
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
-    parts = F.array_distinct(F.concat(F.split("body", "\n"), F.split("body", "\n\n"), F.array("body")))
-    segments = rows.select("text_key", F.explode(parts).alias("segment"))
-    # A segment of k bigrams has at least 2 k + 1 characters.
-    segments = segments.where(F.length("segment") >= 2 * low + 1)
-    segments = segments.withColumn("words", normal_words(F.col("segment")))
-    segments = segments.where((F.size("words") - 1).between(low, high)).select(
-        "text_key",
-        (F.size("words") - 1).alias("m"),
-        F.array_join("words", " ").alias("segment"),
-        F.posexplode(bigrams(F.col("words"))).alias("at", "bigram"),
-    )
-    shared = (
-        segments.join(F.broadcast(table), "bigram")
-        .where(F.col("m").between(F.col("low"), F.col("high")))
-        .groupBy("text_key", "segment", "m", "template", "license", "n", "bigram", "times")
-        .agg(F.countDistinct("at").alias("seen"))
-        .groupBy("text_key", "segment", "m", "template", "license", "n")
-        .agg(F.sum(F.least("seen", "times")).alias("shared"))
-    )
-    score = 2 * F.col("shared") / (F.col("m") + F.col("n"))
-    return (
-        shared.withColumn("score", score)
-        .where(F.col("score") >= least - 1e-9)
-        .groupBy("text_key", "license", "segment")
-        .agg(F.max("score").alias("score"))
-    )
 
+    @F.arrow_udf(_FOUND)
+    def found(texts: pa.Array) -> pa.Array:
+        finder = _finder(tuple(templates), least)
+        lists = []
+        for one in texts:
+            words, ranges = finder.split(one.as_py())
+            places = finder.places(words)
+            scores = find(finder, words, ranges, places) if places else {}
+            ordered = sorted((-score, name, segment) for (name, segment), score in scores.items())
+            lists.append([{"license": name, "score": -minus, "segment": segment} for minus, name, segment in ordered])
+        return pa.array(lists, pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("segment", pa.string())])))
+
+    return found(F.lower(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _hits(docs: DataFrame, templates, least: float, text: str, find) -> DataFrame:
+    rows = docs.select(
+        F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_key"),
+        F.inline(_by_text(F.col(text), templates, least, find)),
+    )
+    return rows.select("text_key", "license", "segment", "score").distinct()
 
-def _exploded_bigrams(texts: DataFrame) -> DataFrame:
-    """`text_key`, `at`, `bigram` of the whole texts, in generated code; places and hashes as of `bigrams`.
 
-    A split text can only be empty at its two ends, so pairs with an empty word are dropped.
-    """
-    split = texts.select("text_key", F.split(F.lower("body"), r"[^\p{L}\p{N}]+").alias("words"))
-    places = F.when(F.size("words") >= 2, F.sequence(F.lit(0), F.size("words") - 2))
-    placed = split.select("text_key", "words", F.explode(places).alias("place"))
-    here, after = F.get("words", F.col("place")), F.get("words", F.col("place") + 1)
-    return placed.where((here != "") & (after != "")).select(
-        "text_key",
-        (F.col("place") - (F.get("words", F.lit(0)) == "").cast("int")).alias("at"),
-        F.xxhash64(here, after).alias("bigram"),
-    )
+def license_hits(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text: str = "text") -> DataFrame:
+    """`text_key` (MD5 of a text), `license`, `segment`, `score`: lines, paragraphs (parted by an empty line) and whole
+    texts close to a template."""
+    return _hits(docs, templates, least, text, lambda finder, words, ranges, places: finder.whole(words, ranges, places))
 
 
 def window_hits(
     docs: DataFrame, hits: DataFrame, templates=TEMPLATES + BODIES, least: float = 0.8, text: str = "text"
 ) -> DataFrame:
-    """`text_key`, `license`, `segment`, `score`: runs of words anywhere in texts that are close to a template.
-
-    The best run of a template starts and ends with one of its bigrams, and holds at least n d / (2 - d) of them
-    in at most n (2 - d) / d. Only places where bigrams are that dense are walked: from each, the shared
-    bigrams (multisets, as in `license_hits`) are counted to every possible end, and the best end is kept.
-
-    A run that is part of one of `hits` (segments that match as a whole) counts only if it is of another
-    licence and closer to it than the segment is to its own.
-    """
-    table = landed(template_bigrams(docs.sparkSession, templates, least), "license-window-templates")
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    texts = docs.select(F.md5(body).alias("text_key"), body.alias("body"))
-    of = ["text_key", "template", "license", "n", "low", "high"]
-    found = _exploded_bigrams(texts).join(F.broadcast(table), "bigram").groupBy(*of, "bigram", "times")
-    found = found.agg(F.sort_array(F.collect_set("at")).alias("places"))
-    # `back`: a bigram is shared by a run from there on only if the run starts behind that place.
-    found = found.withColumn(
-        "places",
-        F.transform(
-            "places",
-            lambda at, i: F.struct(
-                at.alias("at"), F.coalesce(F.get("places", i - F.col("times").cast("int")), F.lit(-1)).alias("back")
-            ),
-        ),
-    )
-    found = found.groupBy(*of).agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
-    low, high = F.col("low").cast("int"), F.col("high").cast("int")
-    found = found.where(F.size("places") >= low)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("places") - low),
-        lambda i: F.get("places", i + low - 1)["at"] - F.get("places", i)["at"] < high,
-    )
-    dense = found.withColumn("starts", starts).where(F.size("starts") > 0)
-    dense = dense.select(*of, "places", F.explode("starts").alias("i"))
-    dense = dense.select(
-        "text_key", "license", "n", F.get("places", F.col("i"))["at"].alias("first"), "high",
-        F.slice("places", F.col("i") + 1, high).alias("places"),
-    )
-
-    def walk(state, place):
-        size = place["at"] - F.col("first") + 1
-        shared = state["shared"] + (place["back"] < F.col("first")).cast("int")
-        score = F.when(size <= F.col("high"), 2 * shared / (size + F.col("n"))).otherwise(F.lit(0.0))
-        better = score > state["score"]
-        return F.struct(
-            shared.alias("shared"),
-            F.when(better, score).otherwise(state["score"]).alias("score"),
-            F.when(better, size).otherwise(state["size"]).alias("size"),
-        )
-
-    none = F.struct(F.lit(0).alias("shared"), F.lit(0.0).alias("score"), F.lit(0).alias("size"))
-    runs = dense.withColumn("best", F.aggregate("places", none, walk)).where(F.col("best.score") >= least - 1e-9)
-    runs = runs.select("text_key", "license", "first", "best.size", "best.score").distinct()
-    runs = landed(runs, "license-windows")
-
-    again = texts.join(runs.select("text_key").distinct(), "text_key", "left_semi")
-    again = again.groupBy("text_key").agg(F.first("body").alias("body"))
-    again = again.select("text_key", normal_words(F.col("body")).alias("words"))
-    # A run of m bigrams has m + 1 words.
-    runs = runs.join(again, "text_key").select(
-        "text_key", "license", F.array_join(F.slice("words", F.col("first") + 1, F.col("size") + 1), " ").alias("segment"), "score"
-    )
-    runs = runs.distinct()
+    """`text_key`, `license`, `segment`, `score`: the best run of words of each licence anywhere in texts, without those that
+    are part of one of `hits` and no better (see `LicenseFinder.runs`)."""
+    runs = _hits(docs, templates, least, text, lambda finder, words, ranges, places: finder.runs(words, places))
     whole = hits.select(
         "text_key", F.col("license").alias("whole_license"), F.col("segment").alias("whole"), F.col("score").alias("whole_score")
     )
     inside = F.concat(F.lit(" "), "whole", F.lit(" ")).contains(F.concat(F.lit(" "), "segment", F.lit(" ")))
     beaten = (F.col("license") == F.col("whole_license")) | (F.col("score") <= F.col("whole_score") + 1e-9)
-    runs = runs.alias("run").join(
+    return runs.alias("run").join(
         whole.alias("hit"), (F.col("run.text_key") == F.col("hit.text_key")) & inside & beaten, "left_anti"
     )
-    return runs.select("text_key", "license", "segment", "score")
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text: str = "text") -> DataFrame:
@@ -293,29 +307,23 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, least: float = 0.8, text
 
     Null and empty texts have none; repeated rows stay and get the same licences; no rows give none;
     columns may have any names. Several templates of one licence, and several segments that match it, count
-    as one licence with the best score (of segments that tie, the first in order of text).
+    as one licence with the best score (of segments that tie, one).
+
+    Each text is split once, where it was read: no shuffle, and other columns do not pass through Python. A very long text
+    costs a list of its words; work grows with its words and with the licence bigrams among them.
     """
-    segments = landed(license_hits(docs, templates, least, text), "license-segments")
-    more = BODIES if templates is TEMPLATES else ()
-    hits = segments.union(
-        window_hits(docs, segments, (*templates, *more), least, text).select(*segments.columns)
-    )
-    hits = hits.groupBy("text_key", "license").agg(
-        F.min(F.struct((-F.col("score")).alias("minus"), "segment")).alias("best")
-    )
-    lists = landed(
-        hits.groupBy("text_key").agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("best.minus", "license", "best.segment"))),
-                lambda e: F.struct(e["license"].alias("license"), (-e["minus"]).alias("score"), e["segment"].alias("segment")),
-            ).alias("licenses")
-        ),
-        "license-lists",
-    )
+    known = tuple(templates)
+    more = known + (BODIES if templates is TEMPLATES else ())
+
+    def find(finder, words, ranges, places):
+        few = finder.whole(words, ranges, {t: at for t, at in places.items() if t < len(known)})
+        best: dict[str, tuple[float, str]] = {}
+        for (name, segment), score in [*few.items(), *finder.runs(words, places, few).items()]:
+            best[name] = min(best.get(name, (0.0, "")), (-score, segment))
+        return {(name, segment): -minus for name, (minus, segment) in best.items()}
+
     rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    rows = rows.withColumn("text_key", F.md5(F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))))
-    none = F.array().cast(lists.schema["licenses"].dataType)
-    return rows.join(lists, "text_key", "left").select("row", F.coalesce("licenses", none).alias("licenses"))
+    return rows.select("row", _by_text(F.col("row").getField(text), more, least, find).alias("licenses"))
 
 
 def _quoted(text: str) -> str:

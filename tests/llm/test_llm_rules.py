@@ -159,6 +159,26 @@ def test_window_scores(spark):
     assert want and {(r.text_key, r.license): round(r.score, 9) for r in best.collect()} == want
 
 
+def test_licenses_of_very_long_texts(spark):
+    """A megabyte of notices, and words that all occur in licences but never in their order."""
+    rng = random.Random(8)
+    notices = " ".join(body for _, body in license_scan.TEMPLATES + license_scan.BODIES)
+    common = " ".join(rng.choice(["of", "the", "and", "to", "this", "software"]) for _ in range(200_000))
+    docs = spark.createDataFrame([(1, f"{notices} " * 100), (2, common), (3, "the " * 300_000)], "doc_id long, text string")
+    out = {r.row.doc_id: r.licenses for r in license_scan.scan_licenses(docs).collect()}
+    names = {name for name, _ in license_scan.TEMPLATES + license_scan.BODIES}
+    assert {x.license for x in out[1]} == names and all(x.score == 1.0 for x in out[1])
+    assert out[2] == out[3] == []
+
+
+def test_a_better_run_within_a_line_of_the_same_licence_does_not_count(spark):
+    line = "so released under the MIT License."
+    text = f"{line}\n{cases.prose(1, 50)}\n{cases.prose(2, 50)} released under the MIT license and more {cases.prose(3, 50)}"
+    docs = spark.createDataFrame([(1, f"{line}\nother words here"), (2, text)], "doc_id long, text string")
+    out = {r.row.doc_id: [(x.license, round(x.score, 6)) for x in r.licenses] for r in license_scan.scan_licenses(docs).collect()}
+    assert out == {1: [("MIT", round(8 / 9, 6))], 2: [("MIT", round(8 / 9, 6))]}
+
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
 )
