@@ -1,6 +1,6 @@
 """Benchmark decontamination: SimHash over item-sized windows, block index, exact check."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scanweave.llm.tables import landed
 
@@ -41,19 +41,43 @@ def _exploded_shingles(texts: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _given(value: Column, body) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def simhash(hashes: Column) -> Column:
     """64 bits, each set if it is set in more than half of the hashes, repeats counted."""
-    ones = F.transform(
-        F.sequence(F.lit(0), F.lit(_BITS - 1)),
-        lambda bit: F.aggregate(
-            hashes, F.lit(0), lambda total, h: total + F.getbit(h, bit).cast("int")
-        ),
-    )
-    return F.aggregate(
-        F.transform(ones, lambda n, bit: F.when(2 * n > F.size(hashes), _shifted(bit)).otherwise(F.lit(0).cast("long"))),
-        F.lit(0).cast("long"),
-        lambda out, part: out.bitwiseOR(part),
-    )
+
+    def fingerprint(hashes):
+        ones = F.transform(
+            F.sequence(F.lit(0), F.lit(_BITS - 1)),
+            lambda bit: F.aggregate(
+                hashes, F.lit(0), lambda total, h: total + F.getbit(h, bit).cast("int")
+            ),
+        )
+        return F.aggregate(
+            F.transform(ones, lambda n, bit: F.when(2 * n > F.size(hashes), _shifted(bit)).otherwise(F.lit(0).cast("long"))),
+            F.lit(0).cast("long"),
+            lambda out, part: out.bitwiseOR(part),
+        )
+
+    return _given(hashes, fingerprint)
+
+
+def weighted_features(hashes: Column) -> Column:
+    """A multiset of hashes as different features: the first occurrence of a hash is itself, further ones are hashed with
+    their number. Features that two multisets do not share then flip bits independently, also where a refrain differs."""
+
+    def numbered(ordered):
+        def feature(h, i):
+            number = i + 2 - F.array_position(ordered, h)
+            return F.when(number == 1, h).otherwise(F.xxhash64(h, number))
+
+        return F.transform(ordered, feature)
+
+    repeated = _given(F.array_sort(hashes), numbered)
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), hashes).otherwise(repeated)
 
 
 def _shifted(bit: Column) -> Column:
@@ -87,11 +111,27 @@ def item_shingles(benchmark: DataFrame, words: int = 5, id_column: str = "item_i
     rows = benchmark.select(F.col(id_column).alias("item_id"), body.alias("words"))
     rows = rows.select("item_id", shingle_hashes(F.col("words"), words).alias("hashes")).where(F.size("hashes") > 0)
     return landed(
-        rows.select("item_id", F.size("hashes").alias("n"), "hashes", simhash(F.col("hashes")).alias("fingerprint")),
+        rows.select("item_id", F.size("hashes").alias("n"), "hashes", simhash(weighted_features(F.col("hashes"))).alias("fingerprint")),
         "leak-items",
     )
 
 
+def rare_shingles(items: DataFrame, similarity: float) -> DataFrame:
+    """(`item_id`, `n`, `hash`): of every item its rarest shingles, so many that no window without any of them can be
+    that similar.
+
+    A window of similarity s shares s * n of an item's n shingles at least, repeats counted (of a text shorter than the
+    item too), so it holds one of any shingles that make up more than the rest. Rare is what few items of that size hold.
+    """
+    held = items.select("item_id", "n", F.explode("hashes").alias("hash")).groupBy("item_id", "n", "hash")
+    held = held.agg(F.count("*").alias("times"))
+    shared = held.groupBy("n", "hash").agg(F.count("*").alias("items"))
+    by_rarity = Window.partitionBy("item_id").orderBy("items", "hash")
+    before = F.sum("times").over(by_rarity.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = held.join(shared, ["n", "hash"]).withColumn("before", F.coalesce(before, F.lit(0)))
+    return ranked.where(F.col("before") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9)).select("item_id", "n", "hash")
+
+
 def _short_leaks(texts: DataFrame, benchmark: DataFrame, words: int) -> DataFrame:
     """Items of fewer than `words` words, found as their whole word sequence: the first place in every text."""
     body = plain_words(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -109,6 +149,25 @@ def _short_leaks(texts: DataFrame, benchmark: DataFrame, words: int) -> DataFram
     return found
 
 
+def _near_items(windows: DataFrame, items: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """(`text_key`, `n`, `start`, `item_id`): windows and items that share a rare shingle, within `radius` bits."""
+    window = ["text_key", "n", "start"]
+    rare = landed(rare_shingles(items, similarity), "leak-rare")
+    held = windows.select(*window, "fingerprint", F.explode(F.array_distinct("hashes")).alias("hash"))
+    pairs = held.join(rare, ["n", "hash"]).select(*window, "fingerprint", "item_id").distinct()
+    blocks = _BITS // _BLOCK_BITS
+    index = items.select("item_id", F.col("fingerprint").alias("item_print"), F.explode(_near_blocks(F.col("fingerprint"), radius // blocks)).alias("e"))
+    index = index.select("item_id", "item_print", "e.block", "e.value")
+    probes = pairs.select(*window, "item_id", "fingerprint", F.explode(_near_blocks(F.col("fingerprint"), 0)).alias("e"))
+    probes = probes.select(*window, "item_id", "fingerprint", "e.block", "e.value")
+    return (
+        probes.join(index, ["item_id", "block", "value"])
+        .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius)
+        .select(*window, "item_id")
+        .distinct()
+    )
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -123,9 +182,10 @@ def leaks(
     the item is one window of its whole length. A similarity s over the
     multisets of `words`-word shingles needs 2s / (1 + s) of the window's shingles to be shingles of items
     of that size (of a shorter text, s / (1 + s) of both lengths), so windows with fewer are dropped unseen. The others get a
-    SimHash fingerprint and meet the fingerprints of all items of their size through an index of
-    eight 8-bit blocks, which finds every pair within `radius` bits; the exact weighted
-    similarity of the shingles decides. Of each text and item the best window is kept, the first if several tie.
+    SimHash fingerprint of their shingles and occurrence numbers, and meet the items of their size with which they share
+    one of the item's rarest shingles, without which that similarity is out of reach. An index of eight 8-bit
+    blocks finds every such pair within `radius` bits; the exact weighted similarity of the shingles decides. Of
+    each text and item the best window is kept, the first if several tie.
 
     Items with fewer than `words` words are found as their whole word sequence. Copies of a text are one text
     here. Null and empty texts and items match nothing.
@@ -166,19 +226,9 @@ def leaks(
         (F.col("start") + F.col("n") <= F.size("all")) | ((F.size("all") < F.col("n")) & (F.col("start") == 0))
     )
     windows = windows.select("text_key", "n", "start", F.slice("all", F.col("start") + 1, F.col("n")).alias("hashes"))
-    windows = landed(windows.withColumn("fingerprint", simhash(F.col("hashes"))), "leak-prints")
+    windows = landed(windows.withColumn("fingerprint", simhash(weighted_features(F.col("hashes")))), "leak-prints")
 
-    blocks = _BITS // _BLOCK_BITS
-    index = items.select("item_id", "n", "fingerprint", F.explode(_near_blocks(F.col("fingerprint"), radius // blocks)).alias("e"))
-    index = index.select("item_id", "n", F.col("fingerprint").alias("item_print"), "e.block", "e.value")
-    probes = windows.select("text_key", "n", "start", "fingerprint", F.explode(_near_blocks(F.col("fingerprint"), 0)).alias("e"))
-    probes = probes.select("text_key", "n", "start", "fingerprint", "e.block", "e.value")
-    near = (
-        probes.join(index, ["n", "block", "value"])
-        .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select("text_key", "n", "start", "item_id")
-        .distinct()
-    )
+    near = _near_items(windows, items, similarity, radius)
     counted = (
         near.join(windows.select("text_key", "n", "start", "hashes"), ["text_key", "n", "start"])
         .select("text_key", "n", "start", "item_id", F.size("hashes").alias("size"), F.explode("hashes").alias("hash"))
@@ -225,27 +275,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
     return rows.join(lists, "text_key", "left").select("row", F.coalesce("leaks", none).alias("leaks"))
 
 
-#: DuckDB twin of the registered query: all windows of texts that hold enough shingles of an item, for texts
-#: as long as the item and items of five words and more.
+#: DuckDB twin of the registered query: all windows of texts that hold enough shingles of an item, without fingerprints.
 ORACLE = r"""
-WITH items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-ig AS (SELECT item_id, len(w) - 4 AS n, unnest(range(1, len(w) - 3)) AS i, w FROM items WHERE len(w) >= 5),
+WITH words_of AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+ig AS (SELECT item_id, len(w) - 4 AS n, unnest(range(1, len(w) - 3)) AS i, w FROM words_of WHERE len(w) >= 5),
 iw AS (SELECT item_id, n, list_slice(w, i, i + 4) AS g, count(*) AS times FROM ig GROUP BY ALL),
 t AS (SELECT DISTINCT coalesce(text, '') AS body FROM documents),
 tw AS (SELECT body, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') AS w FROM t),
 tg AS (SELECT body, unnest(range(1, len(w) - 3)) AS p, w FROM tw WHERE len(w) >= 5),
 ts AS (SELECT body, p, list_slice(w, p, p + 4) AS g FROM tg),
-hit AS (SELECT body, p, item_id, n FROM ts JOIN iw USING (g)),
-near AS (SELECT body, item_id, n, min(p) AS low, max(p) AS high FROM hit GROUP BY ALL HAVING count(*) >= 8.0 / 9 * n - 1e-9),
 len_of AS (SELECT body, max(p) AS last FROM ts GROUP BY body),
-win AS (SELECT body, item_id, n, unnest(range(greatest(1, low - n + 1), least(high, last - n + 1) + 1)) AS a
-        FROM near JOIN len_of USING (body)),
-cnt AS (SELECT win.body, win.item_id, win.n, a, ts.g, count(*) AS seen
-        FROM win JOIN ts ON ts.body = win.body AND ts.p BETWEEN a AND a + win.n - 1 GROUP BY ALL),
-sim AS (SELECT body, cnt.item_id, cnt.n, a, sum(least(seen, times)) AS shared
+hit AS (SELECT body, p, item_id, n, last FROM ts JOIN iw USING (g) JOIN len_of USING (body)),
+near AS (SELECT body, item_id, n, last, least(n, last) AS size, min(p) AS low, max(p) AS high FROM hit
+         GROUP BY ALL HAVING count(*) >= 0.8 / 1.8 * (n + least(n, last)) - 1e-9),
+win AS (SELECT body, item_id, n, size, unnest(range(greatest(1, low - size + 1), least(high, last - size + 1) + 1)) AS a FROM near),
+cnt AS (SELECT win.body, win.item_id, win.n, size, a, ts.g, count(*) AS seen
+        FROM win JOIN ts ON ts.body = win.body AND ts.p BETWEEN a AND a + size - 1 GROUP BY ALL),
+sim AS (SELECT body, cnt.item_id, cnt.n, size, a, sum(least(seen, times)) AS shared
         FROM cnt JOIN iw ON iw.item_id = cnt.item_id AND iw.g = cnt.g GROUP BY ALL),
-best AS (SELECT body, item_id, max(shared / (2.0 * n - shared)) AS similarity FROM sim GROUP BY ALL
-         HAVING max(shared / (2.0 * n - shared)) >= 0.8 - 1e-9),
+short_items AS (SELECT item_id, w, len(w) AS k FROM words_of WHERE len(w) BETWEEN 1 AND 4),
+short_runs AS (SELECT DISTINCT body, k, list_slice(w, p, p + k - 1) AS w FROM (
+    SELECT body, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM tw, (SELECT DISTINCT k FROM short_items))),
+best AS (SELECT body, item_id, max(shared / (1.0 * n + size - shared)) AS similarity FROM sim GROUP BY ALL
+         HAVING max(shared / (1.0 * n + size - shared)) >= 0.8 - 1e-9
+         UNION ALL SELECT body, item_id, 1.0 FROM short_runs JOIN short_items USING (k, w)),
 l AS (SELECT body, count(*) AS k, string_agg(item_id, ',' ORDER BY item_id) AS items, max(similarity) AS top FROM best GROUP BY body)
 SELECT doc_id, k IS NOT NULL AS contaminated, coalesce(k, 0)::BIGINT AS n_items, coalesce(items, '') AS items,
   round(top, 6) AS best_similarity

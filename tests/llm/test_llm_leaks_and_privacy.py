@@ -1,12 +1,13 @@
 """Benchmark decontamination and surrogates against plain versions."""
 
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import cases
 import pytest
 from pyspark.sql import functions as F
-from scanweave.llm import surrogates
+from scanweave.llm import decontaminate, surrogates
 from scanweave.llm.decontaminate import contaminated
 
 
@@ -78,6 +79,60 @@ def test_leaks_of_texts_shorter_than_the_item_and_of_short_items(spark):
     }
 
 
+@pytest.mark.parametrize("refrain, length", [(14, 132), (24, 224), (4, 40)])
+def test_refrains_that_differ(spark, refrain, length):
+    """Item and text differ in one shingle that both repeat; fingerprints of plain counts lie far apart there."""
+    items, rows = [], []
+    for i in range(60):
+        base = " ".join(f"w{i}x{k}" for k in range(length - refrain))
+        items.append((i, base + f" la{i}" * refrain))
+        rows.append((i, f"{cases.prose(i, 30)} {base}" + f" li{i}" * refrain, "a"))
+    want = plain_leaks(rows, items)
+    assert all(found for _, found in want)
+    out = contaminated(cases.table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((r.row.doc_id, tuple((x.item_id, round(x.similarity, 9)) for x in r.leaks)) for r in out) == want
+
+
+def test_weighted_features(spark):
+    rows = [([5, 7, 5, 5, 9, 7],), ([3, 1, 2],), ([],), ([4, 4],)]
+    out = spark.createDataFrame(rows, "h array<long>").select("h", decontaminate.weighted_features(F.col("h")).alias("f")).collect()
+    for h, f in out:
+        assert len(f) == len(set(f)) == len(h) and set(h) <= set(f)
+    assert {r.f[-1] for r in out if r.h == [4, 4]} <= {x for r in out for x in r.f}
+
+
+def test_windows_without_a_rare_shingle_are_not_similar(spark):
+    """Of any multiset at the least similarity, one member at least is a rare shingle of the item."""
+    rng = random.Random(2)
+    items = [(i, [rng.choice(range(12)) for _ in range(rng.randint(1, 20))]) for i in range(60)]
+    frame = spark.createDataFrame([(i, len(h), h) for i, h in items], "item_id int, n int, hashes array<long>")
+    rare = defaultdict(set)
+    for row in decontaminate.rare_shingles(frame, 0.8).collect():
+        rare[row.item_id].add(row.hash)
+    for i, hashes in items:
+        for _ in range(200):
+            other = list(hashes)
+            for _ in range(rng.randint(0, 4)):
+                other[rng.randrange(len(other))] = rng.choice(range(14))
+            shared = sum((Counter(other) & Counter(hashes)).values())
+            if shared / (2 * len(hashes) - shared) >= 0.8 - 1e-9:
+                assert rare[i] & set(other)
+
+
+def test_few_items_are_tried(spark):
+    """Of very many items of one size with a common opening, a window is compared with those it shares rare words with."""
+    opening = " ".join(f"common{k}" for k in range(20))
+    bodies = [f"{opening} {' '.join(f'own{i}x{k}' for k in range(40))}" for i in range(400)]
+    benchmark = spark.createDataFrame(list(enumerate(bodies)), "item_id int, text string")
+    items = decontaminate.item_shingles(benchmark)
+    windows = items.select(F.lit("t").alias("text_key"), "n", F.col("item_id").alias("start"), "hashes", "fingerprint")
+    rare = decontaminate.rare_shingles(items, 0.8)
+    pairs = windows.select("start", F.explode("hashes").alias("hash"), "n").join(rare, ["n", "hash"]).select("start", "item_id").distinct()
+    assert pairs.count() == 400
+    near = decontaminate._near_items(windows, items, 0.8, 23).collect()
+    assert {(r.start, r.item_id) for r in near} == {(i, i) for i in range(400)}
+
+
 def test_no_leaks_without_items_or_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = cases.table(spark, cases.odd_rows())
