@@ -41,6 +41,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--read-twice", action="store_true", help="no landing of valid rows: read each topic twice")
     stream.add_argument("--max-offsets", help=f"most messages per topic and batch, default {MOST_OFFSETS}")
     stream.add_argument("--hot-keys", nargs="*", default=[], metavar="LOCATOR:FLIGHT", help="fixed by the first run")
+    stream.add_argument("--learn-hot-keys", type=float, metavar="SHARE", help="deal keys above this share of the scans, not with --read-twice; as in the first run")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
     batch = jobs.add_parser("batch", help="load landed files, rebuild silver and gold, check them")
@@ -81,7 +82,7 @@ def main(given: list[str] | None = None) -> None:
     if arguments.read_twice:
         queries = [*start_tracking(baggage, passengers, settings, hot).values()]
     else:
-        queries = [*start_shared_ingest(baggage, passengers, settings).values()]
+        queries = [*start_shared_ingest(baggage, passengers, settings, hot).values()]
         queries.append(start_landed_match(spark, settings, hot, clean_up=True))
     await_first_end(queries)
 

@@ -17,6 +17,8 @@ from scanweave.functions import time_cell
 from scanweave.operators.dedupe import drop_repeats
 
 MAX_HOT_KEYS = 10_000
+# Columns of rows dealt beforehand: a left row's lane, and the number of lanes a right row is listed in, from 0 on.
+LANE, LANES = "_lane", "_lanes"
 
 
 def interval_join(
@@ -31,6 +33,7 @@ def interval_join(
     hot: Sequence[Row] = (),
     spread: int = 32,
     spread_right: int = 1,
+    dealt: bool = False,
 ) -> DataFrame:
     """Pairs with equal keys and `right_time - before <= left_time <= right_time + after`.
 
@@ -43,7 +46,7 @@ def interval_join(
     such step; pass `hot` (see `hot_keys`) to deal the left rows of those keys over `spread` lanes,
     with their right rows repeated in each lane. With `spread_right`, right rows are dealt over so many
     lanes as well and left rows repeated in them: a grid, for keys heavy on both sides. A pair still
-    meets once.
+    meets once. With `dealt`, rows say themselves which lanes they belong to (`LANE`, `LANES`).
 
     Other columns must not share names. On streams, both times need watermarks; Spark derives the
     state clean-up from the time condition.
@@ -53,7 +56,10 @@ def interval_join(
     meet = [*keys, "_cell"]
     if hot:
         left, right = _deal_hot_keys(left, right, keys, hot, spread, spread_right)
-        meet.append("_lane")
+        meet.append(LANE)
+    elif dealt:
+        right = right.withColumn(LANE, F.explode(F.sequence(F.lit(0), F.col(LANES) - 1))).drop(LANES)
+        meet.append(LANE)
 
     low = F.col(right_time) - F.lit(before)
     high = F.col(right_time) + F.lit(after)
@@ -110,6 +116,7 @@ def match_scans(
     spread: int = 32,
     thin: bool = True,
     spread_right: int = 1,
+    dealt: bool = False,
 ) -> DataFrame:
     """Dedupe both event streams and match every bag scan with the boardings of its passenger.
 
@@ -121,13 +128,16 @@ def match_scans(
             *("event_id", EVENT_TIME, *MATCH_KEYS),
             "bag_tag_number",
             F.col("location_id").alias("baggage_location"),
+            *([LANE] if dealt else []),
         ),
         lateness=lateness,
         thin=thin,
     ).withColumnRenamed(EVENT_TIME, "baggage_time")
     boardings = drop_repeats(
         passengers.select(
-            *("event_id", EVENT_TIME, *MATCH_KEYS), F.col("gate_id").alias("passenger_gate")
+            *("event_id", EVENT_TIME, *MATCH_KEYS),
+            F.col("gate_id").alias("passenger_gate"),
+            *([LANES] if dealt else []),
         ),
         lateness=lateness,
         thin=thin,
@@ -144,6 +154,7 @@ def match_scans(
         hot=hot,
         spread=spread,
         spread_right=spread_right,
+        dealt=dealt,
     )
     return matched.select(
         *MATCH_KEYS,

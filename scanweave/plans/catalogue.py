@@ -1,6 +1,7 @@
 """The registered queries: each takes a session and a table folder and returns a DataFrame."""
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 from functools import reduce
 
@@ -639,6 +640,24 @@ def stream_shared_split(spark, folder):
     return counted[0].unionByName(counted[1]).withColumnRenamed("count", "messages")
 
 
+@registered
+def stream_hot_keys_learnt(spark, folder):
+    """Three arrivals; from the second on a passenger holds a third of both sides. The job finds out while it runs, and deals
+    that passenger's scans from the next epoch on."""
+    lake = batch_run.Lake(scratch_folder(spark, "learnt"))
+    settings = replace(_tracking_settings(spark, lake), learn_share=0.1, spread=4)
+    crowd = (F.pmod("event_id", F.lit(3)) == 0) & (F.dayofmonth("ts") > 10)
+    events = derived.events(spark, folder).withColumn("user_id", F.when(crowd, F.lit(25)).otherwise(F.col("user_id")))
+    day = F.dayofmonth("ts")
+    for arrival in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        for kind in (BAGGAGE, PASSENGER):
+            _arrive(events.where(arrival), lake.base, kind)
+        sources = [text_messages(spark, f"{lake.base}/{kind.lower()}") for kind in (BAGGAGE, PASSENGER)]
+        await_all(start_shared_ingest(*sources, settings).values())
+        await_all([start_landed_match(spark, settings)])
+    return tables.read_declared(spark, settings.valid_path, BRONZE).drop(*DATE_PARTS)
+
+
 class _Killed(RuntimeError):
     pass
 

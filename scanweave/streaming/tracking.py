@@ -18,11 +18,12 @@ from scanweave.constants import (
     VALID_FOLDER,
 )
 from scanweave.operators.contract import LOCATOR_CONTRACT, Contract, Split, split_by_contract
-from scanweave.operators.interval_join import check_hot_keys, match_scans
+from scanweave.operators.interval_join import LANE, LANES, check_hot_keys, match_scans
 from scanweave.operators.tables import with_date_parts
 from scanweave.schemas import JOINED, event_schema
 from scanweave.session import session_conf
 from scanweave.sources.messages import NO_AGE_LIMIT, decode_events
+from scanweave.streaming.lanes import BoardingLanes, ScanLanes, seeds
 from scanweave.streaming.sinks import EVERY_MINUTE, start_partitioned_sink, start_shared_split
 
 
@@ -32,6 +33,9 @@ class TrackingSettings:
 
     `state_partitions` is frozen into the checkpoint by the first run; choose it for the cluster,
     not for the day. Unset, the session's shuffle partitions count.
+
+    With `learn_share`, a job that reads each topic once deals keys that hold more than that share of the scans over
+    `spread` lanes from when it sees them (see `lanes`). Set it from the first start of a checkpoint on, or never.
     """
 
     base: str
@@ -44,6 +48,7 @@ class TrackingSettings:
     thin: bool = True
     files_per_day: int | None = 4
     spread: int = 32
+    learn_share: float | None = None
 
     @property
     def valid_path(self) -> str:
@@ -57,6 +62,11 @@ class TrackingSettings:
         """Record of the batches complete in both outputs of a shared split (see `read_committed`)."""
         return f"{self.base}/committed/{kind.lower()}"
 
+    @property
+    def lanes_path(self) -> str:
+        """Hot keys learnt so far and the epochs of their lanes."""
+        return f"{self.base}/lanes"
+
     @property
     def baggage_dead_path(self) -> str:
         return f"{self.base}/{BAGGAGE_DEAD_FOLDER}"
@@ -118,12 +128,18 @@ def start_tracking(
 
 
 def start_shared_ingest(
-    baggage_messages: DataFrame, passenger_messages: DataFrame, settings: TrackingSettings
+    baggage_messages: DataFrame, passenger_messages: DataFrame, settings: TrackingSettings, hot: Sequence[Row] = ()
 ) -> dict[str, StreamingQuery]:
     """The first half of a tracking job that reads and parses each topic once instead of twice.
 
-    Per topic, one query writes dead letters and lands the valid rows for `start_landed_match`.
+    Per topic, one query writes dead letters and lands the valid rows for `start_landed_match`. With `learn_share`
+    it also deals them; `hot` are keys to deal from the beginning.
     """
+    deal = {}
+    if settings.learn_share:
+        check_hot_keys(hot)
+        deal[BAGGAGE] = ScanLanes(settings.lanes_path, settings.learn_share, settings.spread, seed=seeds(hot))
+        deal[PASSENGER] = BoardingLanes(settings.lanes_path)
     inputs = {
         BAGGAGE: (baggage_messages, settings.baggage_dead_path),
         PASSENGER: (passenger_messages, settings.passenger_dead_path),
@@ -139,6 +155,7 @@ def start_shared_ingest(
             trigger=settings.trigger,
             keep_raw=settings.keep_raw,
             commits=settings.commits_path(kind),
+            deal=deal.get(kind),
         )
         for kind, (messages, dead_path) in inputs.items()
     }
@@ -157,16 +174,19 @@ def start_landed_match(
     `clean_up` deletes landed files once they are matched.
     """
     landed = []
-    for kind in (BAGGAGE, PASSENGER):
+    for kind, lane in ((BAGGAGE, LANE), (PASSENGER, LANES)):
         path, schema = settings.accepted_path(kind), event_schema(kind)
+        if settings.learn_share:
+            schema = StructType([*schema.fields, StructField(lane, IntegerType())])
         spark.createDataFrame([], schema).write.mode("append").parquet(path)  # the folder must exist
         # Folders appear while the query runs; without partition columns its schema stays fixed.
         options = {"recursiveFileLookup": "true", "maxFileAge": NO_AGE_LIMIT, "ignoreMissingFiles": "true"}
         if clean_up:
             options["cleanSource"] = "delete"
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
-    fixed, spread = _fixed_hot_keys(spark, settings, hot)
-    matched = match_scans(*landed, settings.lateness, hot=fixed, spread=spread, thin=settings.thin)
+    fixed, spread = ((), 1) if settings.learn_share else _fixed_hot_keys(spark, settings, hot)
+    dealt = bool(settings.learn_share)
+    matched = match_scans(*landed, settings.lateness, hot=fixed, spread=spread, thin=settings.thin, dealt=dealt)
     with _state_partitions(spark, settings):
         return start_partitioned_sink(
             with_date_parts(matched, "baggage_time"),
