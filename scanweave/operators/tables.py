@@ -53,6 +53,11 @@ def performance(silver: DataFrame) -> DataFrame:
         F.count_if("is_late_baggage_scan").alias("total_late_bags"),
         F.max("baggage_time").alias("last_processed_at"),
     )
+    return with_rate(per_gate)
+
+
+def with_rate(per_gate: DataFrame) -> DataFrame:
+    """Add the late share of the bags in percent, 0 without bags."""
     bags = F.col("total_bags_tracked")
     quotient = (F.col("total_late_bags") / bags).cast("decimal(18,6)")
     rate = F.when(bags > 0, F.round(quotient * 100, 2)).otherwise(F.lit(0))

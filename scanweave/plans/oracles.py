@@ -229,6 +229,7 @@ def all_oracles() -> dict[str, str]:
         "declared_table": bronze,
         "full_rebuild": silver,
         "failed_rebuild": silver,
+        "gold_from_parts": gold,
         "killed_rebuild": f"WITH {_SILVER} {_side_by_side('after the kill', 'day <= 15')}"
         f" UNION ALL {_side_by_side('after the next run', 'true')}",
         "retained_snapshots": f"""WITH {_SILVER} SELECT CAST(snapshot AS INTEGER) AS snapshot, count(*) AS silver_rows,

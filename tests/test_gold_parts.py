@@ -1,0 +1,145 @@
+"""Gold from parts of days equals gold from all rows, and only days that changed are read."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from scanweave.operators import gold_parts
+from scanweave.operators.tables import performance, tracking
+from scanweave.plans import incremental
+from scanweave.plans.batch_run import Lake
+from scanweave.plans.incremental import day_files, on_days, refresh_gold
+from scanweave.schemas import BRONZE
+from scanweave.sources import files
+from scanweave.sources.snapshots import numbers, snapshot
+from scanweave.sources.tables import read_current, read_declared, write_partitioned
+
+
+def rows_of(seed, day, n=40):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        boarded = datetime(2026, 5, day, 12) + timedelta(minutes=rng.randint(-300, 300))
+        scanned = datetime(2026, 5, day, 12) + timedelta(seconds=rng.randint(-18_000, 18_000))
+        out.append(
+            (
+                f"L{rng.randint(0, 30):05d}", rng.choice(["AC1", "ac2 ", "AC3"]), f"T{rng.randint(0, 60)}", "B",
+                rng.choice(["G1", "G2", None]), scanned, boarded if rng.random() < 0.9 else None, 2026, 5, day,
+            )
+        )
+    return out + [(None, "AC1", "T1", "B", "G1", None, None, 2026, 5, day), ("L00001", "AC1", None, "B", "G1", None, None, 2026, 5, day)]
+
+
+def bronze(spark, rows):
+    return spark.createDataFrame(rows, BRONZE)
+
+
+def same(spark, lake, gold):
+    want = performance(tracking(read_declared(spark, lake.bronze, BRONZE)))
+    assert gold.columns == want.columns and gold.dtypes == want.dtypes
+    assert sorted(map(str, gold.collect())) == sorted(map(str, want.collect()))
+    return gold
+
+
+def test_late_days_and_more_rows(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    arrivals = [[1, 2, 3], [5], [2, 4], [1, 2, 3, 4, 5]]
+    for number, days in enumerate(arrivals):
+        for day in days:
+            write_partitioned(bronze(spark, rows_of(10 * number + day, day)), lake.bronze)
+        before = snapshot(spark, lake.base)
+        done = refresh_gold(spark, lake)
+        same(spark, lake, done.gold)
+        assert sorted(day for *_, day in done.days) == days
+        after = snapshot(spark, lake.base)
+        kept = {day: version for day, version in before.slices("gold_parts").items() if int(day.split("-")[-1]) not in days}
+        assert kept.items() <= after.slices("gold_parts").items()
+        assert same(spark, lake, read_current(spark, lake.gold)).count() == 9
+    assert refresh_gold(spark, lake).days == [] and len(numbers(spark, lake.base)) == 4
+    assert files.names(spark, f"{lake.base}/gold_ids-placed") == []
+
+
+def test_only_changed_days_are_read(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    write_partitioned(bronze(spark, [row for day in range(1, 10) for row in rows_of(day, day)]), lake.bronze)
+    held = day_files(spark, lake.bronze)
+    assert len(held) == 9
+    changed = read_declared(spark, lake.bronze, BRONZE).where(on_days([(2026, 5, 3), (2026, 5, 4)]))
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "<=> 2026" in plan and changed.select("day").distinct().count() == 2
+    read = {name.rsplit("day=", 1)[1].split("/")[0] for name in changed.selectExpr("input_file_name() f").distinct().toPandas()["f"]}
+    assert read == {"3", "4"}
+
+
+def test_a_killed_refresh_leaves_gold_and_numbers(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    write_partitioned(bronze(spark, rows_of(1, 1)), lake.bronze)
+    before = refresh_gold(spark, lake).gold.collect()
+    write_partitioned(bronze(spark, rows_of(2, 2)), lake.bronze)
+
+    def killed(*_, **__):
+        raise RuntimeError("killed")
+
+    for step in ("commit", "enforce"):
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="killed"):
+            patch.setattr(incremental, step, killed)
+            refresh_gold(spark, lake)
+        assert sorted(map(str, read_current(spark, lake.gold).collect())) == sorted(map(str, before))
+    done = refresh_gold(spark, lake)
+    assert [day for *_, day in done.days] == [2]
+    same(spark, lake, done.gold)
+
+
+def test_numbers_are_consecutive_and_generations_merge(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MOST_GENERATIONS", 2)
+    lake = Lake(str(tmp_path))
+    for day in range(1, 6):
+        write_partitioned(bronze(spark, rows_of(day, day)), lake.bronze)
+        same(spark, lake, refresh_gold(spark, lake, keep=2).gold)
+        at = snapshot(spark, lake.base)
+        assert len(at.slices("gold_ids")) <= 2
+        ids = sorted(row.id for row in incremental._numbered(spark, lake.base, at).collect())
+        assert ids == list(range(1, len(ids) + 1))
+    assert len(files.names(spark, f"{lake.base}/gold_ids")) <= 4  # superseded generations went
+
+
+def test_numbers_beyond_one_bitmap(spark):
+    """Values of a gate over several bitmaps, and the same values on two days counted once."""
+    values = spark.range(100_000).selectExpr(
+        "2026 year", "5 month", "cast(id % 2 as int) day", "'F' flight_number", "cast(null as string) passenger_gate",
+        "'total_bags_tracked' of", "cast(id % 70000 as string) value",
+    ).distinct()
+    placed = gold_parts.new_values(values, None).cache()
+    numbered = gold_parts.number_values(placed, 1)
+    assert numbered.agg({"id": "max"}).first()[0] == numbered.count() == 70_000
+    sets = gold_parts.day_sets(values, numbered)
+    assert sets.select("bucket").distinct().count() == 3
+    parts = spark.sql(
+        "SELECT 'F' flight_number, cast(null as string) passenger_gate, cast(null as bigint) seconds, 0 timed, 1.0 max_bag_scan_delay, 7 total_late_bags, "
+        "timestamp_ntz '2026-05-01 00:00:00' last_processed_at"
+    )
+    row = gold_parts.merged(parts, sets).first()
+    assert (row.total_bags_tracked, row.total_passengers_processed) == (70_000, 0)
+
+
+def test_days_without_silver_and_null_days(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    nothing = [(None, "AC1", "T1", "B", "G1", None, None, 2026, 5, 1)]
+    write_partitioned(bronze(spark, nothing), lake.bronze)
+    assert refresh_gold(spark, lake).gold.count() == 0
+    undated = [("L00001", "AC1", "T1", "B", "G1", None, None, None, None, None)]
+    write_partitioned(bronze(spark, undated + rows_of(3, 3)), lake.bronze)
+    done = refresh_gold(spark, lake)
+    assert len(done.days) == 2
+    same(spark, lake, done.gold)
+
+
+def test_a_failed_check_keeps_the_old_gold(spark, tmp_path):
+    from scanweave.operators.quality import AcceptedValues, QualityGateError
+
+    lake = Lake(str(tmp_path))
+    write_partitioned(bronze(spark, rows_of(1, 1)), lake.bronze)
+    with pytest.raises(QualityGateError):
+        refresh_gold(spark, lake, [AcceptedValues("gold", "flight_number", ())])
+    assert numbers(spark, lake.base) == []
