@@ -24,7 +24,7 @@ from scanweave.schemas import (
     dead_letter_schema,
 )
 from scanweave.session import prepare, scratch_folder, session_conf
-from scanweave.sources import files, snapshots, tables
+from scanweave.sources import files, loads, snapshots, tables
 from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
 from scanweave.streaming.sinks import ONCE, read_committed, start_partitioned_sink, start_shared_split, write_dated
@@ -458,6 +458,10 @@ def failed_rebuild(spark, folder):
     raise AssertionError("the second run should have failed its check")
 
 
+class _Killed(RuntimeError):
+    """Ends a job where a query wants it to end."""
+
+
 def _side_by_side(spark, lake, state):
     """Late rows and bags per gate by silver itself and by gold, both as one snapshot names them."""
     at = snapshots.snapshot(spark, lake.base)
@@ -502,6 +506,28 @@ def retained_snapshots(spark, folder):
     return reduce(DataFrame.unionByName, found)
 
 
+@registered
+def killed_load(spark, folder):
+    """Two arrivals; the load of the second is killed once its rows are staged and some of them moved. The next load
+    completes it: every file is in bronze once."""
+    lake = batch_run.Lake(scratch_folder(spark, "killed-load"))
+    matched = tables.rebuild(_bronze(spark, folder), f"{lake.base}/matched")
+    early = F.col("day") <= 15
+    tables.write_partitioned(matched.where(early), lake.landed)
+    batch_run.load_bronze(spark, lake)
+    tables.write_partitioned(matched.where(~early), lake.landed)
+
+    def killed(*given):
+        loads.move_files(*given)
+        raise _Killed("between the move and the ledger")
+
+    try:
+        loads.load_listed_files(spark, lake.landed, lake.bronze, lake.load_ledger, BRONZE, move=killed)
+    except _Killed:
+        return batch_run.load_bronze(spark, lake)
+    raise AssertionError("the load should have been killed")
+
+
 @registered
 def gold_from_parts(spark, folder):
     """Gold after a day that arrives late and more rows for a day that is there: two days of thirty are worked out again."""
@@ -670,10 +696,6 @@ def stream_hot_keys_learnt(spark, folder):
     return tables.read_declared(spark, settings.valid_path, BRONZE).drop(*DATE_PARTS)
 
 
-class _Killed(RuntimeError):
-    pass
-
-
 @registered
 def killed_split(spark, folder):
     """Messages per output as readers find them after a batch that ends between its two writes, and after the next run:

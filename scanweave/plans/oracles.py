@@ -236,6 +236,7 @@ def all_oracles() -> dict[str, str]:
             CAST(2 AS INTEGER) AS versions
             FROM silver JOIN (VALUES (3, 21), (4, 31)) AS kept(snapshot, last_day) ON day <= last_day GROUP BY snapshot""",
         "backdated_arrival": bronze,
+        "killed_load": bronze,
         "published_tables": gold,
         "stream_dedupe": f"WITH {_MATCHED} SELECT * FROM bags",
         "stream_interval_join": matched,

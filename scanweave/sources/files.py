@@ -69,6 +69,36 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _located(spark, path)
+    return system.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make sure that the folder is there."""
+    system, target = _located(spark, path)
+    system.mkdirs(target)
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the files below a folder to the same places below another, under names that begin with `prefix`.
+
+    Repeated after a stop half-way, it moves what is left; a file that is in both places is replaced.
+    """
+    system, folder = _located(spark, source)
+    found = system.listFiles(folder, True)
+    while found.hasNext():
+        path = found.next().getPath()
+        if path.getName().startswith(("_", ".")):
+            continue
+        below = path.getParent().toString().removeprefix(folder.toString())
+        _, goal = _located(spark, f"{target}{below}/{prefix}{path.getName()}")
+        system.mkdirs(goal.getParent())
+        system.delete(goal, False)
+        if not system.rename(path, goal):
+            raise OSError(f"could not move {path} to {goal}")
+
+
 def age(spark: SparkSession, path: str) -> timedelta:
     """Time since the file or folder last changed."""
     system, target = _located(spark, path)
