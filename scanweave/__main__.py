@@ -5,6 +5,7 @@
 """
 
 import argparse
+from datetime import timedelta
 
 from pyspark.sql import Row
 
@@ -42,6 +43,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--max-offsets", help=f"most messages per topic and batch, default {MOST_OFFSETS}")
     stream.add_argument("--hot-keys", nargs="*", default=[], metavar="LOCATOR:FLIGHT", help="fixed by the first run")
     stream.add_argument("--learn-hot-keys", type=float, metavar="SHARE", help="deal keys above this share of the scans, not with --read-twice; as in the first run")
+    stream.add_argument("--idle-after", type=float, metavar="HOURS", help="a topic so far behind the other no longer holds back state")
     stream.add_argument("--keep-raw", action="store_true", help="store the text of dead letters")
 
     batch = jobs.add_parser("batch", help="load landed files, rebuild silver and gold, check them")

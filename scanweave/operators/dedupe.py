@@ -1,12 +1,15 @@
 """Removal of repeated events."""
 
 from collections.abc import Iterable, Iterator, Sequence
+from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scanweave.constants import EVENT_KEYS, EVENT_TIME, LATENESS
 
+_BEAT = "_beat"
+
 
 def drop_repeats(
     df: DataFrame,
@@ -14,6 +17,7 @@ def drop_repeats(
     event_time: str = EVENT_TIME,
     lateness: str = LATENESS,
     thin: bool = True,
+    beats: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key.
 
@@ -22,12 +26,20 @@ def drop_repeats(
     so a recomputed task after an executor loss gives the same row.
 
     Streaming input: first row per key under a watermark. The streaming operator has no map-side
-    combine, so with `thin` each input batch drops its own copies before the shuffle.
+    combine, so with `thin` each input batch drops its own copies before the shuffle. `beats`, a stream with the
+    event time alone, moves the watermark as well: its rows pass it and go no further.
     """
     keys = list(keys)
     if df.isStreaming:
         source = drop_repeats_within_batches(df, keys) if thin else df
-        return source.withWatermark(event_time, lateness).dropDuplicates(keys)
+        if beats is None:
+            return source.withWatermark(event_time, lateness).dropDuplicates(keys)
+        marked = source.withColumn(_BEAT, F.lit(False)).unionByName(
+            beats.select(event_time, F.lit(True).alias(_BEAT)), allowMissingColumns=True
+        )
+        # As it names the event time, the optimiser leaves this filter behind the watermark.
+        event = ~F.col(_BEAT) | (F.col(event_time) < F.lit(datetime(1, 1, 1)))
+        return marked.withWatermark(event_time, lateness).where(event).drop(_BEAT).dropDuplicates(keys)
     payload = [name for name in df.columns if name not in keys]
     if not payload:
         return df.distinct()

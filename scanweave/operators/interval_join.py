@@ -117,12 +117,26 @@ def match_scans(
     thin: bool = True,
     spread_right: int = 1,
     dealt: bool = False,
+    idle_after: timedelta | None = None,
+    clocks: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Dedupe both event streams and match every bag scan with the boardings of its passenger.
 
     Events without a time match nothing. They go before the dedupe, where no watermark would ever remove their keys.
+
+    The input that is behind holds back the watermark of both, and state grows while one is silent. With `idle_after`,
+    an input counts as idle once the other is that far ahead in event time: from then on the other's
+    events, dated back by it, move its watermark too. Matches of inputs less far apart are unchanged; what an idle input
+    sends later from before that watermark is dropped and counted as late. `clocks` gives the streams to
+    take the times of scans and boardings from, if not the inputs themselves.
     """
     baggage, passengers = (events.where(F.col(EVENT_TIME).isNotNull()) for events in (baggage, passengers))
+    scan_beats = boarding_beats = None
+    if idle_after is not None:
+        scan_clock, boarding_clock = clocks or (baggage, passengers)
+        scan_beats, boarding_beats = (
+            clock.select((F.col(EVENT_TIME) - F.lit(idle_after)).alias(EVENT_TIME)) for clock in (boarding_clock, scan_clock)
+        )
     scans = drop_repeats(
         baggage.select(
             *("event_id", EVENT_TIME, *MATCH_KEYS),
@@ -132,6 +146,7 @@ def match_scans(
         ),
         lateness=lateness,
         thin=thin,
+        beats=scan_beats,
     ).withColumnRenamed(EVENT_TIME, "baggage_time")
     boardings = drop_repeats(
         passengers.select(
@@ -141,6 +156,7 @@ def match_scans(
         ),
         lateness=lateness,
         thin=thin,
+        beats=boarding_beats,
     ).withColumnRenamed(EVENT_TIME, "passenger_time")
     # Lanes are dealt by row content; the id keeps otherwise equal scans apart.
     matched = interval_join(

@@ -678,6 +678,27 @@ def stream_shared_split(spark, folder):
     return counted[0].unionByName(counted[1]).withColumnRenamed("count", "messages")
 
 
+@registered
+def stream_idle_input(spark, folder):
+    """Boardings stop at mid-month while scans go on. Scans move the watermark of the silent input, so boardings of the days
+    since, which arrive after that, are late and match nothing."""
+    base = scratch_folder(spark, "stream-idle")
+    events, day = derived.events(spark, folder), F.dayofmonth("ts")
+    arrivals = [
+        {BAGGAGE: day <= 15, PASSENGER: day <= 15},
+        {BAGGAGE: day > 15, PASSENGER: F.lit(False)},
+        {BAGGAGE: F.lit(False), PASSENGER: (day > 15) & (day <= 25)},
+    ]
+    for arrival in arrivals:
+        valid = []
+        for kind, here in arrival.items():
+            _arrive(events.where(here), base, kind)
+            valid.append(ingest(text_messages(spark, f"{base}/{kind.lower()}"), kind).valid)
+        joined = match_scans(*valid, idle_after=timedelta(hours=6))
+        matched = _drained(spark, joined, "baggage_time", base, BRONZE)
+    return matched.drop(*DATE_PARTS)
+
+
 @registered
 def stream_hot_keys_learnt(spark, folder):
     """Three arrivals; from the second on a passenger holds a third of both sides. The job finds out while it runs, and deals

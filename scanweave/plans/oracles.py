@@ -246,6 +246,7 @@ def all_oracles() -> dict[str, str]:
             """FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 AND day(ts) > 10 THEN 25 ELSE user_id END AS user_id)
               FROM events) e""",
         ),
+        "stream_idle_input": f"WITH {_MATCHED} SELECT * FROM matched WHERE day(passenger_time) <= 15",
         "stream_late_rows": f"""WITH {_EVENTS} SELECT DISTINCT {_BAG} FROM judged
             WHERE is_bag AND ok AND NOT (day(event_timestamp) <= 10 AND user_id % 20 = 7)""",
         "stream_dead_letter_baggage": _dead(True),

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,6 +37,7 @@ class TrackingSettings:
 
     With `learn_share`, a job that reads each topic once deals keys that hold more than that share of the scans over
     `spread` lanes from when it sees them (see `lanes`). Set it from the first start of a checkpoint on, or never.
+    With `idle_after`, an input that falls so far behind the other no longer holds back the state (see `match_scans`).
     """
 
     base: str
@@ -49,6 +51,7 @@ class TrackingSettings:
     files_per_day: int | None = 4
     spread: int = 32
     learn_share: float | None = None
+    idle_after: timedelta | None = None
 
     @property
     def valid_path(self) -> str:
@@ -108,6 +111,8 @@ def start_tracking(
         hot=fixed,
         spread=spread,
         thin=settings.thin,
+        idle_after=settings.idle_after,
+        clocks=(baggage.valid, passengers.valid),
     ).observe("matched", rows)
     outputs = {
         "valid": (matched, "baggage_time", settings.valid_path),
@@ -186,7 +191,15 @@ def start_landed_match(
         landed.append(spark.readStream.schema(schema).options(**options).parquet(path))
     fixed, spread = ((), 1) if settings.learn_share else _fixed_hot_keys(spark, settings, hot)
     dealt = bool(settings.learn_share)
-    matched = match_scans(*landed, settings.lateness, hot=fixed, spread=spread, thin=settings.thin, dealt=dealt)
+    matched = match_scans(
+        *landed,
+        settings.lateness,
+        hot=fixed,
+        spread=spread,
+        thin=settings.thin,
+        dealt=dealt,
+        idle_after=settings.idle_after,
+    )
     with _state_partitions(spark, settings):
         return start_partitioned_sink(
             with_date_parts(matched, "baggage_time"),

@@ -1,6 +1,7 @@
 """Streaming runs over text files: three arrivals on one checkpoint, with a hand-computed outcome."""
 
 import json
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -194,6 +195,57 @@ def test_shared_split_replaces_a_repeated_batch(spark, tmp_path):
     assert "not json" in {row.raw_value for row in dead.collect()}
 
 
+@pytest.mark.parametrize("silent", ["pax", "bag"])
+@pytest.mark.parametrize("read_once", [False, True])
+def test_a_silent_input_does_not_hold_back_state(spark, tmp_path, silent, read_once):
+    """One input stops after the first hour; the other goes on for a day."""
+    settings = dict(idle_after=timedelta(hours=3))
+
+    def run(**options):
+        if not read_once:
+            chosen, queries = start(spark, tmp_path, **options)
+            await_all(queries.values())
+            return chosen, queries["valid"]
+        chosen = TrackingSettings(
+            base=str(tmp_path / "lake"), checkpoints=str(tmp_path / "checkpoints"), trigger=ONCE, state_partitions=2, **options
+        )
+        await_all(start_shared_ingest(*(text_messages(spark, str(tmp_path / side)) for side in ("bag", "pax")), chosen).values())
+        query = start_landed_match(spark, chosen)
+        await_all([query])
+        return chosen, query
+
+    bags, boardings = [bag("b0", "AAAAAA", "01:00:00")], [pax("p0", "AAAAAA", "01:10:00")]
+    arrive(tmp_path, 0, (bags, boardings))
+    run(**settings)
+    for number, hour in enumerate((5, 11, 17, 23), 1):
+        many = [(bag if silent == "pax" else pax)(f"m{hour}{n}", "AAAAAA", f"{hour:02d}:{n:02d}:00") for n in range(20)]
+        arrive(tmp_path, number, (many, []) if silent == "pax" else ([], many))
+        chosen, query = run(**settings)
+    assert found(spark, chosen) == [("b0", "p0")]
+    # the last arrival and what its cells list
+    assert sum(n for step, n in rows_in_state(query).items() if "join" in step.lower()) < 60  # of 160
+    assert "18:" in current_watermark(query)
+    # late now, and counted as before
+    late = [(pax if silent == "pax" else bag)("l1", "AAAAAA", "11:05:00")]
+    arrive(tmp_path, 9, ([], late) if silent == "pax" else (late, []))
+    chosen, query = run(**settings)
+    assert found(spark, chosen) == [("b0", "p0")] and rows_dropped_late(query) == 1
+
+
+def test_inputs_that_are_not_idle_match_as_before(spark, tmp_path):
+    expected = []
+    for number, arrival in enumerate(ARRIVALS):
+        arrive(tmp_path, number, arrival)
+        settings, queries = start(spark, tmp_path, idle_after=timedelta(hours=12))
+        await_all(queries.values())
+        expected += MATCHED[number]
+        assert found(spark, settings) == sorted(expected)
+        assert rows_dropped_late(queries["valid"]) == DROPPED[number]
+        assert observed_rows(queries["valid"]) == dict(
+            zip(("valid_baggage", "valid_passengers", "matched"), OBSERVED[number])
+        )
+
+
 def test_keys_without_a_time_stay_out_of_state(spark, tmp_path):
     """Valid messages without an event time, which no watermark could ever remove."""
     for number in range(3):
