@@ -12,11 +12,11 @@ from pyspark.sql.types import DecimalType, StructField, StructType, StringType,
 from scanweave.constants import BAGGAGE, DATE_PARTS, EVENT_TIME, MATCH_KEYS, PASSENGER
 from scanweave.functions import padded
 from scanweave.operators import quality
-from scanweave.operators.contract import STRICT_CONTRACT, summarise_dead_letters
+from scanweave.operators.contract import STRICT_CONTRACT, Contract, summarise_dead_letters
 from scanweave.operators.dedupe import drop_repeats
 from scanweave.operators.interval_join import hot_keys, interval_join, match_scans
 from scanweave.operators.tables import performance, ranked, tracking, with_date_parts, with_lateness
-from scanweave.plans import batch_run, derived, incremental
+from scanweave.plans import batch_run, derived, incremental, replay
 from scanweave.schemas import (
     BAGGAGE_EVENT,
     BRONZE,
@@ -717,6 +717,22 @@ def stream_hot_keys_learnt(spark, folder):
     return tables.read_declared(spark, settings.valid_path, BRONZE).drop(*DATE_PARTS)
 
 
+@registered
+def replayed_messages(spark, folder):
+    """Bronze after quarantined messages were decoded again under a contract that takes locators of seven characters,
+    twice: the second replay finds nothing left."""
+    lake = batch_run.Lake(scratch_folder(spark, "replay"))
+    settings = replace(_tracking_settings(spark, lake), keep_raw=True)
+    streams = (_stream_messages(spark, folder, kind) for kind in (BAGGAGE, PASSENGER))
+    await_all(start_shared_ingest(*streams, settings).values())
+    await_all([start_landed_match(spark, settings)])
+    batch_run.load_bronze(spark, lake)
+    later = Contract(length=7, placeholders=("",))
+    for _ in range(2):
+        replay.replay(spark, settings, later)
+    return batch_run.load_bronze(spark, lake)
+
+
 @registered
 def killed_split(spark, folder):
     """Messages per output as readers find them after a batch that ends between its two writes, and after the next run:

@@ -255,6 +255,10 @@ def all_oracles() -> dict[str, str]:
               SELECT CASE WHEN ok THEN 'valid' ELSE 'dead' END AS output, {_DAY_OF_EVENT}
               FROM judged WHERE NOT is_bag)
             SELECT output, year, month, day, count(*) AS messages FROM dated GROUP BY ALL""",
+        "replayed_messages": bronze.replace(
+            "AND lower(pnr_locator) <> 'unknown', false) AS ok",
+            "AND lower(pnr_locator) <> 'unknown' OR length(pnr_locator) = 7, false) AS ok",
+        ),
         "killed_split": f"""WITH {_EVENTS}, dated AS (
               SELECT CASE WHEN ok THEN 'valid' ELSE 'dead' END AS output, {_DAY_OF_EVENT}
               FROM judged WHERE NOT is_bag)

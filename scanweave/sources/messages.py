@@ -1,5 +1,7 @@
 """Message sources and decoding. Every source yields a `value` column; decoding does not care which."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scanweave.constants import LOCATOR_COLUMN
@@ -39,15 +41,18 @@ def text_messages(spark: SparkSession, path: str, streaming: bool = True) -> Dat
     return reader.text(path)
 
 
-def decode_events(messages: DataFrame, kind: str, keep_raw: bool = False) -> DataFrame:
+def decode_events(
+    messages: DataFrame, kind: str, keep_raw: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Message bytes to event columns, with the locator trimmed.
 
     A broken message gives a row of NULLs, a broken field a NULL field; undeclared fields are
-    dropped. `keep_raw` adds the message text as `raw_value`, so dead letters keep their payload.
+    dropped. `keep_raw` adds the message text as `raw_value`, so dead letters keep their payload; `keep` names
+    further columns of the messages to keep.
     The parsed struct is expanded by a generator, which later filters are not pushed through:
     each message is parsed once.
     """
     text = F.col("value").cast("string")
     parsed = F.inline(F.array(F.from_json(text, event_schema(kind))))
-    kept = [text.alias("raw_value")] if keep_raw else []
+    kept = [*keep, *([text.alias("raw_value")] if keep_raw else [])]
     return messages.select(*kept, parsed).withColumn(LOCATOR_COLUMN, F.trim(LOCATOR_COLUMN))
