@@ -1,5 +1,7 @@
 """Replays of quarantined messages: each once, matched with what was accepted, complete after any stop."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +98,36 @@ def test_a_killed_replay_is_completed(spark, tmp_path, monkeypatch, step):
     assert replay(spark, settings, LATER).taken == 0
 
 
+def test_commands(spark, tmp_path, monkeypatch, capsys):
+    """A stream job with the options a replay needs, then the replay."""
+    from scanweave import __main__ as command
+
+    seen = []
+
+    def process_all(queries):
+        for query in queries:
+            query.processAllAvailable()
+        for query in queries:
+            query.stop()
+
+    def ingest(*given):
+        seen.append(given[2])
+        return start_shared_ingest(*given)
+
+    monkeypatch.setattr(command, "topic_messages", lambda s, servers, topic, starting, **more: text_messages(s, topic))
+    monkeypatch.setattr(command, "await_first_end", process_all)
+    monkeypatch.setattr(command, "start_shared_ingest", ingest)
+    arrive(tmp_path, 0, FIRST)
+    base = str(tmp_path / "lake")
+    given = ["stream", "--servers", "none", "--base", base, "--keep-raw", "--keep-accepted", "--state-partitions", "2"]
+    given += ["--baggage-topic", str(tmp_path / "bag"), "--passenger-topic", str(tmp_path / "pax"), "--trigger", "1 second"]
+    command.main(given + ["--idle-after", "6", "--learn-hot-keys", "0.5", "--max-offsets", "1000"])
+    assert (seen[0].idle_after, seen[0].learn_share) == (timedelta(hours=6), 0.5)
+    command.main(["replay", "--base", base, "--locator-length", "5"])
+    assert "Replayed(taken=8, valid=6, new_events=4, matched=1)" in capsys.readouterr().out
+    assert pairs(spark, TrackingSettings(base=base, checkpoints="")) == [("b1", "p1"), ("b2", "p2")]
+
+
 def test_nothing_quarantined(spark, tmp_path):
     arrive(tmp_path, 0, ([bag("b1", "AAAAAA", "12:00:00")], [pax("p1", "AAAAAA", "12:30:00")]))
     settings = run(spark, tmp_path)
