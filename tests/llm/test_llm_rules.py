@@ -242,7 +242,7 @@ def test_secrets(spark):
 def test_allow_rules_as_listed(spark):
     """The rules as written and the checks that look at each character a few times only."""
     rng = random.Random(5)
-    values = ["123e4567-e89b-12d3-a456-426614174000", "1" * 30 + "A", "a" + "-1" * 9 + "X", "2024-01-02", "a1b", "1", "-1", "a--b", "a1/b2_c3"]
+    values = ["123e4567-e89b-12d3-a456-426614174000", "1" * 16 + "A", "a" + "-1" * 9 + "X", "2024-01-02", "a1b", "1", "-1", "a--b", "a1/b2_c3"]
     for _ in range(4000):
         some = rng.choice(["01-", "a1-", "ab1-_/", "aA1=+", "xX-1", "abcdefgh0123456789"])
         values.append("".join(rng.choice(some) for _ in range(rng.randint(1, 14))))
