@@ -65,7 +65,8 @@ def failures(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     words in 100; C: more than 10 capitals A-Z in 100 code points; D: holds one of #$%&*|; E: the same
     text as a document with a smaller id, decided by a 128-bit hash. A null text is an empty one, a null
     part the empty string. Rows that share their id do not make each other fail E; a null id is larger than
-    all others and equal to other null ids. Labels that repeat an id count if one of them says so.
+    all others and equal to other null ids. Labels that repeat an id count if one of them says so. Repeated rows count
+    each; no rows give no rows; other columns are not read, whatever their names; a very long text costs a list of its words.
 
     The texts stay where they were read; 50 bytes a document are shuffled. Copies share all bits but E, so
     a group of copies is counted on the map side, and its least id decides E for whole counts.
