@@ -104,20 +104,23 @@ def document_counts(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
 
 
-def frequent_lines(counts: DataFrame, least_documents: int, most_share: float) -> DataFrame:
-    """Lines (`host`, `line`) in more than `least_documents` texts of a host and `most_share` of all of them.
+def frequent_lines(counts: DataFrame, least_documents: int, most_share: float, most_documents: int) -> DataFrame:
+    """Lines (`host`, `line`) of more than `least_documents` documents of a host that are also in more than `most_share` of
+    its documents, or in more than `most_documents`: a large host does not raise the bar without end.
 
-    A text that a host holds several times counts once. The distinct counts are taken in two steps, the
-    first by line and text, so a line in every document of a large host is counted by many tasks.
+    Documents are told apart by id, those without one by their text. The distinct counts are taken in two steps, the
+    first by line and document, so a line in every document of a large host is counted by many tasks.
     """
-    texts = counts.groupBy("host").agg(F.count_distinct("text_key").alias("texts"))
+    known = counts.withColumn("document", F.coalesce(F.col("doc_id").cast("string"), "text_key"))
+    held = known.groupBy("host").agg(F.count_distinct("document").alias("held"))
     spread = (
-        counts.select("host", "text_key", F.explode(F.array_distinct(F.col("lines")["line"])).alias("line"))
+        known.select("host", "document", F.explode(F.array_distinct(F.col("lines")["line"])).alias("line"))
         .groupBy("host", "line")
-        .agg(F.count_distinct("text_key").alias("documents"))
+        .agg(F.count_distinct("document").alias("documents"))
         .where(F.col("documents") > least_documents)
     )
-    return spread.join(texts, "host").where(F.col("documents") > most_share * F.col("texts")).select("host", "line")
+    bar = F.least(most_share * F.col("held"), F.lit(float(most_documents)))
+    return spread.join(held, "host").where(F.col("documents") > bar).select("host", "line")
 
 
 def line_losses(counts: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -136,6 +139,7 @@ def quality_rules(
     docs: DataFrame,
     least_documents: int = 20,
     most_share: float = 0.05,
+    most_documents: int = 1000,
     least_left: float = 0.5,
     id_column: str = "doc_id",
     text: str = "text",
@@ -145,15 +149,17 @@ def quality_rules(
 
     A document fails the base rules with fewer than 50 words, or if more than half of its words lie in
     three-word windows found twice or more in it (windows are compared by 64-bit hash). Beyond that, lines
-    are normalised and hashed, the different texts per host that hold a line are counted, lines above
-    both limits are taken out, and a document left with less than `least_left` of its words is rejected.
+    are normalised and hashed, the documents per host that hold a line are counted, lines in more than `least_documents`
+    and in more than `most_share` of the host's documents or `most_documents` of them are taken out, and a document
+    left with less than `least_left` of its words is rejected.
 
     A null text is empty and has no words; a null host is the host named by the empty string. Repeated
-    rows and copies get the same verdict and count as one document. No rows give no rows; other columns
-    are not read, whatever their names.
+    rows count as one document, copies under other ids as further ones; all get the same verdict. A row without an id is a
+    document by its text. Texts of any length are read whole, in time linear in them but for a sort of their words. No
+    rows give no rows; other columns are not read, whatever their names.
     """
     counts = landed(document_counts(docs, id_column, text, host), "quality-counts")
-    frequent = landed(frequent_lines(counts, least_documents, most_share), "quality-frequent")
+    frequent = landed(frequent_lines(counts, least_documents, most_share, most_documents), "quality-frequent")
     losses = landed(line_losses(counts, frequent), "quality-losses")
     lost = F.coalesce("n_frequent_words", F.lit(0).cast("long"))
     failed = (F.col("n_words") < LEAST_WORDS) | (
@@ -183,7 +189,8 @@ def without_lines(text: Column, frequent: Column) -> Column:
 
 #: DuckDB twin of the registered query, with its limits.
 ORACLE = r"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body FROM documents),
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body,
+        coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS document FROM documents),
 w AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words,
         list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
 texts AS (SELECT DISTINCT body, words FROM w),
@@ -195,9 +202,10 @@ rep AS (SELECT body, count(*) AS n_repeat_words FROM
 l AS (SELECT DISTINCT host, body, unnest(range(1, len(lines) + 1)) AS pos, lines FROM w),
 ln AS (SELECT host, body, pos, len(regexp_extract_all(lines[pos], '[^\x20\x09-\x0D]+')) AS n,
          trim(regexp_replace(lower(lines[pos]), '[\x20\x09-\x0D\d[:punct:]]+', ' ', 'g')) AS line FROM l),
-hosts AS (SELECT host, count(DISTINCT body) AS texts FROM d GROUP BY host),
-freq AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT body) AS k FROM ln GROUP BY host, line)
-         JOIN hosts USING (host) WHERE k > 20 AND k > 0.05 * texts),
+hosts AS (SELECT host, count(DISTINCT document) AS held FROM d GROUP BY host),
+has AS (SELECT DISTINCT host, body, line FROM ln),
+freq AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT document) AS k FROM has JOIN d USING (host, body) GROUP BY host, line)
+         JOIN hosts USING (host) WHERE k > 20 AND (k > 0.05 * held OR k > 1000)),
 lost AS (SELECT host, body, sum(n)::BIGINT AS lost FROM ln JOIN freq USING (host, line) GROUP BY host, body),
 f AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
         len(regexp_extract_all(body, '[#*$%&|<>]'))::BIGINT AS n_symbols,

@@ -20,13 +20,14 @@ def plain_normal(line):
     return re.sub(r"""[ \t\n\x0b\x0c\r0-9!-/:-@\[-`{-~]+""", " ", line.lower()).strip(" ")
 
 
-def plain_rules(rows, least_documents, most_share, least_left):
+def plain_rules(rows, least_documents, most_share, least_left, most_documents=1000):
     hosts, spread = defaultdict(set), defaultdict(set)
-    for _, text, host in rows:
-        hosts[host or ""].add(text or "")
+    for doc_id, text, host in rows:
+        document = (text or "") if doc_id is None else doc_id
+        hosts[host or ""].add(document)
         for line in (text or "").split("\n"):
             if WORD.search(line):
-                spread[host or "", plain_normal(line)].add(text or "")
+                spread[host or "", plain_normal(line)].add(document)
     out = []
     for doc_id, text, host in rows:
         text, host = text or "", host or ""
@@ -37,7 +38,7 @@ def plain_rules(rows, least_documents, most_share, least_left):
         lost = 0
         for line in lines:
             n = len(spread[host, plain_normal(line)])
-            if n > least_documents and n > most_share * len(hosts[host]):
+            if n > least_documents and (n > most_share * len(hosts[host]) or n > most_documents):
                 lost += len(WORD.findall(line))
         failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
         kept = not failed and not len(words) - lost < least_left * len(words)
@@ -65,6 +66,21 @@ def test_quality_rules(spark):
     assert quality_rules(cases.table(spark, [])).count() == 0
 
 
+def test_a_large_host_does_not_raise_the_bar(spark):
+    """A line in a tenth of a host goes by its number alone; copies count as documents, repeated rows do not."""
+    banner = cases.prose(99, 60).replace("\n", " ")
+    rows = [(i, f"{cases.prose(200 + i, 55)}\n{banner if i % 10 == 0 else ''}", "a") for i in range(120)]
+    rows += [(500 + i, cases.prose(77, 60), "a") for i in range(11)]
+    rows += [(600, cases.prose(78, 60), "a")] * 11
+    limits = {"least_documents": 5, "most_share": 0.5, "most_documents": 10}
+    out = quality_rules(cases.table(spark, rows), **limits).drop("host", "frequent").collect()
+    assert Counter(map(tuple, out)) == plain_rules(rows, 5, 0.5, 0.5, 10)
+    by_id = {r.doc_id: r for r in out}
+    assert by_id[0].n_frequent_words > 0 and not by_id[500].kept and by_id[600].kept
+    wide = quality_rules(cases.table(spark, rows), **limits | {"most_documents": 1000})
+    assert wide.where("n_frequent_words > 0").count() == 0
+
+
 def test_frequent_lines_are_taken_out(spark):
     rows = [(i, f"first {i}\n{BANNER}\nlast", f"h{i % 2}") for i in range(8)]
     docs = cases.table(spark, rows).select("doc_id", "text")
