@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from scanweave.llm.tables import landed
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """`node` and `component` (its smallest node) for every node of the links (`one`, `other`).
 
     Large-star and small-star rounds: every node points its larger, then its smaller neighbours at the
@@ -21,14 +21,12 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         "components",
     )
     before = None
-    for _ in range(most_rounds):
+    while True:
         state = stars.agg(F.count("*"), F.sum(F.xxhash64("node", "centre").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
         stars = landed(_small_star(_large_star(stars)), "components")
-    else:
-        raise RuntimeError("components did not settle")
     return stars.select("node", F.col("centre").alias("component")).union(
         stars.select(F.col("centre").alias("node"), F.col("centre").alias("component")).distinct()
     )
