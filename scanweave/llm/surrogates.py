@@ -7,25 +7,42 @@ from scanweave.llm.tables import landed
 # How entities look. The alternatives are tried in this order at each place.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
 IP = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\p{N}|\.[0-9])"
-PHONE = r"(?<![\p{N}+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\p{N})"
+# With a country code (a first group of one digit needs five digits after it), behind a trunk 0 or 00 (9 to 14 digits, no
+# date, no card), and the American forms.
+_NOT_IP = r"(?![0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\p{N}))"
+PHONE = (
+    r"(?<![\p{N}+])(?:\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?(?:[0-9]{2,4}|[0-9](?=(?:[ .-]?[0-9]){5}))(?:[ .-]?" + _NOT_IP + r"[0-9]{2,4}){1,5}"
+    r"|(?<![.,:/-])(?![0-9]{4}(?:[ -][0-9]{4}){3}(?!\p{N}))(?![0-3][0-9][./-][01][0-9][./-](?:19|20)[0-9]{2}(?!\p{N}))"
+    r"(?=(?:[ /.-]?[0-9]){9,14}(?!\p{N}))0{1,2}[1-9][0-9]{0,4}(?:[ /.-]" + _NOT_IP + r"[0-9]{2,8}){1,4}"
+    r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[2-9][0-9]{2} [0-9]{3} [0-9]{4})(?!\p{N})"
+)
 CARD = r"(?<![\p{N}.])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?!\p{N})"
 SSN = r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])"
-# Forms of address, by gender; the name behind one is the entity.
+# Forms of address, by gender (n: either); the name behind one, or behind several, is the entity.
 TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Signor", "Господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Signora", "Госпожа"),
+    "n": ("Dr", "Prof", "Doctor", "Professor", "Доктор", "Профессор"),
 }
+# Capital first, two letters or more; hyphens and apostrophes stand before a further capital.
+WORD = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{Lu}))++"
+PARTICLES = r"(?:von|van|der|den|de|del|della|la|le|di|da|du|dos|ten|zu|bin|al)"
+_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles) + ")"
 NAME = (
-    r"(?<=(?<!\p{L})(?:" + "|".join(t for titles in TITLES.values() for t in titles) + r")\.? )"
-    r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
+    rf"(?=\p{{Lu}})(?<=(?<!\p{{L}}){_TITLE}\.? )(?!{_TITLE}(?:\.|(?!\p{{L}})))"
+    rf"(?:\p{{Lu}}\. ){{0,2}}{WORD}(?:(?: {PARTICLES}){{0,2}}(?: \p{{Lu}}\.(?= \p{{Lu}}))? {WORD}){{0,3}}"
 )
 ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, SSN, NAME))
+# Put around entities while a text is taken apart; a text that holds it itself is scanned twice instead.
+_MARK = "\uffff"
 TYPES = ("email", "ip", "phone", "card", "ssn", "name")
 GIVEN = {
     ("m", "latin"): ("Adam", "Bruno", "Conrad", "David", "Emil", "Felix", "Gregor", "Hugo", "Ivan", "Jonas", "Karl", "Leon"),
     ("f", "latin"): ("Alma", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helena", "Irma", "Julia", "Karla", "Lea"),
+    ("n", "latin"): ("Alex", "Andrea", "Chris", "Dominique", "Jules", "Kim", "Luca", "Maxime", "Nikola", "Robin", "Sascha", "Toni"),
     ("m", "cyrillic"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Захар", "Игорь"),
     ("f", "cyrillic"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина"),
+    ("n", "cyrillic"): ("Саша", "Женя", "Валя", "Шура", "Слава", "Паша", "Тоня", "Лёля"),
 }
 # A character is replaced by one of its own group.
 GROUPS = (
@@ -214,9 +231,14 @@ def _digits(value: Column, digest: Column, kept: Column, fixed: Column) -> Colum
 
 
 def _phone(value: Column, attempt: Column, key: str) -> Column:
-    """Country code 1 or 7 stays, and so does the fictitious exchange 555."""
-    us = F.length(value) == 11
-    kept = F.when(value.rlike("^[17]") & us, F.lit(1)).when(F.length(value) > 11, F.lit(2)).otherwise(F.lit(0))
+    """Country code, trunk zero and the fictitious exchange 555 stay."""
+    us = value.rlike("^[17]") & (F.length(value) == 11)
+    kept = (
+        F.when(value.rlike("^00"), F.lit(4))
+        .when(us | value.rlike("^0"), F.lit(1))
+        .when(F.length(value) > 10, F.lit(2))
+        .otherwise(F.lit(0))
+    )
     exchange = F.when(us, F.lit(5)).otherwise(F.lit(4))
     fictitious = F.substring(value, exchange, F.lit(3)) == "555"
     fixed = F.when(fictitious, F.transform(F.array(*map(F.lit, range(3))), lambda i: exchange - 1 + i)).otherwise(
@@ -317,6 +339,14 @@ def poured(kind: Column, match: Column, new: Column) -> Column:
     # A longer replacement has its further digits at the end.
     number = F.concat(number, F.substring(new, digits + 1, F.greatest(F.length(new) - digits, F.lit(0))))
     name = F.split(new, r"\|")[1]
+    # Capitals at the beginning of words and behind hyphens and apostrophes.
+    name = F.array_join(
+        F.transform(
+            F.split(name, ""),
+            lambda c, i: F.when((i == 0) | F.substring(name, i, F.lit(1)).isin(" ", "-", "'", "’"), F.upper(c)).otherwise(c),
+        ),
+        "",
+    )
     cased = F.array_join(
         F.transform(
             F.split(new, ""),
@@ -326,31 +356,82 @@ def poured(kind: Column, match: Column, new: Column) -> Column:
     )
     return (
         F.when(kind.isin("phone", "card", "ssn"), number)
-        .when(kind == "name", F.initcap(name))
+        .when(kind == "name", name)
         .when(kind == "email", cased)
         .otherwise(new)
     )
 
 
 def _gender(before: Column) -> Column:
-    male = "|".join(TITLES["m"])
-    return F.when(before.rlike(rf"(?<!\p{{L}})(?:{male})\.? $"), F.lit("m")).otherwise(F.lit("f"))
+    """What the forms of address just before a name say; null where there is none."""
+    neutral = rf"(?:(?:{'|'.join(TITLES['n'])})\.? )"
+    out = F.when(F.lit(False), F.lit(""))
+    for gender in ("m", "f"):
+        out = out.when(before.rlike(rf"(?<!\p{{L}})(?:{'|'.join(TITLES[gender])})\.? {neutral}{{0,3}}$"), F.lit(gender))
+    return out.when(before.rlike(rf"(?<!\p{{L}}){neutral}$"), F.lit("n"))
+
+
+def _is_name(match: Column) -> Column:
+    return ~match.rlike("[0-9@]")
+
+
+def _family(name: Column) -> Column:
+    return F.element_at(F.split(name, " "), -1)
+
+
+def entity_pieces(text: Column) -> Column:
+    """The text cut at its entities: what is before the first, the first, what is between, the second, and so on."""
+    apart = F.split(F.regexp_replace(text, F.lit(ENTITY), F.lit(f"{_MARK}$0{_MARK}")), _MARK, -1)
+    twice = F.zip_with(
+        F.split(text, ENTITY, -1),
+        F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)),
+        lambda gap, match: F.when(match.isNull(), F.array(gap)).otherwise(F.array(gap, match)),
+    )
+    return F.when(F.instr(text, _MARK) == 0, apart).otherwise(F.flatten(twice))
+
 
+def name_pieces(pieces: Column) -> Column:
+    """The same pieces, cut further where a person named in them is named again, whole or by the last name, without a title."""
+    names = F.filter(pieces, lambda piece, i: (i % 2 == 1) & _is_name(piece))
+    forms = F.array_distinct(F.concat(names, F.transform(names, _family)))
+    # The longest form that fits is taken.
+    longest = F.transform(
+        F.sort_array(F.transform(forms, lambda form: F.struct(-F.length(form), form.alias("form")))),
+        lambda one: F.concat(F.lit(r"\Q"), one["form"], F.lit(r"\E")),
+    )
+    pattern = F.concat(
+        F.lit(r"(?<![\p{L}\p{M}\p{N}])(?=\p{Lu})(?:"),
+        F.array_join(longest, "|"),
+        F.lit(r")(?![\p{L}\p{M}\p{N}]|['’-]\p{Lu})"),
+    )
+
+    def cut(pattern):
+        return F.flatten(
+            F.transform(
+                pieces,
+                lambda piece, i: F.when(
+                    (i % 2 == 1) | (F.instr(piece, _MARK) > 0), F.array(piece)
+                ).otherwise(F.split(F.regexp_replace(piece, pattern, F.lit(f"{_MARK}$0{_MARK}")), _MARK, -1)),
+            )
+        )
 
-def assign_surrogates(entities: DataFrame, key: str, most_rounds: int = 30) -> DataFrame:
+    return F.when(F.size(names) > 0, _given(pattern, cut)).otherwise(pieces)
+
+
+def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """`kind`, `value`, `surrogate` for all distinct entities, without two entities sharing a surrogate.
 
     Everybody starts with its keyed replacement. Where two meet, or one is an entity of the corpus
     itself, all but the first in keyed order try again, until nobody meets anybody. Where the form of an
-    entity has no free replacement, later tries leave it, so everybody settles. The tables
-    hold distinct entities only, never their mentions.
+    entity has no free replacement, later tries leave it, so everybody settles (a card keeps its form; there are 10 ** 11
+    of the shortest). The tables hold distinct entities only, never their mentions.
     """
     named = landed(
         entities.select("kind", "value").distinct().withColumn("attempt", F.lit(0)), "surrogates-tried"
     )
     same = Window.partitionBy("kind", "surrogate").orderBy("settled", "order")
     pending, settled = named, None
-    for round_ in range(most_rounds):
+    while True:
         tried = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
         tried = tried.withColumns(
             {"order": _keyed(key, F.lit("order"), F.col("kind"), F.col("value")), "settled": F.lit(1)}
@@ -365,7 +446,6 @@ def assign_surrogates(entities: DataFrame, key: str, most_rounds: int = 30) -> D
         pending = judged.where(~good).select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
         if pending.isEmpty():
             return settled.select("kind", "value", "surrogate")
-    raise RuntimeError("surrogates still meet each other")
 
 
 def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -374,31 +454,42 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
     Mentions are an array of (at, kind, match, replacement) in the order of the text. The same entity
     gets the same replacement everywhere, different entities get different ones.
 
-    A null text stays null, an empty one empty; rows without an entity pass unchanged; repeated rows get
+    A person found behind a form of address is replaced later in the same text as well, by full or last name; a first name
+    alone is not. A null text stays null, an empty one empty; rows without an entity pass unchanged; repeated rows get
     the same replacements; no rows give none. Columns may have any names. Entities are joined to their
     replacements by value, so one that a third of all documents mention is split by the join; a text's
-    own mentions are gathered again, one list per document.
+    own mentions are gathered again, one list per document. Texts of any length are scanned whole and once for entities;
+    the further look for persons takes time by the capitals in the text times the persons it names.
     """
     col = F.col("row").getField(text)
     rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    has = F.coalesce(col.rlike(r"[0-9@]") & col.rlike("|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, SSN))), F.lit(False))
-    has = has | F.coalesce(col.rlike(NAME), F.lit(False))
-    marked = landed(
-        rows.where(has).select(
-            F.monotonically_increasing_id().alias("row_key"),
-            "row",
-            F.split(col, ENTITY, -1).alias("gaps"),
-            F.regexp_extract_all(col, F.lit(ENTITY), F.lit(0)).alias("found"),
-        ),
-        "surrogates-rows",
+    found = rows.withColumn("pieces", entity_pieces(col)).select(
+        F.when(F.size("pieces") > 1, F.col("row").withField(f"`{text}`", F.lit(None).cast("string")))
+        .otherwise(F.col("row"))
+        .alias("row"),
+        F.when(F.size("pieces") > 1, name_pieces(F.col("pieces"))).alias("pieces"),
+        F.monotonically_increasing_id().alias("row_key"),
+    )
+    # One table of all rows: the texts are read and scanned once.
+    scanned = landed(found, "surrogates-rows")
+    marked = scanned.where("pieces IS NOT NULL")
+    mentions = marked.select("row_key", F.posexplode(_pairs(F.col("pieces"))).alias("at", "pair")).select(
+        "row_key", "at", F.col("pair.match").alias("match"), F.col("pair.before").alias("before")
     )
-    mentions = marked.select("row_key", "gaps", F.posexplode("found").alias("at", "match")).select(
+    mentions = mentions.withColumn("kind", kind_of(F.col("match"))).select(
         "row_key",
         "at",
         "match",
-        kind_of(F.col("match")).alias("kind"),
-        _gender(F.get("gaps", F.col("at"))).alias("gender"),
+        "kind",
+        F.when(F.col("kind") == "name", _gender(F.col("before"))).alias("gender"),
     )
+    # A mention without a title has the gender of the first one with it, of the same full name if there is one.
+    named = mentions.where("kind = 'name'")
+    for whose, form in (("same", F.lower("match")), ("family", F.lower(_family(F.col("match"))))):
+        first = Window.partitionBy("row_key", form).orderBy(F.col("gender").isNull(), "at")
+        named = named.withColumn(whose, F.first("gender").over(first))
+    named = named.withColumn("gender", F.coalesce("gender", "same", "family", F.lit("n"))).drop("same", "family")
+    mentions = named.union(mentions.where("kind <> 'name'"))
     mentions = landed(
         mentions.withColumn("value", canonical(F.col("kind"), F.col("match"), F.col("gender"))), "surrogates-mentions"
     )
@@ -414,12 +505,24 @@ def replace_personal_data(docs: DataFrame, key: str, text: str = "text") -> Data
         F.array_sort(F.collect_list(F.struct("at", "kind", "match", "replacement"))).alias("mentions")
     )
     full = marked.join(lists, "row_key")
+    gaps = F.filter("pieces", lambda piece, i: i % 2 == 0)
     rebuilt = F.array_join(
-        F.zip_with(
-            "gaps", "mentions", lambda gap, m: F.concat(gap, F.coalesce(m["replacement"], F.lit("")))
-        ),
-        "",
+        F.zip_with(gaps, "mentions", lambda gap, m: F.concat(gap, F.coalesce(m["replacement"], F.lit("")))), ""
     )
     changed = full.select(F.col("row").withField(f"`{text}`", rebuilt).alias("row"), "mentions")
     none = F.array().cast(changed.schema["mentions"].dataType)
-    return changed.union(rows.where(~has).select("row", none.alias("mentions")))
+    return changed.union(scanned.where("pieces IS NULL").select("row", none.alias("mentions")))
+
+
+def _pairs(pieces: Column) -> Column:
+    """(end of the text before it, match) of every entity."""
+    # Forms of address are short; what is before them does not matter.
+    return F.filter(
+        F.transform(
+            pieces,
+            lambda piece, i: F.struct(
+                F.when(i % 2 == 1, piece).alias("match"), F.right(F.get(pieces, i - 1), F.lit(80)).alias("before")
+            ),
+        ),
+        lambda pair: pair["match"].isNotNull(),
+    )

@@ -213,6 +213,81 @@ def test_kinds_and_forms(done):
     assert mentions["name", "Anna Schmidt"].split()[1] == mentions["name", "Schmidt"]
 
 
+FORMS = {
+    "call +33 1 23 45 67 89 or": ["+33 1 23 45 67 89"],
+    "call +61 2 9876 5432, now": ["+61 2 9876 5432"],
+    "Tel. 030 1234567.": ["030 1234567"],
+    "Tel. 0171/1234567 and 0049 30 1234567": ["0171/1234567", "0049 30 1234567"],
+    "ring 020 7946 0958; 01 23 45 67 89": ["020 7946 0958", "01 23 45 67 89"],
+    "log +1 (843) 555-7672 170.106.47.218 end": ["+1 (843) 555-7672", "170.106.47.218"],
+    "dial 555 123 4567 x": ["555 123 4567"],
+    "Mr O'Brien said": ["O'Brien"],
+    "Dr Smith, Prof. Jones": ["Smith", "Jones"],
+    "Monsieur Jean-Luc Picard est": ["Jean-Luc Picard"],
+    "Mrs McDonald's house": ["McDonald"],
+    "Herr Hans Peter Müller kam": ["Hans Peter Müller"],
+    "Herr Prof. Dr. Weber kam": ["Weber"],
+    "Frau Anna von der Leyen sprach": ["Anna von der Leyen"],
+    "Mr J. R. Ewing left": ["J. R. Ewing"],
+    "Mr Drake left": ["Drake"],
+    "Mrs. Anna Schmidt met him. Schmidt, and Anna Schmidt; Schmidtke": ["Anna Schmidt", "Schmidt", "Anna Schmidt"],
+    "from 01.02.2024 12:30 to 31.12.1999, 0.25 2024, 1 000 000, 2024-01-02 10": [],
+    "0123 4567 8901 2345": ["0123 4567 8901 2345"],
+    "odd \uffff mark, Mr Smith and Smith \uffff": ["Smith"],
+}
+
+
+def test_forms_found(spark):
+    """Each form by itself: what is found, and that nothing else of the text changes."""
+    texts = list(FORMS)
+    out = replaced(spark, [(i, text, "p") for i, text in enumerate(texts)]).collect()
+    assert {r.row.doc_id: [m.match for m in r.mentions] for r in out} == {i: FORMS[t] for i, t in enumerate(texts)}
+    for r in out:
+        text, rest = texts[r.row.doc_id], r.row.text
+        for m in r.mentions:
+            before, _, text = text.partition(m.match)
+            assert rest.startswith(before + m.replacement) and m.replacement != m.match
+            rest = rest.removeprefix(before + m.replacement)
+        assert rest == text
+    new = {m.match: m.replacement for r in out for m in r.mentions}
+    assert new["+33 1 23 45 67 89"].startswith("+33 ") and new["030 1234567"].startswith("0")
+    assert new["O'Brien"][1] == "'" and new["O'Brien"][2].isupper()
+    assert new["Anna Schmidt"].split()[1] == new["Schmidt"]
+    assert new["Weber"].isalpha() and new["Jean-Luc Picard"].split()[0] in surrogates.GIVEN["m", "latin"]
+
+
+def test_whole_result_by_plain_python(spark):
+    """Texts rebuilt from the entities' replacements alone, found by the same patterns in Python's regex."""
+    import regex
+
+    pattern = regex.compile(surrogates.ENTITY)
+    texts = [*PRIVATE, *FORMS, "Dr. Anna Weiß (a@b.org) rief an. Weiß: 10.1.2.3", cases.prose(5, 400)]
+    out = {r.row.doc_id: r for r in replaced(spark, [(i, t, "p") for i, t in enumerate(texts)]).collect()}
+    known = {(m.kind, m.match): m.replacement for r in out.values() for m in r.mentions if m.kind != "name"}
+    for i, text in enumerate(texts):
+        own = {m.match: m.replacement for m in out[i].mentions if m.kind == "name"}
+        forms = sorted(own, key=len, reverse=True)
+        bare = regex.compile(r"(?<![\p{L}\p{M}\p{N}])(?:" + "|".join(map(regex.escape, forms or ["\ufffe"])) + r")(?![\p{L}\p{M}\p{N}]|['’-]\p{Lu})")
+        parts, end = [], 0
+        for found in pattern.finditer(text):
+            gap = text[end : found.start()]
+            parts.append(gap if "\uffff" in gap else bare.sub(lambda m: own[m[0]], gap))
+            parts.append(own.get(found[0]) or next(new for (_, match), new in known.items() if match == found[0]))
+            end = found.end()
+        gap = text[end:]
+        parts.append(gap if "\uffff" in gap else bare.sub(lambda m: own[m[0]], gap))
+        assert out[i].row.text == "".join(parts)
+
+
+def test_long_text_with_many_entities(spark):
+    lines = [f"Mr Na{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}m wrote u{i}@host.example; call +33 1 23 45 {i % 90 + 10} 89." for i in range(4000)]
+    body = "\n".join(lines) + "\n" + cases.prose(3, 60_000) + "0" * 200_000
+    (out,) = replaced(spark, [(1, body, "p")]).collect()
+    assert len(out.mentions) == 12_000
+    back = out.row.text
+    assert back.count("\n") == body.count("\n") and "u17@host.example" not in back
+
+
 def test_same_key_same_replacement(spark, done):
     rows, out = done
     again = replaced(spark, rows).collect()
