@@ -24,7 +24,7 @@ from scanweave.schemas import (
     dead_letter_schema,
 )
 from scanweave.session import prepare, scratch_folder, session_conf
-from scanweave.sources import files, loads, snapshots, tables
+from scanweave.sources import compaction, files, loads, snapshots, tables
 from scanweave.sources.messages import decode_events, text_messages
 from scanweave.streaming.monitor import await_all
 from scanweave.streaming.sinks import ONCE, read_committed, start_partitioned_sink, start_shared_split, write_dated
@@ -506,6 +506,29 @@ def retained_snapshots(spark, folder):
     return reduce(DataFrame.unionByName, found)
 
 
+@registered
+def compacted_silver(spark, folder):
+    """Rows and files of silver per day, in the snapshot before its small files were packed, read after it, and in the one
+    after it. The table was written with up to eight files a day."""
+    lake = batch_run.Lake(scratch_folder(spark, "compacted"))
+    silver = tracking(_stored_bronze(spark, lake.base, folder))
+    dealt = silver.repartition(8, "pnr_locator", "bag_tag_number", "baggage_time")
+    tables.make_current(spark, tables.stage(dealt, lake.silver, DATE_PARTS))
+    before = snapshots.snapshot(spark, lake.base)
+    compaction.compact(spark, lake.silver, most_left=0.99)
+    after = snapshots.snapshot(spark, lake.base)
+    found = []
+    for state, at in (("before", before), ("after", after)):
+        rows = tables.read_current(spark, lake.silver, at=at).groupBy(*DATE_PARTS).agg(
+            F.count("*").alias("n_rows"), F.count_distinct("bag_tag_number").alias("bags")
+        )
+        listed = compaction.file_listing(spark, lake.silver, at).groupBy("slice").agg(F.count("*").alias("files"))
+        held = rows.withColumn("slice", tables.slice_label()).join(listed, "slice")
+        one_file = (F.col("files") == 1) if state == "after" else (F.col("files") <= 8)
+        found.append(held.select(F.lit(state).alias("state"), *DATE_PARTS, "n_rows", "bags", one_file.alias("bounded")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @registered
 def killed_load(spark, folder):
     """Two arrivals; the load of the second is killed once its rows are staged and some of them moved. The next load

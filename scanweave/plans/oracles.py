@@ -235,6 +235,9 @@ def all_oracles() -> dict[str, str]:
         "retained_snapshots": f"""WITH {_SILVER} SELECT CAST(snapshot AS INTEGER) AS snapshot, count(*) AS silver_rows,
             CAST(2 AS INTEGER) AS versions
             FROM silver JOIN (VALUES (3, 21), (4, 31)) AS kept(snapshot, last_day) ON day <= last_day GROUP BY snapshot""",
+        "compacted_silver": f"""WITH {_SILVER} SELECT state, year, month, day, count(*) AS n_rows,
+            count(DISTINCT bag_tag_number) AS bags, true AS bounded
+            FROM silver CROSS JOIN (VALUES ('before'), ('after')) AS s(state) GROUP BY state, year, month, day""",
         "backdated_arrival": bronze,
         "killed_load": bronze,
         "published_tables": gold,

@@ -2,9 +2,10 @@
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -127,15 +128,44 @@ def current_path(spark: SparkSession, path: str, at: Snapshot | None = None) ->
     return f"{path}/{found}"
 
 
+def slice_label(partition_by: Sequence[str] = DATE_PARTS) -> Column:
+    """Name of the slice a row lies in, from its partition columns alone."""
+    return F.concat_ws("-", *(F.coalesce(F.col(name).cast("string"), F.lit("none")) for name in partition_by))
+
+
+def held_slices(path: str, at: Snapshot, partition_by: Sequence[str] = DATE_PARTS) -> list[tuple[str, Column]]:
+    """Folders of a table in a snapshot, each with the predicate on partition columns that says which of its rows count.
+
+    A slice with a version of its own takes the place of that part of the whole table.
+    """
+    _, name = folder_and_name(path)
+    whole, slices, label = at.tables.get(name), at.slices(name), slice_label(partition_by)
+    found = [(f"{path}/{whole}", ~label.isin(list(slices)) if slices else F.lit(True))] if whole else []
+    for version in sorted(set(slices.values())):
+        found.append((f"{path}/{version}", label.isin([piece for piece, of in slices.items() if of == version])))
+    return found
+
+
 def read_current(
-    spark: SparkSession, path: str, schema: StructType | None = None, at: Snapshot | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    at: Snapshot | None = None,
+    partition_by: Sequence[str] = DATE_PARTS,
 ) -> DataFrame:
     """The current version of a rebuilt table; a failed rebuild or check leaves it as it was.
 
-    Tables read at the same snapshot belong together, whatever becomes current meanwhile.
+    Tables read at the same snapshot belong together, whatever becomes current meanwhile. Folders that were
+    compacted are read from their own version.
     """
-    folder = current_path(spark, path, at)
-    return read_declared(spark, folder, schema) if schema else spark.read.parquet(folder)
+    base, name = folder_and_name(path)
+    at = at or snapshot(spark, base)
+    if not at.slices(name):
+        folder = current_path(spark, path, at)
+        return read_declared(spark, folder, schema) if schema else spark.read.parquet(folder)
+    held = held_slices(path, at, partition_by)
+    schema = schema or spark.read.parquet(held[0][0]).schema
+    return reduce(DataFrame.unionByName, (read_declared(spark, folder, schema).where(mine) for folder, mine in held))
 
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
