@@ -58,3 +58,19 @@ def test_a_crowded_key_is_in_state_as_blocks(spark, tmp_path):
     assert Counter(found(spark, settings)) == expected
     joined = [n for step, n in rows_in_state(queries["valid"]).items() if "join" in step.lower()]
     assert 0 < sum(joined) < 60  # of 600 scans, and 300 boardings in two cells each
+
+
+def test_pairs_of_a_learnt_hot_key_are_dealt_before_they_are_expanded(spark, tmp_path):
+    expected = crowd(tmp_path)
+    settings = TrackingSettings(
+        str(tmp_path / "lake"), str(tmp_path / "checkpoints"), ONCE, state_partitions=2, learn_share=0.1, spread=4, files_per_day=2
+    )
+    sources = [text_messages(spark, str(tmp_path / side)) for side in ("bag", "pax")]
+    await_all(start_shared_ingest(*sources, settings).values())
+    query = start_landed_match(spark, settings)
+    await_all([query])
+    assert Counter(found(spark, settings)) == expected
+    steps = query._jsq.explainInternal(False).splitlines()
+    expanded = next(n for n, line in enumerate(steps) if "Generate" in line)
+    assert expanded < next(n for n, line in enumerate(steps) if "Exchange" in line)
+    assert len(list((tmp_path / "lake" / "valid_data").rglob("*.parquet"))) <= 2
