@@ -74,3 +74,20 @@ def test_pairs_of_a_learnt_hot_key_are_dealt_before_they_are_expanded(spark, tmp
     expanded = next(n for n, line in enumerate(steps) if "Generate" in line)
     assert expanded < next(n for n, line in enumerate(steps) if "Exchange" in line)
     assert len(list((tmp_path / "lake" / "valid_data").rglob("*.parquet"))) <= 2
+
+
+def test_large_files_are_loaded_without_a_shuffle(spark, tmp_path, monkeypatch):
+    names = [field.name for field in BRONZE if field.name not in DATE_PARTS]
+    matched = spark.range(40).select(
+        *(F.lit(START).alias(name) if name.endswith("_time") else F.col("id").cast("string").alias(name) for name in names),
+        *(F.lit(value).alias(name) for name, value in zip(DATE_PARTS, (2026, 5, 20))),
+    )
+    for _ in range(2):
+        matched.coalesce(1).write.mode("append").partitionBy(*DATE_PARTS).parquet(str(tmp_path / "landed"))
+    files = {}
+    for name, size in (("merged", 1 << 40), ("copied", 1)):
+        monkeypatch.setattr(loads, "LARGE_FILE", size, raising=False)
+        loads.load_listed_files(spark, str(tmp_path / "landed"), str(tmp_path / name), str(tmp_path / f"{name}-ledger"), BRONZE)
+        assert read_declared(spark, str(tmp_path / name), BRONZE).count() == 80
+        files[name] = len(list((tmp_path / name).rglob("*.parquet")))
+    assert files == {"merged": 1, "copied": 2}
