@@ -226,7 +226,7 @@ def interval_join_hot_keys(spark, folder):
     """A join with a passenger who holds a third of both sides, dealt over a grid of lanes."""
     scans, boardings = (_crowded(_split(spark, folder, kind).valid) for kind in (BAGGAGE, PASSENGER))
     hot = hot_keys(scans, MATCH_KEYS, 0.1)
-    return match_scans(scans, boardings, hot=hot, spread=4, spread_right=3)
+    return match_scans(scans, boardings, hot=hot, spread=4, spread_right=3, blocks=True)
 
 
 @registered
