@@ -91,3 +91,5 @@ def test_large_files_are_loaded_without_a_shuffle(spark, tmp_path, monkeypatch):
         assert read_declared(spark, str(tmp_path / name), BRONZE).count() == 80
         files[name] = len(list((tmp_path / name).rglob("*.parquet")))
     assert files == {"merged": 1, "copied": 2}
+    monkeypatch.undo()
+    assert [loads._large(n << 20, count) for n, count in ((1, 4), (1, 5), (20, 5), (0, 1))] == [True, False, True, False]
