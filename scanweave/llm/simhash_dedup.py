@@ -267,7 +267,8 @@ def near_duplicates(
 def classes(prints: DataFrame, most: int = 4) -> DataFrame:
     """`fingerprint`, `component` (its smallest fingerprint), `component_id` (its smallest document id)."""
     distinct = landed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    linked = components(landed(near_links(distinct.select("fingerprint"), most), "simhash-links"))
+    # The links are read once, by the first round: not a table of their own.
+    linked = components(near_links(distinct.select("fingerprint"), most))
     labelled = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
@@ -306,7 +307,7 @@ def keep_one(docs: DataFrame, most: int = 4, words: int = 4, id_column: str = "d
     def same(keys):
         return rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_key"] == keys["text_key"])
 
-    gone = landed(going.select("doc_id", "text_key"), "simhash-gone")
+    gone = going.select("doc_id", "text_key")
     if repeated.isEmpty():
         # Both sides grow with the corpus: never a copy of one in every task.
         return rows.join(gone.hint("merge"), same(gone), "left_anti").select("row.*")

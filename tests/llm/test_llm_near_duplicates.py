@@ -152,3 +152,20 @@ def test_one_stays_of_each_class(spark):
     assert keep_one(cases.table(spark, [])).count() == 0
     only = cases.table(spark, [r for r in rows if r[0] not in (None, 102)])
     assert only.where(F.col("doc_id").isNotNull()).count() > keep_one(only).count() > 0
+
+
+def test_tables_read_once_are_not_written(spark, monkeypatch):
+    rows = near_rows()
+    root = plain_near(rows)[1]
+    written = []
+
+    def recorded(df, purpose, land=simhash_dedup.landed):
+        written.append(purpose)
+        return land(df, purpose)
+
+    monkeypatch.setattr(simhash_dedup, "landed", recorded)
+    # Without and with a row that comes twice.
+    single, twice = list(dict.fromkeys(rows)), [*rows, rows[0], rows[0]]
+    assert keep_one(cases.table(spark, single)).count() == len(set(plain_near(single)[1]))
+    assert keep_one(cases.table(spark, twice)).count() == len(set(root))
+    assert set(written) <= {"simhash-prints", "simhash-distinct", "simhash-hot", "simhash-members", "simhash-repeated"}
