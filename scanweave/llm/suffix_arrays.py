@@ -32,11 +32,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     while len(places):
         suffixes = order[places]
         head = group[suffixes]
-        behind = group[np.minimum(suffixes + known, n)]
-        by = np.lexsort((behind, head))
-        suffixes, head, behind = suffixes[by], head[by], behind[by]
+        # One number for the group and what follows.
+        by = head * (n + 1) + group[np.minimum(suffixes + known, n)]
+        at = np.argsort(by)
+        suffixes, by = suffixes[at], by[at]
         order[places] = suffixes
-        new = np.concatenate([[True], (head[1:] != head[:-1]) | (behind[1:] != behind[:-1])])
+        new = np.concatenate([[True], by[1:] != by[:-1]])
         heads = np.flatnonzero(new)
         group[suffixes] = np.repeat(places[heads], np.diff(np.concatenate([heads, [len(new)]])))
         places = _unsettled(places, new)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,6 +27,10 @@ GRAM, ANCHOR = 50, 16
 SPREAD = GRAM - ANCHOR + 1
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = np.iinfo(np.int64).max
+_PLACE_BITS = 40
+_SPANS = pa.schema([("shard", pa.int64()), ("spans", pa.binary())])
+# Bytes of text from which on shards and buckets grow.
+_GROWING = 1 << 30
 
 
 def _power_table(n: int, base: int) -> np.ndarray:
@@ -49,11 +54,18 @@ class _Hashes:
     def of(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return _mixed((self.sums[ends] - self.sums[begins]) * self._down[begins])
 
+    def sliding(self, width: int) -> np.ndarray:
+        """Of the stretches of `width` bytes at every place."""
+        return _mixed((self.sums[width:] - self.sums[:-width]) * self._down[: len(self.sums) - width])
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 @dataclass
@@ -79,7 +91,7 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(values) - width + 1], out[width - size :]) if size < width else out
 
 
-def find_contexts(text: np.ndarray, ends: np.ndarray, block: int = 1 << 21) -> Contexts:
+def find_contexts(text: np.ndarray, ends: np.ndarray, block: int = 1 << 16) -> Contexts:
     """All contexts of a shard; `ends` has the end of every text in it."""
     n = len(text)
     parts = []
@@ -87,15 +99,15 @@ def find_contexts(text: np.ndarray, ends: np.ndarray, block: int = 1 << 21) -> C
         high = min(low + block, n - GRAM + 1)  # strings begin at low to high - 1
         part = text[low : high + GRAM - 1]
         hashes = _Hashes(part)
-        places = np.arange(len(part) - ANCHOR + 1)
-        anchors = hashes.of(places, places + ANCHOR)
+        anchors = hashes.sliding(ANCHOR)
         # The smallest hash, the first of those that tie.
-        marked = (anchors & np.uint64(0xFFFFFFFF00000000)) | places.astype(np.uint64)
+        marked = (anchors & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(anchors), dtype=np.uint64)
         anchor = (_sliding_least(marked, SPREAD) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         # No string reaches across the end of a text.
         steps = np.zeros(high - low + 1, np.int64)
-        np.add.at(steps, np.clip(ends - GRAM + 1 - low, 0, high - low), 1)
-        np.add.at(steps, np.clip(ends - low, 0, high - low), -1)
+        near = ends[np.searchsorted(ends, low, "right") : np.searchsorted(ends, high + GRAM)]
+        np.add.at(steps, np.clip(near - GRAM + 1 - low, 0, high - low), 1)
+        np.add.at(steps, np.clip(near - low, 0, high - low), -1)
         whole = np.cumsum(steps[:-1]) == 0
         edge = np.ones(high - low, bool)
         edge[1:] = (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])
@@ -138,8 +150,20 @@ def merged_spans(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
     return begins[heads], ends[tails]
 
 
-def _spans_blob(begins: np.ndarray, ends: np.ndarray) -> bytes:
-    return np.stack(merged_spans(begins, ends)).astype("<i8").tobytes()
+def _pairs(begins: np.ndarray, ends: np.ndarray) -> bytes:
+    return np.stack((begins, ends), axis=1).astype("<i8").tobytes()
+
+
+def _blobs(raw: bytes, edges: np.ndarray) -> pa.Array:
+    """The stretches of `raw` between the edges as binary values."""
+    edges = pa.py_buffer(np.ascontiguousarray(edges, np.int32))
+    return pa.Array.from_buffers(pa.binary(), edges.size // 4 - 1, [None, edges, pa.py_buffer(raw)])
+
+
+def _joined(column) -> tuple[bytes, np.ndarray]:
+    """All binary values of a column one after the other, and their lengths."""
+    values = column.to_pylist()
+    return b"".join(values), np.array([len(value) for value in values], np.int64)
 
 
 def _groups(*columns: np.ndarray) -> np.ndarray:
@@ -208,9 +232,14 @@ def _anchor_lists(buckets: int):
     def run(batches):
         for shard, _, ends, text in _shard_rows(batches):
             found = find_contexts(text, ends)
-            order = np.lexsort((found.content, found.key))
+            order = np.argsort(found.key)
+            new = _groups(found.key[order])
+            # Contents count where a key comes again.
+            again = np.flatnonzero(~new | ~np.append(new[1:], True))
+            part = order[again]
+            order[again] = part[np.lexsort((found.content[part], found.key[part]))]
             found = found[order]
-            heads = np.flatnonzero(_groups(found.key))
+            heads = np.flatnonzero(new)
             texts_low, texts_high = (
                 f.reduceat(found.text, heads) if len(heads) else heads for f in (np.minimum, np.maximum)
             )
@@ -219,17 +248,20 @@ def _anchor_lists(buckets: int):
             marked = (keys << np.uint64(1)) | (texts_low != texts_high).astype(np.uint64)
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(starts)):
-                part = order[starts[b] : starts[b + 1]]
-                several = part[different[part] > 1]
+            bucket = bucket[order]
+            starts = np.append(np.flatnonzero(_groups(bucket)), len(order))
+            often = different[order] > 1
+            several = order[often]
+            upto = np.append(0, np.cumsum(often))[starts]
+            contexts = np.minimum(different[several], 2**32 - 1).astype("<u4").tobytes()
+            if len(order):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([int(b)], pa.int32()),
-                        pa.array([shard], pa.int64()),
-                        pa.array([_pack(marked[part])], pa.binary()),
-                        pa.array([_pack(keys[several])], pa.binary()),
-                        pa.array([np.minimum(different[several], 2**32 - 1).astype("<u4").tobytes()], pa.binary()),
+                        pa.array(bucket[starts[:-1]], pa.int32()),
+                        pa.array(np.full(len(starts) - 1, shard), pa.int64()),
+                        _blobs(_pack(marked[order]), 6 * starts),
+                        _blobs(_pack(keys[several]), 6 * upto),
+                        _blobs(contexts, 4 * upto),
                     ],
                     ["bucket", "shard", "anchors", "several", "contexts"],
                 )
@@ -241,57 +273,87 @@ def _shared_anchors(most_contexts: int):
     """Per shard: those of its anchors that two texts have; the lowest bit marks anchors with too many contexts."""
 
     def run(table):
-        lists = [_unpack(raw) for raw in table.column("anchors").to_pylist()]
-        marked = np.concatenate(lists)
+        raw, sizes = _joined(table.column("anchors"))
+        marked, row = _unpack(raw), np.repeat(np.arange(len(sizes)), sizes // 6)
         keys = np.sort(marked >> np.uint64(1))
         heads = np.flatnonzero(_groups(keys))
         often = np.diff(np.concatenate([heads, [len(keys)]]))
         keys = keys[heads]
         within = np.unique(marked[(marked & np.uint64(1)) == 1] >> np.uint64(1))
         contexts = often.astype(np.int64)
-        for several, raw in zip(table.column("several").to_pylist(), table.column("contexts").to_pylist()):
-            np.add.at(contexts, np.searchsorted(keys, _unpack(several)), np.frombuffer(raw, "<u4").astype(np.int64) - 1)
+        several, more = (_joined(table.column(name))[0] for name in ("several", "contexts"))
+        np.add.at(contexts, np.searchsorted(keys, _unpack(several)), np.frombuffer(more, "<u4").astype(np.int64) - 1)
         shared = often > 1
         shared[np.searchsorted(keys, within)] = True
-        out = []
-        for anchors in lists:
-            at = np.searchsorted(keys, anchors >> np.uint64(1))
-            at = at[shared[at]]
-            out.append(_pack((keys[at] << np.uint64(1)) | (contexts[at] > most_contexts).astype(np.uint64)))
-        return pa.table({"shard": table.column("shard"), "anchors": pa.array(out, pa.binary())})
+        at = np.searchsorted(keys, marked >> np.uint64(1))
+        row, at = row[shared[at]], at[shared[at]]
+        edges = np.append(np.flatnonzero(_groups(row)), len(row))
+        packed = _pack((keys[at] << np.uint64(1)) | (contexts[at] > most_contexts).astype(np.uint64))
+        return pa.table({"shard": table.column("shard").take(pa.array(row[edges[:-1]])), "anchors": _blobs(packed, 6 * edges)})
 
     return run, "shard long, anchors binary"
 
 
-_SENT = "bucket int, shard long, keys binary, ids binary, firsts binary, counts binary, body binary, spans binary"
+_SENT = "bucket int, shard long, keys binary, counts binary, places binary, body binary, spans binary"
+
+
+def _sent(text, begins, bucket, shard, keys, ids, firsts, counts, at_once: int = 1 << 22):
+    """Rows of the contexts that begin at `begins` in `text`: one for each bucket and shard, whose contexts stand together, in
+    the order of the shard, so that ids and places are small steps."""
+    starts = np.append(np.flatnonzero(_groups(bucket, shard)), len(keys))
+    heads, sizes = starts[:-1], counts + GRAM - 1
+    steps = []
+    for part in (ids, firsts):
+        step = np.diff(part, prepend=0)
+        step[heads] = part[heads]
+        steps.append(step.astype("<i8").view(np.uint8).reshape(-1, 8))
+    steps = np.concatenate(steps, axis=1)
+    upto = np.append(0, np.cumsum(sizes))[starts]
+    for _, a, b in _runs(upto[:-1] // at_once):
+        low, high = starts[a], starts[b]
+        body = memoryview(_taken(text, begins[low:high], sizes[low:high]))
+        edges = upto[a : b + 1] - upto[a]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[heads[a:b]], pa.int32()),
+                pa.array(shard[heads[a:b]], pa.int64()),
+                _blobs(_pack(keys[low:high]), 6 * (starts[a : b + 1] - low)),
+                _blobs(counts[low:high].astype(np.uint8).tobytes(), starts[a : b + 1] - low),
+                pa.array([_squeezed(steps[i:j].T.tobytes()) for i, j in zip(starts[a:b], starts[a + 1 : b + 1])], pa.binary()),
+                pa.array([_squeezed(body[i:j]) for i, j in zip(edges, edges[1:])], pa.binary()),
+                pa.array([b""] * (b - a), pa.binary()),
+            ],
+            ["bucket", "shard", "keys", "counts", "places", "body", "spans"],
+        )
 
 
-def _sent(bucket: int, shard: int, keys, ids, firsts, counts, body: np.ndarray, spans: bytes) -> pa.RecordBatch:
-    """Contexts in the order of the shard, so that ids and places are small steps; every part compressed."""
-    steps = [_squeezed(np.diff(part, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()) for part in (ids, firsts)]
-    blobs = [_pack(keys), *steps, counts.astype(np.uint8).tobytes(), _squeezed(body.tobytes())]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([int(bucket)], pa.int32()),
-            pa.array([shard], pa.int64()),
-            *(pa.array([blob], pa.binary()) for blob in (*blobs, spans)),
-        ],
-        ["bucket", "shard", "keys", "ids", "firsts", "counts", "body", "spans"],
-    )
+def _only_spans(bucket: int, shards, spans: pa.Array) -> pa.RecordBatch:
+    nothing = pa.array([b""] * len(spans), pa.binary())
+    columns = [pa.array([bucket] * len(spans), pa.int32()), pa.array(shards, pa.int64()), *[nothing] * 4, spans]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "keys", "counts", "places", "body", "spans"])
 
 
 def _received(table) -> tuple[np.ndarray, ...]:
     """Shard, key, id, place, count of all contexts of the rows, and their bytes."""
-    counts = [np.frombuffer(raw, np.uint8).astype(np.int64) for raw in table.column("counts").to_pylist()]
-    n = [len(part) for part in counts]
-    columns = [np.repeat(table.column("shard").to_numpy(), n)]
-    columns.append(_unpack(b"".join(table.column("keys").to_pylist())))
-    for name in ("ids", "firsts"):
-        raw = [_text(part, 8 * size).reshape(8, -1).T for part, size in zip(table.column(name).to_pylist(), n)]
-        columns.append(np.concatenate([np.cumsum(np.ascontiguousarray(part).view("<i8").ravel()) for part in raw]))
-    sizes = [int(part.sum()) + (GRAM - 1) * len(part) for part in counts]
-    body = np.concatenate([_text(raw, size) for raw, size in zip(table.column("body").to_pylist(), sizes)])
-    return (*columns, np.concatenate(counts), body)
+    raw, n = _joined(table.column("counts"))
+    counts = np.frombuffer(raw, np.uint8).astype(np.int64)
+    edges = np.append(0, np.cumsum(n))
+    sizes = np.diff(np.append(0, np.cumsum(counts))[edges]) + (GRAM - 1) * n
+    columns = [np.repeat(table.column("shard").to_numpy(), n), _unpack(_joined(table.column("keys"))[0])]
+    steps = np.empty((len(counts), 16), np.uint8)
+    for part, a, b in zip(table.column("places").to_pylist(), edges.tolist(), edges[1:].tolist()):
+        steps[a:b] = _text(part, 16 * (b - a)).reshape(16, b - a).T
+    steps = steps.view("<i8")
+    filled = np.flatnonzero(n)
+    for step in (steps[:, 0], steps[:, 1]):
+        total = np.cumsum(step)
+        # Every row begins anew.
+        columns.append(total - np.repeat(np.append(0, total)[edges[filled]], n[filled]))
+    body = np.empty(sizes.sum(), np.uint8)
+    upto = np.append(0, np.cumsum(sizes)).tolist()
+    for part, a, b in zip(table.column("body").to_pylist(), upto, upto[1:]):
+        body[a:b] = _text(part, b - a)
+    return (*columns, counts, body)
 
 
 def _taken(text: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -313,10 +375,11 @@ def _send_contexts(buckets: int):
             if not len(shared):
                 continue
             found = find_contexts(text, ends)
-            at = np.minimum(np.searchsorted(shared, found.key << np.uint64(1)), len(shared) - 1)
-            found = found[(shared[at] >> np.uint64(1)) == found.key]
-            at = np.minimum(np.searchsorted(shared, found.key << np.uint64(1)), len(shared) - 1)
-            frequent = (shared[at] & np.uint64(1)) == 1
+            order = np.argsort(found.key)
+            key = found.key[order]
+            at = np.minimum(np.searchsorted(shared, key << np.uint64(1)), len(shared) - 1)
+            hit = (shared[at] >> np.uint64(1)) == key
+            found, frequent = found[order[hit]], (shared[at[hit]] & np.uint64(1)) == 1
             if frequent.any():
                 found = _cut(text, found, frequent)
             doc = ids[found.text]
@@ -325,26 +388,18 @@ def _send_contexts(buckets: int):
             heads = np.flatnonzero(_groups(found.key, found.content))
             smallest = np.repeat(doc[heads], np.diff(np.concatenate([heads, [len(doc)]])))
             later = found[doc > smallest]
-            spans = _spans_blob(later.first, later.first + later.count + GRAM - 1)
+            spans = _pairs(*merged_spans(later.first, later.first + later.count + GRAM - 1))
+            if spans:
+                yield _only_spans(shard % buckets, [shard], pa.array([spans], pa.binary()))
             mine, doc = found[doc == smallest], doc[doc == smallest]
             bucket = (mine.key % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(starts)):
-                part = order[starts[b] : starts[b + 1]]
-                part = part[np.argsort(mine.first[part], kind="stable")]
-                body = _taken(text, mine.first[part], mine.count[part] + GRAM - 1)
-                yield _sent(b, shard, mine.key[part], doc[part], mine.first[part], mine.count[part], body, spans)
-                spans = b""
-            if spans:
-                yield _sent(shard % buckets, shard, *_NOTHING, spans)
+            order = np.lexsort((mine.first, bucket))
+            mine, doc, bucket = mine[order], doc[order], bucket[order]
+            yield from _sent(text, mine.first, bucket, np.full(len(doc), shard), mine.key, doc, mine.first, mine.count)
 
     return run, _SENT
 
 
-_NOTHING = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint8))
-
-
 def _cut(text: np.ndarray, found: Contexts, which: np.ndarray) -> Contexts:
     """The marked contexts as single strings with their own keys."""
     kept, cut = found[~which], found[which]
@@ -419,26 +474,22 @@ def _resolve(last: bool, at_once: int = 1 << 23):
         if last:
             spans.append(_by_suffixes(text, key, doc, begins, count, heads, same, later, shard, first, at_once))
         owner, low, high = (np.concatenate(column) for column in zip(*spans))
-        found = {s: [] for s in set(table.column("shard").to_pylist())}
-        order = np.argsort(owner, kind="stable")
-        owner, low, high = owner[order], low[order], high[order]
-        for s, a, b in _runs(owner):
-            found[s].append(_spans_blob(low[a:b], high[a:b]))
-        for s, raw in zip(table.column("shard").to_pylist(), table.column("spans").to_pylist()):
-            if raw:
-                found[s].append(raw)
+        # Spans of all shards at once: places stay below 1 << _PLACE_BITS.
+        shards, rank = np.unique(owner, return_inverse=True)
+        shift = rank.astype(np.int64) << _PLACE_BITS
+        low, high = merged_spans(low + shift, high + shift)
+        rank = low >> _PLACE_BITS
+        low, high = low - (rank << _PLACE_BITS), high - (rank << _PLACE_BITS)
+        found = _blobs(_pairs(low, high), 16 * np.searchsorted(rank, np.arange(len(shards) + 1)))
+        sent = table.select(["shard", "spans"]).filter(pc.greater(pc.binary_length(table.column("spans")), 0))
         if last:
-            rows = [(s, raw) for s, parts in found.items() for raw in parts]
-            return pa.table({"shard": pa.array([s for s, _ in rows], pa.int64()), "spans": pa.array([r for _, r in rows], pa.binary())})
+            return pa.concat_tables([pa.table({"shard": pa.array(shards, pa.int64()), "spans": found}), sent.cast(_SPANS)])
         bucket = table.column("bucket")[0].as_py()
-        kept = ~later
-        order = np.argsort(shard[kept], kind="stable")
-        kept = np.flatnonzero(kept)[order]
-        out = []
-        for s, a, b in _runs(shard[kept]):
-            p = kept[a:b][np.argsort(first[kept[a:b]], kind="stable")]
-            out.append(_sent(bucket, int(s), key[p], doc[p], first[p], count[p], _taken(text, begins[p], sizes[p]), b""))
-        out += [_sent(bucket, s, *_NOTHING, raw) for s, parts in found.items() for raw in parts]
+        kept = np.flatnonzero(~later)
+        kept = kept[np.lexsort((first[kept], shard[kept]))]
+        out = list(_sent(text, begins[kept], np.full(len(kept), bucket), *(x[kept] for x in (shard, key, doc, first, count))))
+        out.append(_only_spans(bucket, shards, found))
+        out.append(_only_spans(bucket, sent["shard"].combine_chunks(), sent["spans"].combine_chunks()))
         return pa.Table.from_batches(out)
 
     return run, "shard long, spans binary" if last else _SENT
@@ -488,9 +539,7 @@ def _by_suffixes(text, key, doc, begins, count, heads, same, later, shard, first
 def _finish(batches):
     """One row per document: what was removed and the hash of what is left; `kept` is the text itself."""
     for _, ids, ends, text, raw in _shard_rows(batches, "spans"):
-        pairs = [np.frombuffer(part, "<i8").reshape(2, -1) for part in raw or []]
-        low, high = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-        low, high = merged_spans(low, high)
+        low, high = merged_spans(*np.frombuffer(b"".join(raw or []), "<i8").reshape(-1, 2).T)
         # Cut at the ends of texts: spans of neighbours may touch.
         inner = np.concatenate([low, ends[:-1]])
         inner = np.unique(inner)
@@ -537,6 +586,8 @@ def remove_repeats(
     the same id take nothing from each other. A null text is empty; texts under 50 bytes stay whole; no
     rows give none; other columns are not read.
 
+    From a gigabyte on, shards and buckets grow with the root of the texts' bytes, up to four and two times.
+
     The texts are written once, compressed, and shuffled once, by shard; both joins read that shuffle. Anchors with more than
     `most_contexts` different contexts are cut into single strings, so that no bucket holds a hot one, and more than
     `fan_in` shards are merged in rounds.
@@ -544,6 +595,9 @@ def remove_repeats(
     size = F.octet_length(F.col(f"`{text}`").cast("string"))
     total = docs.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     tasks = max(1, -(-total // (16 << 20)))
+    # What a shard sends to a bucket is a row: as many as both together.
+    grown = max(1.0, (total / _GROWING) ** 0.5)
+    shard_bytes, bucket_bytes = int(shard_bytes * min(4.0, grown)), int(bucket_bytes * min(2.0, grown))
     buckets = max(1, min(1 << 20, total // bucket_bytes))
     texts = shards(docs, id_column, text, shard_bytes)
 
@@ -559,8 +613,8 @@ def remove_repeats(
     n_shards = total // shard_bytes
     while n_shards > fan_in:
         run, shape = _resolve(last=False)
-        sent = sent.groupBy("bucket", F.pmod(F.xxhash64("shard"), F.lit(max(1, n_shards // fan_in)))).applyInArrow(run, shape)
-        n_shards //= fan_in
+        n_shards = -(-n_shards // fan_in)
+        sent = sent.groupBy("bucket", F.pmod(F.xxhash64("shard"), F.lit(n_shards))).applyInArrow(run, shape)
     run, shape = _resolve(last=True)
     spans = sent.groupBy("bucket").applyInArrow(run, shape)
     spans = spans.groupBy("shard").agg(F.collect_list("spans").alias("spans"))

@@ -5,7 +5,9 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
+from scanweave.llm import suffix_dedup
 from scanweave.llm.suffix_arrays import suffix_array
 from scanweave.llm.suffix_dedup import find_contexts, first_holders, merged_spans, remove_repeats
 
@@ -114,3 +116,26 @@ def test_removal_from_nothing(spark):
     rows = [(1, None, "a"), (None, "", "b")]
     out = remove_repeats(cases.table(spark, rows)).collect()
     assert Counter((*r[:5], bytes(r[5])) for r in out) == plain_removal(rows)
+
+
+def test_a_shard_answers_all_buckets_in_few_batches():
+    """Cells of shards and buckets grow with the product of both, so none of them is a batch of its own."""
+    bodies = [cases.prose(i, 200).encode() for i in range(30)]
+    row = {"shard": [7], "ids": [list(range(30))], "sizes": [[len(b) for b in bodies]]}
+    row["body"] = [pa.compress(b"".join(bodies), "zstd", asbytes=True)]
+    shard = pa.RecordBatch.from_pydict(row)
+    found = list(suffix_dedup._anchor_lists(400)[0](iter([shard])))
+    assert len(found) == 1 and found[0].num_rows > 300 and found[0].column("shard").unique().to_pylist() == [7]
+    lists = pa.array([found[0].column("anchors").to_pylist()], pa.list_(pa.binary()))
+    sent = list(suffix_dedup._send_contexts(400)[0](iter([pa.RecordBatch.from_arrays([*shard.columns, lists], [*row, "lists"])])))
+    assert len(sent) <= 3 and sum(b.num_rows for b in sent) > 300
+
+
+def test_larger_inputs_have_larger_shards_and_buckets(spark, monkeypatch):
+    rows = repeated_rows()
+    monkeypatch.setattr(suffix_dedup, "_GROWING", 1000)
+    sizes, shards = [], suffix_dedup.shards
+    monkeypatch.setattr(suffix_dedup, "shards", lambda *given: sizes.append(given[-1]) or shards(*given))
+    out = remove_repeats(cases.table(spark, rows, 4), shard_bytes=500, bucket_bytes=2000)
+    assert Counter((*r[:5], bytes(r[5])) for r in out.collect()) == plain_removal(rows)
+    assert sizes[0] > 500
