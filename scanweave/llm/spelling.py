@@ -105,7 +105,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     longer = F.col("other_size") > F.col("length")
     earlier = longer & (F.col("piece") > 0) & F.col("hole").endswith(F.col("own"))
     edited = F.levenshtein("own", "hole", 1) == 1
-    pairs = short.join(long, ["length", "piece", "gram"])
+    # Spark takes exploded rows for as small as the words were, and would broadcast them.
+    pairs = short.hint("merge").join(long.hint("merge"), ["length", "piece", "gram"])
     return pairs.where((longer | (F.col("one") < F.col("other"))) & edited & ~earlier).select("one", "one_n", "other", "other_n")
 
 
@@ -118,7 +119,7 @@ def roots(forms: DataFrame) -> DataFrame:
     steps = landed(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        joined = landed(steps.join(ahead, "root", "left"), "spelling-roots")
+        joined = landed(steps.join(ahead.hint("merge"), "root", "left"), "spelling-roots")
         if joined.where("further is not null").isEmpty():
             return steps
         steps = joined.select("word", F.coalesce("further", "root").alias("root"))
@@ -152,6 +153,6 @@ def variants(counts: DataFrame) -> DataFrame:
         "spelling-forms",
     )
     ends = roots(known.where("form is not null"))
-    return known.join(ends, "word", "left").select(
+    return known.join(ends.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

@@ -303,3 +303,20 @@ def test_registered_spelling_query(spark):
     out = [tuple(r) for r in catalogue.op13_spelling_variants(spark, folder).collect()]
     want = plain_variants(plain_counts(rows))
     assert len(out) == len(want) and set(out) == want
+
+
+def test_no_join_of_words_is_broadcast_by_the_size_of_a_file(spark, monkeypatch):
+    """Exploded grams and written roots are many times larger than the compressed files Spark sizes them by."""
+    plans, landed = [], spelling.landed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(spelling, "landed", lambda df, purpose: landed(seen(df), purpose))
+    counts = {"a" * i: 3 * 2 ** (i - 5) for i in range(5, 12)}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    out = seen(spelling.variants(frame)).collect()
+    assert set(map(tuple, out)) == plain_variants(counts)
+    seen(spelling.near_pairs(landed(frame, "words")))
+    assert sum("Join" in plan for plan in plans) >= 4 and not any("Broadcast" in plan for plan in plans)
