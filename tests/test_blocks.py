@@ -93,3 +93,13 @@ def test_large_files_are_loaded_without_a_shuffle(spark, tmp_path, monkeypatch):
     assert files == {"merged": 1, "copied": 2}
     monkeypatch.undo()
     assert [loads._large(n << 20, count) for n, count in ((1, 4), (1, 5), (20, 5), (0, 1))] == [True, False, True, False]
+
+
+def test_dealt_pairs_are_spread_over_more_tasks_than_cores(spark):
+    """Few tasks would each hold several busy days; a day still has few files."""
+    hours = F.make_interval(hours=F.col("id").cast("int"))
+    pairs = spark.range(24 * 20).select("id", (F.lit(START) + hours).alias("left_time"))
+    dealt = deal_pairs("left_time", 4)(pairs).withColumn("task", F.spark_partition_id())
+    found = Counter((row.year, row.month, row.day) for row in dealt.select(*DATE_PARTS, "task").distinct().collect())
+    assert len(found) in (20, 21) and max(found.values()) <= 4
+    assert dealt.select("task").distinct().count() > 2 * spark.sparkContext.defaultParallelism
